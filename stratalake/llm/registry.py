@@ -1,6 +1,10 @@
 """The queries of this subpackage, and the SQL of those that SQL can express."""
 
-from stratalake.llm import quality
+from stratalake.llm import lines, mixing, quality
 
-QUERIES = {"op10_quality_rules": quality.op10_quality_rules}
-ORACLES = {"op10_quality_rules": quality.OP10_SQL}
+QUERIES = {
+    "op4_mix_sources": mixing.op4_mix_sources,
+    "op6_line_dedup": lines.op6_line_dedup,
+    "op10_quality_rules": quality.op10_quality_rules,
+}
+ORACLES = {"op6_line_dedup": lines.OP6_SQL, "op10_quality_rules": quality.OP10_SQL}
