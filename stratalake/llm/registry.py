@@ -1,9 +1,10 @@
 """The queries of this subpackage, and the SQL of those that SQL can express."""
 
-from stratalake.llm import lines, mixing, quality
+from stratalake.llm import lines, mixing, packing, quality
 
 QUERIES = {
     "op4_mix_sources": mixing.op4_mix_sources,
+    "op5_best_fit_packing": packing.op5_best_fit_packing,
     "op6_line_dedup": lines.op6_line_dedup,
     "op10_quality_rules": quality.op10_quality_rules,
 }
