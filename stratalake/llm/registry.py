@@ -1,12 +1,14 @@
 """The queries of this subpackage, and the SQL of those that SQL can express."""
 
-from stratalake.llm import jaccard, lines, mixing, packing, quality
+from stratalake.llm import digests, jaccard, language, lines, mixing, packing, quality
 
 QUERIES = {
+    "op3_language_id": language.op3_language_id,
     "op4_mix_sources": mixing.op4_mix_sources,
     "op5_best_fit_packing": packing.op5_best_fit_packing,
     "op6_line_dedup": lines.op6_line_dedup,
     "op7_jaccard_join": jaccard.op7_jaccard_join,
+    "op9_fingerprints": digests.op9_fingerprints,
     "op10_quality_rules": quality.op10_quality_rules,
 }
 ORACLES = {"op6_line_dedup": lines.OP6_SQL, "op7_jaccard_join": jaccard.OP7_SQL, "op10_quality_rules": quality.OP10_SQL}
