@@ -1,13 +1,16 @@
 """The queries of this subpackage, and the SQL of those that SQL can express."""
 
-from stratalake.llm import digests, jaccard, language, lines, mixing, packing, quality
+from stratalake.llm import digests, jaccard, language, lines, lm, mixing, packing, personal, quality, repeats
 
 QUERIES = {
+    "op1_substring_dedup": repeats.op1_substring_dedup,
+    "op2_lm_scoring": lm.op2_lm_scoring,
     "op3_language_id": language.op3_language_id,
     "op4_mix_sources": mixing.op4_mix_sources,
     "op5_best_fit_packing": packing.op5_best_fit_packing,
     "op6_line_dedup": lines.op6_line_dedup,
     "op7_jaccard_join": jaccard.op7_jaccard_join,
+    "op8_personal_data": personal.op8_personal_data,
     "op9_fingerprints": digests.op9_fingerprints,
     "op10_quality_rules": quality.op10_quality_rules,
 }
