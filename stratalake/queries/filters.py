@@ -1,3 +1,118 @@
-from stratalake.queries.base import Register
+"""Queries over pages of tables."""
+
+from pyspark.sql import functions as F
+
+from stratalake.operators import filters
+from stratalake.queries.base import POINTS, Register, points, table
 
 Q = Register()
+
+
+@Q("pf9_column_filters", "select l_orderkey, l_linenumber from lineitem where l_quantity between 10 and 20 and lower(l_returnflag) like '%r%' and l_linenumber::varchar = '2'")
+def pf9(spark, d):
+    t = table(spark, d, "lineitem")
+    rules = {"l_quantity": {"min": 10, "max": 20}, "l_returnflag": {"contains": "R"}, "l_linenumber": {"equals": 2}, "nowhere": {"equals": 1}}
+    return t.filter(filters.column_filters(t, rules)).select("l_orderkey", "l_linenumber")
+
+
+@Q("pf10_free_text_filter", "select c_custkey from customer where c_name ilike '%01%' or c_mktsegment ilike '%01%' or c_custkey::varchar ilike '%01%'")
+def pf10(spark, d):
+    t = table(spark, d, "customer")
+    return t.filter(filters.free_text(t, "01", ["c_name", "c_mktsegment", "c_custkey"])).select("c_custkey")
+
+
+@Q("pf11_hidden_columns", "select * from (values ('id', 'number'), ('name', 'text'), ('kind', 'text'), ('x', 'number'), ('y', 'number')) t(name, kind) where exists (select 1 from customer)")
+def pf11(spark, d):
+    p = points(spark, d).withColumn("bbox", F.struct("x", "y"))
+    shown = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(k).alias("kind")) for n, k in filters.shown_columns(p)])
+    return p.limit(1).select(F.explode(shown).alias("c")).select("c.*")
+
+
+@Q("pf12_select_except_replace", "select * exclude (p_retailprice) replace (upper(p_brand) as p_brand) from part")
+def pf12(spark, d):
+    return table(spark, d, "part").drop("p_retailprice").withColumn("p_brand", F.upper("p_brand"))
+
+
+@Q("pf13_clean_text", "select doc_id, nullif(trim(case when doc_id % 3 = 0 then '  ' else source || ' ' end), '') as source from documents")
+def pf13(spark, d):
+    t = table(spark, d, "documents")
+    return t.select("doc_id", filters.clean(F.when(F.col("doc_id") % 3 == 0, "  ").otherwise(F.concat("source", F.lit(" ")))).alias("source"))
+
+
+@Q("pf14_point_rows_from_table", f"select case when id % 10 = 0 then 'blank' when id % 10 = 1 then 'swapped' when x between -113 and -110 and y between 38 and 41 then 'inside' else 'outside' end as status, count(*) as n from {'(' + POINTS + ') p'} where not (id % 10 = 1 and not (x between -113 and -110 and y between 38 and 41)) group by 1")
+def pf14(spark, d):
+    p = points(spark, d).filter("not (id % 10 = 1 and not (x between -113 and -110 and y between 38 and 41))")
+    lon = F.when(p.id % 10 == 0, "").when(p.id % 10 == 1, p.y.cast("string")).otherwise((-p.x).cast("string"))
+    lat = F.when(p.id % 10 == 1, p.x.cast("string")).otherwise(p.y.cast("string"))
+    t = p.select(p.id, lon.alias("Well Longitude"), lat.alias("Lat (deg)"))
+    west = t.withColumn("Well Longitude", F.when(F.col("id") % 10 != 1, F.concat(F.lit("-"), F.col("Well Longitude"))).otherwise(F.col("Well Longitude")))
+    west = west.withColumn("Well Longitude", F.when(F.col("id") % 10 == 0, "").otherwise(F.col("Well Longitude")))
+    return filters.point_rows(west, (-113, 38, -110, 41)).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+
+
+@Q("pf15_column_dedupe", "select 'Name,name_2,id_2,NAME_3' as names, count(*) as n from nation")
+def pf15(spark, d):
+    names = filters.unique_names(["Name", "name", "id", "NAME"], ("id",))
+    return table(spark, d, "nation").agg(F.lit(",".join(names)).alias("names"), F.count(F.lit(1)).alias("n"))
+
+
+@Q("pf16_mixed_type_to_text", "select 'a' as \"column\", ['date', 'number', 'text'] as kinds from part limit 1")
+def pf16(spark, d):
+    p = table(spark, d, "part")
+    a = F.when(p.p_partkey % 3 == 0, "2020-01-05").when(p.p_partkey % 3 == 1, p.p_size.cast("string")).otherwise(p.p_brand)
+    return filters.mixed_columns(p.select(a.alias("a"), p.p_size.cast("string").alias("b")), ["a", "b"])
+
+
+@Q("pf17_drop_blank_rows_columns", "select p_partkey::varchar as k, p_brand as b from part where p_partkey % 4 <> 0")
+def pf17(spark, d):
+    p = table(spark, d, "part")
+    keep = p.p_partkey % 4 != 0
+    t = p.select(F.when(keep, p.p_partkey.cast("string")).otherwise(" ").alias("k"), F.when(keep, p.p_brand).alias("b"), F.lit("").alias("column_3"))
+    return filters.drop_blank(t, ("column_3",))
+
+
+@Q("pf18_facet_filter", "select doc_id from documents where lang in ('de', 'fr') and list_has_any([source, lang], ['src1', 'src2', 'fr'])")
+def pf18(spark, d):
+    t = table(spark, d, "documents").withColumn("formats", F.array("source", "lang"))
+    return t.filter(filters.facet_filter({"lang": ["de", "fr"], "formats": ["src1", "src2", "fr"]}, ("formats",))).select("doc_id")
+
+
+@Q("pf20_year_range_filter", "select o_orderkey from orders where o_orderkey % 5 <> 0 and year(o_orderdate) >= 1995 and year(o_orderdate) <= 1996")
+def pf20(spark, d):
+    o = table(spark, d, "orders")
+    year = F.when(F.col("o_orderkey") % 5 != 0, F.year("o_orderdate"))
+    return o.filter(filters.year_range(year, 1995, 1996)).select("o_orderkey")
+
+
+@Q("pf21_mappable_test", "select p_partkey from part where p_size % 2 = 0 and p_partkey % 3 <> 0")
+def pf21(spark, d):
+    p = table(spark, d, "part")
+    assets = F.create_map(F.lit("data"), F.struct(F.when(p.p_size % 2 == 0, "image/tiff").otherwise("text/csv").alias("type")))
+    items = p.select("p_partkey", assets.alias("assets"), F.when(p.p_partkey % 3 != 0, F.array(F.lit(-112.0), F.lit(38.0), F.lit(-111.0), F.lit(39.0))).alias("bbox"))
+    return items.filter(F.exists(F.map_values("assets"), lambda a: a["type"].startswith("image/")) & F.col("bbox").isNotNull()).select("p_partkey")
+
+
+@Q("pf22_query_predicates", "select doc_id from documents where contains(lower(text), 'the') and contains(lower(text), 'of the') and not contains(lower(text), 'which') and lower(lang) = 'en' and contains(lower(source), '1')")
+def pf22(spark, d):
+    return table(spark, d, "documents").filter(filters.query_predicate('the "of the" -which lang:en source:1', ["text"], {"lang": "exact", "source": "contains"})).select("doc_id")
+
+
+@Q("pf23_compact_projection", "select p_partkey, case when p_size > 25 then 'brand=' || p_brand || ',size=' || p_size else 'brand=' || p_brand end as props from part")
+def pf23(spark, d):
+    p = table(spark, d, "part")
+    props = F.map_filter(F.create_map(F.lit("brand"), p.p_brand, F.lit("size"), F.when(p.p_size > 25, p.p_size.cast("string")), F.lit("secret"), p.p_name), lambda k, v: k.isin("brand", "size") & v.isNotNull() & (v != ""))
+    return p.select("p_partkey", F.array_join(F.transform(F.map_entries(props), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",").alias("props"))
+
+
+@Q("pf24_validation_layer_filter", "select s_suppkey from supplier where s_suppkey % 3 <> 0")
+def pf24(spark, d):
+    s = table(spark, d, "supplier")
+    label = F.when(s.s_suppkey % 3 == 0, F.concat(F.lit("top/T_"), s.s_suppkey, F.lit("_LineErrors"))).otherwise(s.s_name)
+    return s.withColumn("label", label).filter(~F.col("label").rlike(r"(^|/)T_[0-9]+_\w*Errors$")).select("s_suppkey")
+
+
+@Q("pf26_scale_layer_split", "select p_partkey, case when p_size % 4 = 1 then 'large' when p_size % 4 = 2 then 'small' else 'middle' end as layer from part")
+def pf26(spark, d):
+    p = table(spark, d, "part")
+    scale = F.when(p.p_size % 4 == 0, None).otherwise(p.p_size % 4)
+    return p.select("p_partkey", filters.routed(scale, {"1": "large", "2": "small"}, "middle").alias("layer"))

@@ -1,3 +1,103 @@
-from stratalake.queries.base import Register
+"""Queries over orders, pages and top rows."""
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from stratalake.operators import ordering
+from stratalake.queries.base import BOXES, Register, boxes, table
 
 Q = Register()
+
+
+@Q("wn2_ordinal_of_row", "select k.ordinal from (select o_orderkey, row_number() over (order by o_totalprice desc nulls last, o_orderkey) - 1 as ordinal from orders) k where o_orderkey = (select min(o_orderkey) + 0 from orders)")
+def wn2(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    return ordering.ordinal(o, [("o_totalprice", False)], "o_orderkey", o.agg(F.min("o_orderkey")).first()[0])
+
+
+EDITIONS = """with e as (select doc_id, lang, source, (1900 + doc_id % 90)::varchar as year from documents where doc_id % 7 <> 0),
+u as (select * from (select *, count(*) over (partition by lang, source, year) as c from e) t where c = 1)
+select doc_id, row_number() over w as version, lag(doc_id) over w as predecessor, lead(doc_id) over w as successor, last_value(doc_id) over (w rows between unbounded preceding and unbounded following) as latest,
+    lead(doc_id) over w is not null as deprecated from u window w as (partition by lang, source order by year)"""
+
+
+@Q("wn3_edition_graph", EDITIONS)
+def wn3(spark, d):
+    t = table(spark, d, "documents").withColumn("year", F.when(F.col("doc_id") % 7 != 0, (1900 + F.col("doc_id") % 90).cast("string")).otherwise("n.d."))
+    return ordering.edition_graph(t.select("doc_id", "lang", "source", "year"), ["lang", "source"], "year", "doc_id").drop("lang", "source", "year")
+
+
+@Q("wn4_draw_order", "select p_partkey, row_number() over (partition by p_brand order by (p_size % 2 = 0), p_size, p_partkey) as rank from part")
+def wn4(spark, d):
+    p = table(spark, d, "part")
+    return p.select("p_partkey", F.row_number().over(Window.partitionBy("p_brand").orderBy(F.col("p_size") % 2 == 0, "p_size", "p_partkey")).alias("rank"))
+
+
+@Q("wn5_tier_membership", f"with g as ({EDITIONS}) select case when d.n_chars < 1000 then '24k' when d.n_chars < 3000 then '250k' else '500k' end as tier, string_agg(g.doc_id::varchar, ',' order by g.doc_id) as members from g join documents d on g.doc_id = d.doc_id where not deprecated group by 1")
+def wn5(spark, d):
+    t = table(spark, d, "documents")
+    tier = F.when(F.col("n_chars") < 1000, "24k").when(F.col("n_chars") < 3000, "250k").otherwise("500k")
+    kept = wn3(spark, d).filter("not deprecated").select("doc_id").join(t.select("doc_id", tier.alias("tier")), "doc_id")
+    return kept.groupBy("tier").agg(F.array_join(F.transform(F.array_sort(F.collect_list("doc_id")), lambda x: x.cast("string")), ",").alias("members"))
+
+
+@Q("wn6_numbered_keys", "with u as (select url, lower(regexp_extract(url, '^https?://([^/]+)', 1)) as k, min(page_id) as page_id from pages group by 1, 2) select url, case when row_number() over (partition by k order by url) = 1 then k else k || '_' || row_number() over (partition by k order by url) end as key from u")
+def wn6(spark, d):
+    p = table(spark, d, "pages").withColumn("k", F.lower(F.regexp_extract("url", "^https?://([^/]+)", 1)))
+    one = p.groupBy("url", "k").agg(F.min("page_id").alias("page_id"))
+    n = F.row_number().over(Window.partitionBy("k").orderBy("url"))
+    return one.withColumn("n", n).select("url", F.when(F.col("n") == 1, F.col("k")).otherwise(F.concat("k", F.lit("_"), "n")).alias("key"))
+
+
+@Q("wn7_best_per_group", "select vec_id, label from (select vec_id, label, embedding[1] as s, row_number() over (partition by label order by embedding[1], vec_id) as r from embeddings) t where r = 1 order by s, vec_id limit 5")
+def wn7(spark, d):
+    return ordering.best_per_group(table(spark, d, "embeddings"), "label", F.col("embedding")[0], "vec_id", 5).select("vec_id", "label")
+
+
+@Q("or2_page_query", "select l_orderkey, l_linenumber, (select count(*) from lineitem where l_quantity < 10) as total from lineitem where l_quantity < 10 order by l_extendedprice desc nulls last, l_orderkey, l_linenumber limit 20 offset 40")
+def or2(spark, d):
+    t = table(spark, d, "lineitem").filter("l_quantity < 10").withColumn("id", F.struct("l_orderkey", "l_linenumber"))
+    total = t.agg(F.count(F.lit(1)).alias("total"))
+    return ordering.page(t, F.desc_nulls_last("l_extendedprice"), "id", 20, 40).crossJoin(F.broadcast(total)).select("l_orderkey", "l_linenumber", "total")
+
+
+@Q("or3_result_sort", "select o_orderkey from orders order by case when o_orderkey % 4 = 0 then null else o_orderdate end desc nulls last, o_orderkey limit 50")
+def or3(spark, d):
+    when = F.when(F.col("o_orderkey") % 4 != 0, F.col("o_orderdate"))
+    return table(spark, d, "orders").orderBy(when.desc_nulls_last(), "o_orderkey").limit(50).select("o_orderkey")
+
+
+OVER = f"""select id, greatest(0, least(xmax, -112.0) - greatest(xmin, -113.5)) * greatest(0, least(ymax, 40.5) - greatest(ymin, 38.0)) as o, (xmax - xmin) * (ymax - ymin) as own
+    from ({BOXES}) b where xmin <= -112.0 and xmax >= -113.5 and ymin <= 40.5 and ymax >= 38.0"""
+
+
+@Q("or4_overlap_rank", f"select id, round(0.25e0 * (o / 3.75e0) + 0.75e0 * case when own > 0 then o / own else 1 end, 9) as score from ({OVER}) t order by score desc, id limit 30")
+def or4(spark, d):
+    b = boxes(spark, d).filter("xmin <= -112.0 and xmax >= -113.5 and ymin <= 40.5 and ymax >= 38.0")
+    o = F.greatest(F.lit(0), F.least("xmax", F.lit(-112.0)) - F.greatest("xmin", F.lit(-113.5))) * F.greatest(F.lit(0), F.least("ymax", F.lit(40.5)) - F.greatest("ymin", F.lit(38.0)))
+    own = (F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))
+    score = F.round(0.25 * (o / 3.75) + 0.75 * F.when(own > 0, o / own).otherwise(1), 9)
+    return b.select("id", score.alias("score")).orderBy(F.desc("score"), "id").limit(30)
+
+
+@Q("or5_drawable_limit", f"select id from ({BOXES}) b where (xmax - xmin) * (ymax - ymin) <= 4 * 0.001e0")
+def or5(spark, d):
+    return boxes(spark, d).filter((F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin")) <= 4 * 0.001).select("id")
+
+
+@Q("or6_most_detailed", "select p_brand, arg_min(p_partkey, (case when p_size % 5 = 0 then 1e308 else p_size end, p_partkey)) as p_partkey from part group by p_brand")
+def or6(spark, d):
+    scale = F.when(F.col("p_size") % 5 != 0, F.col("p_size").cast("double"))
+    return table(spark, d, "part").groupBy("p_brand").agg(F.min_by("p_partkey", F.struct(F.coalesce(scale, F.lit(1e308)), "p_partkey")).alias("p_partkey"))
+
+
+@Q("or7_shard_assignment")
+def or7(spark, d):
+    return table(spark, d, "orders").select("o_orderkey", ordering.shard(F.col("o_orderkey"), 16).alias("shard"))
+
+
+@Q("or8_work_order", "with a as (select user_id, count(*) as tries, bool_or(event_type = 'purchase') as settled from events where event_id % 3 = 0 group by 1), u as (select distinct user_id from events) select u.user_id, coalesce(tries, 0) as tries, (coalesce(tries, 0) = 0) as first_time from u left join a on u.user_id = a.user_id where not coalesce(settled, false)")
+def or8(spark, d):
+    e = table(spark, d, "events")
+    log = e.filter("event_id % 3 = 0").select("user_id", (F.col("event_type") == "purchase").alias("settled"))
+    return ordering.work_order(e.select("user_id").distinct(), log, "user_id").withColumn("first_time", F.col("tries") == 0).orderBy("tries", "user_id")
