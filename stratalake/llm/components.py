@@ -1,4 +1,4 @@
-"""Connected components of a table of links, by alternating star contractions."""
+"""Connected components of a table of links, by thinning links to forests and following parents."""
 
 from __future__ import annotations
 
@@ -45,23 +45,28 @@ def _thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["u", "v"])
 
 
-def components(links: DataFrame) -> DataFrame:
+#: Links that one task finishes; with more, rounds go on.
+FEW_LINKS = 100_000
+
+
+def components(links: DataFrame, few: int = FEW_LINKS) -> DataFrame:
     """(u, v): each vertex u of the links (two long columns) that isn't the smallest of its component, and v, which is.
 
-    A round links the larger neighbours of each vertex to its smallest one, then the smaller ones; it ends
-    when a round changes nothing. Links of a vertex are never gathered: each round is a minimum and a join.
+    In a round, links are dealt by their larger end and thinned to a forest in each partition; then each vertex
+    moves to the parent of its parent. What hangs on a vertex is never gathered: parents are looked up by a join.
+    Once at most `few` links are left, a last task thins them to the result.
     """
     a, b = links.columns
-    edges = written(links.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b").mapInArrow(_thinned, "u bigint, v bigint").distinct(), "links")
+    edges = written(links.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u <> v").mapInArrow(_thinned, "u bigint, v bigint"), "links")
     state = None
     while True:
-        both = edges.union(edges.select("v", "u"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        low_links = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = written(low_links.union(low).distinct(), "links")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             return edges
+        if now[0] <= few:
+            return written(edges.repartition(1).mapInArrow(_thinned, "u bigint, v bigint"), "links")
         state = now
+        forest = written(edges.repartition("u").mapInArrow(_thinned, "u bigint, v bigint").distinct(), "links")
+        parents = forest.groupBy(F.col("u").alias("p")).agg(F.min("v").alias("g"))
+        moved = forest.join(parents, F.col("v") == F.col("p"), "left").select("u", F.coalesce("g", "v").alias("v"))
+        edges = written(moved.distinct(), "links")
