@@ -57,7 +57,7 @@ def components(links: DataFrame, few: int = FEW_LINKS) -> DataFrame:
     Once at most `few` links are left, a last task thins them to the result.
     """
     a, b = links.columns
-    edges = written(links.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u <> v").mapInArrow(_thinned, "u bigint, v bigint"), "links")
+    edges = written(links.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u <> v").distinct().mapInArrow(_thinned, "u bigint, v bigint"), "links")
     state = None
     while True:
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
