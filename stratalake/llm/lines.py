@@ -38,7 +38,9 @@ def line_occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
 def keep_bitmaps(docs: DataFrame, min_docs: int = 5, min_chars: int = 40) -> DataFrame:
     """(doc_id, t, keep, n_dropped) for each document that loses lines; keep maps a word of 64 lines to its bits."""
     occurrences = written(line_occurrences(docs, min_chars), "lines")
-    shared = occurrences.select("h", "g", "doc_id").distinct().groupBy("h", "g").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs)
+    counts = occurrences.select("h", "g", "doc_id").distinct().groupBy("h", "g").agg(F.count(F.lit(1)).alias("n"))
+    # Written, so that Spark can split a hot hash in the join below.
+    shared = written(counts.filter(F.col("n") >= min_docs), "shared-hashes")
     rows = written(occurrences.join(shared, ["h", "g"]), "shared-lines")
     most = rows.agg(F.max("n")).first()[0] or 0
     lost, alive = [], rows
