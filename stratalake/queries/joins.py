@@ -1,3 +1,229 @@
-from stratalake.queries.base import Register
+"""Queries over joins and set operations."""
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from stratalake.operators import reviews, spatial
+from stratalake.queries.base import BOXES, POINTS, Register, boxes, points, sql, table
 
 Q = Register()
+P, B = f"({POINTS}) p", f"({BOXES}) b"
+INSIDE = "p.x between b.xmin and b.xmax and p.y between b.ymin and b.ymax"
+#: Comments of the conversations.
+COMMENTS = """select conv_id * 1000 + turn as id, conv_id as item, conv_id as thread, case when turn = 0 then null else conv_id * 1000 end as parent, role as author, turn as made,
+    case when turn % 2 = 0 then 'see @User and @nobody' else 'for @assistant, a@user' end as body, case when conv_id % 3 = 0 then 'resolved' else 'open' end as status from conversations"""
+C = f"({COMMENTS})"
+
+
+def comments(spark, d):
+    return sql(spark, d, COMMENTS, "conversations")
+
+
+@Q("jn1_rank_reattach_join", "select c.*, r.feature_id from customer c join (select c_custkey, row_number() over (order by c_acctbal, c_custkey) as feature_id from customer) r on c.c_custkey = r.c_custkey")
+def jn1(spark, d):
+    from stratalake.operators.ordering import numbered
+
+    c = table(spark, d, "customer")
+    return c.join(numbered(c.select("c_custkey", "c_acctbal"), ["c_acctbal", "c_custkey"]).select("c_custkey", "feature_id"), "c_custkey")
+
+
+@Q("jn2_metadata_left_join", "select d.doc_id, coalesce(l.quality::varchar, '') as quality from documents d left join labels l on upper(trim(d.doc_id::varchar)) = upper(trim(l.doc_id::varchar))")
+def jn2(spark, d):
+    key = F.upper(F.trim(F.col("doc_id").cast("string")))
+    feed = table(spark, d, "labels").select(key.alias("k"), F.col("quality").cast("string"))
+    return table(spark, d, "documents").select("doc_id", key.alias("k")).join(feed, "k", "left").select("doc_id", F.coalesce("quality", F.lit("")).alias("quality"))
+
+
+@Q("jn3_attribute_lookup_join", "select l_orderkey, l_linenumber, coalesce(nullif(trim(p.name), ''), 'none') as name from lineitem l left join (select p_partkey, min(p_name) as name from part group by 1) p on l.l_partkey = p.p_partkey")
+def jn3(spark, d):
+    one = table(spark, d, "part").groupBy("p_partkey").agg(F.min("p_name").alias("name"))
+    joined = table(spark, d, "lineitem").join(one, F.col("l_partkey") == F.col("p_partkey"), "left")
+    return joined.select("l_orderkey", "l_linenumber", F.coalesce(F.nullif(F.trim("name"), F.lit("")), F.lit("none")).alias("name"))
+
+
+@Q("jn4_spatial_containment_join", f"select p.id, min(b.id) as region from {P} left join {B} on {INSIDE} group by p.id")
+def jn4(spark, d):
+    found = spatial.on_grid(points(spark, d).select("id", "x", "y"), boxes(spark, d).select(F.col("id").alias("region"), "xmin", "ymin", "xmax", "ymax"), 0.25)
+    first = found.groupBy("id").agg(F.min("region").alias("region"))
+    return points(spark, d).select("id").join(first, "id", "left")
+
+
+@Q("jn5_bbox_overlap_join", f"select b.id as a, c.id as b from {B} join ({BOXES}) c on b.id < c.id and b.xmin <= c.xmax and b.xmax >= c.xmin and b.ymin <= c.ymax and b.ymax >= c.ymin")
+def jn5(spark, d):
+    b = boxes(spark, d).select("id", "xmin", "ymin", "xmax", "ymax")
+    other = b.select(F.col("id").alias("rid"), *[F.col(c).alias(f"r{c}") for c in ("xmin", "ymin", "xmax", "ymax")])
+    return spatial.box_pairs(b, other, 0.25).filter("id < rid").select(F.col("id").alias("a"), F.col("rid").alias("b"))
+
+
+@Q("jn6_top_rank_at_point", f"select p.id, arg_max(b.id, (b.size, b.id)) as top from {P} join {B} on {INSIDE} where b.kind <> 'Brand#11' group by p.id")
+def jn6(spark, d):
+    found = spatial.on_grid(points(spark, d).select("id", "x", "y"), boxes(spark, d).filter("kind <> 'Brand#11'").select(F.col("id").alias("box"), "size", "xmin", "ymin", "xmax", "ymax"), 0.25)
+    return found.groupBy("id").agg(F.max_by("box", F.struct("size", "box")).alias("top"))
+
+
+@Q("jn7_near_contact_check", f"""with r as (select p.id, p.x + 0.2 * cos(k * 6.283185307179586e0 / 8) as x, p.y + 0.2 * sin(k * 6.283185307179586e0 / 8) as y from {P}, unnest(range(8)) t(k)),
+h as (select p.id, min(b.kind) as own from {P} join {B} on {INSIDE} group by p.id),
+o as (select distinct p.id, b.kind from r p join {B} on {INSIDE})
+select h.id, bool_or(o.kind is not null and o.kind <> h.own) as near_contact from h left join o on h.id = o.id group by h.id""")
+def jn7(spark, d):
+    b = boxes(spark, d).select("kind", "xmin", "ymin", "xmax", "ymax")
+    p = points(spark, d).select("id", "x", "y")
+    here = spatial.on_grid(p, b, 0.25).groupBy("id").agg(F.min("kind").alias("own"))
+    around = spatial.on_grid(spatial.ring(p, F.lit(0.2)), b, 0.25).select("id", "kind").distinct()
+    return here.join(around, "id", "left").groupBy("id").agg(F.bool_or(F.col("kind").isNotNull() & (F.col("kind") != F.col("own"))).alias("near_contact"))
+
+
+@Q("jn8_related_rows_join", "select o_orderkey, l_linenumber, count(*) over (partition by o_orderkey) as total from orders join lineitem on o_orderkey::varchar = l_orderkey::varchar where o_orderkey % 10 = 0")
+def jn8(spark, d):
+    child = table(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("k"), "l_linenumber")
+    joined = table(spark, d, "orders").filter("o_orderkey % 10 = 0").select("o_orderkey", F.col("o_orderkey").cast("string").alias("k")).join(child, "k")
+    return joined.select("o_orderkey", "l_linenumber", F.count(F.lit(1)).over(Window.partitionBy("o_orderkey")).alias("total"))
+
+
+LINKS = "select c_nationkey % 5 as origin, c_custkey % 7 as target, c_mktsegment as key, c_custkey % 2 = 0 as spatial from customer"
+
+
+@Q("jn9_fk_registry_outgoing", f"select origin, target, case when bool_or(spatial) then 'link' else 'table' end as kind, string_agg(distinct key, ',' order by key) as keys from ({LINKS}) r group by 1, 2")
+def jn9(spark, d):
+    r = sql(spark, d, LINKS, "customer")
+    kind = F.when(F.bool_or("spatial"), "link").otherwise("table")
+    return r.groupBy("origin", "target").agg(kind.alias("kind"), F.array_join(F.array_sort(F.collect_set("key")), ",").alias("keys"))
+
+
+@Q("jn10_fk_registry_incoming", f"select origin, count(*) as n from ({LINKS}) r where target = 3 group by origin")
+def jn10(spark, d):
+    own = sql(spark, d, LINKS, "customer").groupBy("origin").agg(F.collect_list(F.struct("target", "key")).alias("rels"))
+    to = F.filter("rels", lambda r: r["target"] == 3)
+    return own.filter(F.exists("rels", lambda r: r["target"] == 3)).select("origin", F.size(to).cast("long").alias("n"))
+
+
+@Q("jn11_attachment_grouping", "select l_orderkey, string_agg(l_linenumber::varchar, ',' order by l_linenumber) as files from lineitem group by 1")
+def jn11(spark, d):
+    return table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_list("l_linenumber")), ",").alias("files"))
+
+
+@Q("jn12_mirror_plan", "select min(page_id) as page_id, 'mirror/' || regexp_extract(url, '([^/]*)$', 1) as target from pages where page_id % 2 = 0 group by 2 having 'mirror/' || regexp_extract(min(url), '([^/]*)$', 1) not in (select 'mirror/' || regexp_extract(url, '([^/]*)$', 1) from pages where page_id % 5 = 0)")
+def jn12(spark, d):
+    p = table(spark, d, "pages").withColumn("target", F.concat(F.lit("mirror/"), F.regexp_extract("url", "([^/]*)$", 1)))
+    there = p.filter("page_id % 5 = 0").select("target").distinct()
+    return p.filter("page_id % 2 = 0").groupBy("target").agg(F.min("page_id").alias("page_id")).join(there, "target", "left_anti")
+
+
+@Q("jn13_orphan_detect", "select o_orderkey, o_custkey in (select o_custkey from orders where o_orderkey % 9 <> 0) as renamed from orders where o_orderkey % 9 = 0")
+def jn13(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    source = o.filter("o_orderkey % 9 <> 0")
+    gone = o.join(source.select("o_orderkey"), "o_orderkey", "left_anti")
+    files = source.select("o_custkey", F.lit(True).alias("there")).distinct()
+    return gone.join(files, "o_custkey", "left").select("o_orderkey", F.coalesce("there", F.lit(False)).alias("renamed"))
+
+
+@Q("jn14_stale_items", "select p_brand, p_partkey from part where p_partkey % 6 = 0")
+def jn14(spark, d):
+    p = table(spark, d, "part").select("p_brand", "p_partkey")
+    return p.join(p.filter("p_partkey % 6 <> 0"), ["p_brand", "p_partkey"], "left_anti")
+
+
+ITEMS = "select p_partkey as id, case when p_partkey % 5 = 0 then null else p_size % 8 end as style, p_size % 3 as asset from part"
+
+
+@Q("jn15_style_binding_report", f"with i as ({ITEMS}), s as (select k as style, k % 3 as asset from range(4, 12) t(k)) select case when i.id is null then 'unused style' when s.style is null then 'no style' when i.asset = s.asset then 'matched' else 'asset miss' end as status, count(*) as n from i full join s on i.style = s.style group by 1")
+def jn15(spark, d):
+    i = sql(spark, d, ITEMS, "part")
+    s = spark.range(4, 12).select(F.col("id").alias("s_style"), (F.col("id") % 3).alias("s_asset"))
+    j = i.join(s, F.col("style") == F.col("s_style"), "full_outer")
+    status = F.when(F.col("id").isNull(), "unused style").when(F.col("s_style").isNull(), "no style").when(F.col("asset") == F.col("s_asset"), "matched").otherwise("asset miss")
+    return j.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@Q("jn16_style_drift_check", "select p_partkey from part where p_size % 4 = 0 or p_partkey % 10 = 0")
+def jn16(spark, d):
+    p = table(spark, d, "part")
+    stored = p.select("p_partkey", F.when(p.p_size % 4 == 0, "old").otherwise(p.p_brand).alias("legend"))
+    manifest = p.select("p_partkey", F.when(p.p_partkey % 10 != 0, p.p_brand).alias("now"))
+    return stored.join(manifest, "p_partkey").filter(~F.col("legend").eqNullSafe(F.col("now"))).select("p_partkey")
+
+
+@Q("jn17_notification_fanout", f"""with c as {C}, m as (select id, author, case when made % 2 = 0 then 'user' else 'assistant' end as recipient, 'mention' as kind from c),
+w as (select thread, author as recipient, min(made) as made from c group by 1, 2),
+r as (select c.id, c.author, w.recipient, 'reply' as kind from c join w on c.thread = w.thread and w.made < c.made),
+b as (select * from m where recipient in (select role from conversations) union all select * from r)
+select id, recipient, min(kind) as kind from b where recipient <> author group by 1, 2""")
+def jn17(spark, d):
+    roster = table(spark, d, "conversations").select(F.col("role").alias("name")).distinct()
+    return reviews.recipients(comments(spark, d), roster)
+
+
+@Q("jn18_review_log_query", f"select id, item % 2 = 0 as read_only from {C} c where status = 'open' and item in (1, 2, 3, 5, 8) order by made desc, id limit 10")
+def jn18(spark, d):
+    c = comments(spark, d).withColumn("items", F.array("item")).filter("status = 'open'").filter(F.arrays_overlap("items", F.array(*[F.lit(x).cast("bigint") for x in (1, 2, 3, 5, 8)])))
+    promoted = c.select("item").filter("item % 2 = 0").distinct().withColumn("p", F.lit(True))
+    return c.join(promoted, "item", "left").orderBy(F.desc("made"), "id").limit(10).select("id", F.coalesce("p", F.lit(False)).alias("read_only"))
+
+
+@Q("jn19_thread_report", f"select item, count(*) filter (where parent is null) as roots, count(*) filter (where parent is not null) as replies, count(*) filter (where parent is null and status = 'open') as open from {C} c group by item")
+def jn19(spark, d):
+    return reviews.threads(comments(spark, d))
+
+
+@Q("jn20_item_status_upsert", "select user_id, event_type, arg_max(event_id, (ts, event_id)) as event_id from events group by 1, 2")
+def jn20(spark, d):
+    e = table(spark, d, "events").select("user_id", "event_type", "ts", "event_id")
+    return reviews.latest_status(e, ["user_id", "event_type"], "ts").select("user_id", "event_type", "event_id")
+
+
+@Q("jn21_deleted_row_comments", f"select id from {C} c where item % 3 = 0")
+def jn21(spark, d):
+    c = comments(spark, d).withColumn("row_keys", F.array(F.col("item"), F.col("item") + 3))
+    keys = table(spark, d, "conversations").filter("conv_id % 3 <> 0").select(F.col("conv_id").alias("k")).distinct()
+    return reviews.deleted_rows(c, keys)
+
+
+@Q("jn22_notification_inbox", f"select id, made from {C} c where author = 'user' and item % 2 = 1 order by made desc, id limit 500")
+def jn22(spark, d):
+    c = comments(spark, d)
+    notes = c.select("id", F.col("author").alias("recipient"), F.when(F.col("item") % 2 == 0, F.lit(1)).alias("seen_at"))
+    return reviews.inbox(notes, c, "user", unseen=True).select("id", "made")
+
+
+@Q("jn23_near_point_features", f"select p.id as a, q.id as b from {P} join ({POINTS}) q on p.id < q.id and power(p.x - q.x, 2) + power(p.y - q.y, 2) <= 0.04e0")
+def jn23(spark, d):
+    p = points(spark, d).select("id", "x", "y")
+    q = p.select(F.col("id").alias("oid"), F.col("x").alias("ox"), F.col("y").alias("oy"))
+    return spatial.near_points(p, q, 0.2).filter("id < oid").select(F.col("id").alias("a"), F.col("oid").alias("b"))
+
+
+@Q("jn24_survey_grid_lookup", f"select kind, min(x) as xmin, max(x) as xmax, min(y) as ymin, max(y) as ymax from {P} where name like '%1' group by kind")
+def jn24(spark, d):
+    return points(spark, d).filter(F.col("name").endswith("1")).groupBy("kind").agg(F.min("x").alias("xmin"), F.max("x").alias("xmax"), F.min("y").alias("ymin"), F.max("y").alias("ymax"))
+
+
+@Q("jn25_replaced_layout_files", "select 'old/' || p_partkey as path from part where p_partkey % 3 <> 0 and p_size % 2 = 0")
+def jn25(spark, d):
+    p = table(spark, d, "part")
+    old = p.select(F.concat(F.lit("old/"), "p_partkey").alias("path"), F.concat(F.lit("new/"), "p_partkey").alias("now"), "p_size")
+    new = p.filter("p_partkey % 3 <> 0").select(F.concat(F.lit("new/"), "p_partkey").alias("now"))
+    return old.filter("p_size % 2 = 0").join(new, "now", "left_semi").select("path")
+
+
+@Q("st1_own_plus_fallback", "select l_orderkey, l_partkey, 1 as rank from lineitem where l_quantity > 45 union all select o_orderkey, null, 2 from orders where o_orderkey not in (select l_orderkey from lineitem where l_quantity > 45)")
+def st1(spark, d):
+    own = table(spark, d, "lineitem").filter("l_quantity > 45").select("l_orderkey", "l_partkey", F.lit(1).alias("rank"))
+    rest = table(spark, d, "orders").select(F.col("o_orderkey").alias("l_orderkey")).join(own, "l_orderkey", "left_anti")
+    return own.unionByName(rest.select("l_orderkey", F.lit(None).cast("long").alias("l_partkey"), F.lit(2).alias("rank")))
+
+
+@Q("st2_first_wins_dedupe", "select user_id, arg_min(event_type, event_id) as event_type from events group by 1")
+def st2(spark, d):
+    return table(spark, d, "events").groupBy("user_id").agg(F.min_by("event_type", "event_id").alias("event_type"))
+
+
+@Q("st3_missing_from", "select c_custkey from customer where c_custkey not in (select o_custkey from orders)")
+def st3(spark, d):
+    return table(spark, d, "customer").join(table(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+
+
+@Q("st4_member_intersection", "select distinct l_suppkey from lineitem where l_returnflag = 'R' intersect select l_suppkey from lineitem where l_linestatus = 'O'")
+def st4(spark, d):
+    t = table(spark, d, "lineitem")
+    return t.filter("l_returnflag = 'R'").select("l_suppkey").intersect(t.filter("l_linestatus = 'O'").select("l_suppkey"))

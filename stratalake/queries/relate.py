@@ -1,3 +1,143 @@
-from stratalake.queries.base import Register
+"""Queries over relationships between the tables, with column prefixes stripped."""
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from stratalake.operators import relate
+from stratalake.plans.storage import written
+from stratalake.queries.base import Register, sql, table
 
 Q = Register()
+TABLES = {"region": "r_", "nation": "n_", "customer": "c_", "supplier": "s_", "part": "p_"}
+
+
+def _tables(spark, d):
+    return {name: (t := table(spark, d, name)).toDF(*[c.removeprefix(prefix) for c in t.columns]) for name, prefix in TABLES.items()}
+
+
+def _values(spark, d):
+    return written(relate.unpivoted(_tables(spark, d)), "values")
+
+
+_COLUMNS = {
+    "region": ("regionkey", "name"), "nation": ("nationkey", "name", "regionkey"), "customer": ("custkey", "name", "nationkey", "mktsegment"),
+    "supplier": ("suppkey", "name", "nationkey"), "part": ("partkey", "name", "brand", "type", "size"),
+}
+V = "v as (" + " union all ".join(f"select '{t}' as tab, '{c}' as col, {TABLES[t]}{c}::varchar as value from {t}" for t, cs in _COLUMNS.items() for c in cs) + ")"
+PROFILE = """p as (select tab, col, sum(n)::bigint as rows, count(*) as "distinct", min(try_cast(value as bigint)) as low, max(try_cast(value as bigint)) as high, count(try_cast(value as bigint)) as numbers
+    from (select tab, col, value, count(*) as n from v group by 1, 2, 3) group by 1, 2),
+f as (select tab, col, rows, "distinct", rows = "distinct" as "unique", rows = "distinct" and "distinct" between 3 and 100000 as is_key, coalesce(numbers = "distinct" and low in (0, 1) and high - low + 1 = "distinct", false) as dense from p)"""
+STEM = "(case when length(regexp_replace(lower({0}), '(_?(id|key|code|no|num|number|name|symbol))$', '')) > 3 then regexp_replace(regexp_replace(lower({0}), '(_?(id|key|code|no|num|number|name|symbol))$', ''), 's$', '') else regexp_replace(lower({0}), '(_?(id|key|code|no|num|number|name|symbol))$', '') end)"
+SCORE = f"""case when lower({{c}}) = lower({{k}}) then 40 when length({STEM.format('{c}')}) >= 3 and contains(lower({{k}}), {STEM.format('{c}')}) then 30
+    when length({STEM.format('{c}')}) >= 3 and ends_with({STEM.format('{t}')}, '_' || {STEM.format('{c}')}) then 28
+    when length({STEM.format('{c}')}) >= 3 and contains(lower({{t}}), {STEM.format('{c}')}) then 22 when regexp_matches(lower({{c}}), '(_?(id|key|code|no|num|number|name|symbol))$') then 10 else 0 end"""
+NAMES = "select p_brand as c, p_type as k, p_name as t from part union all select * from (values ('unit_id', 'unit_code', 'units'), ('faults', 'fault_key', 'x'), ('nationkey', 'nationkey', 'nation'), ('region', 'id', 'map_regions'), ('age', 'symbol', 'ages'), ('parent_id', 'id', 'other'), ('a', 'b', 'c')) x(c, k, t)"
+RELS = f"""with {V}, {PROFILE},
+u as (select distinct tab, col, value from v),
+z as (select tab, col, count(*) as size from u group by 1, 2),
+s as (select a.tab, a.col, b.tab as k_tab, b.col as k_col, f.dense, count(*) as n from u a join u b on a.value = b.value and a.tab <> b.tab join f on f.tab = b.tab and f.col = b.col and f.is_key group by all),
+o as (select s.tab as origin, s.col as origin_col, k_tab as destination, k_col as destination_col, dense, n * 100.0e0 / size as overlap, {SCORE.format(c='s.col', k='k_col', t='k_tab')} as score from s join z on s.tab = z.tab and s.col = z.col),
+r as (select origin, origin_col, destination, destination_col, score, round(overlap, 2) as overlap, round(score + 0.6e0 * overlap, 2) as confidence from o
+    where (score >= 25 and overlap >= 90 and score + 0.6e0 * overlap >= 80) or (score < 25 and score >= 10 and overlap >= 98 and not dense))
+"""
+
+
+@Q("ri1_column_profile", f'with {V}, {PROFILE} select tab, col, rows, "distinct", "unique", is_key, dense from f')
+def ri1(spark, d):
+    return relate.profiles(_values(spark, d))
+
+
+@Q("ri2_name_score", f"select c, k, t, {SCORE.format(c='c', k='k', t='t')} as score from ({NAMES}) n")
+def ri2(spark, d):
+    return sql(spark, d, NAMES, "part").withColumn("score", relate.name_score(F.col("c"), F.col("k"), F.col("t")))
+
+
+def _rels(spark, d):
+    v = _values(spark, d)
+    p = written(relate.profiles(v), "profiles")
+    return written(relate.relationships(v, p), "relationships"), p
+
+
+@Q("ri3_infer_relationships", RELS + "select * from r")
+def ri3(spark, d):
+    """A column's sample is taken by hash, so that the SQL holds where no column has over 5000 values."""
+    return _rels(spark, d)[0]
+
+
+BEST = RELS + """, b as (select * from (select *, row_number() over (partition by origin, destination order by confidence desc, score desc, origin_col, destination_col) as i from r) where i = 1),
+c as (select * from (select *, row_number() over (partition by least(origin, destination), greatest(origin, destination) order by confidence desc, origin) as j from b) where j = 1)
+"""
+
+
+@Q("ri4_best_pair_per_tables", BEST + "select c.origin, c.origin_col, c.destination, c.destination_col, case when f.\"unique\" then 'one-to-one' else 'many-to-one' end as cardinality from c join f on f.tab = c.origin and f.col = c.origin_col")
+def ri4(spark, d):
+    rels, p = _rels(spark, d)
+    return relate.best_pairs(rels, p).select("origin", "origin_col", "destination", "destination_col", "cardinality")
+
+
+@Q("ri5_merge_declared_inferred", BEST + "select 'nation' as origin, 'customer' as destination, 'declared' as detected_by union all select origin, destination, 'inferred' from c where not (origin in ('nation', 'customer') and destination in ('nation', 'customer'))")
+def ri5(spark, d):
+    rels, p = _rels(spark, d)
+    declared = spark.createDataFrame([("nation", "customer")], "origin string, destination string")
+    return relate.merged(declared, relate.best_pairs(rels, p))
+
+
+@Q("ri6_layer_kind", BEST + "select t.name, case when t.name in ('customer', 'part') then 'layer' when t.name in (select origin from c union select destination from c) then 'table' else 'supporting' end as kind from (select distinct tab as name from v) t")
+def ri6(spark, d):
+    rels, p = _rels(spark, d)
+    layers = p.select(F.col("tab").alias("name")).distinct().withColumn("spatial", F.col("name").isin("customer", "part"))
+    return relate.layer_kinds(layers, relate.best_pairs(rels, p))
+
+
+@Q("ri7_reference_tables", "select c_nationkey as destination, count(distinct c_mktsegment) as n from customer group by 1 having count(distinct c_mktsegment) >= 3 and 2 * count(distinct c_mktsegment) >= 5")
+def ri7(spark, d):
+    rels = table(spark, d, "customer").select(F.col("c_nationkey").alias("destination"), F.col("c_mktsegment").alias("origin"))
+    return relate.reference_tables(rels, 5)
+
+
+LAYERS = "select p_brand as bundle, p_name as label, p_size as rows, p_type as kind, p_partkey as id from part"
+
+
+@Q("ri8_unit_layer_select", f"select bundle, id from (select *, row_number() over (partition by bundle order by -rows, label, id) as r from ({LAYERS}) l where kind ilike '%s%' and rows > 5) t where r = 1")
+def ri8(spark, d):
+    manifest = sql(spark, d, LAYERS, "part").groupBy("bundle").agg(F.collect_list(F.struct("label", "rows", "kind", "id")).alias("layers"))
+    each = manifest.select("bundle", F.explode("layers").alias("l")).select("bundle", "l.*").filter(F.col("kind").rlike("(?i)s") & (F.col("rows") > 5))
+    best = F.row_number().over(Window.partitionBy("bundle").orderBy(-F.col("rows"), "label", "id"))
+    return each.withColumn("r", best).filter("r = 1").select("bundle", "id")
+
+
+@Q("ri9_unit_polys_normalise", "select p_partkey as unit_code, coalesce(case when p_size % 2 = 0 then p_brand end, p_name) as unit_name, p_type as age from part")
+def ri9(spark, d):
+    p = table(spark, d, "part")
+    first = p.filter("p_size % 2 = 0").select(F.col("p_partkey").alias("unit_code"), F.col("p_brand").alias("unit_name"), F.col("p_type").alias("age"))
+    second = p.filter("p_size % 2 <> 0").select(F.col("p_partkey").alias("mapunit"), F.col("p_name").alias("fullname"), F.col("p_type").alias("age"))
+    both = first.unionByName(second, allowMissingColumns=True)
+    return both.select(F.coalesce("unit_code", "mapunit").alias("unit_code"), F.coalesce("unit_name", "fullname").alias("unit_name"), "age")
+
+
+@Q("ri10_table_columns", "select 'orders' as tab, * from (values ('o_orderkey', 'integer'), ('o_custkey', 'integer'), ('o_orderstatus', 'string'), ('o_totalprice', 'number'), ('o_orderdate', 'datetime'), ('o_orderpriority', 'string')) x(name, kind) where exists (select 1 from orders)")
+def ri10(spark, d):
+    o = table(spark, d, "orders")
+    rows = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(relate.common_type(t.replace("timestamp_ntz", "timestamp"))).alias("kind")) for n, t in o.dtypes])
+    return o.limit(1).select(F.lit("orders").alias("tab"), F.explode(rows).alias("c")).select("tab", "c.*")
+
+
+@Q("ri11_style_classes", "select p_partkey, p_brand as label, '#' || lpad(p_size::varchar, 6, '0') as colour from part union all select p_partkey, 'other', '#000000' from part")
+def ri11(spark, d):
+    """A match expression: the input, then a label and a colour in turn, then the colour of all others."""
+    p = table(spark, d, "part")
+    style = p.select("p_partkey", F.to_json(F.array(F.lit("match"), F.lit("get"), "p_brand", F.concat(F.lit("#"), F.lpad(F.col("p_size").cast("string"), 6, "0")), F.lit("#000000"))).alias("paint"))
+    steps = style.withColumn("e", F.from_json("paint", "array<string>"))
+    pairs = F.transform(F.sequence(F.lit(2), F.size("e") - 2, F.lit(2)), lambda i: F.struct(F.get("e", i).alias("label"), F.get("e", i + 1).alias("colour")))
+    last = F.array(F.struct(F.lit("other").alias("label"), F.element_at("e", -1).alias("colour")))
+    return steps.select("p_partkey", F.explode(F.concat(pairs, last)).alias("c")).select("p_partkey", "c.*")
+
+
+@Q("ri12_inference_scope", "select p_partkey, case when p_size % 2 = 0 then p_brand else 'bundle' end as scope from part where p_size % 5 <> 0")
+def ri12(spark, d):
+    p = table(spark, d, "part")
+    label = F.when(p.p_size % 2 == 0, F.concat("p_brand", F.lit("__"), "p_name")).otherwise(F.col("p_name"))
+    folder = F.regexp_extract("label", "^(.*)__[^_]", 1)
+    scoped = p.withColumn("label", label).withColumn("scope", F.coalesce(F.nullif(folder, F.lit("")), F.lit("bundle")))
+    known = p.filter("p_size % 5 <> 0").select("p_partkey")
+    return scoped.join(known, "p_partkey", "left_semi").select("p_partkey", "scope")
