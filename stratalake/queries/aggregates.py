@@ -1,3 +1,144 @@
-from stratalake.queries.base import Register
+"""Queries over fingerprints, facets, roll-ups and reports."""
+
+from pyspark.sql import functions as F
+
+from stratalake.operators import aggregates as agg
+from stratalake.queries.base import BOXES, Register, boxes, table
 
 Q = Register()
+B = f"({BOXES}) b"
+
+
+@Q("ag1_content_fingerprint", "select count(*) as rows, true as same_in_any_order, true as sees_a_change from orders")
+def ag1(spark, d):
+    o = table(spark, d, "orders")
+    print_ = lambda df, name: agg.fingerprint(df, "v1").select("rows", F.col("hash_sum").alias(name))
+    one, two = print_(o, "a"), print_(o.repartition(7, "o_custkey"), "b").drop("rows")
+    three = print_(o.withColumn("o_orderstatus", F.when(F.col("o_orderkey") == 1, None).otherwise(F.col("o_orderstatus"))), "c").drop("rows")
+    return one.crossJoin(two).crossJoin(three).select("rows", (F.col("a") == F.col("b")).alias("same_in_any_order"), (F.col("a") != F.col("c")).alias("sees_a_change"))
+
+
+@Q("ag9_publication_datetime", "select max(case when o_orderkey % 3 <> 0 then o_orderdate end) as newest from orders")
+def ag9(spark, d):
+    o = table(spark, d, "orders")
+    text = F.when(F.col("o_orderkey") % 3 == 0, F.lit("unknown")).otherwise(F.col("o_orderdate").cast("string"))
+    return o.agg(F.max(F.try_to_timestamp(text)).cast("timestamp_ntz").alias("newest"))
+
+
+FACETS = """select facet, value, count(*) as n from (select 'lang' as facet, lang as value from documents union all select 'source', source from documents
+    union all select 'length', case when n_chars < 1000 then 'short' else 'long' end from documents union all select 'formats', unnest(case when doc_id % 2 = 0 then ['text', 'pdf'] else ['text'] end) from documents) t where value is not null group by 1, 2"""
+
+
+def _facets(spark, d):
+    t = table(spark, d, "documents")
+    formats = F.when(F.col("doc_id") % 2 == 0, F.array(F.lit("text"), F.lit("pdf"))).otherwise(F.array(F.lit("text")))
+    return agg.facet_counts(t, {"lang": F.col("lang"), "source": F.col("source"), "length": F.when(F.col("n_chars") < 1000, "short").otherwise("long"), "formats": formats}, ("formats",))
+
+
+@Q("ag10_facet_counts", FACETS)
+def ag10(spark, d):
+    return _facets(spark, d)
+
+
+@Q("ag11_selected_facets_kept", f"select s.facet, s.value, coalesce(c.n, 0)::bigint as n from (values ('lang', 'en'), ('lang', 'xx'), ('formats', 'pdf')) s(facet, value) left join ({FACETS}) c on s.facet = c.facet and s.value = c.value")
+def ag11(spark, d):
+    selected = spark.createDataFrame([("lang", "en"), ("lang", "xx"), ("formats", "pdf")], "facet string, value string")
+    return agg.keep_selected(_facets(spark, d), selected)
+
+
+@Q("ag12_year_histogram", "with y as (select year(o_orderdate) as y from orders where o_orderkey % 4 <> 1), s as (select min(y) as low, max(y) as high from y) select (low + b * 5)::int as bin, (select count(*) from y where floor((y - low) / 5.0) = b) as n from s, unnest(range(0, (floor((high - low) / 5.0) + 1)::bigint)) t(b)")
+def ag12(spark, d):
+    return agg.histogram(table(spark, d, "orders").filter("o_orderkey % 4 <> 1"), F.year("o_orderdate"), 5)
+
+
+@Q("ag13_filter_relief", "select filter, gain from (select 'lang' as filter, count(*) as gain from documents where lang <> 'en' and n_chars > 500 and source in ('src1', 'src2') union all select 'length', count(*) from documents where lang = 'en' and n_chars <= 500 and source in ('src1', 'src2') union all select 'source', count(*) from documents where lang = 'en' and n_chars > 500 and source not in ('src1', 'src2')) t where gain > 0")
+def ag13(spark, d):
+    return agg.relief(table(spark, d, "documents"), {"lang": F.col("lang") == "en", "length": F.col("n_chars") > 500, "source": F.col("source").isin("src1", "src2")})
+
+
+@Q("ag14_catalogue_rollup", f"select kind, size, 2 - grouping(size) - grouping(kind) as level, count(*) as n, sum((id % 2)::bigint)::bigint as mappable, min(xmin) as xmin, min(ymin) as ymin, max(xmax) as xmax, max(ymax) as ymax from {B} group by rollup (kind, size)")
+def ag14(spark, d):
+    out = agg.rollup(boxes(spark, d), ["kind", "size"], {"mappable": F.col("id") % 2})
+    return out.withColumn("level", F.col("level").cast("int"))
+
+
+@Q("ag15_index_build", f"select kind, count(*) as n, md5(string_agg(id::varchar || ':' || name, ',' order by id)) as digest from {B} group by kind")
+def ag15(spark, d):
+    entries = F.array_sort(F.collect_list(F.struct("id", "name")))
+    index = boxes(spark, d).groupBy("kind").agg(entries.alias("entries"))
+    text = F.array_join(F.transform("entries", lambda e: F.concat(e["id"].cast("string"), F.lit(":"), e["name"])), ",")
+    return index.select("kind", F.size("entries").cast("long").alias("n"), F.md5(text).alias("digest"))
+
+
+@Q("ag16_coverage_summary", "select p_brand, p_size % 3 as series, count(*) as publications, count(*) filter (where p_partkey % 2 = 0) as items, count(*) filter (where p_partkey % 2 <> 0) as pending, bool_and(p_partkey % 2 = 0) as migrated, coalesce(string_agg(p_partkey::varchar, ',' order by p_partkey) filter (where p_partkey % 2 = 0), '') as rasters from part group by 1, 2")
+def ag16(spark, d):
+    done = F.col("p_partkey") % 2 == 0
+    rasters = F.array_sort(F.collect_list(F.when(done, F.col("p_partkey"))))
+    return table(spark, d, "part").groupBy("p_brand", (F.col("p_size") % 3).alias("series")).agg(F.count(F.lit(1)).alias("publications"), F.count_if(done).alias("items"), F.count_if(~done).alias("pending"), F.bool_and(done).alias("migrated"), F.array_join(F.transform(rasters, lambda x: x.cast("string")), ",").alias("rasters"))
+
+
+@Q("ag17_duplicate_ids", "select o_custkey as id, string_agg(distinct o_orderstatus, ',' order by o_orderstatus) as collections from orders group by 1 having count(distinct o_orderstatus) > 1")
+def ag17(spark, d):
+    found = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.array_sort(F.collect_set("o_orderstatus")).alias("c"))
+    return found.filter(F.size("c") > 1).select("id", F.array_join("c", ",").alias("collections"))
+
+
+@Q("ag18_shared_path_split", "with u as (select distinct user_id, event_type from events), c as (select *, count(*) over (partition by user_id) as n from u) select n = 1 as own_path, count(*) as n_rows from c group by 1")
+def ag18(spark, d):
+    own, shared = agg.split_shared(table(spark, d, "events").select("user_id", "event_type"), "user_id")
+    both = own.withColumn("own_path", F.lit(True)).union(shared.withColumn("own_path", F.lit(False)))
+    return both.groupBy("own_path").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@Q("ag19_series_counts", "select p_brand, count(*) as n from part group by 1")
+def ag19(spark, d):
+    return table(spark, d, "part").groupBy("p_brand").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "p_brand")
+
+
+@Q("ag20_newest_thumbnail", "select o_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) as o_orderkey from orders group by 1")
+def ag20(spark, d):
+    return table(spark, d, "orders").groupBy("o_custkey").agg(F.max_by("o_orderkey", F.struct("o_orderdate", "o_orderkey")).alias("o_orderkey"))
+
+
+@Q("ag21_text_width_stats", "select 'c_name' as \"column\", max(strlen(c_name)) as longest, avg(strlen(c_name)) as average from customer union all select 'c_mktsegment', max(strlen(c_mktsegment)), avg(strlen(c_mktsegment)) from customer")
+def ag21(spark, d):
+    return agg.text_widths(table(spark, d, "customer"))
+
+
+@Q("ag22_export_preflight", "select short, string_agg(name, ',' order by name) as names, count(*) as n from (select distinct lower(substr(p_type, 1, 5)) as short, p_type as name from part) t group by 1 having count(*) > 1")
+def ag22(spark, d):
+    return agg.short_names(table(spark, d, "part"), "p_type", 5).select("short", F.array_join("names", ",").alias("names"), "n")
+
+
+@Q("ag23_unit_dictionary", f"select kind, size, min(name) as name, min(xmin) as xmin, max(xmax) as xmax from {B} group by 1, 2")
+def ag23(spark, d):
+    return boxes(spark, d).groupBy("kind", "size").agg(F.min("name").alias("name"), F.min("xmin").alias("xmin"), F.max("xmax").alias("xmax"))
+
+
+@Q("ag24_lake_report", "select source, count(*) as files, sum(n_chars)::bigint as bytes, avg(n_chars) as average from documents group by 1 order by bytes desc, source limit 20")
+def ag24(spark, d):
+    out = table(spark, d, "documents").groupBy("source").agg(F.count(F.lit(1)).alias("files"), F.sum("n_chars").alias("bytes"), F.avg("n_chars").alias("average"))
+    return out.orderBy(F.desc("bytes"), "source").limit(20)
+
+
+@Q("ag25_outcome_tally", "select case when event_type like 'p%' then 'ok' when event_type like 'c%' then 'expected' else 'attention' end as outcome, count(*) as n from events group by 1")
+def ag25(spark, d):
+    code = F.when(F.startswith("event_type", F.lit("p")), "ok").when(F.startswith("event_type", F.lit("c")), "expected").otherwise("attention")
+    return table(spark, d, "events").groupBy(code.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@Q("ag26_bundle_reconcile", "select p_brand, p_partkey, case when p_size > 40 then 'too large' when p_type ilike '%tin%' then 'not a layer' else 'unused' end as reason from part where p_partkey % 3 <> 0")
+def ag26(spark, d):
+    p = table(spark, d, "part")
+    used = p.filter("p_partkey % 3 = 0").select("p_partkey")
+    reason = F.when(F.col("p_size") > 40, "too large").when(F.col("p_type").ilike("%tin%"), "not a layer").otherwise("unused")
+    return p.join(used, "p_partkey", "left_anti").select("p_brand", "p_partkey", reason.alias("reason"))
+
+
+@Q("ag27_harvest_status", "select doc_id, case when doc_id % 50 = 0 then 'placeholder' when doc_id in (select doc_id from labels) then 'harvested' when doc_id in (select item_id from benchmark) then 'pdf_only' else 'pending' end as status from documents where source = 'src1' or lang = 'de'")
+def ag27(spark, d):
+    t = table(spark, d, "documents").filter("source = 'src1' or lang = 'de'")
+    items = table(spark, d, "labels").select("doc_id", F.lit(True).alias("item")).distinct()
+    pdfs = table(spark, d, "benchmark").select(F.col("item_id").alias("doc_id"), F.lit(True).alias("pdf")).distinct()
+    status = F.when(F.col("doc_id") % 50 == 0, "placeholder").when(F.col("item"), "harvested").when(F.col("pdf"), "pdf_only").otherwise("pending")
+    return t.join(items, "doc_id", "left").join(pdfs, "doc_id", "left").select("doc_id", status.alias("status"))

@@ -1,3 +1,131 @@
-from stratalake.queries.base import Register
+"""Queries over full text, vectors and graphs."""
+
+from pyspark.sql import functions as F
+
+from stratalake.operators import search
+from stratalake.operators.aggregates import fingerprint
+from stratalake.queries.base import Register, sql, table
 
 Q = Register()
+WORDS = "w as (select doc_id, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+') as ws from documents), u as (select doc_id, unnest(ws) as term from w)"
+SHAPED = "select doc_id, 'DOC-' || (doc_id + 1) || ' and DOC-' || (doc_id + 1) || ' see DOC-' || (doc_id * 7 % 500) || ' DOC-' || doc_id as body from documents"
+
+
+@Q("ts1_text_index", f"with {WORDS} select term, count(*) as df, sum(tf)::bigint as tf from (select term, doc_id, count(*) as tf from u group by 1, 2) p group by 1")
+def ts1(spark, d):
+    postings, _ = search.text_index(table(spark, d, "documents"), "doc_id", F.col("text"))
+    return postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tf"))
+
+
+@Q("ts2_bm25_search", f"""with {WORDS}, n as (select count(*) as n_docs, avg(len(ws)) as mean from w),
+p as (select doc_id, term, count(*) as tf from u where term in ('the', 'which', 'der') group by 1, 2), f as (select term, count(*) as df from p group by 1)
+select p.doc_id, round(sum(ln(1 + (n_docs - df + 0.5e0) / (df + 0.5e0)) * tf * 2.2e0 / (tf + 1.2e0 * (0.25e0 + 0.75e0 * len(w.ws) / mean))), 6) as score
+from p join f on p.term = f.term join w on w.doc_id = p.doc_id, n group by 1 order by score desc, doc_id limit 50""")
+def ts2(spark, d):
+    scored = search.bm25(*search.text_index(table(spark, d, "documents"), "doc_id", F.col("text")), "doc_id", ["the", "which", "der"])
+    return scored.select("doc_id", F.round("score", 6).alias("score")).orderBy(F.desc("score"), "doc_id").limit(50)
+
+
+@Q("ts3_index_fingerprint", "select count(*) as rows, true as changed from documents")
+def ts3(spark, d):
+    t = table(spark, d, "documents").select("doc_id", F.md5("text").alias("body"), "lang", "source")
+    old = fingerprint(t, "index 1")
+    new = fingerprint(t.withColumn("lang", F.when(F.col("doc_id") == 3, "xx").otherwise(F.col("lang"))), "index 1").select(F.col("hash_sum").alias("now"))
+    return old.crossJoin(new).select("rows", (F.col("hash_sum") != F.col("now")).alias("changed"))
+
+
+@Q("ts4_keyword_catalogue_search", """with w as (select p_partkey, regexp_extract_all(lower(p_name), '[a-z0-9]+') as a, regexp_extract_all(lower(p_type), '[a-z0-9]+') as b from part),
+s as (select p_partkey, greatest(case when len(list_filter(a, lambda x: starts_with(x, 'part'))) > 0 then 4e0 when len(list_filter(a, lambda x: levenshtein(x, 'part') <= 0)) > 0 then 2e0 else 0e0 end,
+    case when len(list_filter(b, lambda x: starts_with(x, 'part'))) > 0 then 2e0 when len(list_filter(b, lambda x: levenshtein(x, 'part') <= 0)) > 0 then 1e0 else 0e0 end) as one,
+    greatest(case when len(list_filter(a, lambda x: starts_with(x, 'stael'))) > 0 then 4e0 when len(list_filter(a, lambda x: levenshtein(x, 'stael') <= 1)) > 0 then 2e0 else 0e0 end,
+    case when len(list_filter(b, lambda x: starts_with(x, 'stael'))) > 0 then 2e0 when len(list_filter(b, lambda x: levenshtein(x, 'stael') <= 1)) > 0 then 1e0 else 0e0 end) as two from w)
+select p_partkey, one + two as score from s where one > 0 and two > 0""")
+def ts4(spark, d):
+    return search.keyword_search(table(spark, d, "part"), "p_partkey", {"p_name": 4.0, "p_type": 2.0}, ["part", "stael"])
+
+
+@Q("ts5_id_lookup", "select c_name from customer where replace(replace(lower(c_name), '#', ''), ' ', '') = 'customer000000007'")
+def ts5(spark, d):
+    names = table(spark, d, "customer").select(F.regexp_replace("c_name", "#", "-").alias("shown"), "c_name")
+    found = search.id_lookup(names, "shown", "CUSTOMER 000000007")
+    return names.join(F.broadcast(found), "shown", "left_semi").select("c_name")
+
+
+@Q("ts6_place_name_search", "select n_name, case when lower(n_name) = 'nation_1' then 0 when starts_with(lower(n_name), 'nation_1') then 1 else 2 end as rank from nation where contains(lower(n_name), 'nation_1') order by rank, n_name limit 5")
+def ts6(spark, d):
+    return search.place_search(table(spark, d, "nation"), "n_name", "Nation_1 County")
+
+
+@Q("ts7_search_corpus", "select conv_id || '#' || turn as id, case when contains(lower(substr(text, 1, 300)), 'fault') then 'hazards' when contains(lower(substr(text, 1, 300)), 'water') then 'groundwater' else 'other' end as topic from conversations")
+def ts7(spark, d):
+    head = F.lower(F.substring("text", 1, 300))
+    topic = F.when(F.contains(head, F.lit("fault")), "hazards").when(F.contains(head, F.lit("water")), "groundwater").otherwise("other")
+    return table(spark, d, "conversations").select(F.concat("conv_id", F.lit("#"), "turn").alias("id"), topic.alias("topic"))
+
+
+@Q("ts8_chunking")
+def ts8(spark, d):
+    return search.chunked(table(spark, d, "documents"), "doc_id", "text").select("doc_id", "pos", F.length("chunk").alias("size"))
+
+
+@Q("ts9_embed_incremental", "select doc_id, doc_id % 3 = 0 as reused from documents")
+def ts9(spark, d):
+    t = table(spark, d, "documents").select("doc_id", "text")
+    cache = t.filter("doc_id % 3 = 0").select("doc_id", F.array(F.lit(-1.0).cast("float")).alias("emb"))
+    return search.embed_incremental(t, cache, "doc_id", search.hashed_vector, "text").select("doc_id", (F.size("emb") == 1).alias("reused"))
+
+
+@Q("ts10_vector_search", "with q as (select embedding as e from embeddings where vec_id = 0) select vec_id, round(1 - list_dot_product(embedding::double[], e::double[]) / sqrt(list_dot_product(embedding::double[], embedding::double[])) / sqrt(list_dot_product(e::double[], e::double[])), 6) as distance from embeddings, q order by distance, vec_id limit 20")
+def ts10(spark, d):
+    e = table(spark, d, "embeddings")
+    query = e.filter("vec_id = 0").first()["embedding"]
+    near = search.vector_search(e, "vec_id", "embedding", query, 200)
+    return near.select("vec_id", F.round("distance", 6).alias("distance")).orderBy("distance", "vec_id").limit(20)
+
+
+@Q("ts11_mean_pool", "with m as (select label, i, avg(embedding[i]::double) as v from embeddings, unnest(range(1, len(embedding) + 1)) t(i) group by 1, 2), n as (select label, sqrt(sum(v * v)) as n from m group by 1) select m.label, (i - 1)::int as pos, round(v / n, 6) as v from m join n on m.label = n.label")
+def ts11(spark, d):
+    return search.mean_pool(table(spark, d, "embeddings"), "label", "embedding").select("label", F.posexplode("emb").alias("pos", "v")).withColumn("v", F.round("v", 6))
+
+
+@Q("ts12_similar_edges", """with e as (select vec_id, list_transform(embedding::double[], lambda v: v / sqrt(list_dot_product(embedding::double[], embedding::double[]))) as u from embeddings where label < 3),
+p as (select a.vec_id as a, b.vec_id as b, list_dot_product(a.u, b.u) as s from e a join e b on a.vec_id <> b.vec_id), r as (select *, row_number() over (partition by a order by s desc, b) as r from p)
+select distinct least(a, b) as src, greatest(a, b) as dst, round(s, 4) as weight from r where r <= 5""")
+def ts12(spark, d):
+    return search.similar_edges(table(spark, d, "embeddings").filter("label < 3"), "vec_id", "embedding", 5, 4)
+
+
+@Q("ts13_citation_edges", f"with x as (select 'DOC-' || doc_id as src, unnest(regexp_extract_all(body, 'DOC-[0-9]+')) as dst from ({SHAPED}) b) select src, dst, count(*) as weight from x where src <> dst and dst in (select 'DOC-' || doc_id from documents) group by 1, 2")
+def ts13(spark, d):
+    b = sql(spark, d, SHAPED, "documents").withColumn("id", F.concat(F.lit("DOC-"), "doc_id"))
+    return search.citation_edges(b, "id", F.col("body"), "DOC-[0-9]+", b.select("id"))
+
+
+@Q("ts14_author_nodes_edges", "with a as (select distinct conv_id as work, unnest(['Ann Lee', 'Bo Day Jr', role]) as a from conversations) select x.a, y.a as b, count(*) as works from a x join a y on x.work = y.work and x.a < y.a group by 1, 2")
+def ts14(spark, d):
+    c = table(spark, d, "conversations").withColumn("names", F.concat(F.lit("Ann Lee, Bo Day, Jr; "), "role"))
+    authored = c.select("conv_id", F.explode(search.split_authors(F.col("names"))).alias("author"))
+    return search.coauthor_edges(authored, "conv_id", "author").groupBy("a", "b").agg(F.count(F.lit(1)).alias("works"))
+
+
+EDGES = "select doc_id::varchar as src, source as dst, 'in_series' as rel from documents union all select doc_id::varchar, t, 'has_topic' from (select doc_id, unnest([lang, 'all']) as t from documents) x"
+
+
+@Q("ts15_series_topic_edges", EDGES)
+def ts15(spark, d):
+    t = table(spark, d, "documents")
+    key = F.col("doc_id").cast("string")
+    topics = F.explode(F.split(F.concat_ws(";", "lang", F.lit("all")), ";"))
+    return t.select(key.alias("src"), F.col("source").alias("dst"), F.lit("in_series").alias("rel")).union(t.select(key, topics.alias("dst"), F.lit("has_topic")))
+
+
+@Q("ts16_rel_counts", f"select rel, count(*) as n from ({EDGES}) e group by 1")
+def ts16(spark, d):
+    return ts15(spark, d).groupBy("rel").agg(F.count(F.lit(1)).alias("n"))
+
+
+@Q("sk13_node_edge_export", f"select rel, count(*) as n from ({EDGES}) e group by 1")
+def sk13(spark, d):
+    from stratalake.plans.storage import written
+
+    return written(ts15(spark, d), "edges").groupBy("rel").agg(F.count(F.lit(1)).alias("n"))
