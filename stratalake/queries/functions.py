@@ -1,3 +1,181 @@
-from stratalake.queries.base import Register
+"""Queries that apply the column functions to texts made from the tables."""
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from stratalake.functions import text as fx
+from stratalake.operators.reviews import mentions
+from stratalake.operators.search import split_authors
+from stratalake.queries.base import Register, sql, table
 
 Q = Register()
+
+
+def _pick(values: list[str | None], by: str = "p_partkey") -> str:
+    """A SQL case over `by` modulo the number of values."""
+    quoted = ["null" if v is None else "'" + v.replace("'", "''") + "'" for v in values]
+    return f"case {by} % {len(values)} " + " ".join(f"when {i} then {v}" for i, v in enumerate(quoted)) + " end"
+
+
+def _case(spark, d, values, then=None):
+    return sql(spark, d, f"select p_partkey, p_size, p_brand, p_name, {_pick(values)} as t from part", "part")
+
+
+def _sql(results: list, name: str = "v") -> str:
+    values = ["null" if r is None else f"'{r}'" if isinstance(r, str) else str(r) for r in results]
+    return f"select p_partkey, case p_partkey % {len(values)} " + " ".join(f"when {i} then {v}" for i, v in enumerate(values)) + f" end as {name} from part"
+
+
+SCALES = ["1:24,000", "24000", "100k", "1 inch = 200 feet", "1:62,500 and 1:24,000", "no scale", None, "2 inches = 1 mile", "0.18", "1 in = 24,000 feet"]
+DENOMINATORS = [24000, 24000, 100000, 2400, 24000, None, None, 31680, None, 24000]
+
+
+@Q("fn1_scale_denominator", _sql(DENOMINATORS).replace(" end as v", " end::bigint as v"))
+def fn1(spark, d):
+    return _case(spark, d, SCALES).select("p_partkey", fx.scale_denominator(F.col("t")).alias("v"))
+
+
+@Q("fn2_scale_tier", _sql(["24k", "24k", "250k", "24k", "24k", None, None, "24k", None, "24k"]))
+def fn2(spark, d):
+    return _case(spark, d, SCALES).select("p_partkey", fx.scale_tier(fx.scale_denominator(F.col("t"))).alias("v"))
+
+
+@Q("fn3_mosaic_tier", "select o_custkey, case when min(o_orderstatus) = max(o_orderstatus) and min(o_orderstatus) in ('F', 'O') then case min(o_orderstatus) when 'F' then '24k' else '100k' end when count(distinct case when o_orderstatus in ('F', 'O') then o_orderstatus end) = 1 then case min(case when o_orderstatus in ('F', 'O') then o_orderstatus end) when 'F' then '24k' else '100k' end end as v from orders group by 1")
+def fn3(spark, d):
+    return table(spark, d, "orders").groupBy("o_custkey").agg(F.collect_set("o_orderstatus").alias("s")).select("o_custkey", fx.single_tier(F.col("s"), {"F": "24k", "O": "100k"}).alias("v"))
+
+
+@Q("fn4_series_code", "select p_partkey, upper(regexp_extract(p_brand, '^([A-Za-z]+)', 1)) as v from part")
+def fn4(spark, d):
+    return table(spark, d, "part").select("p_partkey", fx.series_code(F.col("p_brand")).alias("v"))
+
+
+@Q("fn5_keywords_split", _sql(["a, b|c", "x", ""]))
+def fn5(spark, d):
+    t = _case(spark, d, ["a, b; c;a, b;", " x \n x", ";"])
+    return t.select("p_partkey", F.array_join(fx.keywords(F.col("t")), "|").alias("v"))
+
+
+@Q("fn6_topic_classify", _sql(["hazards", "water", "other", "other"]))
+def fn6(spark, d):
+    t = _case(spark, d, ["A Landslide map of water", "Ground water", "Plain title", None])
+    return t.select("p_partkey", fx.first_rule(F.col("t"), [("hazards", "landslide|flood"), ("water", "ground.?water|aquifer")]).alias("v"))
+
+
+@Q("fn7_media_type", _sql(["application/pdf https://own.org/a.PDF", "image/tiff https://base.org/x/b.tif?v=1", "- -", "text/csv http://other.org/c.csv"]))
+def fn7(spark, d):
+    t = _case(spark, d, ["http://own.org/a.PDF", "/x/b.tif?v=1", "undefined", "http://other.org/c.csv"])
+    return t.select("p_partkey", F.concat(F.coalesce(fx.media_type(F.col("t")), F.lit("-")), F.lit(" "), F.coalesce(fx.href(F.col("t"), "https://base.org/", ["own.org"]), F.lit("-"))).alias("v"))
+
+
+@Q("fn8_titles", "with t as (select p_partkey, case p_partkey % 3 when 0 then 'Fault Lines' when 1 then 'Map Units' else 'Wells' end as title, p_brand from part) select p_partkey, case when count(*) over (partition by lower(title)) > 1 then title || ' (' || p_brand || ')' else title end as v from t")
+def fn8(spark, d):
+    t = _case(spark, d, ["fault_lines", "mapUnits", "wells"]).withColumn("title", fx.prettified(F.col("t")))
+    again = F.count(F.lit(1)).over(Window.partitionBy(F.lower("title"))) > 1
+    return t.withColumn("again", again).select("p_partkey", F.when(F.col("again"), F.concat("title", F.lit(" ("), "p_brand", F.lit(")"))).otherwise(F.col("title")).alias("v"))
+
+
+@Q("fn9_slug", "select p_partkey, trim(regexp_replace(lower(p_name || ' -- ' || p_brand), '[^a-z0-9]+', '-', 'g'), '-') as v from part")
+def fn9(spark, d):
+    return table(spark, d, "part").select("p_partkey", fx.slug(F.concat("p_name", F.lit(" -- "), "p_brand")).alias("v"))
+
+
+@Q("fn10_author_split", _sql(["A. Bee|C. Dee Jr|E. Eff/Bee et al.", "Solo One/Solo One"]))
+def fn10(spark, d):
+    t = _case(spark, d, ["A. Bee, C. Dee, Jr and E. Eff", "Solo One"]).withColumn("n", split_authors(F.col("t")))
+    return t.select("p_partkey", F.concat(F.array_join("n", "|"), F.lit("/"), fx.first_author(F.col("n"))).alias("v"))
+
+
+@Q("fn11_doi_of", "select p_partkey, lower('10.1/' || p_brand) as v from part where p_partkey % 3 <> 0 and p_partkey % 2 = 0")
+def fn11(spark, d):
+    p = table(spark, d, "part")
+    key = F.when(p.p_partkey % 3 == 0, F.concat("p_brand", F.lit(" x"))).otherwise(F.col("p_brand"))
+    registry = p.filter("p_partkey % 2 = 0").select("p_partkey")
+    return p.select("p_partkey", fx.doi("10.1", key).alias("v")).filter("v is not null").join(registry, "p_partkey", "left_semi")
+
+
+@Q("fn12_year_key", _sql([1999, None, None, 2004]).replace(" end as v", " end::int as v"))
+def fn12(spark, d):
+    return _case(spark, d, ["1999", "99", "c1999", " 2004 "]).select("p_partkey", fx.year_key(F.col("t")).alias("v"))
+
+
+@Q("fn13_fmt_date", _sql(["1999", "March 1999", "March 5, 1999"]))
+def fn13(spark, d):
+    return _case(spark, d, ["1999", "1999-03", "1999-03-05T10:00:00Z"]).select("p_partkey", fx.shown_date(F.col("t")).alias("v"))
+
+
+TOC = "Contents\nIntro ..... 1\nFaults....3\nIntro ..... 1\nMaps .. 9\nIndex .... 99"
+
+
+@Q("fn14_toc_parse", _sql(["Intro@1|Faults@3|Maps@9", ""]))
+def fn14(spark, d):
+    t = table(spark, d, "part").withColumn("t", F.when(F.col("p_partkey") % 2 == 0, TOC).otherwise("One ... 2\nplain"))
+    return t.select("p_partkey", F.array_join(F.transform(fx.toc_entries(F.col("t")), lambda r: F.concat(r["title"], F.lit("@"), r["page"])), "|").alias("v"))
+
+
+@Q("fn15_article_slices", "select l_orderkey, l_linenumber, l_linenumber as first_page, coalesce(lead(l_linenumber) over (partition by l_orderkey order by l_linenumber) - 1, 60) as last_page from lineitem")
+def fn15(spark, d):
+    after = F.lead("l_linenumber").over(Window.partitionBy("l_orderkey").orderBy("l_linenumber"))
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_linenumber").alias("first_page"), F.coalesce(after - 1, F.lit(60)).alias("last_page"))
+
+
+@Q("fn16_categorize", "select p_partkey, case when p_type in ('ECONOMY', 'PROMO') then 'map' when p_size > 25 then 'report' else 'data' end as v from part")
+def fn16(spark, d):
+    return table(spark, d, "part").select("p_partkey", F.when(F.col("p_type").isin("ECONOMY", "PROMO"), "map").when(F.col("p_size") > 25, "report").otherwise("data").alias("v"))
+
+
+@Q("fn17_geometry_kind", "select p_partkey, case p_partkey % 4 when 0 then 'points' when 1 then 'polygons' when 2 then 'mixed' end as v from part")
+def fn17(spark, d):
+    kinds = F.split(F.col("t"), ",")
+    t = _case(spark, d, ["Point,MultiPoint", "Polygon", "Point,LineString", None])
+    return t.select("p_partkey", fx.geometry_kind(kinds).alias("v"))
+
+
+@Q("fn18_mention_tokens", _sql(["ann|bo.day", ""]))
+def fn18(spark, d):
+    return _case(spark, d, ["@Ann and @bo.day, @ann!", "mail a@b.org"]).select("p_partkey", F.array_join(mentions(F.col("t")), "|").alias("v"))
+
+
+@Q("fn19_metadata_precedence", "select p_partkey, case when p_partkey % 2 = 0 then p_brand when p_partkey % 3 = 0 then p_type else p_name end as v from part")
+def fn19(spark, d):
+    k = F.col("p_partkey")
+    return table(spark, d, "part").select("p_partkey", fx.precedence(F.when(k % 2 == 0, F.col("p_brand")).otherwise(" "), F.when(k % 3 == 0, F.col("p_type")), F.col("p_name")).alias("v"))
+
+
+@Q("fn20_file_field_carry", "select p_partkey, case when p_partkey % 4 = 0 then p_size else p_size + 1000 end as size from part")
+def fn20(spark, d):
+    p = table(spark, d, "part")
+    now = p.filter("p_partkey % 4 = 0").select("p_partkey", F.col("p_size").alias("now"))
+    return p.join(now, "p_partkey", "left").select("p_partkey", F.coalesce("now", F.col("p_size") + 1000).alias("size"))
+
+
+@Q("fn21_input_digest", "select p_brand, sha256(string_agg(p_partkey || ':' || p_size, chr(10) order by p_partkey || ':' || p_size)) as digest from part group by 1")
+def fn21(spark, d):
+    from stratalake.operators.aggregates import digest_of
+
+    return table(spark, d, "part").groupBy("p_brand").agg(digest_of(F.concat("p_partkey", F.lit(":"), "p_size")).alias("digest"))
+
+
+@Q("fn22_colour_to_hex", "select p_partkey, case p_partkey % 3 when 0 then '#' || lpad(lower(hex(p_size)), 2, '0') || 'ff00' when 1 then '#808080' else '#ff8000' end as v from part")
+def fn22(spark, d):
+    p = table(spark, d, "part")
+    space = F.when(p.p_partkey % 3 == 0, "RGB").when(p.p_partkey % 3 == 1, "GREY").otherwise("CMYK")
+    values = F.when(p.p_partkey % 3 == 0, F.array(p.p_size.cast("double"), F.lit(255.0), F.lit(0.0))).when(p.p_partkey % 3 == 1, F.array(F.lit(50.2))).otherwise(F.array(F.lit(0.0), F.lit(49.8), F.lit(100.0), F.lit(0.0)))
+    return p.select("p_partkey", fx.hex_colour(space, F.transform(values, lambda x: x)).alias("v"))
+
+
+@Q("fn23_raster_record_map", "select p_partkey, case when lower(p_type) in ('economy', 'promo') then lower(p_type) else 'other' end as kind, case when lower(p_type) not in ('economy', 'promo') then p_type end as original, 26912 as epsg from part")
+def fn23(spark, d):
+    kind, original = fx.enum_or_other(F.col("p_type"), ["economy", "promo"])
+    return table(spark, d, "part").select("p_partkey", kind.alias("kind"), original.alias("original"), F.regexp_extract(F.lit("EPSG:26912"), "([0-9]+)$", 1).cast("int").alias("epsg"))
+
+
+@Q("fn24_latlon_parse", _sql([39.5, 39.5, -111.875, None, -39.25]))
+def fn24(spark, d):
+    return _case(spark, d, ["39.5", "39 30 0 N", "111 52.5 W", "abc", "-39 15"]).select("p_partkey", F.round(fx.degrees_of(F.col("t")), 6).alias("v"))
+
+
+@Q("fn25_township_parse", _sql(["T3S R2E/12", "T10N R1W/0", "-", "-"]))
+def fn25(spark, d):
+    t = _case(spark, d, ["T3S R2E sec 12", "t10n, r1w", "T3S R2E sec 40", "nowhere"]).withColumn("v", fx.township(F.col("t")))
+    return t.select("p_partkey", F.coalesce(F.concat("v.label", F.lit("/"), F.coalesce("v.section", F.lit(0))), F.lit("-")).alias("v"))

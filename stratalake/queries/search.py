@@ -35,13 +35,13 @@ def ts3(spark, d):
 
 
 @Q("ts4_keyword_catalogue_search", """with w as (select p_partkey, regexp_extract_all(lower(p_name), '[a-z0-9]+') as a, regexp_extract_all(lower(p_type), '[a-z0-9]+') as b from part),
-s as (select p_partkey, greatest(case when len(list_filter(a, lambda x: starts_with(x, 'part'))) > 0 then 4e0 when len(list_filter(a, lambda x: levenshtein(x, 'part') <= 0)) > 0 then 2e0 else 0e0 end,
-    case when len(list_filter(b, lambda x: starts_with(x, 'part'))) > 0 then 2e0 when len(list_filter(b, lambda x: levenshtein(x, 'part') <= 0)) > 0 then 1e0 else 0e0 end) as one,
-    greatest(case when len(list_filter(a, lambda x: starts_with(x, 'stael'))) > 0 then 4e0 when len(list_filter(a, lambda x: levenshtein(x, 'stael') <= 1)) > 0 then 2e0 else 0e0 end,
-    case when len(list_filter(b, lambda x: starts_with(x, 'stael'))) > 0 then 2e0 when len(list_filter(b, lambda x: levenshtein(x, 'stael') <= 1)) > 0 then 1e0 else 0e0 end) as two from w)
+s as (select p_partkey, greatest(case when len(list_filter(a, lambda x: starts_with(x, 'widget'))) > 0 then 4e0 when len(list_filter(a, lambda x: levenshtein(x, 'widget') <= 1)) > 0 then 2e0 else 0e0 end,
+    case when len(list_filter(b, lambda x: starts_with(x, 'widget'))) > 0 then 2e0 when len(list_filter(b, lambda x: levenshtein(x, 'widget') <= 1)) > 0 then 1e0 else 0e0 end) as one,
+    greatest(case when len(list_filter(a, lambda x: starts_with(x, 'cold'))) > 0 then 4e0 when len(list_filter(a, lambda x: levenshtein(x, 'cold') <= 0)) > 0 then 2e0 else 0e0 end,
+    case when len(list_filter(b, lambda x: starts_with(x, 'cold'))) > 0 then 2e0 when len(list_filter(b, lambda x: levenshtein(x, 'cold') <= 0)) > 0 then 1e0 else 0e0 end) as two from w)
 select p_partkey, one + two as score from s where one > 0 and two > 0""")
 def ts4(spark, d):
-    return search.keyword_search(table(spark, d, "part"), "p_partkey", {"p_name": 4.0, "p_type": 2.0}, ["part", "stael"])
+    return search.keyword_search(table(spark, d, "part"), "p_partkey", {"p_name": 4.0, "p_type": 2.0}, ["widget", "cold"])
 
 
 @Q("ts5_id_lookup", "select c_name from customer where replace(replace(lower(c_name), '#', ''), ' ', '') = 'customer000000007'")
