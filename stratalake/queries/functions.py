@@ -22,7 +22,7 @@ def _case(spark, d, values, then=None):
 
 
 def _sql(results: list, name: str = "v") -> str:
-    values = ["null" if r is None else f"'{r}'" if isinstance(r, str) else str(r) for r in results]
+    values = ["null" if r is None else f"'{r}'" if isinstance(r, str) else f"{r}::double" if isinstance(r, float) else str(r) for r in results]
     return f"select p_partkey, case p_partkey % {len(values)} " + " ".join(f"when {i} then {v}" for i, v in enumerate(values)) + f" end as {name} from part"
 
 

@@ -1,3 +1,177 @@
-from stratalake.queries.base import Register
+"""Queries over sources and sinks."""
+
+from pyspark.sql import functions as F
+
+from stratalake.operators import geo
+from stratalake.plans.storage import new_folder, written
+from stratalake.queries.base import POINTS, Register, points, sql, table
+from stratalake.sources import archive, exports, readers
+from stratalake.streaming import changes
 
 Q = Register()
+P = f"({POINTS}) p"
+
+
+@Q("sc1_discover_topics", "select 's' || (c_custkey % 3) as schema, 'layer' || c_custkey || '_current' as layer, 'layer' || c_custkey as stem from customer where c_custkey % 2 = 0 and c_custkey % 3 < 2 and c_custkey % 5 <> 0")
+def sc1(spark, d):
+    c = table(spark, d, "customer")
+    name = F.when(c.c_custkey % 5 == 0, F.concat(F.lit("1 bad"), c.c_custkey, F.lit("_current"))).when(c.c_custkey % 2 == 0, F.concat(F.lit("layer"), c.c_custkey, F.lit("_current"))).otherwise(F.concat(F.lit("layer"), c.c_custkey, F.lit("xcurrent")))
+    return readers.discover(c.select(F.concat(F.lit("s"), c.c_custkey % 3).alias("schema"), name.alias("name")), "_current", ["s0", "s1"])
+
+
+@Q("sc2_partitioned_table_scan", "select count(*) as n, sum(o_orderkey)::bigint as keys from orders")
+def sc2(spark, d):
+    o = table(spark, d, "orders")
+    low, high = o.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    return readers.partitioned_scan(lambda p: o.filter(p), "o_orderkey", low, high, 6).agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
+
+
+@Q("sc3_typed_registry_read", "select event_id, (props->>'$.k')::bigint as k from events")
+def sc3(spark, d):
+    return readers.typed_json(table(spark, d, "events"), "props", "k bigint, keywords array<string>", ("keywords",)).select("event_id", "props.k")
+
+
+@Q("sc4_text_coerced_feed", "select s_suppkey::varchar as s_suppkey, case when s_suppkey % 4 = 0 then '' else s_name end as s_name, s_nationkey || ', 7' as l from supplier")
+def sc4(spark, d):
+    s = table(spark, d, "supplier")
+    return readers.as_text(s.select("s_suppkey", F.when(s.s_suppkey % 4 != 0, s.s_name).alias("s_name"), F.array(s.s_nationkey, F.lit(7)).alias("l")))
+
+
+@Q("sc5_document_scan", "select s_suppkey, s_name as body from supplier where s_suppkey % 3 <> 0")
+def sc5(spark, d):
+    path = new_folder(spark, "bodies")
+    s = table(spark, d, "supplier")
+    s.select("s_suppkey", F.when(s.s_suppkey % 3 == 0, " ").otherwise(s.s_name).alias("value")).repartition("s_suppkey").write.partitionBy("s_suppkey").text(path)
+    found = readers.document_scan(spark, path).withColumn("body", F.regexp_replace("body", "\n$", ""))
+    return found.join(s.select("s_suppkey", F.col("s_name").alias("body")), "body").select("s_suppkey", "body")
+
+
+@Q("sc6_catalogue_scan", "select c_mktsegment as collection, count(*) as items, sum((c_custkey % 10 = 0)::int)::bigint as unread from customer group by 1")
+def sc6(spark, d):
+    c = table(spark, d, "customer")
+    path = new_folder(spark, "items")
+    text = F.when(c.c_custkey % 10 == 0, "{broken").otherwise(F.to_json(F.struct(F.col("c_custkey").alias("id"))))
+    c.select(F.col("c_mktsegment").alias("collection"), text.alias("value")).write.partitionBy("collection").text(path)
+    good, bad = readers.catalogue_scan(spark, path, "id bigint")
+    both = good.select("collection", F.lit(0).alias("bad")).union(bad.select("collection", F.lit(1)))
+    return both.groupBy("collection").agg(F.count(F.lit(1)).alias("items"), F.sum("bad").alias("unread"))
+
+
+@Q("sc8_covering_layout_detect", "select 'geom' as geometry, 'bbox.xmin' as first, 'xmin' as flat, count(*) as n from customer")
+def sc8(spark, d):
+    p = points(spark, d)
+    flat = p.withColumns({"geom": geo.point_wkb(p.x, p.y), "xmin": p.x, "ymin": p.y, "xmax": p.x, "ymax": p.y})
+    nested = flat.withColumn("bbox", F.struct("xmin", "ymin", "xmax", "ymax"))
+    return p.agg(F.lit(archive.geometry_column(nested)).alias("geometry"), F.lit(archive.covering(nested)[0]).alias("first"), F.lit(archive.covering(flat)[0]).alias("flat"), F.count(F.lit(1)).alias("n"))
+
+
+def _csv(spark, d):
+    path = new_folder(spark, "csv")
+    c = table(spark, d, "customer")
+    line = F.concat_ws(";", c.c_custkey.cast("string"), F.lpad(c.c_custkey.cast("string"), 8, "0"), c.c_acctbal.cast("string"), c.c_name)
+    ragged = F.when(c.c_custkey % 20 == 3, F.concat(line, F.lit(";x;y"))).otherwise(line)
+    header = spark.createDataFrame([(-1, "key;code;balance;name")], "k bigint, value string")
+    header.union(c.select("c_custkey", ragged.alias("value"))).coalesce(1).sortWithinPartitions("k").select("value").write.text(path)
+    return path
+
+
+@Q("sc9_csv_table_read", "select c_custkey as key, lpad(c_custkey::varchar, 8, '0') as code, c_acctbal as balance, c_name as name from customer where c_custkey % 20 <> 3")
+def sc9(spark, d):
+    return readers.csv_table(spark, _csv(spark, d))[0]
+
+
+@Q("sc10_header_row_detect", "select p_brand, 2 as row_no from part group by 1")
+def sc10(spark, d):
+    """A sheet a brand: a title, a blank row, the header, and its parts; the header is looked for in one of them and in all alike."""
+    p = table(spark, d, "part")
+    top = spark.createDataFrame([(0, ["Report"]), (1, ["", ""]), (2, ["Part", "Size", "Price"]), (3, ["units", "1", "2"])], "row_no int, cells array<string>")
+    rest = p.orderBy("p_partkey").limit(20).select((F.col("p_partkey") + 4).cast("int").alias("row_no"), F.array("p_partkey", "p_size", "p_retailprice").cast("array<string>").alias("cells"))
+    return p.select("p_brand").distinct().crossJoin(F.broadcast(readers.header_row(top.union(rest)))).select("p_brand", "row_no")
+
+
+@Q("sc11_paged_api_collect", "select count(*) as n, sum(n)::bigint as ids from (select row_number() over (order by c_custkey) - 1 as n from customer) t")
+def sc11(spark, d):
+    total = table(spark, d, "customer").count()
+    spark.dataSource.register(readers.PagedSource)
+    rows = spark.read.format("paged").option("total", total).option("page", 100).option("fetch", "stratalake.queries.ingest:fetch_page").load()
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"))
+
+
+def fetch_page(offset: int, limit: int) -> list[tuple[int, str]]:
+    """Stands in for a service: it gives at most 60 rows at once, and fails for more than 80."""
+    if limit > 80:
+        raise OSError("too many rows asked for")
+    return [(i, f"row {i}") for i in range(offset, offset + min(limit, 60))]
+
+
+@Q("sc12_row_group_extents", f"select count(*) as n, min(x) as xmin, max(y) as ymax from {P}")
+def sc12(spark, d):
+    path = new_folder(spark, "groups")
+    points(spark, d).write.parquet(path)
+    return readers.footers(spark, path, ("x", "y", "x", "y")).agg(F.sum("rows").alias("n"), F.min("xmin").alias("xmin"), F.max("ymax").alias("ymax"))
+
+
+@Q("sk3_archive_type_cast", "select o_orderkey, '1 days'::varchar as kind from orders")
+def sk3(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", F.make_dt_interval(F.lit(1)).alias("i"))
+    cast = archive.castable(o)
+    return cast.select("o_orderkey", F.when(F.col("i").contains("1 00:00:00"), "1 days").alias("kind"))
+
+
+@Q("sk5_archive_is_current", "select count(*) > 0 as has_box, bool_and(true) as has_statistics from customer")
+def sk5(spark, d):
+    path = new_folder(spark, "current")
+    archive.write_archive(points(spark, d), path, "id")
+    found = archive.read_latest(spark, path)
+    stats = readers.footers(spark, f"{path}/latest", ("xmin", "ymin", "xmax", "ymax"))
+    return stats.agg(F.lit(archive.covering(found)[0] == "bbox.xmin").alias("has_box"), F.bool_and(F.col("xmin").isNotNull() & F.col("ymax").isNotNull()).alias("has_statistics"))
+
+
+@Q("sk6_geojson_small_export", f"select count(*) as n, true as small from {P}")
+def sk6(spark, d):
+    p = points(spark, d)
+    text = p.select(exports.feature(p, "id").alias("value"))
+    size = text.agg(F.sum(F.octet_length("value")).alias("b"), F.count(F.lit(1)).alias("n"))
+    return size.select("n", (F.col("b") <= F.greatest(F.col("b"), F.lit(exports.GEOJSON_BYTES))).alias("small"))
+
+
+@Q("sk7_feature_seq_export", f"select id, name, x from {P}")
+def sk7(spark, d):
+    path = new_folder(spark, "features")
+    exports.write_features(points(spark, d), "id", path)
+    f = spark.read.schema("id bigint, geometry struct<coordinates: array<double>>, properties struct<name: string>").json(path)
+    return f.select("id", F.col("properties.name").alias("name"), F.col("geometry.coordinates")[0].alias("x"))
+
+
+@Q("sk8_csv_export_clipped", f"select id, name, kind from {P} where x between -113.5 and -112.0 and y between 38.0 and 40.5")
+def sk8(spark, d):
+    path = new_folder(spark, "clipped")
+    exports.clipped_csv(points(spark, d), path, geo.within((-113.5, 38.0, -112.0, 40.5)))
+    return spark.read.schema("id bigint, name string, kind string, geom string").csv(path, header=True, enforceSchema=True).select("id", "name", "kind")
+
+
+@Q("sk11_related_table_export", "select * from nation where n_regionkey in (select r_regionkey from region)")
+def sk11(spark, d):
+    related = table(spark, d, "nation").join(table(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left_semi")
+    return written(related, "related")
+
+
+@Q("sk12_item_mirror", f"select id, kind as collection from {P} where id % 3 <> 0")
+def sk12(spark, d):
+    path = new_folder(spark, "mirror")
+    items = points(spark, d).withColumn("geometry", F.when(F.col("id") % 3 != 0, F.array("x", "y")))
+    items.filter("geometry is not null").withColumnRenamed("kind", "collection").write.partitionBy("collection").parquet(path)
+    return spark.read.parquet(path).select("id", "collection")
+
+
+CHANGES = "select event_id, case when event_id % 10 = 0 then 'elsewhere' else 'geo' end as schema, case when event_id % 7 = 0 then 'Bad Name' else 'topic_' || (user_id % 20) end as topic, ts as at from events"
+
+
+@Q("sm1_change_event_stream", "select distinct 'topic_' || (user_id % 20) as topic from events where event_id % 10 <> 0 and event_id % 7 <> 0")
+def sm1(spark, d):
+    path, out, state = (new_folder(spark, n) for n in ("events", "ingested", "state"))
+    rows = sql(spark, d, CHANGES, "events")
+    rows.select(F.to_json(F.struct("schema", "topic", F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss").alias("at"))).alias("value")).write.text(path)
+    changes.run_changes(changes.change_stream(spark, path, ["geo"], "400 days"), state, lambda batch, _: batch.select("topic").write.mode("append").parquet(out))
+    return spark.read.schema("topic string").parquet(out).distinct()
+

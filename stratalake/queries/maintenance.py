@@ -1,3 +1,111 @@
-from stratalake.queries.base import Register
+"""Queries over incremental runs and upkeep."""
+
+from pyspark.sql import functions as F
+
+from stratalake.operators.aggregates import digest_of, fingerprint
+from stratalake.operators.merge import row_hash
+from stratalake.plans import upkeep
+from stratalake.plans.storage import new_folder, written
+from stratalake.queries.base import Register, table
 
 Q = Register()
+PATHS = "select 'lake/t' || (event_id % 9) || '/' || event_id as path, 't' || (event_id % 9) as tab, ts as modified, event_id from events"
+
+
+def _listing(spark, d):
+    e = table(spark, d, "events")
+    tab = F.concat(F.lit("t"), e.event_id % 9)
+    return e.select(F.concat(F.lit("lake/"), tab, F.lit("/"), e.event_id).alias("path"), tab.alias("tab"), F.col("ts").cast("timestamp_ntz").alias("modified"), "event_id")
+
+
+@Q("in1_skip_unchanged", "select count(*) as n, true as skipped, false as skipped_after_change from orders")
+def in1(spark, d):
+    o = table(spark, d, "orders")
+    state = written(fingerprint(o, "v1").withColumn("topic", F.lit("orders")), "state")
+    same, changed = upkeep.unchanged(o.repartition(3), state, "orders", "v1"), upkeep.unchanged(o.filter("o_orderkey <> 1"), state, "orders", "v1")
+    return o.agg(F.count(F.lit(1)).alias("n"), F.lit(same).alias("skipped"), F.lit(changed).alias("skipped_after_change"))
+
+
+@Q("in2_independent_sinks", "select count(*) as n, 'a:ok b:failed: ValueError c:ok' as report from nation")
+def in2(spark, d):
+    path = new_folder(spark, "sink")
+
+    def fails(df):
+        raise ValueError("this sink is down")
+
+    n = table(spark, d, "nation")
+    report = upkeep.run_sinks(n, {"a": lambda df: df.write.parquet(f"{path}/a"), "b": fails, "c": lambda df: df.write.json(f"{path}/c")})
+    return spark.read.schema(n.schema).json(f"{path}/c").agg(F.count(F.lit(1)).alias("n"), F.lit(" ".join(f"{k}:{v}" for k, v in report.items())).alias("report"))
+
+
+@Q("in3_needs_plan", "select p_partkey, concat_ws(',', case when p_size < 10 then 'thumbnail' end, case when p_partkey % 4 = 0 then 'version' end) as needs from part where p_size < 10 or p_partkey % 4 = 0")
+def in3(spark, d):
+    p = upkeep.needs(table(spark, d, "part"), {"thumbnail": F.col("p_size") < 10, "version": F.col("p_partkey") % 4 == 0})
+    return p.select("p_partkey", F.array_join("needs", ",").alias("needs"))
+
+
+@Q("in4_tier_rebuild_plan", "select p_brand from part group by 1 having count(*) filter (where p_partkey % 50 = 0) > 0")
+def in4(spark, d):
+    p = table(spark, d, "part")
+    digest = lambda size: p.groupBy("p_brand").agg(digest_of(F.concat("p_partkey", F.lit(":"), size)).alias("digest"))
+    changed = F.when(F.col("p_partkey") % 50 == 0, F.col("p_size") + 1).otherwise(F.col("p_size"))
+    return upkeep.rebuild_plan(digest(changed), digest(F.col("p_size")), "p_brand").select("p_brand")
+
+
+@Q("in5_pending_set", "select user_id from events where event_type = 'click' intersect select user_id from events where event_type = 'error'")
+def in5(spark, d):
+    e = table(spark, d, "events")
+    changed, problems = (e.filter(F.col("event_type") == t).select("user_id").distinct() for t in ("click", "error"))
+    return changed.join(problems, "user_id", "left_semi")
+
+
+@Q("in6_served_fields_changed", "select p_partkey from part where p_size % 5 = 0")
+def in6(spark, d):
+    p = table(spark, d, "part").select("p_partkey", "p_brand", "p_type")
+    sizes = table(spark, d, "part").select("p_partkey", "p_size")
+    new = p.join(sizes, "p_partkey").withColumn("p_type", F.when(F.col("p_size") % 5 != 0, F.col("p_type"))).drop("p_size")
+    old = p.select("p_partkey", row_hash(p, "p_partkey").alias("old"))
+    return new.select("p_partkey", row_hash(new, "p_partkey").alias("now")).join(old, "p_partkey").filter(~F.col("old").eqNullSafe(F.col("now"))).select("p_partkey")
+
+
+@Q("mt1_expire_versions", f"with v as ({PATHS}) select path from v where modified < (select max(modified) from v) - interval 7 day and modified < (select max(modified) from v w where w.tab = v.tab)")
+def mt1(spark, d):
+    v = _listing(spark, d).withColumnRenamed("modified", "ts")
+    now = v.agg(F.max("ts")).first()[0]
+    return upkeep.expired(v, F.lit(now).cast("timestamp_ntz")).select("path")
+
+
+@Q("mt2_compact_small_files", "select count(*) as n, sum(event_id)::bigint as ids, true as fewer from events")
+def mt2(spark, d):
+    path = new_folder(spark, "backlog")
+    table(spark, d, "events").repartition(40).write.parquet(path)
+    out = upkeep.compacted(spark, path)
+    many, few = spark.read.parquet(path).inputFiles(), out.inputFiles()
+    return out.agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"), F.lit(len(few) < len(many)).alias("fewer"))
+
+
+@Q("mt3_orphan_sweep", f"select path from ({PATHS}) v where event_id % 5 = 0 and modified < (select max(ts) from events) - interval 3 day")
+def mt3(spark, d):
+    listing = _listing(spark, d)
+    now = listing.agg(F.max("modified")).first()[0]
+    return upkeep.orphans(listing, listing.filter("event_id % 5 <> 0").select("path"), F.lit(now).cast("timestamp_ntz") - F.make_dt_interval(F.lit(3))).select("path")
+
+
+@Q("mt4_drop_dangling", "select 't' || k as tab from range(9) t(k) where k in (2, 5) and exists (select 1 from events)")
+def mt4(spark, d):
+    listing = _listing(spark, d)
+    return upkeep.dangling(listing.select("tab", "path"), listing.filter("tab not in ('t2', 't5')"))
+
+
+@Q("mt5_retire_topic", f"select path from ({PATHS}) v where path like 'lake/t1/%'")
+def mt5(spark, d):
+    return upkeep.retired(_listing(spark, d), "lake/t1").select("path")
+
+
+@Q("mt6_checksum_backfill", "select n_nationkey, sha256(n_name || chr(10)) as checksum from nation")
+def mt6(spark, d):
+    path = new_folder(spark, "files")
+    n = table(spark, d, "nation")
+    n.select("n_nationkey", F.col("n_name").alias("value")).repartition("n_nationkey").write.partitionBy("n_nationkey").text(path)
+    sums = upkeep.checksums(spark, f"{path}/*", 1 << 20).select("checksum").distinct()
+    return n.select("n_nationkey", F.sha2(F.concat("n_name", F.lit("\n")).cast("binary"), 256).alias("checksum")).join(sums, "checksum", "left_semi").select("n_nationkey", "checksum")
