@@ -160,6 +160,7 @@ def links(docs: DataFrame, found: DataFrame, k: int = WORDS) -> DataFrame:
 
 def component_ids(docs: DataFrame, k: int = WORDS) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row."""
+    docs = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"])
     rows = written(summaries(docs, k), "summaries")
     classes = rows.filter("n_shingles > 0").groupBy("digest", "n_shingles").agg(F.min("doc_id").alias("doc"), F.count(F.lit(1)).alias("c"))
     classes = written(classes, "classes")
@@ -196,8 +197,8 @@ def component_ids(docs: DataFrame, k: int = WORDS) -> DataFrame:
 def keep_one(docs: DataFrame, k: int = WORDS) -> DataFrame:
     """The rows of `docs` with the smallest doc_id of each component, one row for each doc_id, with all their columns."""
     found = written(component_ids(docs, k), "components")
-    dropped = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("dropped_id")).distinct()
-    kept = docs.join(small(dropped), docs["doc_id"] == F.col("dropped_id"), "left_anti")
+    dropped = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_dropped_id")).distinct()
+    kept = docs.join(small(dropped), docs["doc_id"] == F.col("_dropped_id"), "left_anti")
     again = found.groupBy("doc_id").count().filter("count > 1").isEmpty()
     return kept if again else kept.dropDuplicates(["doc_id"])
 
