@@ -54,3 +54,18 @@ def in_ring(x: Column, y: Column, xs: Column, ys: Column) -> Column:
     edges = F.arrays_zip(F.slice(xs, 1, F.size(xs) - 1).alias("x0"), F.slice(ys, 1, F.size(ys) - 1).alias("y0"), F.slice(xs, 2, F.size(xs) - 1).alias("x1"), F.slice(ys, 2, F.size(ys) - 1).alias("y1"))
     crosses = lambda e: ((e["y0"] > y) != (e["y1"] > y)) & (x < (e["x1"] - e["x0"]) * (y - e["y0"]) / (e["y1"] - e["y0"]) + e["x0"])
     return F.aggregate(edges, F.lit(False), lambda odd, e: F.when(F.coalesce(crosses(e), F.lit(False)), ~odd).otherwise(odd))
+
+
+def ring_meets(xs: Column, ys: Column, box: tuple[float, float, float, float]) -> Column:
+    """Whether a closed ring meets a box: an edge passes through it, or the box lies inside the ring."""
+    w, s, e, n = (F.lit(float(v)) for v in box)
+    edges = F.arrays_zip(F.slice(xs, 1, F.size(xs) - 1).alias("x0"), F.slice(ys, 1, F.size(ys) - 1).alias("y0"), F.slice(xs, 2, F.size(xs) - 1).alias("x1"), F.slice(ys, 2, F.size(ys) - 1).alias("y1"))
+
+    def passes(edge: Column) -> Column:
+        # The part of the edge between the box's sides, across and up; a level or upright edge gets the least slope.
+        dx = F.when(edge["x1"] == edge["x0"], 1e-300).otherwise(edge["x1"] - edge["x0"])
+        dy = F.when(edge["y1"] == edge["y0"], 1e-300).otherwise(edge["y1"] - edge["y0"])
+        ax, bx, ay, by = (w - edge["x0"]) / dx, (e - edge["x0"]) / dx, (s - edge["y0"]) / dy, (n - edge["y0"]) / dy
+        return F.greatest(F.least(ax, bx), F.least(ay, by), F.lit(0.0)) <= F.least(F.greatest(ax, bx), F.greatest(ay, by), F.lit(1.0))
+
+    return F.exists(edges, passes) | in_ring(w, s, xs, ys)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from stratalake.operators import geo
+from stratalake.operators import geo, spatial
 from stratalake.operators.ordering import numbered
 from stratalake.plans.storage import new_folder
 from stratalake.queries.base import BOXES, POINTS, Register, boxes, points
@@ -86,13 +86,14 @@ def pf7(spark, d):
     return geo.multi_area(boxes(spark, d), AREAS).select("id")
 
 
-@Q("pf8_exact_clip", f"""select id from {B} where {MEETS} and (
-    (xmin + (xmax - xmin) * greatest(0, least(1, (-112.75 - xmin) / greatest(xmax - xmin, 1e-12))) between -113.5 and -112.0))""")
+@Q("pf8_exact_clip", f"""with c as (select id, (xmin + xmax) / 2 as cx, (ymin + ymax) / 2 as cy, greatest((xmax - xmin) / 2, 1e-6) as a, greatest((ymax - ymin) / 2, 1e-6) as b from {B} where {MEETS})
+select id from c where greatest(0, -113.5 - cx, cx + 112.0) / a + greatest(0, 38.0 - cy, cy - 40.5) / b <= 1""")
 def pf8(spark, d):
-    """After the box prefilter, boxes whose point nearest to the view's middle line lies inside the view."""
-    width = F.greatest(F.col("xmax") - F.col("xmin"), F.lit(1e-12))
-    near = F.col("xmin") + (F.col("xmax") - F.col("xmin")) * F.greatest(F.lit(0), F.least(F.lit(1), (F.lit(-112.75) - F.col("xmin")) / width))
-    return boxes(spark, d).filter(geo.overlaps(VIEW)).filter(near.between(VIEW[0], VIEW[2])).select("id")
+    """Diamonds inside the boxes, clipped by their own outline after the box prefilter."""
+    cx, cy = (F.col("xmin") + F.col("xmax")) / 2, (F.col("ymin") + F.col("ymax")) / 2
+    a, b = F.greatest((F.col("xmax") - F.col("xmin")) / 2, F.lit(1e-6)), F.greatest((F.col("ymax") - F.col("ymin")) / 2, F.lit(1e-6))
+    ring = boxes(spark, d).filter(geo.overlaps(VIEW)).select("id", F.array(cx - a, cx, cx + a, cx, cx - a).alias("xs"), F.array(cy, cy + b, cy, cy - b, cy).alias("ys"))
+    return ring.filter(spatial.ring_meets(F.col("xs"), F.col("ys"), VIEW)).select("id")
 
 
 @Q("pf19_viewport_filter", f"select id from {B} where {MEETS}")
