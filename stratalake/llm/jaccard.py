@@ -72,13 +72,14 @@ def prefixes(docs: DataFrame, share: int, k: int = WORDS) -> DataFrame:
 def clusters(docs: DataFrame, sizes: DataFrame, share: int, k: int = WORDS) -> DataFrame:
     """(doc, cluster) of the documents that can have a link, for `docs` and their `sizes` (doc, n)."""
     tokens = written(prefixes(docs, share, k), "prefixes")
-    frequency = tokens.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    # Counts are written, so that Spark can split a hot shingle in the joins below.
+    frequency = written(tokens.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "frequencies")
     held = tokens.join(frequency, "tok").groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("df", "tok"))).alias("held"))
     left_out = F.expr(f"((3 * n + 3) div 4) div {share}")
     kept = held.join(sizes, "doc").withColumn("keep", (F.size("held") - left_out).cast("int")).filter("keep > 0")
     shared = written(kept.select("doc", F.explode(F.slice("held", F.lit(1), F.col("keep"))["tok"]).alias("tok")), "shared")
     first = shared.groupBy("tok").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("c")).filter("c > 1")
-    ties = shared.join(first, "tok").filter("doc <> first").select("doc", "first")
+    ties = shared.join(written(first, "first"), "tok").filter("doc <> first").select("doc", "first")
     roots = components(ties)
     return roots.select(F.col("u").alias("doc"), F.col("v").alias("cluster")).union(roots.select(F.col("v").alias("doc"), F.col("v").alias("cluster")).distinct())
 
@@ -132,12 +133,9 @@ def verified(ids: list[int], sets: list[np.ndarray], side: list[int] | None = No
 
 
 def _verify(group: pa.Table) -> pa.Table:
-    ids = group.column("doc").to_pylist()
-    rows = dict(zip(ids, range(len(ids))))  # a document once
     sets = [np.frombuffer(x.as_py(), np.uint64) for x in group.column("tokens")]
     i, j, own = (group.column(c).to_pylist() for c in ("i", "j", "b"))
-    side = None if i[0] == j[0] else [int(own[x] == j[x]) for x in rows.values()]
-    links = verified(list(rows), [sets[x] for x in rows.values()], side)
+    links = verified(group.column("doc").to_pylist(), sets, None if i[0] == j[0] else [int(x == j[0]) for x in own])
     return pa.table([pa.array([x[n] for x in links], pa.int64()) for n in (0, 1)], names=["u", "v"])
 
 
