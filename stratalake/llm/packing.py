@@ -29,7 +29,7 @@ from stratalake.llm.tables import documents, small, written
 
 CAPACITY = 2048
 END = array("I", [0]).tobytes()
-RANK_GROUP = 2000
+RANK_GROUP = 500
 #: Words whose ids a worker remembers; further ones are encoded each time.
 REMEMBERED = 300_000
 SPECIAL = "<|endoftext|>"
