@@ -26,7 +26,7 @@ from stratalake.llm.tables import documents, written
 ORDER, BACKOFF = 2, 0.4
 CHUNK_BYTES = 1 << 20
 #: Bytes of packed n-grams that a partition of the counts takes.
-PARTITION_BYTES = 16 << 20
+PARTITION_BYTES = 8 << 20
 _KEY = (1 << 48) - 1
 CHUNK = "chunk bigint, words bigint, ids array<bigint>, data binary, offsets binary"
 
