@@ -127,12 +127,11 @@ def sk5(spark, d):
     return stats.agg(F.lit(archive.covering(found)[0] == "bbox.xmin").alias("has_box"), F.bool_and(F.col("xmin").isNotNull() & F.col("ymax").isNotNull()).alias("has_statistics"))
 
 
-@Q("sk6_geojson_small_export", f"select count(*) as n, true as small from {P}")
+@Q("sk6_geojson_small_export", f"select count(*) as n, sum(105 + strlen(id::varchar || name || kind || x::varchar || y::varchar)) <= 1000000 as small from {P}")
 def sk6(spark, d):
     p = points(spark, d)
     text = p.select(exports.feature(p, "id").alias("value"))
-    size = text.agg(F.sum(F.octet_length("value")).alias("b"), F.count(F.lit(1)).alias("n"))
-    return size.select("n", (F.col("b") <= F.greatest(F.col("b"), F.lit(exports.GEOJSON_BYTES))).alias("small"))
+    return text.agg(F.count(F.lit(1)).alias("n"), (F.sum(F.octet_length("value")) <= exports.GEOJSON_BYTES).alias("small"))
 
 
 @Q("sk7_feature_seq_export", f"select id, name, x from {P}")

@@ -24,10 +24,6 @@ def write_features(df: DataFrame, key: str, path: str) -> None:
     df.select(feature(df, key).alias("value")).write.text(path)
 
 
-def small_enough(bytes_: int) -> bool:
-    return bytes_ <= GEOJSON_BYTES
-
-
 def clipped_csv(df: DataFrame, path: str, keep: Column) -> None:
     """Rows that pass, with the geometry as text and without box columns."""
     rows = df.filter(keep).withColumn("geom", wkt(F.col("x"), F.col("y"))).drop("x", "y", "bbox", "xmin", "ymin", "xmax", "ymax")

@@ -1,5 +1,7 @@
 """Laws of the operators that one query can't show."""
 
+import zlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,3 +80,9 @@ def test_filters_reach_the_scan(spark, tmp_path):
     archive.write_archive(spark.range(100).select("id", F.col("id").cast("double").alias("x"), F.lit(1.0).alias("y")), f"file://{tmp_path}/a", "id")
     plan = archive.feature_query(archive.read_latest(spark, f"file://{tmp_path}/a"), (1, 0, 5, 2))._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [" in plan and "LessThanOrEqual" in plan
+
+
+def test_shards_are_stable(spark):
+    df = spark.createDataFrame([("ab-1",), ("AB-1",), ("x",)], "k string")
+    got = [r[0] for r in df.select(ordering.shard(F.col("k"), 16)).collect()]
+    assert got == [zlib.crc32(k.upper().encode()) % 16 for k in ("ab-1", "AB-1", "x")]
