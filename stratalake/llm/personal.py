@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -86,6 +87,12 @@ def _code(s: str) -> int:
 
 def other_tokens(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
     """Tokens that look like identifiers and touch no span of the rules."""
+    taken: list[tuple[int, int]] = []  # the spans as disjoint stretches
+    for s, _, e in spans:
+        if taken and s <= taken[-1][1]:
+            taken[-1] = (taken[-1][0], max(taken[-1][1], e))
+        else:
+            taken.append((s, e))
     done = 0
     for m in _DIGITS.finditer(text):
         if m.start() < done:
@@ -101,8 +108,10 @@ def other_tokens(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple
         while end > start and text[end - 1] in _EDGE:
             end -= 1
         token = text[start:end]
-        if 6 <= len(token) <= LONGEST and ("@" in token or sum(c in "0123456789" for c in token) >= 4) and not any(s < end and start < e for s, _, e in spans):
-            yield start, end
+        if 6 <= len(token) <= LONGEST and ("@" in token or sum(c in "0123456789" for c in token) >= 4):
+            before = bisect_left(taken, (end, 0)) - 1
+            if before < 0 or taken[before][1] <= start:
+                yield start, end
 
 
 def _slots(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
