@@ -150,6 +150,7 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
             scores.append(1 / np.exp2(-gap).sum(axis=1))
         return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())], names=["lang_pred", "score"])
 
+    predict = predict.asNondeterministic()  # not to be repeated for each of its fields
     known = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     padded = F.concat(F.lit(START), F.coalesce("text", F.lit("")))
     found = predict(padded) if model else F.struct(F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))

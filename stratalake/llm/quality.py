@@ -75,6 +75,10 @@ def text_counts(texts: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], names=list(COUNTS))
 
 
+#: Not to be repeated where several expressions use its result.
+text_counts = text_counts.asNondeterministic()
+
+
 def base_failed(s: Column) -> Column:
     return (s["n_words"] < 50) | (100 * s["n_repeat_words"] > 50 * s["n_words"])
 
@@ -139,7 +143,7 @@ def quality_verdicts(docs: DataFrame, min_group: int = 100) -> DataFrame:
 def keep_good(docs: DataFrame, min_group: int = 100) -> DataFrame:
     """The rows of `docs` whose verdict is to keep them, with all their columns."""
     whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col("lang"), F.col("source"))
-    limits = written(thresholds(sketches(_counted(docs)), min_group), "limits")
+    limits = written(thresholds(sketches(written(_counted(docs), "quality")), min_group), "limits")
     kept = verdicts(whole.withColumn("s", text_counts("row.text")), limits)
     return kept.filter("kept").select("row.*")
 
