@@ -34,7 +34,7 @@ SHARES = (8, 4, 2)
 #: The largest cluster that one task verifies, in documents and in shingles, and the size of a block of larger ones.
 CLUSTER_DOCS, CLUSTER_SHINGLES, BLOCK_DOCS = 1000, 4_000_000, 500
 #: Documents up to which pairs are compared one by one, and columns of a matrix product beyond that.
-FEW, COLUMNS = 24, 16384
+FEW, COLUMNS = 24, 8192
 
 
 def summaries(docs: DataFrame, k: int = WORDS) -> DataFrame:

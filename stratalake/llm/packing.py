@@ -31,7 +31,7 @@ CAPACITY = 2048
 END = array("I", [0]).tobytes()
 RANK_GROUP = 500
 #: Words whose ids a worker remembers; further ones are encoded each time.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 SPECIAL = "<|endoftext|>"
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
@@ -63,7 +63,7 @@ def _encoder(path: str, ranks_path: str):
     import tiktoken
     from tokenizers import Tokenizer
 
-    whole = Tokenizer.from_file(path)
+    whole = functools.cache(lambda: Tokenizer.from_file(path))  # seldom needed
     with open(ranks_path, "rb") as f:
         ranks = {b64decode(a): int(b) for a, b in map(bytes.split, f)}
     encode = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
@@ -72,7 +72,7 @@ def _encoder(path: str, ranks_path: str):
 
     def ids(text: str) -> bytes:
         if SPECIAL in text:
-            return array("I", whole.encode(text, add_special_tokens=False).ids).tobytes()
+            return array("I", whole().encode(text, add_special_tokens=False).ids).tobytes()
         if doubled.search(text) or double_after.search(text):
             return array("I", encode(text)).tobytes()
         first, *rest = text.split(" ")
