@@ -1,5 +1,6 @@
 """Laws of the operators that one query can't show."""
 
+import re
 import zlib
 
 import pytest
@@ -79,7 +80,7 @@ def test_chunks_cover_the_words(spark):
 def test_filters_reach_the_scan(spark, tmp_path):
     archive.write_archive(spark.range(100).select("id", F.col("id").cast("double").alias("x"), F.lit(1.0).alias("y")), f"file://{tmp_path}/a", "id")
     plan = archive.feature_query(archive.read_latest(spark, f"file://{tmp_path}/a"), (1, 0, 5, 2))._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [" in plan and "LessThanOrEqual" in plan
+    assert re.search(r"PushedFilters: \[\w", plan)
 
 
 def test_shards_are_stable(spark):
