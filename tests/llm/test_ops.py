@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -47,6 +48,32 @@ def test_repeats_are_found_and_survive_insertions(spark, corpus):
         assert (r["n_copies"] == 0) == (r["doc_id"] == 3)
 
 
+def test_short_passages_are_found_to_their_ends(spark):
+    rng = random.Random(11)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 8))) for _ in range(n))
+    rows, want = [], {}
+    for i in range(300):
+        passage = prose(51 + i % 10)
+        for j in (2 * i, 2 * i + 1):
+            before = prose(60) + " "
+            rows.append((j, before + passage + " " + prose(60)))
+            want[j] = (len(before), len(before) + len(passage))
+    got = defaultdict(list)
+    for r in repeats.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got[r["doc_id"]].append((r["start"], r["end"]))
+    whole = sum(any(s <= a and b <= e and e - s <= b - a + 12 for s, e in got[d]) for d, (a, b) in want.items())
+    assert whole >= 0.99 * len(want)
+    assert sum(len(v) for v in got.values()) <= 1.01 * len(want)
+
+
+def test_extension_goes_on_where_chunks_do_not_agree(spark):
+    """Without cuts by content, chunks before the common end fall at different places in both texts."""
+    dull, tail = "a" * 1500, "".join(chr(97 + x % 26) for x in np.random.default_rng(3).integers(0, 1 << 20, 400))
+    rows = [(0, "Z" * 40 + dull + tail), (1, "Q" * 77 + dull + tail)]
+    found = repeats.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["start"], r["end"]) for r in found) == [(0, 40, 1940), (1, 77, 1977)]
+
+
 def test_chunk_ends_do_not_depend_on_neighbours(corpus):
     texts = [(t[1] or "").encode() for t in corpus]
     alone = [repeats.chunk_ends(np.frombuffer(t, np.uint8), np.array([0, len(t)])).tolist() for t in texts]
