@@ -1,7 +1,7 @@
 """Language-model scores by stupid backoff, from counts over the whole corpus without the scored document.
 
-A word is scored by its relative frequency after the word before it, or, where no other document has that pair, by
-BACKOFF times its relative frequency; a word of no other document counts as half an occurrence. Counts are tables
+A word is scored by its relative frequency after the ORDER - 1 words before it, or, where no other document has that n-gram, by
+BACKOFF times its score after one word less; a word of no other document counts as half an occurrence. Counts are tables
 partitioned by the hash of the n-gram. The distinct n-grams of a chunk (some texts, about a MB) are exploded to these
 partitions as packed rows, which both add to the counts and ask for them; each partition sums its n-grams and
 answers every chunk; the answers are joined to the chunks, and each document's scores are summed. A frequent
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from stratalake.llm import kernels as K
 from stratalake.llm.tables import documents, written
 
-ORDER, BACKOFF = 2, 0.4
+ORDER, BACKOFF = 3, 0.4
 CHUNK_BYTES = 1 << 20
 #: Bytes of packed n-grams that a partition of the counts takes.
 PARTITION_BYTES = 8 << 20
@@ -49,7 +49,12 @@ def ngrams(data: np.ndarray, offsets: np.ndarray, order: int) -> list[tuple[np.n
     """For sizes 1 to `order`: the hashes of all n-grams, and the index of each document's first one."""
     starts, ends, first = K.words(data, offsets)
     codes = K.span_hashes(data, starts, ends)
-    return [(codes, first) if n == 1 else K.windows(codes, first, n) for n in range(1, order + 1)]
+    own, out, longer = K.owner(first), [(codes, first)], codes
+    for n in range(2, order + 1):
+        # K.windows adds up its words with weights in steps, by which x y y x and y x x y are the same from four words on.
+        longer = K.mix(longer[:-1] * np.uint64(0x9E3779B97F4A7C15) + codes[n - 1 :])
+        out.append((longer[own[: len(longer)] == own[n - 1 :]], np.concatenate(([0], np.cumsum(np.maximum(np.diff(first) - (n - 1), 0))))))
+    return out
 
 
 def _pack(keys: np.ndarray) -> bytes:
@@ -116,13 +121,18 @@ def scored(chunks: DataFrame, answers: DataFrame, words: int, order: int) -> Dat
                     left.append((_without_own(codes, first, totals), first))
                 single, first = left[0]
                 length = np.diff(first)
-                rest = np.maximum(words - length, 1)[K.owner(first)]
-                value = np.log(np.maximum(single, 0.5) / rest)
-                value[np.setdiff1d(np.arange(len(value)), first[:-1][length > 0])] += np.log(BACKOFF)  # all but first words
-                pair, at = left[1]
-                place = np.arange(len(pair)) - at[K.owner(at)] + first[K.owner(at)] + 1
-                seen = pair > 0
-                value[place[seen]] = np.log(pair[seen] / single[place[seen] - 1])
+                own = K.owner(first)
+                rest = np.maximum(words - length, 1)[own]
+                # The size of the longest n-gram that could end at each word, less one: so often does a single word step down.
+                steps = np.minimum(np.arange(len(single)) - first[own], order - 1)
+                value = np.log(np.maximum(single, 0.5) / rest) + steps * np.log(BACKOFF)
+                for n in range(2, order + 1):
+                    (count, at), (shorter, before) = left[n - 1], left[n - 2]
+                    doc = K.owner(at)
+                    index = np.arange(len(count)) - at[doc]
+                    seen = count > 0
+                    place = (index + first[doc] + n - 1)[seen]
+                    value[place] = np.log(count[seen] / shorter[(index + before[doc])[seen]]) + (steps[place] - (n - 1)) * np.log(BACKOFF)
                 sums = np.array([value[first[d] : first[d + 1]].sum() for d in range(len(ids))])
                 means = pa.array([float(s / n) if n else None for s, n in zip(sums, length)], pa.float64())
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(length.astype(np.int64)), pa.array([float(s) if n else None for s, n in zip(sums, length)], pa.float64()), means], names=["doc_id", "n_words", "log_score", "mean_log_score"])
@@ -132,14 +142,17 @@ def scored(chunks: DataFrame, answers: DataFrame, words: int, order: int) -> Dat
     return joined.mapInArrow(score, "doc_id bigint, n_words bigint, log_score double, mean_log_score double")
 
 
-def backoff_scores(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_words, log_score, mean_log_score) of each row: natural logarithms, summed and a word."""
+def backoff_scores(docs: DataFrame, order: int = 2) -> DataFrame:
+    """(doc_id, n_words, log_score, mean_log_score) of each row: natural logarithms, summed and a word.
+
+    Up to order - 1 words before a word count.
+    """
     chunks = written(chunked(docs), "chunks")
     size, words = chunks.agg(F.sum(F.octet_length("data")), F.sum("words")).first()
     partitions = max(8, -(-2 * (size or 0) // PARTITION_BYTES))
-    answers = written(requests(chunks, ORDER, partitions).groupBy("n", "part").applyInArrow(_answer, "n int, part int, chunk bigint, totals binary"), "answers")
-    return scored(chunks, answers, words or 0, ORDER)
+    answers = written(requests(chunks, order, partitions).groupBy("n", "part").applyInArrow(_answer, "n int, part int, chunk bigint, totals binary"), "answers")
+    return scored(chunks, answers, words or 0, order)
 
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return backoff_scores(documents(spark, sf_dir))
+    return backoff_scores(documents(spark, sf_dir), ORDER)

@@ -97,6 +97,28 @@ def test_backoff_scores(docs, corpus):
         assert got[doc_id]["log_score"] == pytest.approx(score) if w else got[doc_id]["log_score"] is None
 
 
+@pytest.mark.parametrize("order", [1, 3, 4])
+def test_backoff_scores_of_any_order(docs, corpus, order):
+    got = {r["doc_id"]: r for r in lm.backoff_scores(docs, order).collect()}
+    grams = lambda w: Counter(tuple(w[j : j + n]) for n in range(1, order + 1) for j in range(len(w) - n + 1))
+    words = [W.findall(t or "") for _, t, *_ in corpus]
+    all_ = Counter()
+    for w in words:
+        all_.update(grams(w))
+    assert lm.ORDER >= 3
+    for (doc_id, *_), w in zip(corpus, words):
+        own, score = grams(w), 0.0
+        left = lambda g: all_[g] - own[g]
+        for j in range(len(w)):
+            n = most = min(order, j + 1)
+            while n > 1 and not left(tuple(w[j - n + 1 : j + 1])):
+                n -= 1
+            g = tuple(w[j - n + 1 : j + 1])
+            over = left(g[:-1]) if n > 1 else sum(map(len, words)) - len(w)
+            score += (most - n) * math.log(0.4) + math.log(max(left(g), 0.5) / over)
+        assert got[doc_id]["log_score"] == pytest.approx(score) if w else got[doc_id]["log_score"] is None
+
+
 def test_language_model_scores_are_exact(spark, corpus):
     """The tabulated code lengths equal a plain walk down the orders."""
     sample = spark.createDataFrame([(t[2], t[1]) for t in corpus[:9]], "lang string, text string")
