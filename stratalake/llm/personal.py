@@ -1,10 +1,10 @@
 """Personal data: fixed rules, and bootstrapped contextual extraction of what the rules miss.
 
 Spans of the fixed rules are the seeds. The one or two words before a span are a lexical pattern; so are those before
-any other token that looks like an identifier (several digits, or an @). Patterns and instances (the tokens, in
+whatever else looks like an identifier: groups of digits joined by single spaces, dots, hyphens or brackets, and tokens with several digits or an @. Patterns and instances (the tokens, in
 lower case) form a graph. In each round a pattern is scored for a kind by the share of known instances of this kind among all
 instances that it comes before, and an unknown instance by the noisy or of the good patterns before it; what
-passes is known in the next round. At the end, unknown tokens with a good pattern whose instance became
+passes is known in the next round; rounds go on until there is nothing new. At the end, unknown tokens with a good pattern whose instance became
 known are further spans of the pattern's kind.
 
 Defined results: a null text is empty; spans count code points and their ends are exclusive; further spans never
@@ -21,23 +21,24 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratalake.llm.tables import documents, written
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
 #: A pattern is good with so many known instances, in this share of its instances; an instance is known from this score.
 MIN_SUPPORT, MIN_CONFIDENCE, MIN_SCORE = 5, 0.8, 0.8
-#: The longest token that can be an identifier, and how far before it words are looked for.
-LONGEST, CONTEXT = 64, 64
+#: How far before an identifier words are looked for.
+CONTEXT = 64
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]{2,}|@")
+#: Groups of digits joined by single spaces, dots, hyphens or brackets.
+_GROUPS = re.compile(r"\+?\(?[0-9]++(?:(?:\)[ .-]?\(?|[ .-]\(?|\()[0-9]++)*+")
 _SPACE = " \t\n\x0b\x0c\r"
 _EDGE = "\"'`.,;:!?()[]{}<>|"
 FOUND = "doc_id bigint, t bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base string, slots array<struct<pattern:bigint,pattern2:bigint,instance:bigint,start:int,end:int,kind:int>>"
@@ -85,38 +86,63 @@ def _code(s: str) -> int:
     return xxhash.xxh64_intdigest(s.encode("utf-8", "surrogatepass")) - (1 << 63)
 
 
-def other_tokens(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
-    """Tokens that look like identifiers and touch no span of the rules."""
+def _looks_like_one(token: str) -> bool:
+    return len(token) >= 6 and ("@" in token or sum(c in "0123456789" for c in token) >= 4)
+
+
+def other_tokens(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
+    """(start, end, kind) of what looks like an identifier and touches no span of the rules.
+
+    Kind -1 are groups of digits that stand for themselves, and other tokens; kind -2 are tokens within such groups.
+    """
     taken: list[tuple[int, int]] = []  # the spans as disjoint stretches
     for s, _, e in spans:
         if taken and s <= taken[-1][1]:
             taken[-1] = (taken[-1][0], max(taken[-1][1], e))
         else:
             taken.append((s, e))
+
+    def free(start: int, end: int) -> bool:
+        before = bisect_left(taken, (end, 0)) - 1
+        return before < 0 or taken[before][1] <= start
+
+    groups: list[tuple[int, int]] = []
+    for m in _GROUPS.finditer(text):
+        start, end = m.start() + (m.group()[0] == "(" and ")" not in m.group()), m.end()
+        if _looks_like_one(text[start:end]) and free(start, end):
+            from_, to = start, end
+            while from_ and text[from_ - 1] in _EDGE:
+                from_ -= 1
+            while to < len(text) and text[to] in _EDGE:
+                to += 1
+            if (not from_ or text[from_ - 1] in _SPACE) and (to == len(text) or text[to] in _SPACE):
+                groups.append((start, end))
+                yield start, end, -1
     done = 0
     for m in _DIGITS.finditer(text):
         if m.start() < done:
             continue
         start, end = m.start(), m.end()
-        while start > done and m.start() - start <= LONGEST and text[start - 1] not in _SPACE:
+        while start > done and text[start - 1] not in _SPACE:
             start -= 1
-        while end < len(text) and end - start <= LONGEST and text[end] not in _SPACE:
+        while end < len(text) and text[end] not in _SPACE:
             end += 1
         done = end
         while start < end and text[start] in _EDGE:
             start += 1
         while end > start and text[end - 1] in _EDGE:
             end -= 1
-        token = text[start:end]
-        if 6 <= len(token) <= LONGEST and ("@" in token or sum(c in "0123456789" for c in token) >= 4):
-            before = bisect_left(taken, (end, 0)) - 1
-            if before < 0 or taken[before][1] <= start:
-                yield start, end
+        if _looks_like_one(text[start:end]) and free(start, end):
+            within = bisect_left(groups, (start + 1, 0)) - 1
+            if within < 0 or groups[within][1] < end:
+                yield start, end, -1
+            elif groups[within] != (start, end):
+                yield start, end, -2
 
 
 def _slots(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
     out = []
-    for start, end, kind in [*((s, e, k) for s, k, e in spans), *((s, e, -1) for s, e in other_tokens(text, spans))]:
+    for start, end, kind in [*((s, e, k) for s, k, e in spans), *other_tokens(text, spans)]:
         before = text[max(0, start - CONTEXT) : start].lower().split()[-2:]
         one, two = ("^", *before)[-1], " ".join(("^", "^", *before)[-2:])
         out.append({"pattern": _code("1 " + one), "pattern2": _code("2 " + two), "instance": _code(text[start:end].lower()), "start": start, "end": end, "kind": kind})
@@ -124,7 +150,7 @@ def _slots(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """Per row of `docs`: the counts and spans of the rules, and its slots (kind -1: not found by a rule)."""
+    """Per row of `docs`: the counts and spans of the rules, and its slots (kinds -1 and -2: not found by a rule)."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slot = pa.list_(pa.struct([("pattern", pa.int64()), ("pattern2", pa.int64()), ("instance", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("kind", pa.int32())]))
@@ -149,8 +175,9 @@ def bootstrap(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     edges = written(edges, "edges")
     known = written(edges.filter("kind >= 0").groupBy("instance").agg(F.min("kind").alias("known")), "known")
     unknown = edges.filter("kind < 0").select("pattern", "instance").distinct()
-    both = edges.select("pattern", "instance").distinct()
-    for _ in range(ROUNDS):
+    # Parts of what stands as a whole do not speak for or against a pattern.
+    both = edges.filter("kind > -2").select("pattern", "instance").distinct()
+    while True:
         seen = both.join(known, "instance", "left")
         of_kind = seen.groupBy("pattern", "known").agg(F.count(F.lit(1)).alias("n"))
         total = of_kind.groupBy("pattern").agg(F.sum("n").alias("total"), F.max(F.when(F.col("known").isNotNull(), F.struct("n", (-F.col("known")).alias("k")))).alias("best"))
@@ -171,6 +198,10 @@ def personal_data(docs: DataFrame) -> DataFrame:
     good, known = bootstrap(found)
     slots = found.select("doc_id", "t", F.explode("slots").alias("s")).filter("s.kind < 0").select("doc_id", "t", "s.instance", "s.start", "s.end", F.explode(F.array("s.pattern", "s.pattern2")).alias("pattern"))
     more = slots.join(known, "instance").join(good, "pattern").filter(F.col("kind") == F.col("known")).select("doc_id", "t", "start", "kind", "end").distinct()
+    # What lies in a longer one that was found is part of it.
+    longer = F.max("end").over(Window.partitionBy("doc_id", "t").orderBy("start", F.desc("end"), "kind").rowsBetween(Window.unboundedPreceding, -1))
+    same = F.lag(F.struct("start", "end")).over(Window.partitionBy("doc_id", "t").orderBy("start", F.desc("end"), "kind"))
+    more = more.withColumns({"longer": longer, "same": same}).filter((F.coalesce("longer", F.lit(-1)) < F.col("end")) | F.coalesce(F.col("same") == F.struct("start", "end"), F.lit(False))).drop("longer", "same")
     more = more.groupBy("doc_id", "t").agg(F.collect_list(F.struct("start", "kind", "end")).alias("more")).withColumnsRenamed({"doc_id": "m_doc_id", "t": "m_t"})
     joined = found.drop("slots").join(more, F.col("doc_id").eqNullSafe(F.col("m_doc_id")) & F.col("t").eqNullSafe(F.col("m_t")), "left")
     parts = F.transform(F.filter(F.split("base", ","), lambda x: x != ""), lambda x: F.struct(F.split(x, ":")[1].cast("int").alias("start"), F.array_position(F.array(*map(F.lit, KINDS)), F.split(x, ":")[0]).cast("int").alias("kind"), F.split(x, ":")[2].cast("int").alias("end")))

@@ -337,6 +337,29 @@ def test_patterns_discover_unseen_identifiers(spark):
     assert got[51]["spans"] == "" and got[52]["spans"] == "" and got[3]["spans"] == got[3]["base"]
 
 
+def test_identifiers_in_groups_are_discovered(spark):
+    rows = [(i, f"please phone me under +1 (555) 010-{1000 + i} today") for i in range(30)]
+    cards = [c for c in (f"4111 1111 1111 {n}" for n in range(1000, 1400)) if personal.luhn(c.replace(" ", ""))][:20]
+    rows += [(100 + i, f"from my credit card {c} please") for i, c in enumerate(cards)]
+    new = {200: ("phone", "555 867 5309"), 201: ("phone", "(555) 867-5309"), 202: ("phone", "555.867.5309"), 203: ("card", "4111 1111 1111 1112"), 204: ("phone", "5" * 70)}
+    rows += [(i, f"{'please phone me under' if k == 'phone' else 'from my credit card'} {x} or so") for i, (k, x) in new.items()]
+    got = {r["doc_id"]: r["spans"] for r in personal.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (k, x) in new.items():
+        at = dict(rows)[i].index(x)
+        assert got[i] == f"{k}:{at}:{at + len(x)}"
+
+
+def test_chains_of_patterns_are_followed_to_their_end(spark):
+    phones = [f"+1 (555) 010-{1000 + i}" for i in range(16)]
+    level = lambda k: [f"555-0{k}-77{i}" for i in range(4)]
+    rows = []
+    for k in range(7):
+        for x in [*(phones[:12] + level(k) if k else phones), *level(k + 1)]:
+            rows.append((len(rows), f"w{len(rows)} alpha{k} {x} end"))
+    got = {r["doc_id"]: r["spans"] for r in personal.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i].startswith("phone:") for i, _ in rows)
+
+
 def test_fingerprints(docs, corpus):
     got = {r["doc_id"]: r for r in digests.compare_edited(docs).collect()}
     order = sorted(corpus, key=lambda t: t[0])
