@@ -26,11 +26,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.llm import kernels as K
-from stratalake.llm.tables import documents, written
+from stratalake.llm.tables import documents, small, written
 
 ORDER = 3
 SAMPLE_BYTES = 1_500_000
-MAX_LANGS = 64
 #: What stands before the first byte of every text.
 START = "\n" * ORDER
 SLICE_BYTES = 1 << 20
@@ -40,13 +39,14 @@ def fold(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4))
 
 
-def training_sample(docs: DataFrame, sample_bytes: int, max_langs: int) -> DataFrame:
-    """(lang, text) of the labelled documents that are not held out, about `sample_bytes` of each language."""
-    labelled = docs.select("doc_id", "lang", "text").filter("lang is not null and text is not null").filter(F.coalesce(fold(F.col("doc_id")) != 2, F.lit(True)))
-    totals = labelled.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("bytes")).orderBy(F.desc("bytes"), "lang").limit(max_langs)
-    rates = F.broadcast(totals.select(F.col("lang").alias("r_lang"), (F.lit(float(sample_bytes)) / F.col("bytes")).alias("rate")))
+def training_sample(docs: DataFrame, sample_bytes: int) -> DataFrame:
+    """(lang, text) of the labelled documents that are not held out, about `sample_bytes` of each language, one document at least."""
+    labelled = docs.select("doc_id", "lang", "text").filter("lang is not null and text <> ''").filter(F.coalesce(fold(F.col("doc_id")) != 2, F.lit(True)))
     drawn = F.shiftrightunsigned(F.xxhash64("doc_id", F.octet_length("text")), 11) * F.lit(2.0**-53)
-    return labelled.join(rates, F.col("lang") == F.col("r_lang")).filter(drawn < F.col("rate")).select("lang", "text")
+    labelled = labelled.withColumn("drawn", drawn)
+    totals = labelled.groupBy(F.col("lang").alias("r_lang")).agg((F.lit(float(sample_bytes)) / F.sum(F.octet_length("text"))).alias("rate"), F.min("drawn").alias("least"))
+    # A few long documents may all be missed; the one with the smallest draw stands for them.
+    return labelled.join(small(totals), F.col("lang") == F.col("r_lang")).filter((F.col("drawn") < F.col("rate")) | (F.col("drawn") == F.col("least"))).select("lang", "text")
 
 
 def gram_counts(sample: DataFrame, order: int) -> DataFrame:
@@ -129,9 +129,9 @@ class Model:
         return np.add.reduceat(self.table[at], offsets[:-1], axis=0, dtype=np.float64)
 
 
-def train(docs: DataFrame, order: int = ORDER, sample_bytes: int = SAMPLE_BYTES, max_langs: int = MAX_LANGS) -> Model | None:
+def train(docs: DataFrame, order: int = ORDER, sample_bytes: int = SAMPLE_BYTES) -> Model | None:
     """The model, from counts that hold at most (order + 1) * sample_bytes entries a language."""
-    counts = written(gram_counts(training_sample(docs, sample_bytes, max_langs), order), "grams").toArrow()
+    counts = written(gram_counts(training_sample(docs, sample_bytes), order), "grams").toArrow()
     return Model(counts, order) if counts.num_rows else None
 
 

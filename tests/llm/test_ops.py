@@ -154,6 +154,14 @@ def test_language_is_predicted(docs, corpus):
     assert {got[i]["lang_pred"] for i in (200, 201, 202, 302)} == {"und"} and all(0 <= r["score"] <= 1 for r in got.values())
 
 
+def test_every_language_is_learned(spark):
+    rows = [(i, f"{chr(0x4E00 + i)}{chr(0x5E00 + i)} " * 50, f"l{i:03}") for i in range(80)] + [(200 + i, "one of a few long texts " * 400, "long") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").filter((language.fold(F.col("doc_id")) != 2))
+    want = {r["lang"] for r in docs.select("lang").distinct().collect()}
+    assert {r["lang"] for r in language.training_sample(docs, 100_000).select("lang").distinct().collect()} == want
+    assert {r["lang"] for r in language.training_sample(docs, 1).select("lang").distinct().collect()} == want
+
+
 def test_mix_comes_near_its_targets_and_repeats(docs):
     run = lambda: sorted((r["doc_id"], r["size"], r["source"] or "", r["source_size"], r["target"], r["copies"]) for r in mixing.rounded(mixing._sizes(docs), mixing.source_targets(mixing._sizes(docs))).collect())
     rows = run()
