@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratalake.llm import kernels as K
@@ -192,13 +192,34 @@ def component_ids(docs: DataFrame, k: int = WORDS) -> DataFrame:
     return out.select("doc_id", "n_shingles", F.coalesce("v", "doc", "doc_id").alias("component_id"))
 
 
+def _without_id(docs: DataFrame, k: int) -> DataFrame:
+    """The rows of `docs` with a null doc_id whose shingles no row with an id has, one of each set; all that have no shingles."""
+    hashed = F.xxhash64("text")
+    nulls = docs.filter(docs["doc_id"].isNull()).withColumn("_text", hashed)
+    sums = written(summaries(nulls.select(F.col("_text").alias("doc_id"), "text").distinct(), k), "unnamed")
+    taken = summaries(docs.filter(docs["doc_id"].isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text"), k).select("digest").distinct()
+    one = sums.filter("n_shingles > 0").join(taken, "digest", "left_anti").groupBy("digest").agg(F.min("doc_id").alias("_one"))
+    bare = sums.filter("n_shingles = 0").select(F.col("doc_id").alias("_one")).distinct()
+    kept = nulls.join(one.select("_one"), F.col("_text") == F.col("_one"), "left_semi").dropDuplicates(["_text"])
+    return kept.unionByName(nulls.join(bare, F.col("_text") == F.col("_one"), "left_semi")).drop("_text")
+
+
 def keep_one(docs: DataFrame, k: int = WORDS) -> DataFrame:
-    """The rows of `docs` with the smallest doc_id of each component, one row for each doc_id, with all their columns."""
+    """The rows of `docs` with the smallest doc_id of each component, one row for each doc_id, with all their columns.
+
+    Of rows that share an id, the one whose text has the smallest hash stays. Rows without an id stay unless others have the same shingles.
+    """
     found = written(component_ids(docs, k), "components")
     dropped = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_dropped_id")).distinct()
     kept = docs.join(small(dropped), docs["doc_id"] == F.col("_dropped_id"), "left_anti")
-    again = found.groupBy("doc_id").count().filter("count > 1").isEmpty()
-    return kept if again else kept.dropDuplicates(["doc_id"])
+    again = written(found.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select(F.col("doc_id").alias("_again_id")), "again")
+    if not again.isEmpty():
+        first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+        several = kept.join(small(again), kept["doc_id"] == F.col("_again_id"), "left_semi").withColumn("_r", F.row_number().over(first)).filter("_r = 1").drop("_r")
+        kept = kept.join(small(again), kept["doc_id"] == F.col("_again_id"), "left_anti").unionByName(several)
+    if found.filter("doc_id is null").isEmpty():
+        return kept
+    return kept.filter("doc_id is not null").unionByName(_without_id(docs, k))
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -294,6 +294,15 @@ def test_jaccard_on_chains_and_hot_groups(spark):
     assert {r["doc_id"]: r["component_id"] for r in jaccard.component_ids(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == want
 
 
+def test_rows_without_an_id_are_kept(spark):
+    text = lambda x: " ".join(f"{x}{j}" for j in range(30))
+    rows = [(1, text("a")), (2, text("b")), (2, text("c")), (3, text("a")), (None, text("d")), (None, text("e")), (None, text("e")), (None, text("b")), (None, None), (None, "")]
+    run = lambda n: sorted(((r["doc_id"] or 0, r["text"] or "") for r in jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(n)).collect()))
+    got = run(1)
+    assert [g for g in got if g[0] != 2] == sorted([(0, ""), (0, ""), (0, text("d")), (0, text("e")), (1, text("a"))])
+    assert [g[0] for g in got].count(2) == 1 and got == run(5)
+
+
 @pytest.mark.parametrize("few", [0, 100_000])
 def test_components(spark, few):
     rng = np.random.default_rng(few)
