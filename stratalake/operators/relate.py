@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: How many distinct values stand for a column, and the sizes of a column that can be a key.
-SAMPLE, LEAST_KEYS, MOST_KEYS = 5000, 3, 100_000
+#: The sizes of a column that can be a key.
+LEAST_KEYS, MOST_KEYS = 3, 100_000
 #: Fixed values of the score of two names.
 SAME, STEM_IN_KEY, TABLE_ENDS, STEM_IN_TABLE, GENERIC = 40, 30, 28, 22, 10
 NAME_BAR, OVERLAP_BAR, SUM_BAR, LOW_OVERLAP = 25, 90, 80, 98
@@ -55,15 +55,13 @@ def name_score(column: Column, key: Column, tab: Column) -> Column:
 def relationships(values: DataFrame, profile: DataFrame) -> DataFrame:
     """(origin, origin_col, destination, destination_col, score, overlap, confidence) of the pairs that pass the bars.
 
-    Distinct values, at most SAMPLE of a column by their hash, are joined to the values of key columns on the value.
+    The distinct values of all columns are joined to those of key columns on the value.
     """
     distinct = values.select("tab", "col", "value").distinct()
-    ranked = distinct.withColumn("r", F.row_number().over(Window.partitionBy("tab", "col").orderBy(F.xxhash64("value"), "value")))
-    sample = ranked.filter(F.col("r") <= SAMPLE).drop("r")
-    sizes = sample.groupBy("tab", "col").agg(F.count(F.lit(1)).alias("size"))
+    sizes = distinct.groupBy("tab", "col").agg(F.count(F.lit(1)).alias("size"))
     keys = profile.filter("is_key").select(F.col("tab").alias("k_tab"), F.col("col").alias("k_col"), F.col("dense").alias("k_dense"))
     key_values = distinct.join(F.broadcast(keys), (F.col("tab") == F.col("k_tab")) & (F.col("col") == F.col("k_col"))).select("k_tab", "k_col", "k_dense", F.col("value").alias("k_value"))
-    shared = sample.join(key_values, F.col("value") == F.col("k_value")).filter("tab <> k_tab").groupBy("tab", "col", "k_tab", "k_col", "k_dense").agg(F.count(F.lit(1)).alias("both"))
+    shared = distinct.join(key_values, F.col("value") == F.col("k_value")).filter("tab <> k_tab").groupBy("tab", "col", "k_tab", "k_col", "k_dense").agg(F.count(F.lit(1)).alias("both"))
     scored = shared.join(sizes, ["tab", "col"]).withColumns({"overlap": F.col("both") * 100 / F.col("size"), "score": name_score(F.col("col"), F.col("k_col"), F.col("k_tab"))})
     confidence = F.col("score") + 0.6 * F.col("overlap")
     named = (F.col("score") >= NAME_BAR) & (F.col("overlap") >= OVERLAP_BAR) & (confidence >= SUM_BAR)

@@ -60,7 +60,6 @@ def _rels(spark, d):
 
 @Q("ri3_infer_relationships", RELS + "select * from r")
 def ri3(spark, d):
-    """A column's sample is taken by hash, so that the SQL holds where no column has over 5000 values."""
     return _rels(spark, d)[0]
 
 

@@ -87,3 +87,12 @@ def test_shards_are_stable(spark):
     df = spark.createDataFrame([("ab-1",), ("AB-1",), ("x",)], "k string")
     got = [r[0] for r in df.select(ordering.shard(F.col("k"), 16)).collect()]
     assert got == [zlib.crc32(k.upper().encode()) % 16 for k in ("ab-1", "AB-1", "x")]
+
+
+def test_overlap_counts_all_values(spark):
+    from stratalake.operators import relate
+
+    tables = {"customer": spark.range(7600).toDF("custkey"), "orders": spark.range(8000).toDF("custkey")}
+    values = relate.unpivoted(tables)
+    found = {(r["origin"], r["destination"]): r["overlap"] for r in relate.relationships(values, relate.profiles(values)).collect()}
+    assert found == {("orders", "customer"): 95.0, ("customer", "orders"): 100.0}
