@@ -14,4 +14,4 @@ QUERIES = {
     "op9_fingerprints": digests.op9_fingerprints,
     "op10_quality_rules": quality.op10_quality_rules,
 }
-ORACLES = {"op6_line_dedup": lines.OP6_SQL, "op7_jaccard_join": jaccard.OP7_SQL, "op10_quality_rules": quality.OP10_SQL}
+ORACLES = {"op2_lm_scoring": lm.OP2_SQL, "op6_line_dedup": lines.OP6_SQL, "op7_jaccard_join": jaccard.OP7_SQL, "op10_quality_rules": quality.OP10_SQL}

@@ -82,31 +82,14 @@ def test_chunk_ends_do_not_depend_on_neighbours(corpus):
     assert sorted(x + o for a, o in zip(alone, offsets) for x in a) == together.tolist()
 
 
-def test_backoff_scores(docs, corpus):
-    got = {r["doc_id"]: r for r in lm.backoff_scores(docs).collect()}
-    words = [W.findall(t or "") for _, t, *_ in corpus]
-    one, two = Counter(x for w in words for x in w), Counter(p for w in words for p in zip(w, w[1:]))
-    for (doc_id, *_), w in zip(corpus, words):
-        own1, own2, score = Counter(w), Counter(zip(w, w[1:])), 0.0
-        for j, x in enumerate(w):
-            if j and two[w[j - 1], x] > own2[w[j - 1], x]:
-                score += math.log((two[w[j - 1], x] - own2[w[j - 1], x]) / (one[w[j - 1]] - own1[w[j - 1]]))
-            else:
-                score += (math.log(0.4) if j else 0) + math.log(max(one[x] - own1[x], 0.5) / (sum(one.values()) - len(w)))
-        assert got[doc_id]["n_words"] == len(w)
-        assert got[doc_id]["log_score"] == pytest.approx(score) if w else got[doc_id]["log_score"] is None
-
-
-@pytest.mark.parametrize("order", [1, 3, 4])
-def test_backoff_scores_of_any_order(docs, corpus, order):
-    got = {r["doc_id"]: r for r in lm.backoff_scores(docs, order).collect()}
+def backoff_brute(texts, order):
+    """(n_words, log_score) of each text, every one a document of its own."""
     grams = lambda w: Counter(tuple(w[j : j + n]) for n in range(1, order + 1) for j in range(len(w) - n + 1))
-    words = [W.findall(t or "") for _, t, *_ in corpus]
-    all_ = Counter()
+    words = [W.findall(t or "") for t in texts]
+    all_, out = Counter(), []
     for w in words:
         all_.update(grams(w))
-    assert lm.ORDER >= 3
-    for (doc_id, *_), w in zip(corpus, words):
+    for w in words:
         own, score = grams(w), 0.0
         left = lambda g: all_[g] - own[g]
         for j in range(len(w)):
@@ -114,9 +97,39 @@ def test_backoff_scores_of_any_order(docs, corpus, order):
             while n > 1 and not left(tuple(w[j - n + 1 : j + 1])):
                 n -= 1
             g = tuple(w[j - n + 1 : j + 1])
-            over = left(g[:-1]) if n > 1 else sum(map(len, words)) - len(w)
+            over = left(g[:-1]) if n > 1 else max(sum(map(len, words)) - len(w), 1)
             score += (most - n) * math.log(0.4) + math.log(max(left(g), 0.5) / over)
-        assert got[doc_id]["log_score"] == pytest.approx(score) if w else got[doc_id]["log_score"] is None
+        out.append((len(w), score if w else None))
+    return out
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_backoff_scores_of_any_order(docs, corpus, order, monkeypatch):
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 20_000)  # several chunks and buckets
+    monkeypatch.setattr(lm, "BUCKET_BYTES", 30_000)
+    got = {r["doc_id"]: r for r in lm.backoff_scores(docs, order).collect()}
+    for (doc_id, *_), (n, score) in zip(corpus, backoff_brute([t[1] for t in corpus], order)):
+        assert got[doc_id]["n_words"] == n and (got[doc_id]["log_score"] is None) == (n == 0)
+        assert not n or got[doc_id]["log_score"] == pytest.approx(score) and got[doc_id]["mean_log_score"] == pytest.approx(score / n)
+
+
+@pytest.mark.parametrize("n", [1, 4])
+def test_backoff_scores_of_repeated_rows(spark, corpus, n, monkeypatch):
+    monkeypatch.setattr(lm, "CHUNK_BYTES", 5000)
+    rows = [(t[0] if t[0] % 7 else None, t[1]) for t in corpus[:20]]
+    one = spark.createDataFrame(rows, "doc_id long, text string").repartition(n)
+    got = lm.backoff_scores(one.union(one)).collect()
+    want = backoff_brute([t for _, t in rows * 2], lm.ORDER)
+    key = lambda v: sorted((x is None, x) for x in v)
+    assert lm.ORDER >= 3 and key([r["n_words"] for r in got]) == key([x[0] for x in want])
+    assert [x for _, x in key([r["log_score"] for r in got])] == pytest.approx([x for _, x in key([x[1] for x in want])])
+
+
+def test_ngram_counts_are_those_of_the_texts(docs, corpus):
+    got = lm.ngram_counts(docs, 2).groupBy("n").agg(F.count("*").alias("kinds"), F.sum("total").alias("all")).collect()
+    words = [W.findall(t[1] or "") for t in corpus]
+    one, two = Counter(x for w in words for x in w), Counter(p for w in words for p in zip(w, w[1:]))
+    assert {r["n"]: (r["kinds"], r["all"]) for r in got} == {1: (len(one), sum(one.values())), 2: (len(two), sum(two.values()))}
 
 
 def test_language_model_scores_are_exact(spark, corpus):
