@@ -2,11 +2,14 @@
 
 The sketch of a metric is a table of counts by bucket, each bucket holding values within a fixed relative
 error (a DDSketch). Such tables merge by adding counts, so they are built by a partial aggregation, rolled up
-from (language, source) to language to everything by adding again, and do not depend on how rows are dealt.
-
-Defined results: a null text has no words; null languages and sources are groups of their own; a group with
-fewer than `min_group` documents takes its language's thresholds, and failing that everyone's; an empty table
-gives an empty result; repeated rows each count and each get a verdict; ties share a bucket and so a verdict.
+from (language, source) to language to everything by adding again, and do not depend on how rows are dealt. A group's
+quantiles are read from its own sketch merged with its language's and everyone's, each of which weighs as much as PRIOR
+documents: a small group follows the others, a large one its own documents, and nothing switches between the two. A
+metric is refused above a high quantile plus SPREAD times its distance from the median (width also below a low one); there are no fixed cutoffs.
+
+Defined results: a null text has no words; null languages and sources are groups of their own; null doc_ids are kept as they are; an empty table
+gives an empty result; repeated rows each count and each get a verdict; ties share a bucket and so a verdict; a very long text is a
+slice of its own and needs some 60 bytes of memory for each of its own; other columns may have any name.
 """
 
 from __future__ import annotations
@@ -21,15 +24,20 @@ from stratalake.llm import kernels as K
 from stratalake.llm.tables import documents, small, written
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-STATS = T.StructType([T.StructField(c, T.LongType()) for c in COUNTS])
+STATS = T.StructType([T.StructField(c, T.LongType()) for c in (*COUNTS, "n_lines")])
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
-#: Metrics in permille: the numerator, the denominator, and the floor below which no value is refused.
-METRICS = {"symbols": ("n_symbols", "word_chars", 20), "repeats": ("n_repeat_words", "n_words", 300), "width": ("word_chars", "n_words", 9000)}
-#: Buckets per factor e: values of a bucket differ by at most 5 %.
-BUCKETS = 20
-#: A value is refused above quantile 0.75 times this factor, and above its floor.
-FENCE = 3.0
+#: Metrics in permille: numerator, denominator, the high quantile, the spread, and the low quantile where small values are refused too.
+METRICS = {
+    "symbols": ("n_symbols", "word_chars", 0.75, 3, None),
+    "repeats": ("n_repeat_words", "n_words", 0.99, 2, None),
+    "dups": ("n_dup_lines", "n_lines", 0.99, 2, None),
+    "width": ("word_chars", "n_words", 0.75, 6, 0.25),
+}
+#: Buckets per factor e: values of a bucket differ by at most half a percent.
+BUCKETS = 200
+#: As how many documents the sketches of the language and of everything weigh in a group's.
+PRIOR = 100
 
 
 def _per_document(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -49,7 +57,7 @@ def _same_before(codes: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.nda
 
 
 def count_text(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """The five counts of each document (rows as in COUNTS)."""
+    """The five counts of each document (rows as in STATS)."""
     starts, ends, first = K.words(data, offsets)
     word = ~K.IS_SPACE[data]
     codes = K.span_hashes(data, starts, ends)
@@ -64,15 +72,16 @@ def count_text(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     full = seen[to] > seen[from_]
     from_, to = from_[full], to[full]
     again, _ = _same_before(K.span_hashes(data, from_, to), np.searchsorted(offsets, from_, "right") - 1)
+    lines = np.bincount(np.searchsorted(offsets, from_, "right") - 1, minlength=len(offsets) - 1)
     dup = np.bincount(np.searchsorted(offsets, from_[again], "right") - 1, minlength=len(offsets) - 1)
-    return np.stack([np.diff(first), _per_document(word & ((data & 0xC0) != 0x80), offsets), _per_document(_SYMBOL[data], offsets), dup, _per_document(covered[: len(codes)], first)])
+    return np.stack([np.diff(first), _per_document(word & ((data & 0xC0) != 0x80), offsets), _per_document(_SYMBOL[data], offsets), dup, _per_document(covered[: len(codes)], first), lines])
 
 
 @F.arrow_udf(STATS)
 def text_counts(texts: pa.Array) -> pa.Array:
     parts = [count_text(data, offsets) for _, _, data, offsets in K.slices(texts)]
-    columns = np.concatenate(parts, axis=1) if parts else np.zeros((len(COUNTS), 0), np.int64)
-    return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], names=list(COUNTS))
+    columns = np.concatenate(parts, axis=1) if parts else np.zeros((len(STATS), 0), np.int64)
+    return pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], names=STATS.names)
 
 
 #: Not to be repeated where several expressions use its result.
@@ -84,40 +93,48 @@ def base_failed(s: Column) -> Column:
 
 
 def _permille(s: Column, metric: str) -> Column:
-    over, under, _ = METRICS[metric]
+    over, under = METRICS[metric][:2]
     return F.when(s[under] > 0, F.floor(1000 * s[over] / s[under])).otherwise(F.lit(0)).cast("long")
 
 
 def sketches(stats: DataFrame) -> DataFrame:
-    """(metric, lang, source, bucket, n): the sketch of each metric in each group; bucket -1 holds zeros."""
-    each = stats.select("lang", "source", F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), _permille(F.col("s"), m).alias("value")) for m in METRICS])).alias("m"))
+    """(metric, lang, source, bucket, n): the sketch of each metric in each group, over what the base rules keep; bucket -1 holds zeros."""
+    each = stats.filter(~base_failed(F.col("s"))).select("lang", "source", F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), _permille(F.col("s"), m).alias("value")) for m in METRICS])).alias("m"))
     bucket = F.when(F.col("m.value") <= 0, F.lit(-1)).otherwise(F.floor(F.log(F.col("m.value").cast("double")) * BUCKETS)).cast("int")
     return each.groupBy(F.col("m.metric").alias("metric"), "lang", "source", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def thresholds(sketch: DataFrame, min_group: int) -> DataFrame:
-    """(lang, source, and for each metric the highest bucket that is kept) for every group.
-
-    A group's quantile is read from the running counts of its buckets; groups too small to have one of their
-    own take their language's, then everyone's, by merging sketches.
-    """
+def _merged(sketch: DataFrame) -> DataFrame:
+    """(metric, lang, source, total, sketch): each group's buckets with weights, in order, the language's and everyone's merged in."""
     levels = []
     for depth, keys in enumerate((["lang", "source"], ["lang"], [])):
-        merged = sketch.groupBy("metric", *keys, "bucket").agg(F.sum("n").alias("n"))
-        buckets = merged.groupBy("metric", *keys).agg(F.sum("n").alias("total"), F.array_sort(F.collect_list(F.struct("bucket", "n"))).alias("b"))
-        # The running count stops at the bucket where three quarters of the documents are reached.
-        found = F.aggregate("b", F.struct(F.lit(0).cast("long").alias("seen"), F.lit(-1).alias("at")), lambda acc, x: F.struct((acc["seen"] + x["n"]).alias("seen"), F.when(4 * acc["seen"] >= 3 * F.col("total"), acc["at"]).otherwise(x["bucket"]).alias("at")))["at"]
-        levels.append(buckets.filter(F.col("total") >= min_group if depth < 2 else F.lit(True)).select("metric", *keys, found.alias(f"q{depth}")))
-    groups = sketch.select("metric", "lang", "source").distinct()
-    by_lang = levels[1].withColumnsRenamed({"lang": "l1", "metric": "m1"})
-    own = levels[0].withColumnsRenamed({"lang": "l0", "source": "s0", "metric": "m0"})
-    all_ = levels[2].withColumnsRenamed({"metric": "m2"})
-    joined = groups.join(own, (F.col("metric") == F.col("m0")) & F.col("lang").eqNullSafe(F.col("l0")) & F.col("source").eqNullSafe(F.col("s0")), "left")
-    joined = joined.join(by_lang, (F.col("metric") == F.col("m1")) & F.col("lang").eqNullSafe(F.col("l1")), "left").join(all_, F.col("metric") == F.col("m2"), "left")
-    value = F.exp((F.coalesce("q0", "q1", "q2") + 1) / F.lit(float(BUCKETS))) * FENCE
-    floor = F.coalesce(*[F.when(F.col("metric") == m, F.lit(float(v[2]))) for m, v in METRICS.items()])
-    limit = F.floor(F.greatest(value, floor)).cast("long")
-    return joined.groupBy("lang", "source").agg(*[F.max(F.when(F.col("metric") == m, limit)).alias(f"max_{m}") for m in METRICS]).withColumnsRenamed({"lang": "g_lang", "source": "g_source"})
+        counts = sketch.groupBy("metric", *keys, "bucket").agg(F.sum("n").alias("n"))
+        # A sketch has a few thousand buckets at most, whatever the size of its group.
+        levels.append(counts.groupBy(F.col("metric").alias(f"m{depth}"), *[F.col(k).alias(f"{k}{depth}") for k in keys]).agg(F.sum("n").alias(f"n{depth}"), F.collect_list(F.struct("bucket", "n")).alias(f"b{depth}")))
+    own, by_lang, all_ = levels
+    joined = own.join(by_lang, (F.col("m0") == F.col("m1")) & F.col("lang0").eqNullSafe(F.col("lang1"))).join(F.broadcast(all_), F.col("m0") == F.col("m2"))
+    weighed = lambda b, scale: F.transform(b, lambda x: F.struct(x["bucket"].alias("bucket"), (x["n"] * scale).alias("weight")))
+    prior = F.lit(float(PRIOR))
+    parts = F.concat(weighed("b0", F.lit(1.0)), weighed("b1", prior / F.col("n1")), weighed("b2", prior / F.col("n2")))
+    return joined.select(F.col("m0").alias("metric"), F.col("lang0").alias("lang"), F.col("source0").alias("source"), (F.col("n0") + 2 * prior).alias("total"), F.array_sort(parts).alias("sketch"))
+
+
+def _quantile(q: Column) -> Column:
+    """The upper end of the bucket in which the share q of the weight is reached."""
+    step = lambda acc, x: F.struct((acc["seen"] + x["weight"]).alias("seen"), F.when(acc["seen"] >= q * F.col("total") * (1 - 1e-9), acc["at"]).otherwise(x["bucket"]).alias("at"))
+    at = F.aggregate("sketch", F.struct(F.lit(0.0).alias("seen"), F.lit(-1).alias("at")), step)["at"]
+    return F.when(at < 0, F.lit(0.0)).otherwise(F.exp((at + 1) / F.lit(float(BUCKETS))))
+
+
+def thresholds(sketch: DataFrame) -> DataFrame:
+    """(g_lang, g_source, and for each metric the least and the largest value that is kept) for every group."""
+    pick = lambda i: F.coalesce(*[F.when(F.col("metric") == m, F.lit(v[i])) for m, v in METRICS.items()])
+    found = _merged(sketch).select("metric", "lang", "source", pick(3).alias("spread"), _quantile(F.lit(0.5)).alias("middle"), _quantile(pick(2)).alias("high"), F.when(pick(4).isNotNull(), _quantile(F.coalesce(pick(4), F.lit(0.5)))).alias("low"))
+    most = F.floor(F.col("high") + F.col("spread") * (F.col("high") - F.col("middle")))
+    least = F.ceil(F.col("low") - F.col("spread") * (F.col("middle") - F.col("low")))
+    each = found.select("metric", "lang", "source", most.alias("most"), F.coalesce(least, F.lit(0)).alias("least"))
+    of = lambda c: [F.max(F.when(F.col("metric") == m, F.col(c))).alias(f"{c}_{m}") for m in METRICS]
+    return each.groupBy(F.col("lang").alias("g_lang"), F.col("source").alias("g_source")).agg(*of("most"), *of("least"))
 
 
 def verdicts(stats: DataFrame, limits: DataFrame) -> DataFrame:
@@ -125,26 +142,22 @@ def verdicts(stats: DataFrame, limits: DataFrame) -> DataFrame:
     joined = stats.join(small(limits), F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source")), "left")
     fine = ~base_failed(F.col("s"))
     for m in METRICS:
-        fine = fine & (_permille(F.col("s"), m) <= F.col(f"max_{m}"))
-    return joined.withColumns({"base_failed": base_failed(F.col("s")), "kept": fine}).drop("g_lang", "g_source", *[f"max_{m}" for m in METRICS])
-
-
-def _counted(docs: DataFrame) -> DataFrame:
-    return docs.select("doc_id", "lang", "source", text_counts("text").alias("s"))
+        fine = fine & _permille(F.col("s"), m).between(F.col(f"least_{m}"), F.col(f"most_{m}"))
+    return joined.withColumns({"base_failed": base_failed(F.col("s")), "kept": F.coalesce(fine, F.lit(False))}).drop(*limits.columns)
 
 
-def quality_verdicts(docs: DataFrame, min_group: int = 100) -> DataFrame:
+def quality_verdicts(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, the five counts, base_failed and kept."""
-    stats = written(_counted(docs), "quality")
-    out = verdicts(stats, written(thresholds(sketches(stats), min_group), "limits"))
+    stats = written(docs.select("doc_id", "lang", "source", text_counts("text").alias("s")), "quality")
+    out = verdicts(stats, written(thresholds(sketches(stats)), "limits"))
     return out.select("doc_id", *[F.col(f"s.{c}").alias(c) for c in COUNTS], "base_failed", "kept")
 
 
-def keep_good(docs: DataFrame, min_group: int = 100) -> DataFrame:
-    """The rows of `docs` whose verdict is to keep them, with all their columns."""
-    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col("lang"), F.col("source"))
-    limits = written(thresholds(sketches(written(_counted(docs), "quality")), min_group), "limits")
-    kept = verdicts(whole.withColumn("s", text_counts("row.text")), limits)
+def keep_good(docs: DataFrame) -> DataFrame:
+    """The rows of `docs` whose verdict is to keep them, with all their columns; each text is counted once."""
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col("lang"), F.col("source"), text_counts("text").alias("s"))
+    whole = written(whole, "quality")
+    kept = verdicts(whole, written(thresholds(sketches(whole)), "limits"))
     return kept.filter("kept").select("row.*")
 
 
@@ -160,23 +173,28 @@ grams as (select doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] as g f
 found as (select doc_id, i, count(*) over (partition by doc_id, g) as c from grams),
 covered as (select doc_id, count(distinct i + j) as n from found, unnest(range(0, 3)) x(j) where c >= 2 group by doc_id),
 lines as (select doc_id, unnest(string_split(t, chr(10))) as line from d),
-dup as (select doc_id, count(*) - count(distinct line) as n from lines where regexp_matches(line, '[^\x20\x09-\x0D]') group by doc_id),
+dup as (select doc_id, count(*) - count(distinct line) as n, count(*) as lines from lines where regexp_matches(line, '[^\x20\x09-\x0D]') group by doc_id),
 s as (select w.doc_id, lang, source, len(ws)::bigint as n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::bigint as word_chars,
-    (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols, coalesce(dup.n, 0)::bigint as n_dup_lines, coalesce(covered.n, 0)::bigint as n_repeat_words
+    (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols, coalesce(dup.n, 0)::bigint as n_dup_lines, coalesce(covered.n, 0)::bigint as n_repeat_words, coalesce(dup.lines, 0) as n_lines
     from w left join dup on w.doc_id = dup.doc_id left join covered on w.doc_id = covered.doc_id),
-m as (select doc_id, lang, source, metric, least_limit, case when under > 0 then floor(1000 * over / under)::bigint else 0 end as v from s, lateral (
-    select * from (values ('symbols', n_symbols, word_chars, 20), ('repeats', n_repeat_words, n_words, 300), ('width', word_chars, n_words, 9000)) x(metric, over, under, least_limit))),
-b as (select *, case when v <= 0 then -1 else floor(ln(v::double) * 20)::int end as bucket from m),
-q0 as (select metric, lang, source, min(bucket) filter (where 4 * upto >= 3 * total) as q from (select distinct metric, lang, source, bucket,
-    count(*) over (partition by metric, lang, source order by bucket) as upto, count(*) over (partition by metric, lang, source) as total from b) where total >= 100 group by all),
-q1 as (select metric, lang, min(bucket) filter (where 4 * upto >= 3 * total) as q from (select distinct metric, lang, bucket,
-    count(*) over (partition by metric, lang order by bucket) as upto, count(*) over (partition by metric, lang) as total from b) where total >= 100 group by all),
-q2 as (select metric, min(bucket) filter (where 4 * upto >= 3 * total) as q from (select distinct metric, bucket,
-    count(*) over (partition by metric order by bucket) as upto, count(*) over (partition by metric) as total from b) group by all),
-over_ as (select b.doc_id, bool_or(v > floor(greatest(exp((coalesce(q0.q, q1.q, q2.q) + 1) / 20.0::double) * 3.0, least_limit))) as bad from b
-    left join q0 on b.metric = q0.metric and b.lang is not distinct from q0.lang and b.source is not distinct from q0.source
-    left join q1 on b.metric = q1.metric and b.lang is not distinct from q1.lang join q2 on b.metric = q2.metric group by b.doc_id)
+x(metric, high, spread, low) as (values ('symbols', 0.75::double, 3::double, null::double), ('repeats', 0.99, 2, null), ('dups', 0.99, 2, null), ('width', 0.75, 6, 0.25)),
+m as (select doc_id, lang, source, metric, case when under > 0 then floor(1000 * over / under)::bigint else 0 end as v from (from s where not (n_words < 50 or 100 * n_repeat_words > 50 * n_words)), lateral (
+    select * from (values ('symbols', n_symbols, word_chars), ('repeats', n_repeat_words, n_words), ('dups', n_dup_lines, n_lines), ('width', word_chars, n_words)) y(metric, over, under))),
+b as (select *, case when v <= 0 then -1 else floor(ln(v::double) * 200)::int end as bucket from m),
+g as (select metric, lang, source, count(*) as n from b group by all),
+weights as (
+    select metric, lang, source, bucket, count(*)::double as w from b group by all
+    union all select g.metric, g.lang, g.source, l.bucket, 100.0::double * l.n / l.total from g join (select metric, lang, bucket, count(*) as n, sum(count(*)) over (partition by metric, lang) as total from b group by metric, lang, bucket) l
+        on g.metric = l.metric and g.lang is not distinct from l.lang
+    union all select g.metric, g.lang, g.source, a.bucket, 100.0::double * a.n / a.total from g join (select metric, bucket, count(*) as n, sum(count(*)) over (partition by metric) as total from b group by metric, bucket) a on g.metric = a.metric),
+upto as (select metric, lang, source, bucket, sum(sum(w)) over (partition by metric, lang, source order by bucket) as upto, sum(sum(w)) over (partition by metric, lang, source) as total from weights group by metric, lang, source, bucket),
+q as (select metric, lang, source, spread, low, min(bucket) filter (where upto >= 0.5 * total * (1 - 1e-9)) as q_middle,
+    min(bucket) filter (where upto >= high * total * (1 - 1e-9)) as q_high, min(bucket) filter (where upto >= low * total * (1 - 1e-9)) as q_low from upto join x using (metric) group by metric, lang, source, spread, low),
+e as (select metric, lang, source, spread, low, case when q_middle < 0 then 0 else exp((q_middle + 1) / 200.0::double) end as middle,
+    case when q_high < 0 then 0 else exp((q_high + 1) / 200.0::double) end as high, case when q_low < 0 then 0 else exp((q_low + 1) / 200.0::double) end as low_end from q),
+limits as (select metric, lang, source, floor(high + spread * (high - middle)) as most, case when low is null then 0 else ceil(low_end - spread * (middle - low_end)) end as least from e),
+over_ as (select b.doc_id, bool_or(v > most or v < least) as bad from b join limits l on b.metric = l.metric and b.lang is not distinct from l.lang and b.source is not distinct from l.source group by b.doc_id)
 select s.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_words < 50 or 100 * n_repeat_words > 50 * n_words) as base_failed,
-    not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and not bad as kept
-from s join over_ on s.doc_id = over_.doc_id
+    not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and not coalesce(bad, false) as kept
+from s left join over_ on s.doc_id = over_.doc_id
 """

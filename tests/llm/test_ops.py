@@ -415,7 +415,7 @@ def test_entropy_depends_on_the_window_alone():
 
 
 def test_quality_counts(docs, corpus):
-    got = {r["doc_id"]: r for r in quality.quality_verdicts(docs, min_group=5).collect()}
+    got = {r["doc_id"]: r for r in quality.quality_verdicts(docs).collect()}
     for doc_id, text, *_ in corpus:
         t = text or ""
         w = W.findall(t)
@@ -430,6 +430,22 @@ def test_quality_counts(docs, corpus):
     assert all(got[i]["kept"] for i in range(1, 60)) and not got[302]["kept"]
 
 
+def test_limits_adapt_to_the_group(spark):
+    """What is usual in one source is refused in another; a small group follows its language."""
+    rng = random.Random(2)
+    prose = lambda marks: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 7))) + ("#" if rng.random() < marks else "") for _ in range(120))
+    rows = [(i, prose(0.2), "en", "code") for i in range(400)] + [(1000 + i, prose(0), "en", "news") for i in range(400)]
+    rows += [(2000, prose(0.2), "en", "news"), (2001, prose(0), "en", "news"), (2002, prose(0.9), "en", "code"), (2003, prose(0), "en", "tiny"), (2004, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r["kept"] for r in quality.quality_verdicts(docs).collect()}
+    assert sum(got[i] for i in range(400)) >= 396 and sum(got[1000 + i] for i in range(400)) >= 396
+    assert [got[i] for i in range(2000, 2005)] == [False, True, False, True, False]
+    stats = docs.select("lang", "source", quality.text_counts("text").alias("s"))
+    limits = {r["g_source"]: r for r in quality.thresholds(quality.sketches(stats)).collect()}
+    assert limits["code"]["most_symbols"] > limits["tiny"]["most_symbols"] >= limits["news"]["most_symbols"]
+    assert sorted(r["doc_id"] for r in quality.keep_good(docs).collect()) == sorted(i for i, k in got.items() if k)
+
+
 def test_slices_cut_between_documents():
     import pyarrow as pa
 
