@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,18 +30,20 @@ from stratalake.llm.tables import documents
 ORDER, BACKOFF = 3, 0.4
 #: Bytes of text in a chunk and in a bucket of the counts (of its n-grams' texts), about.
 CHUNK_BYTES, BUCKET_BYTES = 8 << 20, 8 << 20
+#: Bits of an n-gram's key; differences of sorted keys are what the shuffle carries.
+KEY_BITS = 60
 #: The key of the empty n-gram, which is the context of single words; no other n-gram has it.
 EMPTY = np.uint64(0)
-_GROW = np.uint64(0x9E3779B97F4A7C15)
+_GROW, _DROP = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - KEY_BITS)
 
 
 def ngrams(data: np.ndarray, offsets: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """For sizes 1 to `order`: the keys of all n-grams, and the index of each document's first one."""
     starts, ends, first = K.words(data, offsets)
-    codes = np.maximum(K.span_hashes(data, starts, ends), np.uint64(1))
+    codes = np.maximum(K.span_hashes(data, starts, ends) >> _DROP, np.uint64(1))
     own, out, longer = K.owner(first), [(codes, first)], codes
     for n in range(2, order + 1):
-        longer = np.maximum(K.mix(longer[:-1] * _GROW + codes[n - 1 :]), np.uint64(1))
+        longer = np.maximum(K.mix(longer[:-1] * _GROW + codes[n - 1 :]) >> _DROP, np.uint64(1))
         out.append((longer[own[: len(longer)] == own[n - 1 :]], np.concatenate(([0], np.cumsum(np.maximum(np.diff(first) - (n - 1), 0))))))
     return out
 
@@ -51,24 +54,24 @@ def _texts(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets
 
 
-def _distinct(grams: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """The sorted distinct keys of a chunk, the empty n-gram first, and their counts."""
-    keys, counts = np.unique(np.concatenate([codes for codes, _ in grams]), return_counts=True)
-    return np.concatenate(([EMPTY], keys)), np.concatenate(([len(grams[0][0])], counts))
+def _distinct(grams: list[tuple[np.ndarray, np.ndarray]], inverse: bool = False) -> tuple[np.ndarray, ...]:
+    """The sorted distinct keys of a chunk, the empty n-gram first, (the place of each n-gram among them,) and their counts."""
+    keys, *place, counts = np.unique(np.concatenate([codes for codes, _ in grams]), return_inverse=inverse, return_counts=True)
+    return np.concatenate(([EMPTY], keys)), *(p + 1 for p in place), np.concatenate(([len(grams[0][0])], counts))
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """Numbers byte by byte, all low bytes first: the high ones are mostly zero and compress away in the shuffle."""
-    return values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+def _packed(values: np.ndarray) -> bytes:
+    """Numbers byte by byte, all low bytes first, compressed: the high ones are mostly zero."""
+    return zstandard.compress(values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
 
 
 def _numbers(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<u8").ravel()
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(8, -1).T).view("<u8").ravel()
 
 
 def _low(bucket: np.ndarray, buckets: int) -> np.ndarray:
     """The smallest key of each bucket."""
-    return np.array([-(-(int(b) << 64) // buckets) for b in bucket], np.uint64)
+    return np.array([-(-(int(b) << KEY_BITS) // buckets) for b in bucket], np.uint64)
 
 
 def chunked(docs: DataFrame) -> tuple[DataFrame, int]:
@@ -87,8 +90,8 @@ def exploded(chunks: DataFrame, order: int, buckets: int) -> DataFrame:
         held = [b for b in range(buckets) if edges[b] < edges[b + 1]]
         low = _low(np.array(held), buckets)
         # Differences of sorted keys have fewer bytes than the keys.
-        steps = [_planes(np.diff(keys[edges[b] : edges[b + 1]], prepend=low[i])) for i, b in enumerate(held)]
-        return pa.table([pa.array(held, pa.int32()), pa.repeat(group.column("chunk")[0], len(held)), pa.array(steps, pa.binary()), pa.array([_planes(counts[edges[b] : edges[b + 1]]) for b in held], pa.binary())], names=["bucket", "chunk", "keys", "counts"])
+        steps = [_packed(np.diff(keys[edges[b] : edges[b + 1]], prepend=low[i])) for i, b in enumerate(held)]
+        return pa.table([pa.array(held, pa.int32()), pa.repeat(group.column("chunk")[0], len(held)), pa.array(steps, pa.binary()), pa.array([_packed(counts[edges[b] : edges[b + 1]]) for b in held], pa.binary())], names=["bucket", "chunk", "keys", "counts"])
 
     return chunks.groupBy("chunk").applyInArrow(explode, "bucket int, chunk bigint, keys binary, counts binary")
 
@@ -105,23 +108,25 @@ def elsewhere(grams: DataFrame, buckets: int) -> DataFrame:
         total = np.zeros(int(place.max(initial=-1)) + 1, np.int64)
         np.add.at(total, place, counts_)
         others = np.split(total[place] - counts_, np.cumsum([len(k) for k in keys])[:-1])
-        return pa.table([group.column("bucket"), group.column("chunk"), pa.array([_planes(x) for x in others], pa.binary())], names=["bucket", "chunk", "others"])
+        return pa.table([group.column("bucket"), group.column("chunk"), pa.array([_packed(x) for x in others], pa.binary())], names=["bucket", "chunk", "others"])
 
     return grams.groupBy("bucket").applyInArrow(join, "bucket int, chunk bigint, others binary")
 
 
-def _left(codes: np.ndarray, first: np.ndarray, keys: np.ndarray, totals: np.ndarray) -> np.ndarray:
+def _left(grams: list[tuple[np.ndarray, np.ndarray]], place: np.ndarray, totals: np.ndarray) -> list[np.ndarray]:
     """For each n-gram of a chunk, its count in all documents but its own."""
-    kind = np.searchsorted(keys, codes)
-    pair = K.owner(first) * len(keys) + kind
+    left = np.zeros(len(place), np.int64)
+    again = np.flatnonzero(totals[place] > 1)  # the others are nowhere else
+    pair = np.concatenate([K.owner(first) for _, first in grams])[again] * len(totals) + place[again]
     _, back, count = np.unique(pair, return_inverse=True, return_counts=True)
-    return totals[kind] - count[back]
+    left[again] = totals[place[again]] - count[back]
+    return np.split(left, np.cumsum([len(codes) for codes, _ in grams])[:-1])
 
 
 def scored(chunks: DataFrame, others: DataFrame, order: int) -> DataFrame:
     def score(group: pa.Table, found: pa.Table) -> pa.Table:
         grams = ngrams(*_texts(group), order)
-        keys, counts = _distinct(grams)
+        _, kind, counts = _distinct(grams, True)
         parts = dict(zip(found.column("bucket").to_pylist(), found.column("others")))
         totals = counts + np.concatenate([_numbers(parts[b].as_py()) for b in sorted(parts)]).astype(np.int64)
         first = grams[0][1]
@@ -129,8 +134,7 @@ def scored(chunks: DataFrame, others: DataFrame, order: int) -> DataFrame:
         value, shorter, before = np.zeros(len(own)), None, first
         # The size of the longest n-gram that could end at each word, less one: so often does a single word step down.
         steps = np.minimum(np.arange(len(own)) - first[own], order - 1)
-        for n, (codes, at) in enumerate(grams, 1):
-            count = _left(codes, at, keys, totals)
+        for n, (count, (_, at)) in enumerate(zip(_left(grams, kind, totals), grams), 1):
             doc = K.owner(at)
             index = np.arange(len(count)) - at[doc]
             if n == 1:  # after the empty n-gram, whose count is that of all words
