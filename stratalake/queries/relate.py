@@ -9,10 +9,19 @@ from stratalake.queries.base import Register, sql, table
 
 Q = Register()
 TABLES = {"region": "r_", "nation": "n_", "customer": "c_", "supplier": "s_", "part": "p_"}
+#: Customers are a map layer, and parts are of another dataset.
+LAYERS_SQL = "l as (select * from (values ('region', 'trade', false), ('nation', 'trade', false), ('customer', 'trade', true), ('supplier', 'trade', false), ('part', 'goods', false)) x(tab, grp, spatial))"
+
+
+def _layers(spark):
+    rows = [(t, "goods" if t == "part" else "trade", t == "customer") for t in TABLES]
+    return spark.createDataFrame(rows, "tab string, grp string, spatial boolean")
 
 
 def _tables(spark, d):
-    return {name: (t := table(spark, d, name)).toDF(*[c.removeprefix(prefix) for c in t.columns]) for name, prefix in TABLES.items()}
+    """The tables as a geodatabase would name them: no prefixes, keys end in _id."""
+    named = lambda c, prefix: c.removeprefix(prefix).replace("key", "_id")
+    return {name: (t := table(spark, d, name)).toDF(*[named(c, prefix) for c in t.columns]) for name, prefix in TABLES.items()}
 
 
 def _values(spark, d):
@@ -23,22 +32,28 @@ _COLUMNS = {
     "region": ("regionkey", "name"), "nation": ("nationkey", "name", "regionkey"), "customer": ("custkey", "name", "nationkey", "mktsegment"),
     "supplier": ("suppkey", "name", "nationkey"), "part": ("partkey", "name", "brand", "type", "size"),
 }
-V = "v as (" + " union all ".join(f"select '{t}' as tab, '{c}' as col, {TABLES[t]}{c}::varchar as value from {t}" for t, cs in _COLUMNS.items() for c in cs) + ")"
+V = "v as (" + " union all ".join(f"select '{t}' as tab, '{c.replace('key', '_id')}' as col, {TABLES[t]}{c}::varchar as value from {t}" for t, cs in _COLUMNS.items() for c in cs) + ")"
 PROFILE = """p as (select tab, col, sum(n)::bigint as rows, count(*) as "distinct", min(try_cast(value as bigint)) as low, max(try_cast(value as bigint)) as high, count(try_cast(value as bigint)) as numbers
     from (select tab, col, value, count(*) as n from v group by 1, 2, 3) group by 1, 2),
 f as (select tab, col, rows, "distinct", rows = "distinct" as "unique", rows = "distinct" and "distinct" between 3 and 100000 as is_key, coalesce(numbers = "distinct" and low in (0, 1) and high - low + 1 = "distinct", false) as dense from p)"""
-STEM = "(case when length(regexp_replace(lower({0}), '(_?(id|key|code|no|num|number|name|symbol))$', '')) > 3 then regexp_replace(regexp_replace(lower({0}), '(_?(id|key|code|no|num|number|name|symbol))$', ''), 's$', '') else regexp_replace(lower({0}), '(_?(id|key|code|no|num|number|name|symbol))$', '') end)"
-SCORE = f"""case when lower({{c}}) = lower({{k}}) then 40 when length({STEM.format('{c}')}) >= 3 and contains(lower({{k}}), {STEM.format('{c}')}) then 30
-    when length({STEM.format('{c}')}) >= 3 and ends_with({STEM.format('{t}')}, '_' || {STEM.format('{c}')}) then 28
-    when length({STEM.format('{c}')}) >= 3 and contains(lower({{t}}), {STEM.format('{c}')}) then 22 when regexp_matches(lower({{c}}), '(_?(id|key|code|no|num|number|name|symbol))$') then 10 else 0 end"""
-NAMES = "select p_brand as c, p_type as k, p_name as t from part union all select * from (values ('unit_id', 'unit_code', 'units'), ('faults', 'fault_key', 'x'), ('nationkey', 'nationkey', 'nation'), ('region', 'id', 'map_regions'), ('age', 'symbol', 'ages'), ('parent_id', 'id', 'other'), ('a', 'b', 'c')) x(c, k, t)"
-RELS = f"""with {V}, {PROFILE},
-u as (select distinct tab, col, value from v),
-z as (select tab, col, count(*) as size from u group by 1, 2),
-s as (select a.tab, a.col, b.tab as k_tab, b.col as k_col, f.dense, count(*) as n from u a join u b on a.value = b.value and a.tab <> b.tab join f on f.tab = b.tab and f.col = b.col and f.is_key group by all),
-o as (select s.tab as origin, s.col as origin_col, k_tab as destination, k_col as destination_col, dense, n * 100.0e0 / size as overlap, {SCORE.format(c='s.col', k='k_col', t='k_tab')} as score from s join z on s.tab = z.tab and s.col = z.col),
-r as (select origin, origin_col, destination, destination_col, score, round(overlap, 2) as overlap, round(score + 0.6e0 * overlap, 2) as confidence from o
-    where (score >= 25 and overlap >= 90 and score + 0.6e0 * overlap >= 80) or (score < 25 and score >= 10 and overlap >= 98 and not dense))
+STEM = "coalesce(nullif(regexp_extract(lower({0}), '^(.+?)(_id|_oid|_pk|_fk|id|oid)$', 1), ''), lower({0}))"
+FORMS = f"(case when {STEM} like '%ies' then [{STEM}, {STEM}[:-4] || 'y'] when {STEM} like '%s' then [{STEM}, {STEM}[:-2]] when {STEM} like '%y' then [{STEM}, {STEM}[:-2] || 'ies', {STEM} || 's'] else [{STEM}, {STEM} || 's'] end)"
+ANY = "len(list_filter(" + FORMS.replace("{", "{{").replace("}", "}}").replace("{{0}}", "{0}") + ", lambda f: length(f) >= {1} and {2})) > 0"
+SCORE = (
+    "case when lower({c}) = lower({k}) then 40 when " + ANY.format("{c}", 3, "contains(lower({k}), f)") + " then 30 when " + ANY.format("{c}", 3, "ends_with(lower({t}), '_' || f)") + " then 28 when "
+    + ANY.format("{c}", 4, "contains(lower({t}), f)") + " then 22 when " + STEM.format("{c}") + " <> lower({c}) then 10 else 0 end"
+)
+CASES = "('MapUnit', 'MapUnit', 'DescriptionOfMapUnits'), ('DataSourceID', 'DataSources_ID', 'DataSources'), ('CategoriesID', 'Category_ID', 'Category'), ('UnitID', 'Code', 'geo_unit'), ('StationID', 'Code', 'FieldStations'), ('LocationSourceID', 'DataSources_ID', 'DataSources'), ('Notes', 'MapUnit', 'DescriptionOfMapUnits')"
+NAMES = f"select p_brand || case when p_size % 2 = 0 then '_id' else '' end as c, p_type as k, p_name || '_' || lower(p_brand) as t from part union all select * from (values {CASES}) x(c, k, t)"
+WORDS = "list_transform(list_filter(string_split_regex(" + STEM + ", '[^a-z0-9]+'), lambda w: length(w) >= 4), lambda w: case when w like '%ies' then w[:-4] || 'y' when w like '%s' then w[:-2] else w end)"
+RELS = f"""with {V}, {PROFILE}, {LAYERS_SQL},
+u as (select distinct tab, col, value, grp from v join l using (tab)),
+k as (select f.tab, f.col, grp, "distinct" as keys, {ANY.format('f.col', 3, 'contains(lower(f.tab), f)')} as affinity, dense from f join l on f.tab = l.tab where is_key and not spatial),
+s as (select a.tab, a.col, b.tab as k_tab, b.col as k_col, k.affinity, k.keys, count(*) as n from u a join u b on a.value = b.value and a.tab <> b.tab and a.grp = b.grp join k on k.tab = b.tab and k.col = b.col where not k.dense or k.affinity group by all),
+o as (select s.tab as origin, s.col as origin_col, k_tab as destination, k_col as destination_col, n, f."distinct" as size, n * 100.0e0 / f."distinct" as overlap, {SCORE.format(c='s.col', k='k_col', t='k_tab')} as score, affinity, keys from s join f on s.tab = f.tab and s.col = f.col),
+r as (select origin, origin_col, destination, destination_col, score, round(overlap, 1) as overlap, score + 0.6e0 * overlap as confidence, affinity, keys from o
+    where (score >= 25 and overlap >= 90 and score + 0.6e0 * overlap >= 80) or (score >= 10 and n = size and n >= 3 and destination_col ilike '%id'
+        and list_has_any({WORDS.format('origin_col')}, {WORDS.format('destination')} || {WORDS.format('destination_col')})))
 """
 
 
@@ -55,23 +70,24 @@ def ri2(spark, d):
 def _rels(spark, d):
     v = _values(spark, d)
     p = written(relate.profiles(v), "profiles")
-    return written(relate.relationships(v, p), "relationships"), p
+    return written(relate.relationships(v, p, _layers(spark)), "relationships"), p
 
 
-@Q("ri3_infer_relationships", RELS + "select * from r")
+@Q("ri3_infer_relationships", RELS + "select origin, origin_col, destination, destination_col, score, overlap, confidence, affinity, keys from r")
 def ri3(spark, d):
     return _rels(spark, d)[0]
 
 
-BEST = RELS + """, b as (select * from (select *, row_number() over (partition by origin, destination order by confidence desc, score desc, origin_col, destination_col) as i from r) where i = 1),
-c as (select * from (select *, row_number() over (partition by least(origin, destination), greatest(origin, destination) order by confidence desc, origin) as j from b) where j = 1)
+BEST = RELS + """,
+x as (select origin, destination, arg_max((origin_col, destination_col, confidence), (confidence, overlap, affinity, keys, origin_col, destination_col)) as v, arg_max(keys, (confidence, overlap, affinity, keys, origin_col, destination_col)) as keys from r group by 1, 2),
+c as (select origin, destination, v[1] as origin_col, v[2] as destination_col, floor(v[3] + 0.5)::int as confidence from (select *, row_number() over (partition by least(origin, destination), greatest(origin, destination) order by keys desc, destination desc) as j from x) where j = 1)
 """
 
 
-@Q("ri4_best_pair_per_tables", BEST + "select c.origin, c.origin_col, c.destination, c.destination_col, case when f.\"unique\" then 'one-to-one' else 'many-to-one' end as cardinality from c join f on f.tab = c.origin and f.col = c.origin_col")
+@Q("ri4_best_pair_per_tables", BEST + "select c.origin, c.origin_col, c.destination, c.destination_col, c.confidence, case when f.\"unique\" then 'one_to_one' else 'many_to_one' end as cardinality from c join f on f.tab = c.origin and f.col = c.origin_col")
 def ri4(spark, d):
     rels, p = _rels(spark, d)
-    return relate.best_pairs(rels, p).select("origin", "origin_col", "destination", "destination_col", "cardinality")
+    return relate.best_pairs(rels, p).select("origin", "origin_col", "destination", "destination_col", "confidence", "cardinality")
 
 
 @Q("ri5_merge_declared_inferred", BEST + "select 'nation' as origin, 'customer' as destination, 'declared' as detected_by union all select origin, destination, 'inferred' from c where not (origin in ('nation', 'customer') and destination in ('nation', 'customer'))")
