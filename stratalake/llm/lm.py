@@ -37,10 +37,18 @@ EMPTY = np.uint64(0)
 _GROW, _DROP = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - KEY_BITS)
 
 
-def ngrams(data: np.ndarray, offsets: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For sizes 1 to `order`: the keys of all n-grams, and the index of each document's first one."""
-    starts, ends, first = K.words(data, offsets)
-    codes = np.maximum(K.span_hashes(data, starts, ends) >> _DROP, np.uint64(1))
+def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of all words, and the index of each text's first one (with a closing total)."""
+    codes, lengths = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for _, _, data, offsets in K.slices(texts):
+        starts, ends, first = K.words(data, offsets)
+        codes.append(np.maximum(K.span_hashes(data, starts, ends) >> _DROP, np.uint64(1)))
+        lengths.append(np.diff(first))
+    return np.concatenate(codes), np.concatenate(([0], np.cumsum(np.concatenate(lengths))))
+
+
+def ngrams(codes: np.ndarray, first: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For sizes 1 to `order`: the keys of all n-grams, and the index of each text's first one."""
     own, out, longer = K.owner(first), [(codes, first)], codes
     for n in range(2, order + 1):
         longer = np.maximum(K.mix(longer[:-1] * _GROW + codes[n - 1 :]) >> _DROP, np.uint64(1))
@@ -48,12 +56,6 @@ def ngrams(data: np.ndarray, offsets: np.ndarray, order: int) -> list[tuple[np.n
     return out
 
 
-def _texts(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    (_, _, data, offsets), *more = K.slices(group.column("text"), 1 << 62)
-    assert not more
-    return data, offsets
-
-
 def _distinct(grams: list[tuple[np.ndarray, np.ndarray]], inverse: bool = False) -> tuple[np.ndarray, ...]:
     """The sorted distinct keys of a chunk, the empty n-gram first, (the place of each n-gram among them,) and their counts."""
     keys, *place, counts = np.unique(np.concatenate([codes for codes, _ in grams]), return_inverse=inverse, return_counts=True)
@@ -85,7 +87,7 @@ def exploded(chunks: DataFrame, order: int, buckets: int) -> DataFrame:
     """(bucket, chunk, keys, counts): the distinct n-grams of each chunk, by the bucket of their keys."""
 
     def explode(group: pa.Table) -> pa.Table:
-        keys, counts = _distinct(ngrams(*_texts(group), order))
+        keys, counts = _distinct(ngrams(*words(group.column("text")), order))
         edges = np.searchsorted(keys, _low(np.arange(buckets), buckets)).tolist() + [len(keys)]
         held = [b for b in range(buckets) if edges[b] < edges[b + 1]]
         low = _low(np.array(held), buckets)
@@ -125,7 +127,7 @@ def _left(grams: list[tuple[np.ndarray, np.ndarray]], place: np.ndarray, totals:
 
 def scored(chunks: DataFrame, others: DataFrame, order: int) -> DataFrame:
     def score(group: pa.Table, found: pa.Table) -> pa.Table:
-        grams = ngrams(*_texts(group), order)
+        grams = ngrams(*words(group.column("text")), order)
         _, kind, counts = _distinct(grams, True)
         parts = dict(zip(found.column("bucket").to_pylist(), found.column("others")))
         totals = counts + np.concatenate([_numbers(parts[b].as_py()) for b in sorted(parts)]).astype(np.int64)
@@ -165,10 +167,9 @@ def ngram_counts(docs: DataFrame, order: int = ORDER) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, offsets in K.slices(batch.column(0)):
-                for n, (codes, _) in enumerate(ngrams(data, offsets, order), 1):
-                    keys, counts = np.unique(codes, return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), n, np.int32)), pa.array(keys.view(np.int64)), pa.array(counts)], names=["n", "key", "total"])
+            for n, (codes, _) in enumerate(ngrams(*words(batch.column(0)), order), 1):
+                keys, counts = np.unique(codes, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), n, np.int32)), pa.array(keys.view(np.int64)), pa.array(counts)], names=["n", "key", "total"])
 
     return docs.select("text").mapInArrow(count, "n int, key bigint, total bigint").groupBy("n", "key").agg(F.sum("total").alias("total"))
 
