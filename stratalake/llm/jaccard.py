@@ -2,17 +2,22 @@
 
 Shingles are ordered by their hash. Two documents of m <= n shingles and similarity 3/4 or more share at least
 l of the first n - ceil(3n/4) + l shingles of each, for every l. So a document's prefix is lengthened to
-l = 1 + n div `share`, and a pair needs that many common prefix shingles. Shingles that only one prefix holds
+l = 1 + n div `share`, and a pair is verified only if it has as many prefix shingles in common as the smaller l of the two asks. Shingles that only one prefix holds
 drop out; of the others a document may leave out the l' - 1 most frequent ones, where l' is the least l of
 any document it can link with, and a document with no more than that many has no links at all. What is left
-ties documents into clusters across which nothing links. The estimated cost of a cluster is the square of its
-size: where it is too high, the prefixes of its documents are lengthened further (share 8, 4, then 2) and more common
-shingles are needed, which takes it apart. Each cluster is then verified exactly on whole sets, large ones in blocks, and
-only a spanning forest of the links leaves a task.
+ties documents into clusters across which nothing links. The estimated candidate cost of a document is the size of its cluster:
+where it is too high, the prefixes of the documents are lengthened further (share 8, 4, then 2) and more common
+shingles are needed, which takes the cluster apart. All documents of a cluster are lengthened alike, as each may be the other's candidate.
+
+Within a cluster, common prefix shingles are counted for each pair and the pairs that have enough are verified on whole sets, unless they are
+connected already. Clusters that stay large are first compared with a few pivots each; documents that link with the same pivot
+need not meet again, so that a group of near copies costs its size, not its square. The others meet in pairs of
+blocks. Only a spanning forest of the links leaves a task.
 
 Defined results: null texts and texts without words have no shingles and link with nothing; equal sets link and are
 compared once, by their smallest doc_id; rows that share a doc_id are one document; a null doc_id counts only
-through documents with the same shingles; an empty table gives an empty result.
+through documents with the same shingles; other columns are ignored (keep_one keeps them), whatever their names; a very long text is a slice of its
+own and needs some 60 bytes of memory for each of its own; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratalake.llm import kernels as K
@@ -32,9 +37,11 @@ from stratalake.llm.tables import documents, small, written
 WORDS = 5
 SHARES = (8, 4, 2)
 #: The largest cluster that one task verifies, in documents and in shingles, and the size of a block of larger ones.
-CLUSTER_DOCS, CLUSTER_SHINGLES, BLOCK_DOCS = 1000, 4_000_000, 500
-#: Documents up to which pairs are compared one by one, and columns of a matrix product beyond that.
-FEW, COLUMNS = 24, 8192
+CLUSTER_DOCS, CLUSTER_SHINGLES, BLOCK_DOCS = 250, 4_000_000, 125
+#: Pivots of a large cluster in a round; rounds go on while they link this share of the documents that are left.
+PIVOTS, WORTH = 16, 0.1
+#: Columns of a matrix product.
+COLUMNS = 8192
 
 
 def summaries(docs: DataFrame, k: int = WORDS) -> DataFrame:
@@ -106,54 +113,109 @@ def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def verified(ids: list[int], sets: list[np.ndarray], side: list[int] | None = None) -> list[tuple[int, int]]:
+def verified(ids: list[int], sets: list[np.ndarray], share: int, side: list[int] | None = None) -> list[tuple[int, int]]:
     """A spanning forest of the links among sets; with `side` (0 or 1), of those between the two sides."""
-    forest = Forest()
-    if len(ids) <= FEW and side is None:
-        order = sorted(range(len(ids)), key=lambda x: len(sets[x]))
-        for y, j in enumerate(order):
-            for i in order[:y][::-1]:
-                small_n, large_n = len(sets[i]), len(sets[j])
-                if 100 * small_n < 75 * large_n:
-                    break
-                if forest.find(ids[i]) != forest.find(ids[j]):
-                    both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                    if 100 * both >= 75 * (small_n + large_n - both):
-                        forest.join(ids[i], ids[j])
-        return forest.links()
-    a = [x for x in range(len(ids)) if side is None or side[x] == 0]
-    b = a if side is None else [x for x in range(len(ids)) if side[x] == 1]
-    if a and b:
-        na, nb = (np.array([len(sets[x]) for x in s], np.float64) for s in (a, b))
-        both = overlaps([sets[x] for x in a], [sets[x] for x in b]).astype(np.float64)
-        for x, y in zip(*np.nonzero(100 * both >= 75 * (na[:, None] + nb[None, :] - both))):
-            if a[x] != b[y]:
-                forest.join(ids[a[x]], ids[b[y]])
+    forest, n = Forest(), np.array([len(s) for s in sets], np.int64)
+    a = np.array([x for x in range(len(ids)) if side is None or side[x] == 0], np.int64)
+    b = a if side is None else np.array([x for x in range(len(ids)) if side[x] == 1], np.int64)
+    if not len(a) or not len(b) or len(ids) < 2:
+        return []
+    prefixes_, need = [s[:m] for s, m in zip(sets, prefix_length(n, share))], 1 + n // share
+    common = overlaps([prefixes_[x] for x in a], [prefixes_[x] for x in b])
+    fit = (common >= np.minimum(need[a][:, None], need[b][None, :])) & (100 * np.minimum(n[a][:, None], n[b][None, :]) >= 75 * np.maximum(n[a][:, None], n[b][None, :]))
+    if side is None:
+        fit = np.triu(fit, 1)
+    failed, left = 0, []
+    for x, y in zip(*(v.tolist() for v in np.nonzero(fit))):
+        i, j = int(a[x]), int(b[y])
+        if forest.find(ids[i]) == forest.find(ids[j]):
+            continue
+        if failed > 2 * len(ids):  # many pairs that do not link are cheaper together
+            left.append((x, y))
+            continue
+        both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+        if 100 * both >= 75 * (n[i] + n[j] - both):
+            forest.join(ids[i], ids[j])
+        else:
+            failed += 1
+    if left:
+        whole = overlaps([sets[x] for x in a], [sets[x] for x in b]).astype(np.int64)
+        for x, y in left:
+            i, j, both = int(a[x]), int(b[y]), int(whole[x, y])
+            if 100 * both >= 75 * (n[i] + n[j] - both):
+                forest.join(ids[i], ids[j])
     return forest.links()
 
 
 def _verify(group: pa.Table) -> pa.Table:
     sets = [np.frombuffer(x.as_py(), np.uint64) for x in group.column("tokens")]
-    i, j, own = (group.column(c).to_pylist() for c in ("i", "j", "b"))
-    links = verified(group.column("doc").to_pylist(), sets, None if i[0] == j[0] else [int(x == j[0]) for x in own])
+    i, j, share = (group.column(c)[0].as_py() for c in ("i", "j", "share"))
+    side = None if i == j else [int(x == j) for x in group.column("b").to_pylist()]
+    links = verified(group.column("doc").to_pylist(), sets, share, side)
     return pa.table([pa.array([x[n] for x in links], pa.int64()) for n in (0, 1)], names=["u", "v"])
 
 
-def links(docs: DataFrame, found: DataFrame, k: int = WORDS) -> DataFrame:
-    """(u, v): spanning links within the clusters `found` (doc, cluster, blocks), from whole sets."""
+def links(docs: DataFrame, placed: DataFrame, k: int = WORDS) -> DataFrame:
+    """(u, v): spanning links from whole sets; `placed` has (doc, cluster, share, b, others): its block, and the blocks to meet."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, end, data, offsets in K.slices(batch.column(3)):
+            for at, end, data, offsets in K.slices(batch.column(5)):
                 sets = [s.tobytes() for s in K.shingle_sets(data, offsets, k)]
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(at, end - at) for c in range(3)), pa.array(sets, pa.binary())], names=["doc", "cluster", "blocks", "tokens"])
-
-    chosen = docs.join(small(found), docs["doc_id"] == found["doc"]).select("doc", "cluster", "blocks", "text")
-    sets = chosen.mapInArrow(packed, "doc bigint, cluster bigint, blocks bigint, tokens binary").withColumn("b", F.pmod(F.xxhash64("doc"), F.col("blocks")))
-    # A block meets every other one of its cluster once; a cluster of one block is a group by itself.
-    placed = sets.withColumn("o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    placed = placed.withColumns({"i": F.least("b", "o"), "j": F.greatest("b", "o")}).drop("o", "blocks")
-    return placed.groupBy("cluster", "i", "j").applyInArrow(_verify, "u bigint, v bigint")
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(at, end - at) for c in range(5)), pa.array(sets, pa.binary())], names=["doc", "cluster", "share", "b", "others", "tokens"])
+
+    chosen = docs.join(small(placed), docs["doc_id"] == placed["doc"]).select("doc", "cluster", "share", "b", "others", "text")
+    sets = chosen.mapInArrow(packed, "doc bigint, cluster bigint, share int, b bigint, others array<bigint>, tokens binary")
+    met = sets.withColumn("o", F.explode("others")).withColumns({"i": F.least("b", "o"), "j": F.greatest("b", "o")}).drop("o", "others")
+    return met.groupBy("cluster", "i", "j").applyInArrow(_verify, "u bigint, v bigint")
+
+
+def _n_blocks(docs: Column, shingles: Column) -> Column:
+    return F.ceil(F.greatest(docs / BLOCK_DOCS, shingles / (CLUSTER_SHINGLES // 2))).cast("long")
+
+
+def _to(low: Column, high: Column) -> Column:
+    """The whole numbers from low up to but without high."""
+    return F.when(low < high, F.sequence(low, high - 1)).otherwise(F.array().cast("array<bigint>"))
+
+
+def pivot_links(docs: DataFrame, large: DataFrame, share: int, k: int = WORDS) -> DataFrame:
+    """(u, v): links of the documents of large clusters (doc, cluster, n) with pivots, over some rounds."""
+    rest, out = large, None
+    zero = F.lit(0).cast("long")
+    while True:
+        drawn = F.pmod(F.xxhash64("doc"), F.lit(PIVOTS))
+        pivots = rest.groupBy("cluster", drawn).agg(F.min_by("doc", F.xxhash64("doc")).alias("doc")).select("doc", F.lit(True).alias("pivot"))
+        sizes = rest.groupBy("cluster").agg((_n_blocks(F.count(F.lit(1)), F.sum("n")) + 1).alias("blocks"))
+        placed = rest.join(sizes, "cluster").join(written(pivots, "pivots"), "doc", "left")
+        # Pivots are block 0, which meets all others and itself.
+        b = F.when(F.col("pivot"), zero).otherwise(1 + F.pmod(F.xxhash64("doc"), F.col("blocks") - 1))
+        placed = placed.select("doc", "cluster", F.lit(share).alias("share"), b.alias("b"), F.when(F.col("pivot"), _to(zero, F.col("blocks"))).otherwise(F.array(zero)).alias("others"))
+        found = written(links(docs, written(placed, "placed"), k), "pivot-links")
+        out = found if out is None else out.union(found)
+        linked = found.select(F.explode(F.array("u", "v")).alias("doc")).distinct()
+        left = written(rest.join(linked, "doc", "left_anti"), "left")
+        before, after = rest.count(), left.count()
+        if not after or before - after < WORTH * before:
+            return out
+        rest = left
+
+
+def large_links(docs: DataFrame, large: DataFrame, share: int, k: int = WORDS) -> DataFrame:
+    """(u, v): spanning links of the large clusters (doc, cluster, n), by pivots and then by pairs of blocks."""
+    by_pivot = written(pivot_links(docs, large, share, k), "pivot-links")
+    roots = components(by_pivot)
+    core = roots.union(roots.select("v", "v").distinct()).toDF("doc", "core")
+    members = written(large.join(core, "doc", "left"), "members")
+    parts = members.groupBy("cluster", "core").agg(_n_blocks(F.count(F.lit(1)), F.sum("n")).alias("blocks"))
+    # A cluster has as many parts as pivots at most, and one of all documents without one.
+    parts = written(parts.withColumns({"first": F.sum("blocks").over(Window.partitionBy("cluster").orderBy("core")) - F.col("blocks"), "all": F.sum("blocks").over(Window.partitionBy("cluster"))}), "parts")
+    parts = parts.withColumnsRenamed({"cluster": "p_cluster", "core": "p_core"})
+    placed = members.join(small(parts), (F.col("cluster") == F.col("p_cluster")) & F.col("core").eqNullSafe(F.col("p_core")))
+    zero = F.lit(0).cast("long")
+    others = F.when(F.col("core").isNull(), _to(zero, F.col("all"))).otherwise(F.concat(_to(zero, F.col("first")), _to(F.col("first") + F.col("blocks"), F.col("all"))))
+    placed = placed.select("doc", "cluster", F.lit(share).alias("share"), (F.col("first") + F.pmod(F.xxhash64("doc"), F.col("blocks"))).alias("b"), others.alias("others"))
+    return by_pivot.union(links(docs, written(placed.filter(F.size("others") > 0), "placed"), k))
 
 
 def component_ids(docs: DataFrame, k: int = WORDS) -> DataFrame:
@@ -171,55 +233,47 @@ def component_ids(docs: DataFrame, k: int = WORDS) -> DataFrame:
     sizes = classes.filter("doc is not null").groupBy("doc").agg(F.min("n_shingles").alias("n"))
     members, parts = first, []
     for share in SHARES:
-        found = clusters(members, sizes, share, k)
-        cost = found.join(sizes, "doc").groupBy("cluster").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles"))
+        found = clusters(members, sizes, share, k).join(sizes, "doc")
+        cost = found.groupBy("cluster").agg(F.count(F.lit(1)).alias("docs"), F.sum("n").alias("shingles"))
         found = written(found.join(cost, "cluster"), "clusters")
         large = (F.col("docs") > CLUSTER_DOCS) | (F.col("shingles") > CLUSTER_SHINGLES)
-        parts.append(found.filter(~large).select("doc", "cluster", F.lit(1).cast("long").alias("blocks")))
-        rest = found.filter(large)
+        zero = F.lit(0).cast("long")
+        parts.append(found.filter(~large).select("doc", "cluster", F.lit(share).alias("share"), zero.alias("b"), F.array(zero).alias("others")))
+        rest = found.filter(large).select("doc", "cluster", "n")
         if rest.isEmpty():
             break
         members = first.join(small(rest.select(F.col("doc").alias("doc_id"))), "doc_id", "left_semi")
-    blocks = F.ceil(F.greatest(F.col("docs") / BLOCK_DOCS, F.col("shingles") / (CLUSTER_SHINGLES // 2)))
-    parts.append(rest.select("doc", "cluster", blocks.alias("blocks")))
     found = parts[0]
     for part in parts[1:]:
         found = found.union(part)
     edges = links(first, written(found, "candidates"), k)
+    if not rest.isEmpty():
+        edges = edges.union(large_links(first, rest, share, k))
     same = named.join(several, "doc_id", "left_semi").filter("doc is not null").select(F.col("doc_id").alias("u"), F.col("doc").alias("v"))
     roots = components(edges.union(same))
     out = named.join(roots, F.coalesce("doc", "doc_id") == F.col("u"), "left")
     return out.select("doc_id", "n_shingles", F.coalesce("v", "doc", "doc_id").alias("component_id"))
 
 
-def _without_id(docs: DataFrame, k: int) -> DataFrame:
-    """The rows of `docs` with a null doc_id whose shingles no row with an id has, one of each set; all that have no shingles."""
-    hashed = F.xxhash64("text")
-    nulls = docs.filter(docs["doc_id"].isNull()).withColumn("_text", hashed)
-    sums = written(summaries(nulls.select(F.col("_text").alias("doc_id"), "text").distinct(), k), "unnamed")
-    taken = summaries(docs.filter(docs["doc_id"].isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text"), k).select("digest").distinct()
-    one = sums.filter("n_shingles > 0").join(taken, "digest", "left_anti").groupBy("digest").agg(F.min("doc_id").alias("_one"))
-    bare = sums.filter("n_shingles = 0").select(F.col("doc_id").alias("_one")).distinct()
-    kept = nulls.join(one.select("_one"), F.col("_text") == F.col("_one"), "left_semi").dropDuplicates(["_text"])
-    return kept.unionByName(nulls.join(bare, F.col("_text") == F.col("_one"), "left_semi")).drop("_text")
-
-
 def keep_one(docs: DataFrame, k: int = WORDS) -> DataFrame:
-    """The rows of `docs` with the smallest doc_id of each component, one row for each doc_id, with all their columns.
+    """One row of `docs` of each group of near duplicates, with all its columns: that with the smallest doc_id (null ids last), then text hash.
 
-    Of rows that share an id, the one whose text has the smallest hash stays. Rows without an id stay unless others have the same shingles.
+    Groups are of rows, whatever their ids: rows that share an id, or have none, but not a text stay apart. Rows without shingles all stay.
     """
-    found = written(component_ids(docs, k), "components")
-    dropped = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_dropped_id")).distinct()
-    kept = docs.join(small(dropped), docs["doc_id"] == F.col("_dropped_id"), "left_anti")
-    again = written(found.groupBy("doc_id").count().filter("count > 1 and doc_id is not null").select(F.col("doc_id").alias("_again_id")), "again")
-    if not again.isEmpty():
-        first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-        several = kept.join(small(again), kept["doc_id"] == F.col("_again_id"), "left_semi").withColumn("_r", F.row_number().over(first)).filter("_r = 1").drop("_r")
-        kept = kept.join(small(again), kept["doc_id"] == F.col("_again_id"), "left_anti").unionByName(several)
-    if found.filter("doc_id is null").isEmpty():
+    key = F.xxhash64("doc_id", "text")
+    keyed = docs.select(F.col("doc_id").cast("long").alias("id"), key.alias("key"), "text")
+    found = written(component_ids(keyed.select(F.col("key").alias("doc_id"), "text"), k).filter("n_shingles > 0").distinct(), "components")
+    ids = keyed.groupBy("key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("rows"))
+    groups = found.select(F.col("doc_id").alias("key"), F.col("component_id").alias("group")).distinct().join(ids, "key")
+    best = groups.groupBy("group").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))["key"].alias("best"))
+    state = written(groups.join(best, "group").filter("key <> best or rows > 1").select(F.col("key").alias("_key"), (F.col("key") == F.col("best")).alias("_stays")), "dropped")
+    kept = docs.join(small(state.filter("not _stays").select("_key")), key == F.col("_key"), "left_anti")
+    again = state.filter("_stays").select("_key")
+    if again.isEmpty():
         return kept
-    return kept.filter("doc_id is not null").unionByName(_without_id(docs, k))
+    # Rows that repeat a document as a whole: any one of them stays.
+    repeated = kept.withColumn("_one", key).join(small(again), F.col("_one") == F.col("_key"), "left_semi").dropDuplicates(["_one"]).drop("_one")
+    return kept.join(small(again), key == F.col("_key"), "left_anti").unionByName(repeated)
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -292,7 +292,7 @@ def jaccard_brute(corpus):
 def test_jaccard_join(docs, corpus, monkeypatch):
     want = jaccard_brute(corpus)
     assert {want[i][1] for i in (7, 100, 101, 102)} == {7}
-    for most, block in ((1000, 500), (2, 2)):  # small limits make longer prefixes and blocks
+    for most, block in ((1000, 500), (2, 2), (1, 1)):  # small limits make longer prefixes, pivots and blocks
         monkeypatch.setattr(jaccard, "CLUSTER_DOCS", most)
         monkeypatch.setattr(jaccard, "BLOCK_DOCS", block)
         assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.component_ids(docs).collect()} == want
@@ -300,11 +300,15 @@ def test_jaccard_join(docs, corpus, monkeypatch):
     assert kept == {i for i, (_, c) in want.items() if c == i}
 
 
-def test_jaccard_on_chains_and_hot_groups(spark):
+def test_jaccard_on_chains_and_hot_groups(spark, monkeypatch):
     base = [f"w{i}" for i in range(120)]
     rows = [(i, " ".join(base[: 60 + i])) for i in range(60)] + [(100 + i, " ".join(base[:60]) + f" own{i} tail{i}") for i in range(40)]
     want = {i: v[1] for i, v in jaccard_brute(rows).items()}
-    assert {r["doc_id"]: r["component_id"] for r in jaccard.component_ids(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == want
+    for pivots in (16, 2):
+        monkeypatch.setattr(jaccard, "CLUSTER_DOCS", 20)
+        monkeypatch.setattr(jaccard, "BLOCK_DOCS", 7)
+        monkeypatch.setattr(jaccard, "PIVOTS", pivots)
+        assert {r["doc_id"]: r["component_id"] for r in jaccard.component_ids(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == want
 
 
 def test_rows_without_an_id_are_kept(spark):
@@ -312,8 +316,7 @@ def test_rows_without_an_id_are_kept(spark):
     rows = [(1, text("a")), (2, text("b")), (2, text("c")), (3, text("a")), (None, text("d")), (None, text("e")), (None, text("e")), (None, text("b")), (None, None), (None, "")]
     run = lambda n: sorted(((r["doc_id"] or 0, r["text"] or "") for r in jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(n)).collect()))
     got = run(1)
-    assert [g for g in got if g[0] != 2] == sorted([(0, ""), (0, ""), (0, text("d")), (0, text("e")), (1, text("a"))])
-    assert [g[0] for g in got].count(2) == 1 and got == run(5)
+    assert got == sorted([(0, ""), (0, ""), (0, text("d")), (0, text("e")), (1, text("a")), (2, text("b")), (2, text("c"))]) == run(5)
 
 
 @pytest.mark.parametrize("few", [0, 100_000])
@@ -337,7 +340,15 @@ def test_verified_agrees_with_sets():
             both = len(np.intersect1d(sets[a], sets[b]))
             if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
                 forest.join(a, b)
-    assert dict(jaccard.verified(list(range(60)), sets)) == dict(forest.links())
+    for share in jaccard.SHARES:
+        assert dict(jaccard.verified(list(range(60)), sets, share)) == dict(forest.links())
+    both = components.Forest()
+    for part in (range(30), range(30, 60)):
+        for u, v in jaccard.verified(list(part), [sets[x] for x in part], 8):
+            both.join(u, v)
+    for u, v in jaccard.verified(list(range(60)), sets, 8, [int(x >= 30) for x in range(60)]):
+        both.join(u, v)
+    assert dict(both.links()) == dict(forest.links())
 
 
 def test_personal_data_rules():
