@@ -29,9 +29,9 @@ from stratalake.llm.tables import documents
 
 ORDER, BACKOFF = 3, 0.4
 #: Bytes of text in a chunk and in a bucket of the counts (of its n-grams' texts), about.
-CHUNK_BYTES, BUCKET_BYTES = 8 << 20, 8 << 20
+CHUNK_BYTES, BUCKET_BYTES = 6 << 20, 6 << 20
 #: Bits of an n-gram's key; differences of sorted keys are what the shuffle carries.
-KEY_BITS = 60
+KEY_BITS = 58
 #: The key of the empty n-gram, which is the context of single words; no other n-gram has it.
 EMPTY = np.uint64(0)
 _GROW, _DROP = np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - KEY_BITS)
