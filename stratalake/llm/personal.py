@@ -1,15 +1,17 @@
 """Personal data: fixed rules, and bootstrapped contextual extraction of what the rules miss.
 
-Spans of the fixed rules are the seeds. The one or two words before a span are a lexical pattern; so are those before
-whatever else looks like an identifier: groups of digits joined by single spaces, dots, hyphens or brackets, and tokens with several digits or an @. Patterns and instances (the tokens, in
+Spans of the fixed rules are the seeds, and so are long tokens of letters and digits, the secrets. Lexical patterns are the one, two or three words before a
+span, the word after it, and its shape (each digit as 0, each letter as a or A); candidates are whatever else looks like an identifier: groups of digits joined
+by single spaces, dots, hyphens or brackets, and tokens with several digits or an @. Patterns and instances (the tokens, in
 lower case) form a graph. In each round a pattern is scored for a kind by the share of known instances of this kind among all
-instances that it comes before, and an unknown instance by the noisy or of the good patterns before it; what
+instances that it goes with, and an unknown instance by the noisy or of its good patterns; what
 passes is known in the next round; rounds go on until there is nothing new. At the end, unknown tokens with a good pattern whose instance became
 known are further spans of the pattern's kind.
 
 Defined results: a null text is empty; spans count code points and their ends are exclusive; further spans never
-overlap those of the rules; rows that share a doc_id and a text get the same spans; ties between kinds go to the
-first in KINDS; an empty table gives an empty result.
+overlap those of the rules; rows that share a doc_id and a text, null ids included, get the same spans; ties between kinds go to the
+first in KINDS; words of a pattern count by their CONTEXT characters next to the span; other columns are ignored, whatever their names; a very
+long text is searched as a whole, in time in proportion to its length; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,11 +28,15 @@ from pyspark.sql import functions as F
 
 from stratalake.llm.tables import documents, written
 
-KINDS = ("email", "ip", "card", "phone")
+#: The kinds of the fixed rules, and those that the method adds.
+BASE_KINDS = ("email", "ip", "card", "phone")
+KINDS = (*BASE_KINDS, "secret")
 #: A pattern is good with so many known instances, in this share of its instances; an instance is known from this score.
 MIN_SUPPORT, MIN_CONFIDENCE, MIN_SCORE = 5, 0.8, 0.8
-#: How far before an identifier words are looked for.
+#: How far from an identifier words are looked for.
 CONTEXT = 64
+#: Kinds of slots that no rule found: candidates, and tokens within a candidate.
+UNKNOWN, PART = -1, -2
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
@@ -39,9 +45,11 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]{2,}|@")
 #: Groups of digits joined by single spaces, dots, hyphens or brackets.
 _GROUPS = re.compile(r"\+?\(?[0-9]++(?:(?:\)[ .-]?\(?|[ .-]\(?|\()[0-9]++)*+")
+_SECRET = re.compile(r"(?=(?:[A-Za-z_-]*[0-9]){6})(?=(?:[0-9_-]*[A-Za-z]){6})[A-Za-z0-9_-]{32,}={0,2}")
+_SHAPE = str.maketrans({**dict.fromkeys("0123456789", "0"), **dict.fromkeys("abcdefghijklmnopqrstuvwxyz", "a"), **dict.fromkeys("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "A")})
 _SPACE = " \t\n\x0b\x0c\r"
 _EDGE = "\"'`.,;:!?()[]{}<>|"
-FOUND = "doc_id bigint, t bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base string, slots array<struct<pattern:bigint,pattern2:bigint,instance:bigint,start:int,end:int,kind:int>>"
+FOUND = "doc_id bigint, t bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base string, slots array<struct<patterns:array<bigint>,instance:bigint,start:int,end:int,kind:int>>"
 
 
 def emails(text: str) -> list[tuple[int, int]]:
@@ -93,7 +101,7 @@ def _looks_like_one(token: str) -> bool:
 def other_tokens(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
     """(start, end, kind) of what looks like an identifier and touches no span of the rules.
 
-    Kind -1 are groups of digits that stand for themselves, and other tokens; kind -2 are tokens within such groups.
+    UNKNOWN are groups of digits that stand for themselves, and other tokens, unless they are secrets; PART are tokens within such groups.
     """
     taken: list[tuple[int, int]] = []  # the spans as disjoint stretches
     for s, _, e in spans:
@@ -117,7 +125,7 @@ def other_tokens(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple
                 to += 1
             if (not from_ or text[from_ - 1] in _SPACE) and (to == len(text) or text[to] in _SPACE):
                 groups.append((start, end))
-                yield start, end, -1
+                yield start, end, UNKNOWN
     done = 0
     for m in _DIGITS.finditer(text):
         if m.start() < done:
@@ -135,25 +143,26 @@ def other_tokens(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple
         if _looks_like_one(text[start:end]) and free(start, end):
             within = bisect_left(groups, (start + 1, 0)) - 1
             if within < 0 or groups[within][1] < end:
-                yield start, end, -1
+                yield start, end, KINDS.index("secret") if _SECRET.fullmatch(text, start, end) else UNKNOWN
             elif groups[within] != (start, end):
-                yield start, end, -2
+                yield start, end, PART
 
 
 def _slots(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
     out = []
     for start, end, kind in [*((s, e, k) for s, k, e in spans), *other_tokens(text, spans)]:
-        before = text[max(0, start - CONTEXT) : start].lower().split()[-2:]
-        one, two = ("^", *before)[-1], " ".join(("^", "^", *before)[-2:])
-        out.append({"pattern": _code("1 " + one), "pattern2": _code("2 " + two), "instance": _code(text[start:end].lower()), "start": start, "end": end, "kind": kind})
+        before = text[max(0, start - CONTEXT) : start].lower().split()[-3:]
+        after = text[end : end + CONTEXT].lower().split()[:1]
+        patterns = ["1 " + ("^", *before)[-1], "2 " + " ".join(("^", "^", *before)[-2:]), "5 " + " ".join(("^", "^", "^", *before)[-3:]), "3 " + (*after, "$")[0], "4 " + text[start:end].translate(_SHAPE)]
+        out.append({"patterns": [_code(x) for x in patterns], "instance": _code(text[start:end].lower()), "start": start, "end": end, "kind": kind})
     return out
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """Per row of `docs`: the counts and spans of the rules, and its slots (kinds -1 and -2: not found by a rule)."""
+    """Per row of `docs`: the counts and spans of the rules, and its slots (kinds under 0: unknown)."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slot = pa.list_(pa.struct([("pattern", pa.int64()), ("pattern2", pa.int64()), ("instance", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("kind", pa.int32())]))
+        slot = pa.list_(pa.struct([("patterns", pa.list_(pa.int64())), ("instance", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("kind", pa.int32())]))
         for batch in batches:
             counts, bases, slots = ([], [], [], []), [], []
             for value in batch.column(2):
@@ -171,7 +180,7 @@ def find(docs: DataFrame) -> DataFrame:
 def bootstrap(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(pattern, kind) of the good patterns and (instance, kind) of the instances that became known."""
     slots = found.select(F.explode("slots").alias("s")).select("s.*")
-    edges = slots.select(F.explode(F.array("pattern", "pattern2")).alias("pattern"), "instance", "kind").distinct()
+    edges = slots.select(F.explode("patterns").alias("pattern"), "instance", "kind").distinct()
     edges = written(edges, "edges")
     known = written(edges.filter("kind >= 0").groupBy("instance").agg(F.min("kind").alias("known")), "known")
     unknown = edges.filter("kind < 0").select("pattern", "instance").distinct()
@@ -193,11 +202,12 @@ def bootstrap(found: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, base, spans, n_more) of each row."""
+    """(doc_id, n_email, n_ip, n_card, n_phone, base, spans, n_more, n_spans) of each row: by the rules, by the method, and together."""
     found = written(find(docs), "personal")
     good, known = bootstrap(found)
-    slots = found.select("doc_id", "t", F.explode("slots").alias("s")).filter("s.kind < 0").select("doc_id", "t", "s.instance", "s.start", "s.end", F.explode(F.array("s.pattern", "s.pattern2")).alias("pattern"))
-    more = slots.join(known, "instance").join(good, "pattern").filter(F.col("kind") == F.col("known")).select("doc_id", "t", "start", "kind", "end").distinct()
+    slots = found.select("doc_id", "t", F.explode("slots").alias("s")).filter("s.kind < 0").select("doc_id", "t", "s.instance", "s.start", "s.end", F.explode("s.patterns").alias("pattern"))
+    seeds = found.select("doc_id", "t", F.explode("slots").alias("s")).filter(F.col("s.kind") >= len(BASE_KINDS)).select("doc_id", "t", "s.start", "s.kind", "s.end")
+    more = slots.join(known, "instance").join(good, "pattern").filter(F.col("kind") == F.col("known")).select("doc_id", "t", "start", "kind", "end").union(seeds).distinct()
     # What lies in a longer one that was found is part of it.
     longer = F.max("end").over(Window.partitionBy("doc_id", "t").orderBy("start", F.desc("end"), "kind").rowsBetween(Window.unboundedPreceding, -1))
     same = F.lag(F.struct("start", "end")).over(Window.partitionBy("doc_id", "t").orderBy("start", F.desc("end"), "kind"))
@@ -207,8 +217,10 @@ def personal_data(docs: DataFrame) -> DataFrame:
     parts = F.transform(F.filter(F.split("base", ","), lambda x: x != ""), lambda x: F.struct(F.split(x, ":")[1].cast("int").alias("start"), F.array_position(F.array(*map(F.lit, KINDS)), F.split(x, ":")[0]).cast("int").alias("kind"), F.split(x, ":")[2].cast("int").alias("end")))
     extra = F.transform("more", lambda x: F.struct(x["start"].alias("start"), (x["kind"] + 1).cast("int").alias("kind"), x["end"].alias("end")))
     all_ = F.array_join(F.transform(F.array_sort(F.concat(parts, extra)), lambda x: F.concat_ws(":", F.element_at(F.array(*map(F.lit, KINDS)), x["kind"]), x["start"], x["end"])), ",")
-    return joined.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base", F.coalesce(all_, "base").alias("spans"), F.coalesce(F.size("more"), F.lit(0)).cast("long").alias("n_more"))
+    n_more = F.coalesce(F.size("more"), F.lit(0)).cast("long")
+    total = F.col("n_email") + F.col("n_ip") + F.col("n_card") + F.col("n_phone") + n_more
+    return joined.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base", F.coalesce(all_, "base").alias("spans"), n_more.alias("n_more"), total.alias("n_spans"))
 
 
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return personal_data(documents(spark, sf_dir)).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans", "n_more")
+    return personal_data(documents(spark, sf_dir)).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans", "n_more", "n_spans")
