@@ -4,16 +4,17 @@ Each language has a tree of byte contexts of up to ORDER bytes, counted on a bou
 documents. A byte that was seen after a context costs -log2(c / (total + distinct)) bits there; otherwise the escape,
 -log2(distinct / (total + distinct)), is paid and the next shorter context asked, down to an even distribution
 over all 256 bytes. The statistics are frozen, so the exact code length of a byte depends on the ORDER bytes
-before it alone and is tabulated once for every context that any language has seen. A text is scored by adding up
-its bytes' lengths under each language.
+before it alone. The trees of all languages are sorted lists of what was seen, so the model's size is that of the distinct runs of bytes in the
+sample; a text is scored by looking up its distinct runs and adding up their lengths under each language.
 
-The sample takes each labelled document with probability `sample_bytes` over the bytes of its language, drawn by
-its id: about `sample_bytes` a language whatever the size of the input, whole texts only. Languages are limited to
-the `max_langs` with the most text.
+The sample takes each labelled document with a probability, drawn by its id: about `sample_bytes` a language, and less where all languages together
+would pass `total_bytes`, whatever the size of the input; whole texts only, and one document a language at least. Every label is learned.
+The model holds at most (ORDER + 1) * total_bytes entries of 13 bytes (and those of the single documents), which bounds what is broadcast.
 
 Defined results: null texts and texts without a letter are `und` with score 0; a null language teaches nothing;
-without labelled text everything is `und`; rows that share a doc_id are scored on their own; ties go to the
-language that comes first by code point; an empty table gives an empty result.
+without labelled text everything is `und`; rows that share a doc_id are scored on their own; a null doc_id is learned from and not held out; ties go to the
+language that comes first by code point; a very long text is a slice of its own and needs some 60 bytes of memory for each of its own; other columns are
+kept, but lang_pred and score are replaced if they are there; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from stratalake.llm import kernels as K
 from stratalake.llm.tables import documents, small, written
 
 ORDER = 3
-SAMPLE_BYTES = 1_500_000
+SAMPLE_BYTES, TOTAL_BYTES = 1_500_000, 16_000_000
 #: What stands before the first byte of every text.
 START = "\n" * ORDER
 SLICE_BYTES = 1 << 20
@@ -39,14 +40,17 @@ def fold(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4))
 
 
-def training_sample(docs: DataFrame, sample_bytes: int) -> DataFrame:
-    """(lang, text) of the labelled documents that are not held out, about `sample_bytes` of each language, one document at least."""
+def training_sample(docs: DataFrame, sample_bytes: int, total_bytes: int = TOTAL_BYTES) -> DataFrame:
+    """(lang, text) of labelled documents that are not held out, about `sample_bytes` of each language, one document at least."""
     labelled = docs.select("doc_id", "lang", "text").filter("lang is not null and text <> ''").filter(F.coalesce(fold(F.col("doc_id")) != 2, F.lit(True)))
-    drawn = F.shiftrightunsigned(F.xxhash64("doc_id", F.octet_length("text")), 11) * F.lit(2.0**-53)
-    labelled = labelled.withColumn("drawn", drawn)
-    totals = labelled.groupBy(F.col("lang").alias("r_lang")).agg((F.lit(float(sample_bytes)) / F.sum(F.octet_length("text"))).alias("rate"), F.min("drawn").alias("least"))
-    # A few long documents may all be missed; the one with the smallest draw stands for them.
-    return labelled.join(small(totals), F.col("lang") == F.col("r_lang")).filter((F.col("drawn") < F.col("rate")) | (F.col("drawn") == F.col("least"))).select("lang", "text")
+    size = F.octet_length("text")
+    drawn = F.shiftrightunsigned(F.xxhash64("doc_id", size), 11) * F.lit(2.0**-53)
+    labelled = labelled.withColumns({"drawn": drawn, "long": size > sample_bytes})
+    totals = written(labelled.groupBy(F.col("lang").alias("r_lang")).agg(F.sum(size).alias("bytes"), F.min(F.struct("long", "drawn")).alias("least")), "languages")
+    share = min(sample_bytes, total_bytes / max(totals.count(), 1))
+    # A few long documents may all be missed; the one with the smallest draw stands for them, a short one if there is any.
+    chosen = (F.col("drawn") < F.lit(float(share)) / F.col("bytes")) | (F.struct("long", "drawn") == F.col("least"))
+    return labelled.join(small(totals), F.col("lang") == F.col("r_lang")).filter(chosen).select("lang", "text")
 
 
 def gram_counts(sample: DataFrame, order: int) -> DataFrame:
@@ -72,65 +76,74 @@ def gram_counts(sample: DataFrame, order: int) -> DataFrame:
     return padded.mapInArrow(count, "lang string, size int, gram bigint, n bigint").groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
 
 
+class Lists:
+    """For sorted keys, a list of (language, bits) each."""
+
+    def __init__(self, key: np.ndarray, lang: np.ndarray, bits: np.ndarray):
+        order = np.argsort(key, kind="stable")
+        self.keys, first = np.unique(key[order], return_index=True)
+        self.first = np.append(first, len(key)).astype(np.int64)
+        self.lang, self.bits = lang[order].astype(np.int32), bits[order].astype(np.float32)
+
+    def find(self, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The place among `asked`, the language and the bits of all that is listed for it."""
+        at = np.minimum(np.searchsorted(self.keys, asked), max(len(self.keys) - 1, 0))
+        hit = np.flatnonzero(self.keys[at] == asked) if len(self.keys) else np.zeros(0, np.int64)
+        n = self.first[at[hit] + 1] - self.first[at[hit]]
+        item = np.repeat(self.first[at[hit]] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
+        return np.repeat(hit, n), self.lang[item], self.bits[item]
+
+
 class Model:
     """Code lengths of bytes after contexts, for every language at once."""
 
     def __init__(self, counts: pa.Table, order: int):
         self.order = order
         self.langs = sorted(set(counts.column("lang").to_pylist()))
-        lang = np.searchsorted(np.array(self.langs, object).astype(str), np.array(counts.column("lang").to_pylist(), object).astype(str))
+        names = counts.column("lang").combine_chunks().dictionary_encode()
+        place = {x: i for i, x in enumerate(self.langs)}
+        lang = np.array([place[x] for x in names.dictionary.to_pylist()], np.int64)[names.indices.to_numpy()]
         size, gram, n = (counts.column(c).to_numpy() for c in ("size", "gram", "n"))
-        seen = np.unique(gram[size == 1])
-        #: The symbols: the bytes that were seen, and one for all others.
-        self.symbol = np.full(256, len(seen), np.int64)
-        self.symbol[seen] = np.arange(len(seen))
-        self.width = len(seen) + 1
-        # A context is its bytes in base `width`; its row is that of its longest suffix that any language has seen.
-        self.rows = np.zeros(1, np.int64)
-        self.bits = np.full((1, self.width, len(self.langs)), 8.0)
+        #: For each size of context: what a byte costs after it, and what the escape does.
+        self.seen, self.escape = [], []
         for k in range(order + 1):
             pick = size == k + 1
-            self._extend(k, lang[pick], gram[pick], n[pick])
-        #: The code lengths as rows of (context, symbol), with a last row of zeros for what isn't scored.
-        self.table = np.concatenate((self.bits.reshape(-1, len(self.langs)), np.zeros((1, len(self.langs))))).astype(np.float32)
-        del self.bits
-
-    def _extend(self, k: int, lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> None:
-        """Go from contexts of k - 1 bytes to k bytes."""
-        context, symbol = np.zeros(len(gram), np.int64), self.symbol[gram & 255]
-        for j in range(k, 0, -1):
-            context = context * self.width + self.symbol[(gram >> (8 * j)) & 255]
-        shorter = np.arange(self.width**k) % self.width ** max(k - 1, 0)
-        found, row = np.unique(context, return_inverse=True)
-        below = self.rows[shorter[found]]
-        bits = self.bits[below]
-        total = np.zeros((len(found), len(self.langs)))
-        distinct = np.zeros_like(total)
-        np.add.at(total, (row, lang), n)
-        np.add.at(distinct, (row, lang), 1)
-        known = total > 0
-        with np.errstate(divide="ignore", invalid="ignore"):
-            bits = np.where(known[:, None, :], bits - np.log2(distinct / (total + distinct))[:, None, :], bits)
-        bits[row, symbol, lang] = -np.log2(n / (total + distinct)[row, lang])
-        rows = self.rows[shorter]
-        rows[found] = len(self.bits) + np.arange(len(found))
-        self.rows, self.bits = rows, np.concatenate((self.bits, bits))
+            g, own, c = gram[pick], lang[pick], n[pick].astype(np.float64)
+            context, row = np.unique((g >> 8) * len(self.langs) + own, return_inverse=True)
+            total, distinct = np.bincount(row, c), np.bincount(row).astype(np.float64)
+            self.seen.append(Lists(g, own, -np.log2(c / (total + distinct)[row])))
+            self.escape.append(Lists(context // len(self.langs), context % len(self.langs), -np.log2(distinct / (total + distinct))))
+        self.nbytes = sum(x.keys.nbytes + x.first.nbytes + x.lang.nbytes + x.bits.nbytes for x in self.seen + self.escape)
+
+    def bits(self, grams: np.ndarray) -> np.ndarray:
+        """What the last byte of each run of order + 1 bytes costs under each language."""
+        out = np.full((len(grams), len(self.langs)), 8.0)
+        for k in range(self.order + 1):
+            mask = (1 << (8 * (k + 1))) - 1
+            at, lang, cost = self.escape[k].find((grams & mask) >> 8)
+            out[at, lang] += cost
+            at, lang, cost = self.seen[k].find(grams & mask)
+            out[at, lang] = cost
+        return out
 
     def code_lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """The bits of each text (which begins with START) under each language."""
-        symbols = self.symbol[data]
-        context = np.zeros(len(data), np.int64)
-        for j in range(self.order, 0, -1):
-            context *= self.width
-            context[j:] += symbols[:-j]
-        at = self.rows[context] * self.width + symbols
+        code, scored = np.zeros(len(data), np.int64), np.ones(len(data), bool)
+        for j in range(self.order + 1):
+            code[j:] |= data[: len(data) - j].astype(np.int64) << (8 * j)
         for j in range(self.order):
-            at[offsets[:-1] + j] = -1
-        return np.add.reduceat(self.table[at], offsets[:-1], axis=0, dtype=np.float64)
+            scored[offsets[:-1] + j] = False
+        grams, place = np.unique(code[scored], return_inverse=True)
+        ends = offsets[1:] - self.order * np.arange(1, len(offsets))
+        starts = np.concatenate(([0], ends[:-1]))
+        full, out = starts < ends, np.zeros((len(starts), len(self.langs)))
+        if full.any():
+            out[full] = np.add.reduceat(self.bits(grams)[place], starts[full], axis=0)
+        return out
 
 
 def train(docs: DataFrame, order: int = ORDER, sample_bytes: int = SAMPLE_BYTES) -> Model | None:
-    """The model, from counts that hold at most (order + 1) * sample_bytes entries a language."""
+    """The model, from counts that hold at most (order + 1) * TOTAL_BYTES entries."""
     counts = written(gram_counts(training_sample(docs, sample_bytes), order), "grams").toArrow()
     return Model(counts, order) if counts.num_rows else None
 
@@ -142,7 +155,8 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     @F.arrow_udf("struct<lang_pred string, score double>")
     def predict(texts: pa.Array) -> pa.Array:
         m, langs, scores = kept.value, [], []
-        for _, _, data, offsets in K.slices(texts, SLICE_BYTES):
+        # With many languages, slices are shorter.
+        for _, _, data, offsets in K.slices(texts, min(SLICE_BYTES, (SLICE_BYTES << 4) // len(m.langs))):
             bits = m.code_lengths(data, offsets)
             best = bits.argmin(axis=1)
             gap = np.minimum(bits - bits[np.arange(len(bits)), best][:, None], 1000)
