@@ -5,10 +5,12 @@ histogram of lengths, whose size does not depend on the corpus. It first fixes e
 dominates all other sets with the same item (Martello and Toth): two lengths that fill a sequence, an item with
 which nothing fits, and the best companions where at most one or two fit. What is left is packed by best fit,
 longest first. The plan says, for the r-th piece of a length, its sequence and place; ranks within a length
-are made in groups of about `RANK_GROUP` pieces, with the groups' offsets, so that a common length is no hot key.
+are made in as many groups as a group has pieces, drawn at random when the pieces are written, with the groups' offsets: the n pieces of a
+common length are no hot key, as neither a group nor the list of groups has more than about the root of n.
 
-Defined results: a null text is empty and is the one id 0; rows that share a doc_id are documents of their own;
-a null doc_id is kept; an empty table gives an empty result.
+Defined results: a null text is empty and is the one id 0; rows that share a doc_id, and repeated rows, are documents of their own;
+a null doc_id is kept; ties in length are packed in any order; a very long text is encoded as a whole; other columns are ignored, whatever their names;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,7 +31,6 @@ from stratalake.llm.tables import documents, small, written
 
 CAPACITY = 2048
 END = array("I", [0]).tobytes()
-RANK_GROUP = 500
 #: Words whose ids a worker remembers; further ones are encoded each time.
 REMEMBERED = 200_000
 SPECIAL = "<|endoftext|>"
@@ -216,12 +217,13 @@ class Plan:
 
 
 def pack(made: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """`made` (pieces, written) with the sequence_id and offset of each piece."""
+    """`made` (pieces with a salt, written) with the sequence_id and offset of each piece."""
     spark = made.sparkSession
     counts = made.groupBy("length").agg(F.count(F.lit(1)).alias("n"))
     plan = Plan({r["length"]: r["n"] for r in counts.collect()}, capacity)
     runs = spark.createDataFrame(plan.runs() or [(0, 0, 0, 1, 0, 0)], "r_length bigint, low bigint, high bigint, copies bigint, first bigint, place bigint")
-    sized = made.join(F.broadcast(counts), "length").withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.ceil(F.col("n") / RANK_GROUP)))
+    # There are at most `capacity` lengths.
+    sized = made.join(F.broadcast(counts), "length").withColumn("part", F.floor(F.col("salt") * F.ceil(F.sqrt("n"))))
     by_part = sized.groupBy("length", "part").agg(F.count(F.lit(1)).alias("m"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = by_part.select("length", "part", F.coalesce(F.sum("m").over(before), F.lit(0)).alias("before"))
@@ -234,7 +236,7 @@ def pack(made: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    return pack(written(pieces(docs, capacity), "pieces"), capacity)
+    return pack(written(pieces(docs, capacity).withColumn("salt", F.rand(5)), "pieces"), capacity)
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

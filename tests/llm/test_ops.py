@@ -31,8 +31,10 @@ def test_empty_table(empty, name):
 def test_odd_table(odd, name):
     out = ODD[name](odd)
     rows = out.collect()
-    if name in ("lm", "language", "jaccard", "personal", "digests", "quality", "rounded", "lines"):
+    if name in ("lm", "language", "jaccard", "personal", "digests", "quality", "lines"):
         assert len(rows) == odd.count()
+    if name == "rounded":
+        assert sum(r["rows"] for r in rows) == odd.count()
     if name in ("lines", "keep_one", "keep_good", "mixing"):
         assert out.columns == odd.columns
 
@@ -190,6 +192,42 @@ def test_mix_comes_near_its_targets_and_repeats(docs):
         assert abs(sum(r[1] * r[5] for r in v) - v[0][4]) <= max(r[1] for r in v)
 
 
+def targets_brute(totals):
+    """Water filling by bisection: each source gets its weight's share, but at most three times what it has."""
+    order = sorted(totals, key=lambda s: (s is None, s))
+    weight = {s: 1 + i % 3 for i, s in enumerate(order)}
+    low, high, want = 0.0, 4.0 * sum(totals.values()), sum(totals.values())
+    for _ in range(200):
+        level = (low + high) / 2
+        low, high = (level, high) if sum(min(level * weight[s], 3 * totals[s]) for s in order) < want else (low, level)
+    return {s: min(high * weight[s], 3 * totals[s]) for s in order}
+
+
+@pytest.mark.parametrize("totals", [{"a": 100, "b": 900, "c": 10}, {"a": 5, "b": 1, None: 1000}, {"a": 7, "b": 7, "c": 7, "d": 7, "e": 400, None: 3}, {"a": 12}])
+def test_targets_are_those_of_water_filling(spark, totals):
+    rows = [(i, s, n) for i, (s, n) in enumerate(totals.items())]
+    got = {r["source"]: r["target"] for r in mixing.source_targets(spark.createDataFrame(rows, "doc_id long, source string, size long")).collect()}
+    assert got == pytest.approx(targets_brute(totals))
+
+
+def test_rows_that_agree_share_their_copies(spark):
+    """Hot ids: many rows without one, and repeated rows, fill no block and keep the mix whole."""
+    rows = [(None, "alpha beta gamma", "a")] * 70 + [(None, f"w{i} beta gamma", "a") for i in range(70)] + [(i, "one two three four", "b") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    sizes = mixing._sizes(docs)
+    out = mixing.rounded(sizes, mixing.source_targets(sizes)).collect()
+    assert sum(r["rows"] for r in out) == len(rows) and max(r["rows"] for r in out) == 140
+    want = {r["source"]: r["target"] for r in out}
+    taken = Counter()
+    for r in out:
+        taken[r["source"]] += r["copies"] * r["size"]
+        assert abs(r["copies"] - r["rows"] * r["target"] / r["source_size"]) < 2
+    mix = mixing.mix_sources(docs).collect()
+    assert Counter({s: sum(len(r["text"].split()) for r in mix if r["source"] == s) for s in want}) == taken
+    each = Counter(r["text"] for r in mix if r["source"] == "a" and r["text"].startswith("w"))
+    assert max(each.values()) - min(each.get(f"w{i} beta gamma", 0) for i in range(70)) <= 1
+
+
 def test_copies_are_unbiased(spark):
     sizes = spark.range(400).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 200, "a").otherwise("b").alias("source"), (1 + F.col("id") % 37).alias("size"))
     targets = mixing.source_targets(sizes)
