@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,9 +14,11 @@ BROADCAST_ROWS = 100_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share, from spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder that all executors share, from spark.checkpoint.dir; a temporary one only where that is unset and Spark runs in one process."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = f"file://{tempfile.mkdtemp(prefix='spark-')}"
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
