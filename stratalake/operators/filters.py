@@ -63,6 +63,11 @@ def unique_names(names: list[str], reserved: tuple[str, ...] = ()) -> list[str]:
     return out
 
 
+def with_unique_names(df: DataFrame, reserved: tuple[str, ...] = ()) -> DataFrame:
+    """`df` with names that repeat in any case told apart."""
+    return df.toDF(*unique_names(df.columns, reserved))
+
+
 def mixed_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, kinds): the text columns whose values are of more than one kind (number, date, text)."""
     kind = lambda c: F.when(F.expr(f"try_cast(`{c}` as double)").isNotNull(), "number").when(F.expr(f"try_cast(`{c}` as date)").isNotNull(), "date").when(clean(F.col(f"`{c}`")).isNotNull(), "text")

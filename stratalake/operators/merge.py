@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,16 +41,17 @@ def merge(target: DataFrame, source: DataFrame, key: str, leave_out: tuple[str,
 
 
 def publish(df: DataFrame, path: str) -> str:
-    """Write a version and switch the pointer to it: readers see all of it or none."""
-    version = uuid.uuid4().hex
+    """Write a version and then a pointer to it, in a folder of its own: no pointer is ever overwritten, and a version without one isn't seen."""
+    version = f"{time.time_ns():020}-{uuid.uuid4().hex}"
     df.write.parquet(f"{path}/v-{version}")
-    df.sparkSession.createDataFrame([(version,)], "version string").coalesce(1).write.mode("overwrite").json(f"{path}/current")
+    df.sparkSession.createDataFrame([(version,)], "version string").coalesce(1).write.json(f"{path}/pointers/{version}")
     return version
 
 
 def current(spark: SparkSession, path: str) -> DataFrame:
-    version = spark.read.schema("version string").json(f"{path}/current").first()["version"]
-    return spark.read.parquet(f"{path}/v-{version}")
+    """The newest version whose pointer is whole."""
+    pointers = spark.read.schema("version string").json(f"{path}/pointers/*")
+    return spark.read.parquet(f"{path}/v-{pointers.agg(F.max('version')).first()[0]}")
 
 
 def lake_mode(target: DataFrame | None, source: DataFrame, key: str | None) -> tuple[str, list[str]]:

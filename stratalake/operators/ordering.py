@@ -53,15 +53,29 @@ def shard(key: Column, n: int) -> Column:
 
 
 def edition_graph(df: DataFrame, group: list[str], year: str, key: str) -> DataFrame:
-    """Per group in order of year: version, predecessor, successor, latest and deprecated.
+    """Per group in order of year: version (the year), predecessor, successor, latest (null for the latest itself) and deprecated.
 
-    Rows without a four-digit year and rows whose year is shared within the group are left out.
+    Rows without a four-digit year and rows whose year is shared within the group are left out; `left_out` names them.
     """
-    dated = df.filter(F.col(year).cast("string").rlike("^[0-9]{4}$"))
-    one = dated.withColumn("_c", F.count(F.lit(1)).over(Window.partitionBy(*group, year))).filter("_c = 1").drop("_c")
-    w = Window.partitionBy(*group).orderBy(year)
-    latest = F.last(key).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return one.withColumns({"version": F.row_number().over(w), "predecessor": F.lag(key).over(w), "successor": F.lead(key).over(w), "latest": latest}).withColumn("deprecated", F.col("successor").isNotNull())
+    dated = df.withColumn("_y", F.trim(F.col(year).cast("string"))).filter(F.col("_y").rlike("^[0-9]{4}$"))
+    alone = dated.groupBy(*group, "_y").agg(F.count(F.lit(1)).alias("_c"), F.first(key).alias("_k")).filter("_c = 1")
+    w = Window.partitionBy(*group).orderBy("_y")  # one row a year at most
+    last = F.last("_k").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    linked = alone.withColumns({"version": F.col("_y"), "predecessor": F.lag("_k").over(w), "successor": F.lead("_k").over(w), "latest": F.when(last != F.col("_k"), last)})
+    linked = linked.select(F.col("_k").alias(key), "version", "predecessor", "successor", "latest", F.col("successor").isNotNull().alias("deprecated"))
+    return df.join(linked, key)
+
+
+def left_out(df: DataFrame, group: list[str], year: str, key: str) -> DataFrame:
+    """(key, reason) of the rows that have no place in the edition graph."""
+    y = F.trim(F.col(year).cast("string"))
+    good = F.coalesce(y.rlike("^[0-9]{4}$"), F.lit(False))
+    ties = df.filter(good).groupBy(*group, y.alias("_y")).agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1")
+    ties = ties.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], "_y")
+    same = y == F.col("_y")
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    return df.filter(~good).select(key, F.lit("no year").alias("reason")).unionAll(df.filter(good).join(ties, same).select(key, F.lit("year is shared").alias("reason")))
 
 
 def work_order(items: DataFrame, attempts: DataFrame, key: str) -> DataFrame:

@@ -73,6 +73,7 @@ def retired(listing: DataFrame, folder: str) -> DataFrame:
 
 
 def checksums(spark: SparkSession, path: str, most_bytes: int) -> DataFrame:
-    """(file, size, checksum) of the files up to a size."""
+    """(the folder's partition columns, file, size, checksum) of the files up to a size."""
     files = spark.read.format("binaryFile").load(path).filter(F.col("length") <= most_bytes)
-    return files.select(F.regexp_extract("path", "([^/]+)$", 1).alias("file"), F.col("length").alias("size"), F.sha2("content", 256).alias("checksum"))
+    folders = [c for c in files.columns if c not in ("path", "modificationTime", "length", "content")]
+    return files.select(*folders, F.regexp_extract("path", "([^/]+)$", 1).alias("file"), F.col("length").alias("size"), F.sha2("content", 256).alias("checksum"))

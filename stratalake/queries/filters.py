@@ -50,10 +50,12 @@ def pf14(spark, d):
     return filters.point_rows(west, (-113, 38, -110, 41)).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
-@Q("pf15_column_dedupe", "select 'Name,name_2,id_2,NAME_3' as names, count(*) as n from nation")
+@Q("pf15_column_dedupe", "select s_suppkey as suppkey, s_name as name, s_nationkey as nationkey, n_nationkey as nationkey_2, n_name as name_2, n_regionkey as id_2 from supplier join nation on s_nationkey = n_nationkey")
 def pf15(spark, d):
-    names = filters.unique_names(["Name", "name", "id", "NAME"], ("id",))
-    return table(spark, d, "nation").agg(F.lit(",".join(names)).alias("names"), F.count(F.lit(1)).alias("n"))
+    """Two tables side by side, their names without prefixes; one meets a reserved name."""
+    s, n = table(spark, d, "supplier").select("s_suppkey", "s_name", "s_nationkey"), table(spark, d, "nation").select("n_nationkey", "n_name", F.col("n_regionkey").alias("n_id"))
+    both = s.join(n, s.s_nationkey == n.n_nationkey)
+    return filters.with_unique_names(both.toDF(*[c[2:] for c in both.columns]), ("id",))
 
 
 @Q("pf16_mixed_type_to_text", "select 'a' as \"column\", ['date', 'number', 'text'] as kinds from part limit 1")

@@ -26,8 +26,11 @@ def _sql(results: list, name: str = "v") -> str:
     return f"select p_partkey, case p_partkey % {len(values)} " + " ".join(f"when {i} then {v}" for i, v in enumerate(values)) + f" end as {name} from part"
 
 
-SCALES = ["1:24,000", "24000", "100k", "1 inch = 200 feet", "1:62,500 and 1:24,000", "no scale", None, "2 inches = 1 mile", "0.18", "1 in = 24,000 feet"]
-DENOMINATORS = [24000, 24000, 100000, 2400, 24000, None, None, 31680, None, 24000]
+SCALES = [
+    "1:24,000", "1 : 24,000", "1:24 000", "24000", "100k", "1:62.500", "1:2,950,000", "1 inch = 200 feet", "1 inch = 2,000 feet", "1:62,500 and 1:24,000", "no scale", None, "", "2 inches = 1 mile", "0.18",
+    "1 in. = 24,000 feet", "1/4 inch = 1 foot", "1\" = 3200'", "1 inch = 2.500 miles", "1 inch = 20 miles", "1:24,00",
+]
+DENOMINATORS = [24000, 24000, 24000, 24000, 100000, 62500, 2950000, 2400, 24000, 24000, None, None, None, 31680, None, 24000, 48, 38400, 158400, 1267200, None]
 
 
 @Q("fn1_scale_denominator", _sql(DENOMINATORS).replace(" end as v", " end::bigint as v"))
@@ -35,7 +38,7 @@ def fn1(spark, d):
     return _case(spark, d, SCALES).select("p_partkey", fx.scale_denominator(F.col("t")).alias("v"))
 
 
-@Q("fn2_scale_tier", _sql(["24k", "24k", "250k", "24k", "24k", None, None, "24k", None, "24k"]))
+@Q("fn2_scale_tier", _sql([None if n is None else "24k" if n <= 62500 else "250k" if n <= 350000 else "500k" for n in DENOMINATORS]))
 def fn2(spark, d):
     return _case(spark, d, SCALES).select("p_partkey", fx.scale_tier(fx.scale_denominator(F.col("t"))).alias("v"))
 

@@ -1,8 +1,10 @@
 """Queries over sources and sinks."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stratalake.operators import geo
+from stratalake.operators.ordering import numbered
 from stratalake.plans.storage import new_folder, written
 from stratalake.queries.base import POINTS, Register, points, sql, table
 from stratalake.sources import archive, exports, readers
@@ -42,8 +44,7 @@ def sc5(spark, d):
     path = new_folder(spark, "bodies")
     s = table(spark, d, "supplier")
     s.select("s_suppkey", F.when(s.s_suppkey % 3 == 0, " ").otherwise(s.s_name).alias("value")).repartition("s_suppkey").write.partitionBy("s_suppkey").text(path)
-    found = readers.document_scan(spark, path).withColumn("body", F.regexp_replace("body", "\n$", ""))
-    return found.join(s.select("s_suppkey", F.col("s_name").alias("body")), "body").select("s_suppkey", "body")
+    return readers.document_scan(spark, path).select(F.col("s_suppkey").cast("long").alias("s_suppkey"), F.regexp_replace("body", "\n$", "").alias("body"))
 
 
 @Q("sc6_catalogue_scan", "select c_mktsegment as collection, count(*) as items, sum((c_custkey % 10 = 0)::int)::bigint as unread from customer group by 1")
@@ -80,28 +81,41 @@ def sc9(spark, d):
     return readers.csv_table(spark, _csv(spark, d))[0]
 
 
-@Q("sc10_header_row_detect", "select p_brand, 2 as row_no from part group by 1")
+@Q("sc10_header_row_detect", "select p_brand, (1 + min(p_partkey) % 3)::int as row_no, 'Part|Size|Price' as header from part where p_brand not like '%3' group by 1")
 def sc10(spark, d):
-    """A sheet a brand: a title, a blank row, the header, and its parts; the header is looked for in one of them and in all alike."""
+    """A sheet a brand: a title, up to two blank rows, the header (some have none), and its parts; the header is looked for in each sheet."""
     p = table(spark, d, "part")
-    top = spark.createDataFrame([(0, ["Report"]), (1, ["", ""]), (2, ["Part", "Size", "Price"]), (3, ["units", "1", "2"])], "row_no int, cells array<string>")
-    rest = p.orderBy("p_partkey").limit(20).select((F.col("p_partkey") + 4).cast("int").alias("row_no"), F.array("p_partkey", "p_size", "p_retailprice").cast("array<string>").alias("cells"))
-    return p.select("p_brand").distinct().crossJoin(F.broadcast(readers.header_row(top.union(rest)))).select("p_brand", "row_no")
-
-
-@Q("sc11_paged_api_collect", "select count(*) as n, sum(n)::bigint as ids from (select row_number() over (order by c_custkey) - 1 as n from customer) t")
+    brands = p.groupBy("p_brand").agg((F.min("p_partkey") % 3).alias("blank"))
+    cells = lambda *c: F.array(*c).cast("array<string>")
+    blanks = F.transform(F.sequence(F.lit(0), F.lit(2)), lambda i: F.when(i < F.col("blank"), cells(F.lit(""), F.lit(" "))))
+    names = F.when(F.endswith("p_brand", F.lit("3")), cells(F.lit("1"), F.lit("2"), F.lit("3"))).otherwise(cells(F.lit("Part"), F.lit("Size"), F.lit("Price")))
+    top = F.filter(F.concat(F.array(cells(F.concat(F.lit("Parts of "), "p_brand"))), blanks, F.array(names)), lambda x: x.isNotNull())
+    head = brands.select("p_brand", F.posexplode(top).alias("row_no", "cells"))
+    place = F.row_number().over(Window.partitionBy("p_brand").orderBy("p_partkey"))
+    first = p.withColumn("i", place).filter(F.col("i") <= readers.HEADER_ROWS)  # rows further down are never looked at
+    rest = first.join(brands, "p_brand").select("p_brand", (F.col("blank") + 1 + F.col("i")).cast("int").alias("row_no"), cells("p_partkey", "p_size", "p_retailprice").alias("cells"))
+    return readers.header_rows(head.unionByName(rest), "p_brand").select("p_brand", "row_no", F.array_join("cells", "|").alias("header"))
+
+
+@Q("sc11_paged_api_collect", "select c_custkey as id, c_name as name from customer")
 def sc11(spark, d):
-    total = table(spark, d, "customer").count()
+    """The customers as a service would give them: a written table that is asked for its rows page by page."""
+    rows = numbered(table(spark, d, "customer").select("c_custkey", "c_name"), ["c_custkey"], "n")
+    service = written(rows.select((F.col("n") - 1).alias("n"), "c_custkey", "c_name"), "service")
     spark.dataSource.register(readers.PagedSource)
-    rows = spark.read.format("paged").option("total", total).option("page", 100).option("fetch", "stratalake.queries.ingest:fetch_page").load()
-    return rows.agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"))
+    options = {"total": service.count(), "page": 100, "fetch": "stratalake.queries.ingest:fetch_page", "source": service.inputFiles()[0].rpartition("/")[0]}
+    return spark.read.format("paged").options(**options).load()
 
 
-def fetch_page(offset: int, limit: int) -> list[tuple[int, str]]:
+def fetch_page(source: str, offset: int, limit: int) -> list[tuple[int, str]]:
     """Stands in for a service: it gives at most 60 rows at once, and fails for more than 80."""
+    import pyarrow.dataset as ds
+
     if limit > 80:
         raise OSError("too many rows asked for")
-    return [(i, f"row {i}") for i in range(offset, offset + min(limit, 60))]
+    n = ds.field("n")
+    found = ds.dataset(source, format="parquet").to_table(filter=(n >= offset) & (n < offset + min(limit, 60))).sort_by("n")
+    return list(zip(found.column("c_custkey").to_pylist(), found.column("c_name").to_pylist()))
 
 
 @Q("sc12_row_group_extents", f"select count(*) as n, min(x) as xmin, max(y) as ymax from {P}")

@@ -107,5 +107,5 @@ def mt6(spark, d):
     path = new_folder(spark, "files")
     n = table(spark, d, "nation")
     n.select("n_nationkey", F.col("n_name").alias("value")).repartition("n_nationkey").write.partitionBy("n_nationkey").text(path)
-    sums = upkeep.checksums(spark, f"{path}/*", 1 << 20).select("checksum").distinct()
-    return n.select("n_nationkey", F.sha2(F.concat("n_name", F.lit("\n")).cast("binary"), 256).alias("checksum")).join(sums, "checksum", "left_semi").select("n_nationkey", "checksum")
+    sums = upkeep.checksums(spark, path, 1 << 20)
+    return sums.filter("size > 0").select(F.col("n_nationkey").cast("int").alias("n_nationkey"), "checksum")

@@ -32,15 +32,17 @@ def mg3(spark, d):
     return old.join(new.select(KEY), KEY, "left_semi")
 
 
-@Q("mg4_null_key_guard", "select true as refused")
+@Q("mg4_null_key_guard", f"select true as nulls, -count(*) as n from {V2} where o_orderkey % 5 = 0 union all select false, count(*) from {V2}")
 def mg4(spark, d):
     old, new = _versions(spark, d)
-    try:
-        merge.merge(old, new.withColumn(KEY, F.when(F.col(KEY) % 5 != 0, F.col(KEY))), KEY)
-        refused = False
-    except ValueError:
-        refused = True
-    return old.limit(1).select(F.lit(refused).alias("refused"))
+    rows = []
+    for every in (5, 1 << 40):  # with null keys, and with none
+        try:
+            merged = merge.merge(old, new.withColumn(KEY, F.when(F.col(KEY) % every != 0, F.col(KEY))), KEY)
+            rows.append(merged.agg(F.lit(every == 5).alias("nulls"), F.count(F.lit(1)).alias("n")))
+        except ValueError:
+            rows.append(new.filter(F.col(KEY) % every == 0).agg(F.lit(every == 5).alias("nulls"), (-F.count(F.lit(1))).alias("n")))
+    return rows[0].union(rows[1])
 
 
 @Q("mg5_merge_publish", f"select * from {V2}")

@@ -15,16 +15,27 @@ def wn2(spark, d):
     return ordering.ordinal(o, [("o_totalprice", False)], "o_orderkey", o.agg(F.min("o_orderkey")).first()[0])
 
 
-EDITIONS = """with e as (select doc_id, lang, source, (1900 + doc_id % 90)::varchar as year from documents where doc_id % 7 <> 0),
-u as (select * from (select *, count(*) over (partition by lang, source, year) as c from e) t where c = 1)
-select doc_id, row_number() over w as version, lag(doc_id) over w as predecessor, lead(doc_id) over w as successor, last_value(doc_id) over (w rows between unbounded preceding and unbounded following) as latest,
-    lead(doc_id) over w is not null as deprecated from u window w as (partition by lang, source order by year)"""
+YEARS = "select doc_id, lang, source, n_chars, case doc_id % 7 when 0 then 'n.d.' when 1 then ' ' || (1900 + doc_id % 90) || ' ' when 2 then (1900 + doc_id % 90) || ' (rev 2017)' else (1900 + doc_id % 90)::varchar end as year from documents"
+EDITIONS = f"""with d as ({YEARS}), e as (select *, trim(year) as y from d where regexp_matches(trim(year), '^[0-9]{{4}}$')),
+u as (select * from (select *, count(*) over (partition by lang, source, y) as c from e) t where c = 1),
+g as (select doc_id, y as version, lag(doc_id) over w as predecessor, lead(doc_id) over w as successor,
+    nullif(last_value(doc_id) over (w rows between unbounded preceding and unbounded following), doc_id) as latest, lead(doc_id) over w is not null as deprecated from u window w as (partition by lang, source order by y))"""
 
 
-@Q("wn3_edition_graph", EDITIONS)
+def _editions(spark, d):
+    n = 1900 + F.col("doc_id") % 90
+    year = F.when(F.col("doc_id") % 7 == 0, "n.d.").when(F.col("doc_id") % 7 == 1, F.concat(F.lit(" "), n, F.lit(" "))).when(F.col("doc_id") % 7 == 2, F.concat(n, F.lit(" (rev 2017)"))).otherwise(n.cast("string"))
+    return table(spark, d, "documents").select("doc_id", "lang", "source", year.alias("year"))
+
+
+@Q("wn3_edition_graph", EDITIONS + " select * from g")
 def wn3(spark, d):
-    t = table(spark, d, "documents").withColumn("year", F.when(F.col("doc_id") % 7 != 0, (1900 + F.col("doc_id") % 90).cast("string")).otherwise("n.d."))
-    return ordering.edition_graph(t.select("doc_id", "lang", "source", "year"), ["lang", "source"], "year", "doc_id").drop("lang", "source", "year")
+    return ordering.edition_graph(_editions(spark, d), ["lang", "source"], "year", "doc_id").drop("lang", "source", "year")
+
+
+@Q("wn3_editions_left_out", EDITIONS + " select doc_id, case when regexp_matches(trim(year), '^[0-9]{4}$') then 'year is shared' else 'no year' end as reason from d where doc_id not in (select doc_id from g)")
+def wn3_left_out(spark, d):
+    return ordering.left_out(_editions(spark, d), ["lang", "source"], "year", "doc_id")
 
 
 @Q("wn4_draw_order", "select p_partkey, row_number() over (partition by p_brand order by (p_size % 2 = 0), p_size, p_partkey) as rank from part")
@@ -33,12 +44,13 @@ def wn4(spark, d):
     return p.select("p_partkey", F.row_number().over(Window.partitionBy("p_brand").orderBy(F.col("p_size") % 2 == 0, "p_size", "p_partkey")).alias("rank"))
 
 
-@Q("wn5_tier_membership", f"with g as ({EDITIONS}) select case when d.n_chars < 1000 then '24k' when d.n_chars < 3000 then '250k' else '500k' end as tier, string_agg(g.doc_id::varchar, ',' order by g.doc_id) as members from g join documents d on g.doc_id = d.doc_id where not deprecated group by 1")
+@Q("wn5_tier_membership", EDITIONS + " select d.doc_id, case when n_chars < 1000 then '24k' when n_chars < 3000 then '250k' else '500k' end as tier, case when g.doc_id is null then 'not dated' when deprecated then 'superseded' else 'member' end as status from d left join g on g.doc_id = d.doc_id")
 def wn5(spark, d):
-    t = table(spark, d, "documents")
+    """A row a map, with its tier and whether it is a member: what is left out keeps a row that says why."""
     tier = F.when(F.col("n_chars") < 1000, "24k").when(F.col("n_chars") < 3000, "250k").otherwise("500k")
-    kept = wn3(spark, d).filter("not deprecated").select("doc_id").join(t.select("doc_id", tier.alias("tier")), "doc_id")
-    return kept.groupBy("tier").agg(F.array_join(F.transform(F.array_sort(F.collect_list("doc_id")), lambda x: x.cast("string")), ",").alias("members"))
+    maps = table(spark, d, "documents").select("doc_id", tier.alias("tier"))
+    status = F.when(F.col("deprecated").isNull(), "not dated").when(F.col("deprecated"), "superseded").otherwise("member")
+    return maps.join(wn3(spark, d).select("doc_id", "deprecated"), "doc_id", "left").select("doc_id", "tier", status.alias("status"))
 
 
 @Q("wn6_numbered_keys", "with u as (select url, lower(regexp_extract(url, '^https?://([^/]+)', 1)) as k, min(page_id) as page_id from pages group by 1, 2) select url, case when row_number() over (partition by k order by url) = 1 then k else k || '_' || row_number() over (partition by k order by url) end as key from u")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Fixed values of the layout.
 BLOCK_BYTES, LEAST_ROWS, MOST_ROWS = 8 << 20, 128, 122_880
 GEOMETRY_NAMES = ("geom", "geometry", "wkb_geometry")
 WKB_NAMES = ("Point", "LineString", "Polygon", "MultiPoint", "MultiLineString", "MultiPolygon", "GeometryCollection")
@@ -24,11 +25,13 @@ def write_archive(df: DataFrame, path: str, order: str, day: datetime.date | Non
     """Write points sorted by `order` with flat and struct box columns, as latest and as a dated copy."""
     flat = df.withColumns({"xmin": F.col("x"), "ymin": F.col("y"), "xmax": F.col("x"), "ymax": F.col("y")})
     out = castable(flat.withColumn("bbox", F.struct("xmin", "ymin", "xmax", "ymax"))).repartitionByRange(order).sortWithinPartitions(order)
-    for part in ("latest", f"dt={(day or datetime.date.today()):%Y%m%d}"):
-        writer = out.write.option("compression", "zstd").option("parquet.page.size", 256 << 10).option("parquet.block.size", BLOCK_BYTES)
+    dated = f"{path}/dt={(day or datetime.date.today()):%Y%m%d}"
+    for part in (dated, f"{path}/latest"):
+        # The second copy is read from the first, a partition a file, so rows are shuffled and sorted once.
+        writer = (out if part == dated else df.sparkSession.read.parquet(dated).sortWithinPartitions(order)).write.option("compression", "zstd").option("parquet.page.size", 256 << 10).option("parquet.block.size", BLOCK_BYTES)
         if rows:
             writer = writer.option("maxRecordsPerFile", rows)
-        writer.mode("overwrite").parquet(f"{path}/{part}")
+        writer.mode("overwrite").parquet(part)
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:

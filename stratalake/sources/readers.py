@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import io
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyarrow.fs import FileSystem
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -54,9 +54,11 @@ def as_text(df: DataFrame) -> DataFrame:
 
 
 def document_scan(spark: SparkSession, path: str) -> DataFrame:
-    """(id, body) of text files: the id is the file's stem in upper case; blank ones are left out."""
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("f"), F.col("value").alias("body"))
-    return files.filter(F.col("body").rlike(r"\S")).select(F.upper(F.regexp_replace("f", r"\.[^.]*$", "")).alias("id"), "body")
+    """(the folder's partition columns, id, body) of text files: the id is the file's stem in upper case; blank ones are left out."""
+    files = spark.read.text(path, wholetext=True)
+    folders = [c for c in files.columns if c != "value"]
+    rows = files.select(*folders, F.col("_metadata.file_name").alias("f"), F.col("value").alias("body"))
+    return rows.filter(F.col("body").rlike(r"\S")).select(*folders, F.upper(F.regexp_replace("f", r"\.[^.]*$", "")).alias("id"), "body")
 
 
 def catalogue_scan(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
@@ -69,14 +71,14 @@ def catalogue_scan(spark: SparkSession, path: str, schema: str) -> tuple[DataFra
     return good, parsed.filter("doc._problem is not null").select(*folders, "file", F.col("value").alias("problem"))
 
 
-def header_row(grid: DataFrame) -> DataFrame:
-    """The first of ten rows that is mostly distinct words and at least half as wide as the widest (row_no, cells)."""
+def header_rows(grids: DataFrame, sheet: str = "sheet") -> DataFrame:
+    """(sheet, row_no, cells) of `grids` (sheet, row_no, cells): of each sheet's first ten rows, the first that is mostly distinct words and at least half as wide as the widest."""
     filled = F.filter("cells", lambda c: F.trim(c) != "")
-    words = F.filter(filled, lambda c: F.expr("1").isNotNull() & ~F.regexp_like(c, F.lit(r"^\s*-?[0-9.,]+\s*$")))
-    rows = grid.filter(F.col("row_no") < HEADER_ROWS).select("row_no", "cells", F.size(filled).alias("n"), F.size(words).alias("w"), F.size(F.array_distinct(F.transform(filled, F.lower))).alias("d"))
-    widest = rows.agg(F.max("n").alias("widest"))
+    words = F.filter(filled, lambda c: ~F.regexp_like(c, F.lit(r"^\s*-?[0-9.,]+\s*$")))
+    rows = grids.filter(F.col("row_no") < HEADER_ROWS).select(sheet, "row_no", "cells", F.size(filled).alias("n"), F.size(words).alias("w"), F.size(F.array_distinct(F.transform(filled, F.lower))).alias("d"))
+    widest = rows.withColumn("widest", F.max("n").over(Window.partitionBy(sheet)))  # ten rows a sheet at most
     fine = (F.col("n") > 0) & (F.col("w") * 10 >= F.col("n") * 8) & (F.col("d") * 2 >= F.col("n")) & (F.col("n") * 2 >= F.col("widest"))
-    return rows.crossJoin(F.broadcast(widest)).filter(fine).orderBy("row_no").limit(1).select("row_no", "cells")
+    return widest.filter(fine).groupBy(sheet).agg(F.min_by(F.struct("row_no", "cells"), "row_no").alias("h")).select(sheet, "h.*")
 
 
 def sniff_delimiter(lines: DataFrame) -> Column:
@@ -109,7 +111,7 @@ class Page(InputPartition):
 
 
 class PagedSource(DataSource):
-    """A paged service as a table, a partition a page. Options: total, page, and fetch: an importable "module:function"."""
+    """A paged service as a table, a partition a page. Options: total, page, fetch: an importable "module:function", and source, which is handed to it."""
 
     @classmethod
     def name(cls) -> str:
@@ -124,7 +126,7 @@ class PagedSource(DataSource):
 
 class PagedReader(DataSourceReader):
     def __init__(self, options):
-        self.total, self.page, self.fetch = int(options["total"]), int(options["page"]), options["fetch"]
+        self.total, self.page, self.fetch, self.source = int(options["total"]), int(options["page"]), options["fetch"], options["source"]
 
     def partitions(self) -> list[Page]:
         return [Page(at) for at in range(0, self.total, self.page)]
@@ -139,7 +141,7 @@ class PagedReader(DataSourceReader):
         end = part.offset + wanted
         while at < end:
             try:
-                rows = fetch(at, min(size, end - at))
+                rows = fetch(self.source, at, min(size, end - at))
             except OSError:
                 if size == 1:
                     raise
@@ -152,14 +154,19 @@ class PagedReader(DataSourceReader):
 
 
 def footers(spark: SparkSession, path: str, box: tuple[str, str, str, str]) -> DataFrame:
-    """Rows, bytes and box of each row group, from the statistics in the footers of Parquet files."""
+    """Rows, bytes and box of each row group, from the statistics in the footers of Parquet files.
+
+    Files are listed by Spark and opened where they lie, so that only their footers are read, whatever their size.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("path", pa.string()), ("row_group", pa.int32()), ("rows", pa.int64()), ("bytes", pa.int64()), *((c, pa.float64()) for c in ("xmin", "ymin", "xmax", "ymax"))])
         for batch in batches:
             out = []
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                meta = pq.ParquetFile(io.BytesIO(content)).metadata
+            for name in batch.column(0).to_pylist():
+                store, place = FileSystem.from_uri(name)
+                with store.open_input_file(place) as f:
+                    meta = pq.ParquetFile(f).metadata
                 for g in range(meta.num_row_groups):
                     group = meta.row_group(g)
                     stats = {group.column(i).path_in_schema: group.column(i).statistics for i in range(group.num_columns)}
@@ -167,4 +174,5 @@ def footers(spark: SparkSession, path: str, box: tuple[str, str, str, str]) -> D
                     out.append(dict(zip(schema.names, (name, g, group.num_rows, group.total_byte_size, *ends))))
             yield pa.RecordBatch.from_pylist(out, schema)
 
-    return spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select("path", "content").mapInArrow(read, FOOTERS)
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path).select(F.regexp_replace("path", "^file:/(?!/)", "file:///").alias("path"))
+    return listed.mapInArrow(read, FOOTERS)

@@ -67,7 +67,8 @@ def test_orphan_sweep_refuses_what_it_cannot_see(spark):
 
 def test_header_and_ranges(spark):
     grid = spark.createDataFrame([(0, ["Title", ""]), (1, ["a", "b"]), (2, ["1", "2"])], "row_no int, cells array<string>")
-    assert readers.header_row(grid).first()["row_no"] in (0, 1)
+    sheets = grid.withColumn("sheet", F.lit("a")).union(spark.createDataFrame([(0, ["1", "2"], "b")], "row_no int, cells array<string>, sheet string"))
+    assert [(r["sheet"], r["cells"]) for r in readers.header_rows(sheets).collect()] == [("a", ["Title", ""])] or [r["row_no"] for r in readers.header_rows(sheets).collect()] == [1]
     assert readers.ranges("k", 0, 10, 1) == ["1 = 1"] and len(readers.ranges("k", 0, 100, 4)) == 4
 
 
@@ -92,7 +93,45 @@ def test_shards_are_stable(spark):
 def test_overlap_counts_all_values(spark):
     from stratalake.operators import relate
 
-    tables = {"customer": spark.range(7600).toDF("custkey"), "orders": spark.range(8000).toDF("custkey")}
+    tables = {"customer": spark.range(7600).toDF("customer_id"), "orders": spark.range(8000).toDF("customer_id")}
     values = relate.unpivoted(tables)
-    found = {(r["origin"], r["destination"]): r["overlap"] for r in relate.relationships(values, relate.profiles(values)).collect()}
-    assert found == {("orders", "customer"): 95.0, ("customer", "orders"): 100.0}
+    layers = spark.createDataFrame([("customer", "g", False), ("orders", "g", False)], "tab string, grp string, spatial boolean")
+    found = {(r["origin"], r["destination"]): r["overlap"] for r in relate.relationships(values, relate.profiles(values), layers).collect()}
+    # The keys of orders number its rows and aren't named after it.
+    assert found == {("orders", "customer"): 95.0}
+    spatial = layers.withColumn("spatial", F.col("tab") == "customer")
+    assert relate.relationships(values, relate.profiles(values), spatial).isEmpty()
+
+
+def test_name_scores(spark):
+    from stratalake.operators import relate
+
+    cases = [
+        ("MapUnit", "MapUnit", "DescriptionOfMapUnits", 40), ("DataSourceID", "DataSources_ID", "DataSources", 30), ("DataSourcesID", "DataSource_ID", "DataSource", 30), ("CategoriesID", "Category_ID", "Category", 30),
+        ("UnitID", "Code", "geo_unit", 28), ("StationID", "Code", "FieldStations", 22), ("LocationSourceID", "DataSources_ID", "DataSources", 10), ("Notes", "MapUnit", "DescriptionOfMapUnits", 0),
+    ]
+    df = spark.createDataFrame(cases, "c string, k string, t string, want int")
+    assert all(r["got"] == r["want"] for r in df.withColumn("got", relate.name_score(F.col("c"), F.col("k"), F.col("t"))).collect())
+    assert spark.range(1).select(relate.words(F.lit("DefinitionSourcesID"))).first()[0] == ["definition", "source"]
+
+
+def test_scales(spark):
+    from stratalake.functions import text
+
+    cases = {
+        "1:24,000": 24000, "1:24000": 24000, "1 : 24,000": 24000, "1:24 000": 24000, "1:62.500": 62500, "1:2,950,000": 2950000, "500000": 500000, "100k": 100000, "1 inch = 200 feet": 2400, "1 inch = 2,000 feet": 24000,
+        "1 inch = 8,000 feet": 96000, "1 inch = 1 mile": 63360, "2 inches = 1 mile": 31680, "1 inch = 2.500 miles": 158400, "1 inch = 12.500 miles": 792000, "1\" = 20'": 240, "1\" =  40'": 480, "1\" = 3200'": 38400, "1/4 inch = 1 foot": 48,
+        "1 inch = 24,000 feet": 24000, "1 inch = 62,500 feet": 62500, "1:24,000 & 1:48,000": 24000, "": None, "not a scale": None, "0.18": None, "1 inch = some feet": None, "1:": None, "k": None, "1/0 inch = 2 feet": None,
+    }
+    df = spark.createDataFrame(list(cases.items()), "t string, want long")
+    bad = [(r["t"], r["got"], r["want"]) for r in df.withColumn("got", text.scale_denominator(F.col("t"))).collect() if r["got"] != r["want"]]
+    assert not bad
+
+
+def test_editions(spark):
+    rows = [("M-100", "Alta", "1980"), ("M-100DM", "Alta", " 2005 "), ("OFR-9", "Provo", "1999"), ("M-1", "Esc", "1990"), ("OFR-1", "Esc", ""), ("T-1", "Tie", "2000"), ("T-2", "Tie", "2000"), ("R", "Alta", "1997 (rev 2017)"), ("N", "Alta", None)]
+    df = spark.createDataFrame(rows, "id string, quad string, year string")
+    got = {r["id"]: (r["version"], r["predecessor"], r["successor"], r["latest"], r["deprecated"]) for r in ordering.edition_graph(df, ["quad"], "year", "id").collect()}
+    assert got == {"M-100": ("1980", None, "M-100DM", "M-100DM", True), "M-100DM": ("2005", "M-100", None, None, False), "OFR-9": ("1999", None, None, None, False), "M-1": ("1990", None, None, None, False)}
+    out = {r["id"]: r["reason"] for r in ordering.left_out(df, ["quad"], "year", "id").collect()}
+    assert out == {"OFR-1": "no year", "R": "no year", "N": "no year", "T-1": "year is shared", "T-2": "year is shared"}
