@@ -9,8 +9,8 @@ against its best match in the other one.
 
 Defined results: a null text is empty; an empty text has the empty fingerprint, which is like another empty one (1) and
 unlike all else (0); a text of less than WINDOW bytes is one feature; null ids come first in the order of documents; rows that
-share a doc_id follow each other by the hash of their texts; a table of one row is followed by itself; an empty
-table gives an empty result.
+share a doc_id follow each other by the hash of their texts; a table of one row is followed by itself; a very long text is a slice of its own
+and needs some 60 bytes of memory for each of its own; other columns are ignored, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,15 +21,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratalake.llm import kernels as K
-from stratalake.llm.tables import documents
+from stratalake.llm.tables import documents, small, written
 
 WINDOW, RUN, POINTS = 64, 64, 16
 FILTER_BYTES, FEATURES, HASHES = 256, 160, 5
 BINS = 1000
+#: Bytes of text in a bucket of neighbouring documents, about, and the most ranges of ids.
+BUCKET_BYTES, RANGES = 8 << 20, 1000
 SLICE_BYTES = 1 << 20
 _BLOCK = 1 << 16
 _SCALE = 1 << 16
@@ -165,27 +167,47 @@ def rarity(docs: DataFrame) -> np.ndarray:
     return rank
 
 
+def _buckets(docs: DataFrame) -> DataFrame:
+    """(a, sub, doc_id, t, text): ranges of the order (doc_id, t), null ids first, of about BUCKET_BYTES of text each.
+
+    Quantiles of doc_id give RANGES ranges at most; each is split, by its bytes, into equal widths of doc_id, or of t where all its ids are one.
+    """
+    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).withColumn("t", F.xxhash64("text"))
+    bounds = docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), [i / RANGES for i in range(1, RANGES)], 10_000)).first()[0] or []
+    edges = F.array(*map(F.lit, sorted(set(bounds)))).cast("array<bigint>")
+    rows = rows.withColumn("a", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.size(F.filter(edges, lambda x: x < F.col("doc_id")))))
+    parts = F.ceil(F.sum(F.octet_length("text")) / BUCKET_BYTES)
+    stats = rows.groupBy("a").agg(F.greatest(F.lit(1), parts).alias("parts"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    rows = rows.join(F.broadcast(written(stats, "ranges")), "a")  # RANGES + 1 rows at most
+    by_text = F.floor((F.col("t") * F.lit(2.0**-64) + 0.5) * F.col("parts"))
+    by_id = F.floor((F.col("doc_id") - F.col("low")) / (F.col("high") - F.col("low") + F.lit(1.0)) * F.col("parts"))
+    sub = F.least(F.when(F.col("low") < F.col("high"), by_id).otherwise(by_text), F.col("parts") - 1)
+    return rows.select("a", sub.cast("long").alias("sub"), "doc_id", "t", "text")
+
+
 def followed(docs: DataFrame) -> DataFrame:
-    """(bucket, guard, doc_id, text), dealt and sorted by bucket, so that each row is followed by the next document.
+    """(a, sub, guard, doc_id, text), dealt and sorted by bucket, so that each row is followed by the next document.
 
-    Buckets are ranges of doc_id, bounded by quantiles. The last document of a bucket is followed by a guard: a second
-    copy of the first document of the next bucket that has any (of the first one, after the last).
+    The last document of a bucket is followed by a guard: a second copy of the first document of the next bucket that has any (of the first
+    one, after the last).
     """
+    rows = _buckets(docs)
+    firsts = written(rows.groupBy("a", "sub").agg(F.min(F.struct("doc_id", "t")).alias("first")), "firsts")
+    n = firsts.count()
+    # The bucket before: within a range by its order, and across ranges by the last bucket of each.
+    last = sorted(((r["a"], r["sub"]) for r in firsts.groupBy("a").agg(F.max("sub").alias("sub")).collect()))
     spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).withColumn("t", F.xxhash64("text"))
-    bounds = docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), [i / n for i in range(1, n)] or [0.5], 10_000)).first()[0] or []
-    edges = F.lit(sorted(set(bounds)))
-    rows = rows.withColumn("bucket", F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(F.size(F.filter(edges, lambda x: x < F.col("doc_id")))))
-    firsts = sorted((r["bucket"], r["first"]) for r in rows.groupBy("bucket").agg(F.min(F.struct("doc_id", "t")).alias("first")).collect()) if bounds else []
-    if not firsts:
-        firsts = [(r["bucket"], r["first"]) for r in rows.groupBy("bucket").agg(F.min(F.struct("doc_id", "t")).alias("first")).collect()]
-    guards = spark.createDataFrame([(b, first["doc_id"], first["t"], firsts[i - 1][0]) for i, (b, first) in enumerate(firsts)], "g_bucket int, g_doc_id bigint, g_t bigint, before int")
-    joined = rows.join(F.broadcast(guards), (F.col("bucket") == F.col("g_bucket")) & F.col("doc_id").eqNullSafe(F.col("g_doc_id")) & (F.col("t") == F.col("g_t")), "left")
-    own = F.struct(F.col("bucket"), F.lit(0).alias("guard"))
-    both = F.when(F.col("before").isNull(), F.array(own)).otherwise(F.array(own, F.struct(F.col("before").alias("bucket"), F.lit(1).alias("guard"))))
-    dealt = joined.select(F.explode(both).alias("at"), "doc_id", "t", "text").select("at.bucket", "at.guard", "doc_id", "t", "text")
-    return dealt.repartition(n, "bucket").sortWithinPartitions("bucket", "guard", F.asc_nulls_first("doc_id"), "t")
+    across = spark.createDataFrame([(a, *last[i - 1]) for i, (a, _) in enumerate(last)], "l_a int, l_before int, l_sub bigint")
+    order = Window.partitionBy("a").orderBy("sub")
+    guards = firsts.withColumn("before", F.lag("sub").over(order)).join(F.broadcast(across), F.col("a") == F.col("l_a"))
+    guards = guards.select(F.col("a").alias("g_a"), F.col("sub").alias("g_sub"), F.col("first.doc_id").alias("g_doc_id"), F.col("first.t").alias("g_t"), F.when(F.col("before").isNull(), F.col("l_before")).otherwise(F.col("a")).alias("b_a"), F.coalesce("before", "l_sub").alias("b_sub"))
+    same = (F.col("a") == F.col("g_a")) & (F.col("sub") == F.col("g_sub")) & F.col("doc_id").eqNullSafe(F.col("g_doc_id")) & (F.col("t") == F.col("g_t"))
+    joined = rows.join(small(written(guards, "guards")), same, "left")
+    own = F.struct(F.col("a"), F.col("sub"), F.lit(0).alias("guard"))
+    both = F.when(F.col("b_a").isNull(), F.array(own)).otherwise(F.array(own, F.struct(F.col("b_a").cast("int").alias("a"), F.col("b_sub").alias("sub"), F.lit(1).alias("guard"))))
+    dealt = joined.select(F.explode(both).alias("at"), "doc_id", "t", "text").select("at.*", "doc_id", "t", "text")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n // 2)
+    return dealt.repartition(parts, "a", "sub").sortWithinPartitions("a", "sub", "guard", F.asc_nulls_first("doc_id"), "t")
 
 
 def compare_edited(docs: DataFrame) -> DataFrame:
@@ -193,11 +215,11 @@ def compare_edited(docs: DataFrame) -> DataFrame:
     rank = rarity(docs)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows() -> Iterator[tuple[int, int, int | None, str]]:
+        def rows() -> Iterator[tuple[tuple[int, int], int, int | None, str]]:
             for batch in batches:
                 for start in range(0, batch.num_rows, 500):
                     part = batch.slice(start, 500)
-                    yield from zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist(), part.column(3).to_pylist())
+                    yield from zip(zip(part.column(0).to_pylist(), part.column(1).to_pylist()), *(part.column(c).to_pylist() for c in (2, 3, 4)))
 
         def emit(group: list[tuple[int | None, str, str]]) -> pa.RecordBatch:
             texts, edited = [], []
@@ -232,7 +254,7 @@ def compare_edited(docs: DataFrame) -> DataFrame:
         if group:
             yield emit(group)
 
-    return followed(docs).select("bucket", "guard", "doc_id", "text").mapInArrow(compare, OUT)
+    return followed(docs).select("a", "sub", "guard", "doc_id", "text").mapInArrow(compare, OUT)
 
 
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,8 +7,12 @@ counted by digest, and of each digest the occurrence with the smallest (doc_id,
 neighbouring chunks that occur more than once are extended on both sides to the exact byte up to which the text is that
 of another occurrence; runs that then meet are one, and those of MIN_SPAN bytes or more are the repeated spans.
 
+A digest has 64 bits and is told apart by the chunk's size too; two unlike chunks that agree in both still have unlike surroundings, so that they make no span
+of MIN_SPAN bytes unless one chunk is that long.
+
 Defined results: null and empty texts have no chunks; repeats within a text count; rows that share a doc_id and a
-text are one; documents without repeats have no rows; an empty table gives an empty result.
+text, null ids included, are one; documents without repeats have no rows; a very long text is a slice of its own and needs some 60 bytes of memory for each of its
+own; other columns are ignored (deduplicated keeps them), whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -136,15 +140,12 @@ def extensions(texts: DataFrame, rows: DataFrame) -> DataFrame:
         spots, width = spots.join(further, ["digest", "left"], "left_semi"), 8 * width
 
 
-def repeated_spans(docs: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
-    """(doc_id, start, end, n_chunks, n_copies, first_doc_id): the repeated spans of each document.
-
-    n_copies counts the chunks that occurred before, which a dedup drops; a span without any is the first of its kind.
-    """
+def _spans(docs: DataFrame, min_span: int) -> DataFrame:
+    """(doc_id, t, start, end, n_chunks, n_copies, first_doc_id): t is the text's hash."""
     all_ = written(chunks(docs), "chunks")
     first = F.min(F.struct("doc_id", "t", "start"))
-    shared = written(all_.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), first.alias("first")).filter("n > 1").select("digest", "first"), "digests")
-    found = all_.join(shared, "digest").select("doc_id", "t", "start", "size", "digest", F.col("first.doc_id").alias("first_doc_id"), (F.struct("doc_id", "t", "start") != F.col("first")).alias("copy")).distinct()
+    shared = written(all_.groupBy("digest", "size").agg(F.count(F.lit(1)).alias("n"), first.alias("first")).filter("n > 1").select("digest", "size", "first"), "digests")
+    found = all_.join(shared, ["digest", "size"]).select("doc_id", "t", "start", "size", "digest", F.col("first.doc_id").alias("first_doc_id"), (F.struct("doc_id", "t", "start") != F.col("first")).alias("copy")).distinct()
     by_doc = Window.partitionBy("doc_id", "t").orderBy("start")
     end = F.col("start") + F.col("size")
     head = F.coalesce(F.lag(end).over(by_doc) != F.col("start"), F.lit(True))
@@ -162,7 +163,46 @@ def repeated_spans(docs: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
     apart = F.coalesce(F.col("start") > F.max("end").over(by_doc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
     runs = runs.withColumn("apart", apart.cast("long")).withColumn("run", F.sum("apart").over(by_doc.rowsBetween(Window.unboundedPreceding, 0)))
     spans = runs.groupBy("doc_id", "t", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), *total)
-    return spans.filter(F.col("end") - F.col("start") >= min_span).drop("t", "run")
+    return spans.filter(F.col("end") - F.col("start") >= min_span).drop("run")
+
+
+def repeated_spans(docs: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
+    """(doc_id, start, end, n_chunks, n_copies, first_doc_id): the repeated spans of each document.
+
+    n_copies counts the chunks that occurred before; a span without any is the first of its kind, and `deduplicated` drops those whose chunks all did.
+    """
+    return _spans(docs, min_span).drop("t")
+
+
+@F.arrow_udf(T.StringType())
+def _without(texts: pa.Array, spans: pa.Array) -> pa.Array:
+    """Each text without its (start, end) spans of bytes, moved inwards to whole characters."""
+    out = []
+    for text, held in zip(texts.to_pylist(), spans.to_pylist()):
+        if text is None or not held:
+            out.append(text)
+            continue
+        data, parts, at = text.encode(), [], 0
+        for span in held:
+            start, end = span["start"], span["end"]
+            while start < len(data) and data[start] & 0xC0 == 0x80:
+                start += 1
+            while at < end < len(data) and data[end] & 0xC0 == 0x80:
+                end -= 1
+            if start < end:
+                parts.append(data[at:start])
+                at = end
+        out.append(b"".join([*parts, data[at:]]).decode())
+    return pa.array(out, pa.string())
+
+
+def deduplicated(docs: DataFrame, min_span: int = MIN_SPAN) -> DataFrame:
+    """`docs` with all their columns, and texts without the spans whose chunks all occurred before; spans that are copied in part stay."""
+    copied = _spans(docs, min_span).filter("n_copies = n_chunks")
+    lists = copied.groupBy(F.col("doc_id").alias("s_doc_id"), F.col("t").alias("s_t")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+    out = rows.join(lists.hint("shuffle_hash"), F.col("row.doc_id").cast("long").eqNullSafe(F.col("s_doc_id")) & (F.xxhash64("row.text") == F.col("s_t")), "left")
+    return out.select(*[F.when(F.col("spans").isNull(), F.col("row.text")).otherwise(_without("row.text", "spans")).alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,6 +50,23 @@ def test_repeats_are_found_and_survive_insertions(spark, corpus):
         assert (r["n_copies"] == 0) == (r["doc_id"] == 3)
 
 
+def test_copies_are_dropped_from_texts(spark):
+    rng = random.Random(4)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyzäöé") for _ in range(rng.randrange(3, 8))) for _ in range(n))
+    passage, rows = prose(80), []
+    for i in range(6):
+        a, b = prose(30), prose(30)
+        rows.append((i, f"{a} {passage} {b}" if i < 4 else f"{a} {b}", i, a, b))
+    rows += [(9, None, 1, "", ""), (10, "", 1, "", "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, spans int, a string, b string")
+    got = {r["doc_id"]: r for r in repeats.deduplicated(docs).collect()}
+    assert got[0]["text"] == rows[0][1] and got[5]["text"] == rows[5][1] and got[9]["text"] is None and got[10]["text"] == ""
+    assert repeats.deduplicated(docs).columns == docs.columns and got[3]["spans"] == 3
+    for i in (1, 2, 3):
+        left = got[i]["text"]
+        assert len(left) < len(rows[i][1]) - len(passage) + 20 and left.startswith(rows[i][3][:-1]) and left.endswith(rows[i][4][1:])
+
+
 def test_short_passages_are_found_to_their_ends(spark):
     rng = random.Random(11)
     prose = lambda n: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(3, 8))) for _ in range(n))
@@ -473,7 +490,10 @@ def test_chains_of_patterns_are_followed_to_their_end(spark):
     assert all(got[i].startswith("phone:") for i, _ in rows)
 
 
-def test_fingerprints(docs, corpus):
+@pytest.mark.parametrize("bucket", [8 << 20, 2000])
+def test_fingerprints(docs, corpus, monkeypatch, bucket):
+    monkeypatch.setattr(digests, "BUCKET_BYTES", bucket)
+    monkeypatch.setattr(digests, "RANGES", 1000 if bucket > 5000 else 3)
     got = {r["doc_id"]: r for r in digests.compare_edited(docs).collect()}
     order = sorted(corpus, key=lambda t: t[0])
     for i, (doc_id, text, *_) in enumerate(order):
@@ -488,6 +508,20 @@ def test_fingerprints(docs, corpus):
     assert np.mean([got[i]["near_next"] for i in range(50)]) < 0.2 < np.mean([got[i]["near_edited"] for i in range(50)])
 
 
+def test_hot_and_missing_ids_are_followed(spark, monkeypatch):
+    """Many rows of one id or of none, in buckets of a few rows: each is followed by the next in the order (nulls first, id, hash of the text)."""
+    monkeypatch.setattr(digests, "BUCKET_BYTES", 300)
+    rows = [(None, f"none {i}") for i in range(40)] + [(7, f"seven {i}") for i in range(40)] + [(i, f"other {i}") for i in range(8, 30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    order = df.withColumn("t", F.xxhash64("text")).orderBy(F.asc_nulls_first("doc_id"), "t").collect()
+    want = {}
+    for r, after in zip(order, order[1:] + order[:1]):
+        half = len(r["text"]) // 2
+        want[r["text"]] = hashlib.sha256((r["text"][: len(r["text"]) - half] + after["text"][:half]).encode()).hexdigest()
+    got = Counter(r["edited_sha256"] for r in digests.compare_edited(df).collect())
+    assert got == Counter(want.values())
+
+
 def test_entropy_depends_on_the_window_alone():
     rng = np.random.default_rng(1)
     x = rng.integers(97, 110, 3000).astype(np.uint8)
