@@ -70,3 +70,38 @@ def selected_step(axis: DataFrame, picked: DataFrame) -> DataFrame:
     return axis.join(picked, "axis", "left").groupBy("axis").agg(
         F.coalesce(F.max(F.when(F.col("step") == F.col("pick"), F.col("step"))), F.when(F.first("dated"), F.max_by("step", "pos")).otherwise(F.min_by("step", "pos"))).alias("step")
     )
+
+
+#: Bins of a round of `quantiles`, and how many values a round may leave to be sorted.
+QUANTILE_BINS, FEW_VALUES = 4096, 100_000
+
+
+def _at_rank(df: DataFrame, column: str, rank: int, low: float, high: float, n: int) -> float:
+    """The value with `rank` values before it: the bin that holds it is cut into bins again until few are left."""
+    before, c = 0, F.col(column)
+    inside = df.filter(c.between(low, high))
+    while n > FEW_VALUES and low < high:
+        width = (high - low) / QUANTILE_BINS
+        bins = inside.groupBy(F.least(F.floor((c - low) / width), F.lit(QUANTILE_BINS - 1)).alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min(c).alias("low"), F.max(c).alias("high"))
+        for r in sorted(bins.collect(), key=lambda r: r["b"]):  # QUANTILE_BINS rows at most
+            if before + r["n"] > rank:
+                low, high, n = r["low"], r["high"], r["n"]
+                break
+            before += r["n"]
+        inside = df.filter(c.between(low, high))
+    if low == high:
+        return low
+    return inside.select(c).orderBy(c).offset(rank - before).limit(1).first()[0]
+
+
+def quantiles(df: DataFrame, column: str, shares: list[float]) -> DataFrame:
+    """(q, least, most): exact quantiles, interpolated between neighbours, and the ends, by histograms of a fixed size; nulls and NaN don't count."""
+    values = df.filter(F.col(column).isNotNull() & ~F.isnan(column))
+    low, high, n = values.agg(F.min(column), F.max(column), F.count(column)).first()
+    found = []
+    for share in shares:
+        place = share * (n - 1) if n else 0.0
+        pair = [_at_rank(values, column, int(r), low, high, n) for r in {int(place), min(int(place) + 1, max(n - 1, 0))}] if n else [None]
+        pair = sorted(pair) if n else pair
+        found.append(pair[0] + (pair[-1] - pair[0]) * (place - int(place)) if n else None)
+    return df.sparkSession.createDataFrame([(found, low, high)], "q array<double>, least double, most double")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.plans.storage import written
+from stratalake.plans.storage import small, written
 
 
 def numbered(df: DataFrame, order: list, name: str = "feature_id") -> DataFrame:
@@ -21,6 +21,17 @@ def numbered(df: DataFrame, order: list, name: str = "feature_id") -> DataFrame:
     return placed.join(F.broadcast(before), "_part").withColumn(name, F.col("_before") + F.col("_place") + 1).drop("_part", "_place", "_before")
 
 
+def numbered_within(df: DataFrame, group: list[str], order: list, name: str) -> DataFrame:
+    """`df` with 1..n within each group: numbers of the whole order less those before the group, so a large group is no hot key."""
+    all_ = written(numbered(df, [*group, *order], "_number"), "numbered")
+    first = all_.groupBy(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)]).agg(F.min("_number").alias("_first"))
+    same = F.lit(True)
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    out = all_.join(small(written(first, "firsts")), same)
+    return out.withColumn(name, F.col("_number") - F.col("_first") + 1).drop("_number", "_first", *[f"_g{i}" for i in range(len(group))])
+
+
 def page(df: DataFrame, sort: Column | None, tiebreak: str, limit: int, offset: int = 0) -> DataFrame:
     """One page in the order of `sort` (nulls last is the caller's choice of sort), then of `tiebreak`."""
     ordered = df.orderBy(sort, tiebreak) if sort is not None else df.orderBy(tiebreak)

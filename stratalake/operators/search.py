@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from stratalake.plans.storage import small
 
 K1, B = 1.2, 0.75
 CHUNK_CHARS, LEAST_CHARS, SNIPPET_CHARS = 1200, 30, 240
+#: Vectors in a block of a matrix product.
+BLOCK_VECTORS = 2048
 
 
 def terms(text: Column) -> Column:
@@ -84,26 +87,12 @@ def place_search(names: DataFrame, column: str, asked: str, drop: str = r"\s+(qu
 
 
 def chunked(docs: DataFrame, key: str, text: str, width: int = CHUNK_CHARS) -> DataFrame:
-    """(key, pos, chunk, snippet): windows of about `width` characters cut between words; short pieces are dropped."""
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows: tuple[list, ...] = ([], [], [])
-            for k, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words, at, size, pieces = (value or "").split(), 0, 0, []
-                for i, w in enumerate(words):
-                    if size and size + 1 + len(w) > width:
-                        pieces.append(" ".join(words[at:i]))
-                        at, size = i, 0
-                    size += len(w) + (1 if size else 0)
-                pieces.append(" ".join(words[at:]))
-                for p, piece in enumerate(x for x in pieces if len(x) > LEAST_CHARS):
-                    for column, v in zip(rows, (k, p, piece)):
-                        column.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, (pa.int64(), pa.int32(), pa.string()))], names=["key", "pos", "chunk"])
-
-    out = docs.select(F.col(key).cast("long"), text).mapInArrow(cut, "key bigint, pos int, chunk string")
-    return out.select(F.col("key").alias(key), "pos", "chunk", F.substring("chunk", 1, SNIPPET_CHARS).alias("snippet"))
+    """(key, pos, chunk, snippet): windows of `width` characters at most, cut at their last space, or anywhere in a longer word; short pieces are dropped."""
+    plain = F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
+    windows = F.regexp_extract_all(plain, F.lit(f"(?s).{{1,{width}}}$|.{{1,{width - 1}}}(?= )|.{{{width}}}"), F.lit(0))
+    pieces = F.filter(F.transform(windows, lambda c: F.trim(c)), lambda c: F.length(c) > LEAST_CHARS)
+    out = docs.select(F.col(key), F.posexplode(pieces).alias("pos", "chunk"))
+    return out.select(key, "pos", "chunk", F.substring("chunk", 1, SNIPPET_CHARS).alias("snippet"))
 
 
 def hashed_vector(text: Column, dims: int = 32) -> Column:
@@ -141,19 +130,48 @@ def mean_pool(vectors: DataFrame, key: str, emb: str) -> DataFrame:
     return pooled.select(key, F.when(norm > 0, F.transform("m", lambda v: v / norm)).alias("emb"))
 
 
-def similar_edges(vectors: DataFrame, key: str, emb: str, k: int, blocks: int) -> DataFrame:
-    """(src, dst, weight): each vector's k nearest others, each pair once.
+def nearest(queries: DataFrame, vectors: DataFrame, key: str, emb: str, k: int, block: int = BLOCK_VECTORS) -> DataFrame:
+    """(q, v, s): for each query its k most similar other vectors by cosine, s rounded to 12 places; ties go to the smaller key.
 
-    Vectors meet in pairs of blocks, and each pair of blocks keeps k neighbours a vector before they are merged.
+    Queries and vectors meet in pairs of blocks, each one matrix product that keeps k rows a query, so no pair is ever a row. Vectors of length zero,
+    and null ones, have no neighbours.
     """
-    norm = F.sqrt(dot(F.col(emb), F.col(emb)))
-    unit = vectors.select(F.col(key).alias("a"), F.transform(emb, lambda v: v / norm).alias("u")).withColumn("block", F.pmod(F.xxhash64("a"), F.lit(blocks)))
-    left = unit.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select("a", "u", "block", "other")
-    right = unit.select(F.col("a").alias("b"), F.col("u").alias("w"), F.col("block").alias("r_block"))
-    pairs = left.join(right, F.col("other") == F.col("r_block")).filter("a <> b").withColumn("s", dot(F.col("u"), F.col("w"))).select("a", "b", "s", "other")
-    best = lambda df, *by: df.withColumn("r", F.row_number().over(Window.partitionBy("a", *by).orderBy(F.desc("s"), "b"))).filter(F.col("r") <= k).drop("r")
-    top = best(best(pairs, "other").drop("other"))
-    return top.select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst"), F.round("s", 4).alias("weight")).distinct()
+
+    def unit(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        table = table.sort_by("id")
+        flat = table.column("e").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        m = flat.reshape(table.num_rows, -1)
+        return table.column("id").to_numpy(), m / np.sqrt((m * m).sum(1, keepdims=True))
+
+    def best(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return pa.table({"q": pa.array([], pa.int64()), "v": pa.array([], pa.int64()), "s": pa.array([], pa.float64())})
+        (q, a), (v, b) = unit(left), unit(right)
+        s = np.round(a @ b.T, 12)
+        s[q[:, None] == v[None, :]] = -np.inf
+        top = np.argsort(-s, axis=1, kind="stable")[:, :k]
+        found = np.take_along_axis(s, top, 1).ravel()
+        keep = found > -np.inf
+        return pa.table({"q": np.repeat(q, top.shape[1])[keep], "v": v[top].ravel()[keep], "s": found[keep]})
+
+    full = F.col(emb).isNotNull() & F.exists(emb, lambda x: x != 0)
+    sides = []
+    for df in (queries, vectors):
+        rows = df.filter(full).select(F.col(key).cast("long").alias("id"), F.col(emb).alias("e"))
+        sides.append((rows, -(-rows.count() // block) or 1))
+    (left, n_left), (right, n_right) = sides
+    own = lambda n: F.pmod(F.xxhash64("id"), F.lit(n))
+    left = left.withColumn("i", own(n_left)).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_right - 1).cast("long"))))
+    right = right.withColumn("j", own(n_right)).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_left - 1).cast("long"))))
+    pairs = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInArrow(best, "q bigint, v bigint, s double")
+    place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("s"), "v"))  # k rows a block at most
+    return pairs.withColumn("r", place).filter(F.col("r") <= k).drop("r")
+
+
+def similar_edges(vectors: DataFrame, key: str, emb: str, k: int) -> DataFrame:
+    """(src, dst, weight): each vector's k nearest others, each pair once."""
+    top = nearest(vectors, vectors, key, emb, k)
+    return top.groupBy(F.least("q", "v").alias("src"), F.greatest("q", "v").alias("dst")).agg(F.round(F.max("s"), 4).alias("weight"))
 
 
 def citation_edges(docs: DataFrame, key: str, text: Column, pattern: str, ids: DataFrame) -> DataFrame:

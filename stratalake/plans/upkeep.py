@@ -77,3 +77,13 @@ def checksums(spark: SparkSession, path: str, most_bytes: int) -> DataFrame:
     files = spark.read.format("binaryFile").load(path).filter(F.col("length") <= most_bytes)
     folders = [c for c in files.columns if c not in ("path", "modificationTime", "length", "content")]
     return files.select(*folders, F.regexp_extract("path", "([^/]+)$", 1).alias("file"), F.col("length").alias("size"), F.sha2("content", 256).alias("checksum"))
+
+
+#: Fixed value: a prune of more than this share of what is expected is refused.
+MOST_PRUNED = 0.05
+
+
+def prune_guard(doomed: DataFrame, expected: DataFrame) -> DataFrame:
+    """(doomed, expected, refused): how many rows a prune would delete, of how many expected ones, and whether that is too many."""
+    counts = doomed.agg(F.count(F.lit(1)).alias("doomed")).crossJoin(F.broadcast(expected.agg(F.count(F.lit(1)).alias("expected"))))
+    return counts.withColumn("refused", F.col("doomed") > MOST_PRUNED * F.greatest("expected", F.lit(1)))

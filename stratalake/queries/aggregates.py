@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from stratalake.operators import aggregates as agg
+from stratalake.operators.ordering import numbered_within
 from stratalake.queries.base import BOXES, Register, boxes, table
 
 Q = Register()
@@ -62,19 +63,26 @@ def ag14(spark, d):
     return out.withColumn("level", F.col("level").cast("int"))
 
 
-@Q("ag15_index_build", f"select kind, count(*) as n, md5(string_agg(id::varchar || ':' || name, ',' order by id)) as digest from {B} group by kind")
+@Q("ag15_index_build", f"with r as (select *, (row_number() over (partition by kind order by id) - 1) // 100 as page from {B}) select kind, page, count(*) as n, md5(string_agg(id::varchar || ':' || name, ',' order by id)) as digest from r group by 1, 2")
 def ag15(spark, d):
+    """The index of a kind in pages of 100 entries, so that no row holds a whole kind."""
+    b = numbered_within(boxes(spark, d).select("kind", "id", "name"), ["kind"], ["id"], "n")
     entries = F.array_sort(F.collect_list(F.struct("id", "name")))
-    index = boxes(spark, d).groupBy("kind").agg(entries.alias("entries"))
+    index = b.groupBy("kind", F.expr("(n - 1) div 100").alias("page")).agg(entries.alias("entries"))
     text = F.array_join(F.transform("entries", lambda e: F.concat(e["id"].cast("string"), F.lit(":"), e["name"])), ",")
-    return index.select("kind", F.size("entries").cast("long").alias("n"), F.md5(text).alias("digest"))
+    return index.select("kind", "page", F.size("entries").cast("long").alias("n"), F.md5(text).alias("digest"))
 
 
-@Q("ag16_coverage_summary", "select p_brand, p_size % 3 as series, count(*) as publications, count(*) filter (where p_partkey % 2 = 0) as items, count(*) filter (where p_partkey % 2 <> 0) as pending, bool_and(p_partkey % 2 = 0) as migrated, coalesce(string_agg(p_partkey::varchar, ',' order by p_partkey) filter (where p_partkey % 2 = 0), '') as rasters from part group by 1, 2")
+@Q("ag16_coverage_summary", "select p_brand, p_size % 3 as series, count(*) as publications, count(*) filter (where p_partkey % 2 = 0) as items, count(*) filter (where p_partkey % 2 <> 0) as pending, bool_and(p_partkey % 2 = 0) as migrated from part group by 1, 2")
 def ag16(spark, d):
     done = F.col("p_partkey") % 2 == 0
-    rasters = F.array_sort(F.collect_list(F.when(done, F.col("p_partkey"))))
-    return table(spark, d, "part").groupBy("p_brand", (F.col("p_size") % 3).alias("series")).agg(F.count(F.lit(1)).alias("publications"), F.count_if(done).alias("items"), F.count_if(~done).alias("pending"), F.bool_and(done).alias("migrated"), F.array_join(F.transform(rasters, lambda x: x.cast("string")), ",").alias("rasters"))
+    return table(spark, d, "part").groupBy("p_brand", (F.col("p_size") % 3).alias("series")).agg(F.count(F.lit(1)).alias("publications"), F.count_if(done).alias("items"), F.count_if(~done).alias("pending"), F.bool_and(done).alias("migrated"))
+
+
+@Q("ag16_coverage_rasters", "select p_brand, p_size % 3 as series, p_partkey as raster from part where p_partkey % 2 = 0")
+def ag16_rasters(spark, d):
+    """The rasters of the summary's groups, a row each."""
+    return table(spark, d, "part").filter("p_partkey % 2 = 0").select("p_brand", (F.col("p_size") % 3).alias("series"), F.col("p_partkey").alias("raster"))
 
 
 @Q("ag17_duplicate_ids", "select o_custkey as id, string_agg(distinct o_orderstatus, ',' order by o_orderstatus) as collections from orders group by 1 having count(distinct o_orderstatus) > 1")

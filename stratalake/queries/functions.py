@@ -152,7 +152,7 @@ def fn20(spark, d):
     return p.join(now, "p_partkey", "left").select("p_partkey", F.coalesce("now", F.col("p_size") + 1000).alias("size"))
 
 
-@Q("fn21_input_digest", "select p_brand, sha256(string_agg(p_partkey || ':' || p_size, chr(10) order by p_partkey || ':' || p_size)) as digest from part group by 1")
+@Q("fn21_input_digest", "select p_brand, sha256(count(*) || ':' || sum(('0x' || md5(p_partkey || ':' || p_size)[1:12])::bigint) || ':' || sum(('0x' || md5(p_partkey || ':' || p_size)[13:24])::bigint)) as digest from part group by 1")
 def fn21(spark, d):
     from stratalake.operators.aggregates import digest_of
 

@@ -4,6 +4,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stratalake.operators import reviews, spatial
+from stratalake.plans import upkeep
+from stratalake.plans.storage import written
 from stratalake.queries.base import BOXES, POINTS, Register, boxes, points, sql, table
 
 Q = Register()
@@ -92,9 +94,7 @@ def jn9(spark, d):
 
 @Q("jn10_fk_registry_incoming", f"select origin, count(*) as n from ({LINKS}) r where target = 3 group by origin")
 def jn10(spark, d):
-    own = sql(spark, d, LINKS, "customer").groupBy("origin").agg(F.collect_list(F.struct("target", "key")).alias("rels"))
-    to = F.filter("rels", lambda r: r["target"] == 3)
-    return own.filter(F.exists("rels", lambda r: r["target"] == 3)).select("origin", F.size(to).cast("long").alias("n"))
+    return sql(spark, d, LINKS, "customer").filter("target = 3").groupBy("origin").agg(F.count(F.lit(1)).alias("n"))
 
 
 @Q("jn11_attachment_grouping", "select l_orderkey, string_agg(l_linenumber::varchar, ',' order by l_linenumber) as files from lineitem group by 1")
@@ -109,13 +109,29 @@ def jn12(spark, d):
     return p.filter("page_id % 2 = 0").groupBy("target").agg(F.min("page_id").alias("page_id")).join(there, "target", "left_anti")
 
 
-@Q("jn13_orphan_detect", "select o_orderkey, o_custkey in (select o_custkey from orders where o_orderkey % 9 <> 0) as renamed from orders where o_orderkey % 9 = 0")
-def jn13(spark, d):
+ORPHANS = "select o_orderkey, o_custkey in (select o_custkey from orders where o_orderkey % 9 <> 0) as renamed from orders where o_orderkey % 9 = 0"
+
+
+def _orphans(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
     source = o.filter("o_orderkey % 9 <> 0")
     gone = o.join(source.select("o_orderkey"), "o_orderkey", "left_anti")
     files = source.select("o_custkey", F.lit(True).alias("there")).distinct()
-    return gone.join(files, "o_custkey", "left").select("o_orderkey", F.coalesce("there", F.lit(False)).alias("renamed"))
+    return gone.join(files, "o_custkey", "left").select("o_orderkey", F.coalesce("there", F.lit(False)).alias("renamed")), source
+
+
+@Q("jn13_orphan_detect", ORPHANS)
+def jn13(spark, d):
+    return _orphans(spark, d)[0]
+
+
+@Q("jn13_prune_guard", f"with g as ({ORPHANS}), n as (select count(*) as expected from orders where o_orderkey % 9 <> 0), r as (select count(*) as renamed from g where renamed) select x.k as every, (select count(*) from g where renamed and o_orderkey % x.k = 0) as doomed, expected, 20 * (select count(*) from g where renamed and o_orderkey % x.k = 0) > greatest(expected, 1) as refused from n, (values (1), (4)) x(k)")
+def jn13_guard(spark, d):
+    """A prune of all renamed orphans is refused as too large; that of a fourth of them isn't."""
+    gone, source = _orphans(spark, d)
+    gone = written(gone, "orphans")
+    out = [upkeep.prune_guard(gone.filter(F.col("renamed") & (F.col("o_orderkey") % k == 0)), source).select(F.lit(k).alias("every"), "doomed", "expected", "refused") for k in (1, 4)]
+    return out[0].union(out[1])
 
 
 @Q("jn14_stale_items", "select p_brand, p_partkey from part where p_partkey % 6 = 0")

@@ -40,8 +40,8 @@ def wn3_left_out(spark, d):
 
 @Q("wn4_draw_order", "select p_partkey, row_number() over (partition by p_brand order by (p_size % 2 = 0), p_size, p_partkey) as rank from part")
 def wn4(spark, d):
-    p = table(spark, d, "part")
-    return p.select("p_partkey", F.row_number().over(Window.partitionBy("p_brand").orderBy(F.col("p_size") % 2 == 0, "p_size", "p_partkey")).alias("rank"))
+    p = table(spark, d, "part").select("p_partkey", "p_brand", "p_size", (F.col("p_size") % 2 == 0).alias("even"))
+    return ordering.numbered_within(p, ["p_brand"], ["even", "p_size", "p_partkey"], "rank").select("p_partkey", "rank")
 
 
 @Q("wn5_tier_membership", EDITIONS + " select d.doc_id, case when n_chars < 1000 then '24k' when n_chars < 3000 then '250k' else '500k' end as tier, case when g.doc_id is null then 'not dated' when deprecated then 'superseded' else 'member' end as status from d left join g on g.doc_id = d.doc_id")

@@ -115,10 +115,8 @@ LAYERS = "select p_brand as bundle, p_name as label, p_size as rows, p_type as k
 
 @Q("ri8_unit_layer_select", f"select bundle, id from (select *, row_number() over (partition by bundle order by -rows, label, id) as r from ({LAYERS}) l where kind ilike '%s%' and rows > 5) t where r = 1")
 def ri8(spark, d):
-    manifest = sql(spark, d, LAYERS, "part").groupBy("bundle").agg(F.collect_list(F.struct("label", "rows", "kind", "id")).alias("layers"))
-    each = manifest.select("bundle", F.explode("layers").alias("l")).select("bundle", "l.*").filter(F.col("kind").rlike("(?i)s") & (F.col("rows") > 5))
-    best = F.row_number().over(Window.partitionBy("bundle").orderBy(-F.col("rows"), "label", "id"))
-    return each.withColumn("r", best).filter("r = 1").select("bundle", "id")
+    each = sql(spark, d, LAYERS, "part").filter(F.col("kind").rlike("(?i)s") & (F.col("rows") > 5))
+    return each.groupBy("bundle").agg(F.min_by("id", F.struct(-F.col("rows"), F.col("label"), F.col("id"))).alias("id"))
 
 
 @Q("ri9_unit_polys_normalise", "select p_partkey as unit_code, coalesce(case when p_size % 2 = 0 then p_brand end, p_name) as unit_name, p_type as age from part")

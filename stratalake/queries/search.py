@@ -75,12 +75,14 @@ def ts9(spark, d):
     return search.embed_incremental(t, cache, "doc_id", search.hashed_vector, "text").select("doc_id", (F.size("emb") == 1).alias("reused"))
 
 
-@Q("ts10_vector_search", "with q as (select embedding as e from embeddings where vec_id = 0) select vec_id, round(1 - list_dot_product(embedding::double[], e::double[]) / sqrt(list_dot_product(embedding::double[], embedding::double[])) / sqrt(list_dot_product(e::double[], e::double[])), 6) as distance from embeddings, q order by distance, vec_id limit 20")
+@Q("ts10_vector_search", """with e as (select vec_id, list_transform(embedding::double[], lambda v: v / sqrt(list_dot_product(embedding::double[], embedding::double[]))) as u from embeddings),
+p as (select a.vec_id as query, b.vec_id, round(list_dot_product(a.u, b.u), 12) as s from e a join e b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id)
+select query, vec_id, round(1 - s, 6) as distance from (select *, row_number() over (partition by query order by s desc, vec_id) as r from p) t where r <= 20""")
 def ts10(spark, d):
+    """The queries are the vectors whose id is divisible by 100."""
     e = table(spark, d, "embeddings")
-    query = e.filter("vec_id = 0").first()["embedding"]
-    near = search.vector_search(e, "vec_id", "embedding", query, 200)
-    return near.select("vec_id", F.round("distance", 6).alias("distance")).orderBy("distance", "vec_id").limit(20)
+    near = search.nearest(e.filter("vec_id % 100 = 0"), e, "vec_id", "embedding", 20)
+    return near.select(F.col("q").alias("query"), F.col("v").alias("vec_id"), F.round(1 - F.col("s"), 6).alias("distance"))
 
 
 @Q("ts11_mean_pool", "with m as (select label, i, avg(embedding[i]::double) as v from embeddings, unnest(range(1, len(embedding) + 1)) t(i) group by 1, 2), n as (select label, sqrt(sum(v * v)) as n from m group by 1) select m.label, (i - 1)::int as pos, round(v / n, 6) as v from m join n on m.label = n.label")
@@ -88,11 +90,11 @@ def ts11(spark, d):
     return search.mean_pool(table(spark, d, "embeddings"), "label", "embedding").select("label", F.posexplode("emb").alias("pos", "v")).withColumn("v", F.round("v", 6))
 
 
-@Q("ts12_similar_edges", """with e as (select vec_id, list_transform(embedding::double[], lambda v: v / sqrt(list_dot_product(embedding::double[], embedding::double[]))) as u from embeddings where label < 3),
-p as (select a.vec_id as a, b.vec_id as b, list_dot_product(a.u, b.u) as s from e a join e b on a.vec_id <> b.vec_id), r as (select *, row_number() over (partition by a order by s desc, b) as r from p)
-select distinct least(a, b) as src, greatest(a, b) as dst, round(s, 4) as weight from r where r <= 5""")
+@Q("ts12_similar_edges", """with e as (select vec_id, list_transform(embedding::double[], lambda v: v / sqrt(list_dot_product(embedding::double[], embedding::double[]))) as u from embeddings),
+p as (select a.vec_id as a, b.vec_id as b, round(list_dot_product(a.u, b.u), 12) as s from e a join e b on a.vec_id <> b.vec_id), r as (select *, row_number() over (partition by a order by s desc, b) as r from p)
+select least(a, b) as src, greatest(a, b) as dst, round(max(s), 4) as weight from r where r <= 5 group by 1, 2""")
 def ts12(spark, d):
-    return search.similar_edges(table(spark, d, "embeddings").filter("label < 3"), "vec_id", "embedding", 5, 4)
+    return search.similar_edges(table(spark, d, "embeddings"), "vec_id", "embedding", 5)
 
 
 @Q("ts13_citation_edges", f"with x as (select 'DOC-' || doc_id as src, unnest(regexp_extract_all(body, 'DOC-[0-9]+')) as dst from ({SHAPED}) b) select src, dst, count(*) as weight from x where src <> dst and dst in (select 'DOC-' || doc_id from documents) group by 1, 2")
