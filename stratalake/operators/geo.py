@@ -119,11 +119,14 @@ def block_merge(df: DataFrame, size: float, kind: str) -> DataFrame:
 
 
 def point_wkb(x: Column, y: Column) -> Column:
-    """Well-known binary of a point."""
+    """Well-known binary of a point; null without coordinates."""
 
     @F.pandas_udf("binary")
     def wkb(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([struct.pack("<BIdd", 1, 1, p, q) if p == p and q == q else None for p, q in zip(a.astype(float), b.astype(float))])
+        rows = np.zeros(len(a), np.dtype([("order", "u1"), ("kind", "<u4"), ("x", "<f8"), ("y", "<f8")]))
+        rows["order"], rows["kind"], rows["x"], rows["y"] = 1, 1, a.astype(float), b.astype(float)
+        data, missing = rows.tobytes(), np.isnan(rows["x"]) | np.isnan(rows["y"])
+        return pd.Series([None if gone else data[21 * i : 21 * i + 21] for i, gone in enumerate(missing)], dtype=object)
 
     return wkb(x, y)
 
@@ -171,31 +174,80 @@ def envelope(wkb: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["xmin", "ymin", "xmax", "ymax", "vertices"])
 
 
-def simplify(lines: DataFrame, tolerance: float) -> DataFrame:
-    """`lines` (id, xs, ys) by Douglas-Peucker, with how many vertices are left."""
+def simplify(lines: DataFrame, tolerance: float | Column) -> DataFrame:
+    """`lines` (id, xs, ys) by Douglas-Peucker, with how many vertices are left; a ring that would collapse keeps four."""
 
-    def keep(p: np.ndarray) -> np.ndarray:
+    def keep(p: np.ndarray, t: float) -> np.ndarray:
         marked, stack = np.zeros(len(p), bool), [(0, len(p) - 1)]
         marked[[0, -1]] = True
         while stack:
             a, b = stack.pop()
             if b - a < 2:
                 continue
-            d = p[b] - p[a]
-            away = np.abs(d[0] * (p[a + 1 : b, 1] - p[a, 1]) - d[1] * (p[a + 1 : b, 0] - p[a, 0])) / max(float(np.hypot(*d)), 1e-300)
-            if away.max() > tolerance:
+            away = _off_chord(p, a, b)
+            if away.max() > t:
                 k = a + 1 + int(away.argmax())
                 marked[k] = True
                 stack += [(a, k), (k, b)]
+        if len(p) > 3 and (p[0] == p[-1]).all():
+            while marked.sum() < 4:  # the vertex that is furthest from what is kept
+                at = np.flatnonzero(marked)
+                far = [(float(_off_chord(p, a, b).max()), a + 1 + int(_off_chord(p, a, b).argmax())) for a, b in zip(at, at[1:]) if b - a > 1]
+                marked[max(far)[1]] = True
         return marked
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for i, xs, ys in zip(*(batch.column(c).to_pylist() for c in ("id", "xs", "ys"))):
+            for i, xs, ys, t in zip(*(batch.column(c).to_pylist() for c in ("id", "xs", "ys", "t"))):
                 p = np.column_stack((xs, ys)).astype(float)
-                m = keep(p) if len(p) > 2 else np.ones(len(p), bool)
+                m = keep(p, t) if len(p) > 2 else np.ones(len(p), bool)
                 rows.append((i, p[m, 0].tolist(), p[m, 1].tolist(), int(m.sum())))
             yield pa.RecordBatch.from_pylist([dict(zip(("id", "xs", "ys", "n"), r)) for r in rows], pa.schema([("id", pa.int64()), ("xs", pa.list_(pa.float64())), ("ys", pa.list_(pa.float64())), ("n", pa.int32())]))
 
-    return lines.select(F.col("id").cast("long"), "xs", "ys").mapInArrow(run, "id bigint, xs array<double>, ys array<double>, n int")
+    t = tolerance if isinstance(tolerance, Column) else F.lit(float(tolerance))
+    return lines.select(F.col("id").cast("long"), "xs", "ys", t.cast("double").alias("t")).mapInArrow(run, "id bigint, xs array<double>, ys array<double>, n int")
+
+
+def _off_chord(p: np.ndarray, a: int, b: int) -> np.ndarray:
+    """How far the vertices between a and b are from the line through both; from the point where they are one."""
+    d, inner = p[b] - p[a], p[a + 1 : b] - p[a]
+    length = float(np.hypot(*d))
+    return np.abs(d[0] * inner[:, 1] - d[1] * inner[:, 0]) / length if length else np.hypot(inner[:, 0], inner[:, 1])
+
+
+#: A layer gets overviews from so many vertices, and keeps a level under this share of the one before.
+OVERVIEW_VERTICES, LEVEL_SHARE = 1_000_000, 0.7
+
+
+def overview(shapes: DataFrame, t: float) -> DataFrame:
+    """`shapes` (id, xs, ys) generalised to a tolerance: of the specks (under t both ways) of a cell the widest stays, the rest is simplified.
+
+    A ring narrower than t (twice its area over its length) gets a quarter of the tolerance; empty shapes are dropped.
+    """
+    ends = shapes.filter(F.size("xs") > 0).withColumns({"x0": F.array_min("xs"), "x1": F.array_max("xs"), "y0": F.array_min("ys"), "y1": F.array_max("ys")})
+    wide = (F.col("x1") - F.col("x0")) + (F.col("y1") - F.col("y0"))
+    speck = (F.col("x1") - F.col("x0") < t) & (F.col("y1") - F.col("y0") < t)
+    shown = ends.filter(speck).groupBy(F.floor(F.col("x0") / t), F.floor(F.col("y0") / t)).agg(F.max_by("id", F.struct(wide, -F.col("id"))).alias("s_id")).select("s_id")
+    kept = ends.filter(~speck).unionByName(ends.filter(speck).join(shown, F.col("id") == F.col("s_id"), "left_semi"))
+    corner = F.sequence(F.lit(1), F.size("xs") - 1)
+    x, y = (lambda i: F.get("xs", i)), (lambda i: F.get("ys", i))
+    total = lambda f: F.aggregate(F.transform(corner, f), F.lit(0.0), lambda s, v: s + v)
+    ring = (F.size("xs") > 3) & (F.element_at("xs", 1) == F.element_at("xs", -1)) & (F.element_at("ys", 1) == F.element_at("ys", -1))
+    area = F.abs(total(lambda i: x(i - 1) * y(i) - x(i) * y(i - 1))) / 2
+    length = total(lambda i: F.hypot(x(i) - x(i - 1), y(i) - y(i - 1)))
+    thin = F.when(ring, 2 * area < t * length).otherwise(False)
+    return simplify(kept, F.when(thin, t / 4).otherwise(t))
+
+
+def overview_gate(df: DataFrame, vertices: Column, point: Column, by: list[str] = (), least: int = OVERVIEW_VERTICES) -> DataFrame:
+    """(by, vertices, build): a layer gets overviews if it has enough vertices and isn't all points."""
+    layers = df.groupBy(*by).agg(F.coalesce(F.sum(vertices), F.lit(0)).cast("long").alias("vertices"), F.coalesce(F.bool_and(point), F.lit(True)).alias("points"))
+    return layers.select(*by, "vertices", (~F.col("points") & (F.col("vertices") >= least)).alias("build"))
+
+
+def kept_levels(sizes: Column) -> Column:
+    """Which levels are written, from the sizes of the data and of its levels: those under LEVEL_SHARE of the last one that was."""
+    start = F.struct(F.get(sizes, F.lit(0)).alias("last"), F.array().cast("array<boolean>").alias("kept"))
+    step = lambda acc, s: F.struct(F.when(s < LEVEL_SHARE * acc["last"], s).otherwise(acc["last"]).alias("last"), F.concat(acc["kept"], F.array(s < LEVEL_SHARE * acc["last"])).alias("kept"))
+    return F.aggregate(F.slice(sizes, F.lit(2), F.size(sizes)), start, step)["kept"]

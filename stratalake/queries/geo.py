@@ -137,18 +137,32 @@ def ag4(spark, d):
 
 @Q("ag5_overview_generalise")
 def ag5(spark, d):
-    """Polylines of the embeddings' running sums, simplified; specks are thinned first in a real layer."""
+    """Polylines of the embeddings' values, and some narrow rings and specks of the same."""
     e = spark.read.parquet(f"{d}/embeddings.parquet")
-    ys = F.transform("embedding", lambda v: v.cast("double"))
-    xs = F.transform("embedding", lambda v, i: i.cast("double") / 10)
-    return geo.simplify(e.select(F.col("vec_id").alias("id"), xs.alias("xs"), ys.alias("ys")), 0.05).select("id", "n")
+    scale = F.when(F.col("vec_id") % 5 == 0, 0.001).otherwise(1.0)
+    ys = F.transform("embedding", lambda v: v.cast("double") * scale)
+    xs = F.transform("embedding", lambda v, i: (i.cast("double") / 10 + F.col("vec_id") % 3) * scale)
+    ring = F.col("vec_id") % 4 == 0
+    back = lambda c: F.when(ring, F.concat(c, F.slice(c, 1, 1))).otherwise(c)
+    return geo.overview(e.select(F.col("vec_id").alias("id"), back(xs).alias("xs"), back(ys).alias("ys")), 0.05).select("id", "n")
 
 
-@Q("ag6_overview_gate", "select sum(len(embedding))::bigint as vertices, (sum(len(embedding)) >= 10000) as build from embeddings")
+@Q("ag6_overview_gate", "select label, sum(len(embedding))::bigint as vertices, not bool_and(vec_id % 3 = 0) and sum(len(embedding)) >= 300 as build from embeddings group by 1")
 def ag6(spark, d):
+    """A label is a layer; a third of the vectors stand for points."""
     e = spark.read.parquet(f"{d}/embeddings.parquet")
-    n = F.sum(F.size("embedding")).cast("long")
-    return e.agg(n.alias("vertices"), (n >= 10000).alias("build"))
+    return geo.overview_gate(e, F.size("embedding"), F.col("vec_id") % 3 == 0, ["label"], 300)
+
+
+@Q("ag6_overview_levels", """with s as (select label, count(*) as a, count(*) filter (where vec_id % 3 <> 0) as b, count(*) filter (where vec_id % 2 = 0) as c, count(*) filter (where vec_id % 5 = 0) as d from embeddings group by 1),
+k as (select *, b < 0.7 * a as kb, case when b < 0.7 * a then b else a end as l1 from s), m as (select *, c < 0.7 * l1 as kc, case when c < 0.7 * l1 then c else l1 end as l2 from k)
+select label, kb as level1, kc as level2, d < 0.7 * l2 as level3 from m""")
+def ag6_levels(spark, d):
+    """Levels of two thirds, a half and a fifth of a layer's rows."""
+    e = spark.read.parquet(f"{d}/embeddings.parquet")
+    sizes = e.groupBy("label").agg(F.count(F.lit(1)).alias("a"), F.count_if(F.col("vec_id") % 3 != 0).alias("b"), F.count_if(F.col("vec_id") % 2 == 0).alias("c"), F.count_if(F.col("vec_id") % 5 == 0).alias("d"))
+    kept = sizes.select("label", geo.kept_levels(F.array("a", "b", "c", "d")).alias("k"))
+    return kept.select("label", *[F.get("k", F.lit(i)).alias(f"level{i + 1}") for i in range(3)])
 
 
 @Q("ag7_block_merge", f"select floor(xmin / 0.5)::bigint as bx, floor(ymin / 0.5)::bigint as by, kind, arg_max(id, ((xmax - xmin) * (ymax - ymin), -id)) as id, min(xmin) as xmin, min(ymin) as ymin, max(xmax) as xmax, max(ymax) as ymax, count(*) as parts from {B} group by 1, 2, 3")

@@ -135,3 +135,66 @@ def test_editions(spark):
     assert got == {"M-100": ("1980", None, "M-100DM", "M-100DM", True), "M-100DM": ("2005", "M-100", None, None, False), "OFR-9": ("1999", None, None, None, False), "M-1": ("1990", None, None, None, False)}
     out = {r["id"]: r["reason"] for r in ordering.left_out(df, ["quad"], "year", "id").collect()}
     assert out == {"OFR-1": "no year", "R": "no year", "N": "no year", "T-1": "year is shared", "T-2": "year is shared"}
+
+
+def test_chunks_are_cut_like_windows(spark):
+    """A slow walk: windows of 40 characters, cut at their last space, or through a longer word."""
+    import random
+
+    rng = random.Random(8)
+    texts = [" ".join("w" * rng.choice([1, 3, 8, 12, 39, 40, 41, 95]) for _ in range(rng.randint(0, 30))) for _ in range(60)] + ["a" * 40, "b" * 41, "  c\n\td  ", "é" * 90]
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, t string")
+    got = {}
+    for r in search.chunked(df, "k", "t", 40).collect():
+        got.setdefault(r["k"], []).append((r["pos"], r["chunk"]))
+    for k, text in enumerate(texts):
+        text, want, at = " ".join(text.split()), [], 0
+        while at < len(text):
+            stop = len(text) if len(text) - at <= 40 else max([j for j in range(at + 1, at + 40) if text[j] == " "], default=at + 40)
+            want.append(text[at:stop].strip())
+            at = stop
+        assert [c for _, c in sorted(got.get(k, []))] == [c for c in want if len(c) > search.LEAST_CHARS]
+
+
+def test_nearest_over_several_blocks(spark):
+    import numpy as np
+
+    m = np.round(np.random.default_rng(5).normal(size=(130, 6)), 3)
+    m[7], m[11] = m[3], 0
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)] + [(900, None)], "id long, e array<float>")
+    got = sorted(map(tuple, search.nearest(df.filter("id % 10 = 0"), df, "id", "e", 4, 32).collect()))
+    unit = m.astype(np.float32).astype(float)
+    unit = unit / np.maximum(np.sqrt((unit**2).sum(1, keepdims=True)), 1e-300)
+    want = []
+    for q in range(0, 130, 10):
+        s = sorted((-round(float(unit[q] @ unit[v]), 12), v) for v in range(130) if v not in (q, 11))
+        want += [(q, v, -x) for x, v in s[:4]]
+    assert [g[:2] for g in got] == [w[:2] for w in sorted(want, key=lambda w: (w[0], w[1]))] and [g[2] for g in got] == pytest.approx([w[2] for w in sorted(want, key=lambda w: (w[0], w[1]))])
+
+
+def test_quantiles_by_histograms(spark, monkeypatch):
+    import numpy as np
+
+    from stratalake.operators import grid
+
+    monkeypatch.setattr(grid, "FEW_VALUES", 5)
+    monkeypatch.setattr(grid, "QUANTILE_BINS", 4)
+    values = [*np.random.default_rng(2).exponential(size=300).tolist(), *[0.5] * 40]
+    df = spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "v double")
+    row = grid.quantiles(df, "v", [0.0, 0.02, 0.5, 0.8, 1.0]).first()
+    assert row["q"] == pytest.approx(np.quantile(values, [0.0, 0.02, 0.5, 0.8, 1.0]).tolist()) and (row["least"], row["most"]) == (min(values), max(values))
+    assert grid.quantiles(df.filter("v > 1e9"), "v", [0.5]).first()["q"] == [None]
+
+
+def test_overviews(spark):
+    square = ([0.0, 4.0, 4.0, 0.0, 0.0], [0.0, 0.0, 4.0, 4.0, 0.0])
+    strip = ([0.0, 10.0, 10.0, 5.0, 0.0, 0.0], [0.0, 0.0, 0.05, 0.09, 0.05, 0.0])
+    rows = [(1, *square), (2, *strip), (3, [20.0, 20.01], [0.0, 0.0]), (4, [20.02, 20.05], [0.01, 0.01]), (5, [30.0], [0.0]), (6, [], []), (7, [0.0, 5.0, 10.0], [0.0, 0.06, 0.0]), (8, [0.0, 5.0, 10.0], [0.0, 0.2, 0.0])]
+    df = spark.createDataFrame(rows, "id long, xs array<double>, ys array<double>")
+    got = {r["id"]: r["n"] for r in geo.overview(df, 0.1).collect()}
+    assert got == {1: 5, 2: got[2], 4: 2, 5: 1, 7: 2, 8: 3} and got[2] >= 4
+    gate = geo.overview_gate(df, F.size("xs"), F.size("xs") == 1, [], 10).first()
+    assert (gate["vertices"], gate["build"]) == (22, True)
+    assert not geo.overview_gate(df, F.size("xs"), F.lit(True), [], 10).first()["build"] and not geo.overview_gate(df, F.size("xs"), F.lit(False)).first()["build"]
+    levels = spark.createDataFrame([([100, 69, 49, 48],), ([100, 70, 69, 1],)], "s array<long>")
+    assert [r[0] for r in levels.select(geo.kept_levels(F.col("s"))).collect()] == [[True, False, True], [False, True, True]]
