@@ -4,6 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stratalake.functions import text as fx
+from stratalake.functions.rules import MEDIA, TOPICS
 from stratalake.operators.reviews import mentions
 from stratalake.operators.search import split_authors
 from stratalake.queries.base import Register, sql, table
@@ -59,23 +60,35 @@ def fn5(spark, d):
     return t.select("p_partkey", F.array_join(fx.keywords(F.col("t")), "|").alias("v"))
 
 
-@Q("fn6_topic_classify", _sql(["hazards", "water", "other", "other"]))
+TITLES = [
+    "Aeromagnetic survey of a basin", "A Landslide map and its ground water", "Uranium and Coal", "Trilobites and their tracks", "Lake Bonneville shorelines", "Groundwater of the valley", "Karst and sinkholes", "For teachers: the rock cycle", "A state park",
+    "Pioneer heritage", "Surficial units", "Bedrock of the quadrangle", "Plain title", None, "More than an orchard", "Stonework of the core",
+]
+TOPIC_CASE = "case " + " ".join(f"when regexp_matches(lower(x), '{p}') then '{n}'" for n, p in TOPICS) + " else 'other' end"
+
+
+@Q("fn6_topic_classify", f"select p_partkey, {TOPIC_CASE} as v from (select p_partkey, coalesce({_pick(TITLES)}, '') || ' ' || p_type as x from part) t")
 def fn6(spark, d):
-    t = _case(spark, d, ["A Landslide map of water", "Ground water", "Plain title", None])
-    return t.select("p_partkey", fx.first_rule(F.col("t"), [("hazards", "landslide|flood"), ("water", "ground.?water|aquifer")]).alias("v"))
+    return _case(spark, d, TITLES).join(table(spark, d, "part").select("p_partkey", "p_type"), "p_partkey").select("p_partkey", fx.topic(F.col("t"), F.col("p_type")).alias("v"))
+
+
+MEDIA_CASE = "case lower(regexp_extract(t, '[.]([A-Za-z0-9]+)([?#].*)?$', 1)) " + " ".join(f"when '{k}' then '{v}'" for k, v in MEDIA.items()) + " else '-' end"
+HREFS = ["http://own.org/a.PDF", "/x/b.tif?v=1", "undefined", "http://other.org/c.csv", "https://own.org/d.xlsx#s", "e.kmz", " ", "f.unknown"]
 
 
-@Q("fn7_media_type", _sql(["application/pdf https://own.org/a.PDF", "image/tiff https://base.org/x/b.tif?v=1", "- -", "text/csv http://other.org/c.csv"]))
+@Q("fn7_media_type", f"""select p_partkey, coalesce({MEDIA_CASE}, '-') || ' ' || coalesce(case when trim(t) in ('', 'undefined') then null when starts_with(t, 'http://own.org/') then 'https://' || t[8:] when regexp_matches(t, '^[a-z]+://') then t else 'https://base.org/' || ltrim(t, '/') end, '-') as v
+    from (select p_partkey, {_pick(HREFS)} as t from part) x""")
 def fn7(spark, d):
-    t = _case(spark, d, ["http://own.org/a.PDF", "/x/b.tif?v=1", "undefined", "http://other.org/c.csv"])
+    t = _case(spark, d, HREFS)
     return t.select("p_partkey", F.concat(F.coalesce(fx.media_type(F.col("t")), F.lit("-")), F.lit(" "), F.coalesce(fx.href(F.col("t"), "https://base.org/", ["own.org"]), F.lit("-"))).alias("v"))
 
 
 @Q("fn8_titles", "with t as (select p_partkey, case p_partkey % 3 when 0 then 'Fault Lines' when 1 then 'Map Units' else 'Wells' end as title, p_brand from part) select p_partkey, case when count(*) over (partition by lower(title)) > 1 then title || ' (' || p_brand || ')' else title end as v from t")
 def fn8(spark, d):
     t = _case(spark, d, ["fault_lines", "mapUnits", "wells"]).withColumn("title", fx.prettified(F.col("t")))
-    again = F.count(F.lit(1)).over(Window.partitionBy(F.lower("title"))) > 1
-    return t.withColumn("again", again).select("p_partkey", F.when(F.col("again"), F.concat("title", F.lit(" ("), "p_brand", F.lit(")"))).otherwise(F.col("title")).alias("v"))
+    # Counted by title first, so that a common one is pre-aggregated.
+    again = t.groupBy(F.lower("title").alias("low")).agg((F.count(F.lit(1)) > 1).alias("again"))
+    return t.join(again, F.lower("title") == F.col("low")).select("p_partkey", F.when(F.col("again"), F.concat("title", F.lit(" ("), "p_brand", F.lit(")"))).otherwise(F.col("title")).alias("v"))
 
 
 @Q("fn9_slug", "select p_partkey, trim(regexp_replace(lower(p_name || ' -- ' || p_brand), '[^a-z0-9]+', '-', 'g'), '-') as v from part")
