@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.functions.text import township
+
 STEP = 0.125
 MOST_STEPS = 5000
 
@@ -105,3 +107,10 @@ def quantiles(df: DataFrame, column: str, shares: list[float]) -> DataFrame:
         pair = sorted(pair) if n else pair
         found.append(pair[0] + (pair[-1] - pair[0]) * (place - int(place)) if n else None)
     return df.sparkSession.createDataFrame([(found, low, high)], "q array<double>, least double, most double")
+
+
+def grid_lookup(asked: DataFrame, text: str, sections: DataFrame) -> DataFrame:
+    """(text, meridian, xmin, xmax, ymin, ymax): the township, or its section, that a text names, in each meridian of `sections` (label, snum, meridian, x, y)."""
+    wanted = asked.withColumn("w", township(F.col(text))).filter("w is not null").select(text, F.col("w.label").alias("w_label"), F.col("w.section").alias("section"))
+    found = sections.join(wanted, (F.col("label") == F.col("w_label")) & (F.col("section").isNull() | (F.col("snum") == F.col("section"))))
+    return found.groupBy(text, "meridian").agg(F.min("x").alias("xmin"), F.max("x").alias("xmax"), F.min("y").alias("ymin"), F.max("y").alias("ymax"))

@@ -69,3 +69,36 @@ def ring_meets(xs: Column, ys: Column, box: tuple[float, float, float, float]) -
         return F.greatest(F.least(ax, bx), F.least(ay, by), F.lit(0.0)) <= F.least(F.greatest(ax, bx), F.greatest(ay, by), F.lit(1.0))
 
     return F.exists(edges, passes) | in_ring(w, s, xs, ys)
+
+
+def boxed(shapes: DataFrame, margin: float = 0.0) -> DataFrame:
+    """`shapes` (xs, ys) with their boxes, widened by a margin; shapes without coordinates drop out."""
+    return shapes.filter(F.size("xs") > 0).withColumns({"xmin": F.array_min("xs") - margin, "xmax": F.array_max("xs") + margin, "ymin": F.array_min("ys") - margin, "ymax": F.array_max("ys") + margin})
+
+
+def in_polygons(points: DataFrame, polygons: DataFrame, size: float) -> DataFrame:
+    """Points (x, y) joined to the polygons (closed rings xs, ys) that hold them: by grid cell and box, then by the ring."""
+    fine = points.filter(F.col("x").between(-180, 180) & F.col("y").between(-90, 90))  # what is out of range is nowhere
+    near = on_grid(fine, boxed(polygons), size)
+    return near.filter(in_ring(F.col("x"), F.col("y"), F.col("xs"), F.col("ys"))).drop("xs", "ys", "xmin", "xmax", "ymin", "ymax")
+
+
+def line_distance(x: Column, y: Column, xs: Column, ys: Column) -> Column:
+    """How far a point is from a line of coordinates; a single coordinate is a point."""
+
+    def far(i: Column) -> Column:
+        x0, y0 = F.get(xs, i), F.get(ys, i)
+        dx, dy = F.get(xs, i + 1) - x0, F.get(ys, i + 1) - y0
+        along = F.coalesce(F.try_divide((x - x0) * dx + (y - y0) * dy, dx * dx + dy * dy), F.lit(0.0))
+        t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), along))
+        return F.hypot(x - x0 - t * dx, y - y0 - t * dy)
+
+    return F.when(F.size(xs) > 1, F.array_min(F.transform(F.sequence(F.lit(0), F.size(xs) - 2), far))).otherwise(F.hypot(x - F.get(xs, F.lit(0)), y - F.get(ys, F.lit(0))))
+
+
+def near_features(points: DataFrame, shapes: DataFrame, tolerance: float, size: float) -> DataFrame:
+    """Points (x, y) joined to the shapes (xs, ys, polygon) at or within a tolerance of them; a polygon also holds what lies inside it."""
+    near = on_grid(points, boxed(shapes, tolerance), size)
+    x, y, xs, ys = (F.col(c) for c in ("x", "y", "xs", "ys"))
+    hit = (F.col("polygon") & in_ring(x, y, xs, ys)) | (line_distance(x, y, xs, ys) <= tolerance)
+    return near.filter(hit).drop("xs", "ys", "polygon", "xmin", "xmax", "ymin", "ymax")

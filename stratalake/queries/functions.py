@@ -44,6 +44,16 @@ def fn2(spark, d):
     return _case(spark, d, SCALES).select("p_partkey", fx.scale_tier(fx.scale_denominator(F.col("t"))).alias("v"))
 
 
+BUCKETS = "case when v is null then 'other' when v < 24000 then 'lt24k' when v = 24000 then '24k' when v = 62500 then '62k' when v = 100000 then '100k' when v < 100000 then 'mid' when v < 250000 then '100k-250k' else '250k' end"
+
+
+@Q("fn2_scale_bucket", f"select p_partkey, {BUCKETS} as v from (select p_partkey, case p_partkey % 6 when 0 then 24000 when 1 then 62500 when 2 then 100000 when 3 then null else p_size * 9000 end as v from part) t")
+def fn2_bucket(spark, d):
+    k = F.col("p_partkey") % 6
+    n = F.when(k == 0, 24_000).when(k == 1, 62_500).when(k == 2, 100_000).when(k == 3, F.lit(None)).otherwise(F.col("p_size") * 9000)
+    return table(spark, d, "part").select("p_partkey", fx.scale_bucket(n).alias("v"))
+
+
 @Q("fn3_mosaic_tier", "select o_custkey, case when min(o_orderstatus) = max(o_orderstatus) and min(o_orderstatus) in ('F', 'O') then case min(o_orderstatus) when 'F' then '24k' else '100k' end when count(distinct case when o_orderstatus in ('F', 'O') then o_orderstatus end) = 1 then case min(case when o_orderstatus in ('F', 'O') then o_orderstatus end) when 'F' then '24k' else '100k' end end as v from orders group by 1")
 def fn3(spark, d):
     return table(spark, d, "orders").groupBy("o_custkey").agg(F.collect_set("o_orderstatus").alias("s")).select("o_custkey", fx.single_tier(F.col("s"), {"F": "24k", "O": "100k"}).alias("v"))
@@ -191,7 +201,7 @@ def fn24(spark, d):
     return _case(spark, d, ["39.5", "39 30 0 N", "111 52.5 W", "abc", "-39 15"]).select("p_partkey", F.round(fx.degrees_of(F.col("t")), 6).alias("v"))
 
 
-@Q("fn25_township_parse", _sql(["T3S R2E/12", "T10N R1W/0", "-", "-"]))
+@Q("fn25_township_parse", _sql(["T3S R2E/12", "T10N R1W/0", "-", "-", "T3S R2E/12", "T1N R2W/36", "-"]))
 def fn25(spark, d):
-    t = _case(spark, d, ["T3S R2E sec 12", "t10n, r1w", "T3S R2E sec 40", "nowhere"]).withColumn("v", fx.township(F.col("t")))
+    t = _case(spark, d, ["T3S R2E sec 12", "t10n, r1w", "T3S R2E sec 40", "nowhere", "Sec. 12, T3S, R2E", "T. 01 N. R. 2 W. S36", "T3S R2E and more"]).withColumn("v", fx.township(F.col("t")))
     return t.select("p_partkey", F.coalesce(F.concat("v.label", F.lit("/"), F.coalesce("v.section", F.lit(0))), F.lit("-")).alias("v"))

@@ -180,11 +180,15 @@ def sk12(spark, d):
 CHANGES = "select event_id, case when event_id % 10 = 0 then 'elsewhere' else 'geo' end as schema, case when event_id % 7 = 0 then 'Bad Name' else 'topic_' || (user_id % 20) end as topic, ts as at from events"
 
 
-@Q("sm1_change_event_stream", "select distinct 'topic_' || (user_id % 20) as topic from events where event_id % 10 <> 0 and event_id % 7 <> 0")
+@Q("sm1_change_event_stream", f"select distinct case when schema <> 'geo' then schema else topic end as name, case when schema <> 'geo' then 'unknown schema' when topic = 'Bad Name' then 'bad topic' else 'ingested' end as outcome from ({CHANGES}) c")
 def sm1(spark, d):
+    """Each good topic, ingested, and what was skipped with its reason: the schema that isn't known, or the topic's name."""
     path, out, state = (new_folder(spark, n) for n in ("events", "ingested", "state"))
     rows = sql(spark, d, CHANGES, "events")
     rows.select(F.to_json(F.struct("schema", "topic", F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss").alias("at"))).alias("value")).write.text(path)
-    changes.run_changes(changes.change_stream(spark, path, ["geo"], "400 days"), state, lambda batch, _: batch.select("topic").write.mode("append").parquet(out))
-    return spark.read.schema("topic string").parquet(out).distinct()
+    append = lambda df: df.write.mode("append").parquet(out)
+    good = lambda batch, _: append(batch.select(F.col("topic").alias("name"), F.lit("ingested").alias("outcome")))
+    bad = lambda batch, _: append(batch.select(F.when(F.col("reason") == "unknown schema", F.col("schema")).otherwise(F.col("topic")).alias("name"), F.col("reason").alias("outcome")))
+    changes.run_changes(changes.change_stream(spark, path, ["geo"], "400 days"), state, good, bad)
+    return spark.read.schema("name string, outcome string").parquet(out).distinct()
 

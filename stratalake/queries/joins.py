@@ -3,6 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from stratalake.operators.grid import grid_lookup
 from stratalake.operators import reviews, spatial
 from stratalake.plans import upkeep
 from stratalake.plans.storage import written
@@ -50,6 +51,25 @@ def jn4(spark, d):
     return points(spark, d).select("id").join(first, "id", "left")
 
 
+DIAMOND = "abs(p.x - (b.xmin + b.xmax) / 2) / ((b.xmax - b.xmin) / 2) + abs(p.y - (b.ymin + b.ymax) / 2) / ((b.ymax - b.ymin) / 2) < 1"
+WIDE = "(select * from b0 where xmax > xmin and ymax > ymin) b"
+
+
+def _diamonds(spark, d):
+    """A diamond in each box that has an area."""
+    b = boxes(spark, d).filter("xmax > xmin and ymax > ymin")
+    mid_x, mid_y = (F.col("xmin") + F.col("xmax")) / 2, (F.col("ymin") + F.col("ymax")) / 2
+    return b.select(F.col("id").alias("region"), F.array(mid_x, F.col("xmax"), mid_x, F.col("xmin"), mid_x).alias("xs"), F.array("ymin", mid_y, "ymax", mid_y, "ymin").alias("ys"))
+
+
+@Q("jn4_polygon_containment", f"with b0 as ({BOXES}) select p.id, min(b.id) as region from {P} left join {WIDE} on {DIAMOND} group by p.id")
+def jn4_polygons(spark, d):
+    """The first diamond that holds a point; a point without coordinates is in none."""
+    p = points(spark, d).select("id", "x", "y")
+    first = spatial.in_polygons(p, _diamonds(spark, d), 0.25).groupBy("id").agg(F.min("region").alias("region"))
+    return p.select("id").join(first, "id", "left")
+
+
 @Q("jn5_bbox_overlap_join", f"select b.id as a, c.id as b from {B} join ({BOXES}) c on b.id < c.id and b.xmin <= c.xmax and b.xmax >= c.xmin and b.ymin <= c.ymax and b.ymax >= c.ymin")
 def jn5(spark, d):
     b = boxes(spark, d).select("id", "xmin", "ymin", "xmax", "ymax")
@@ -209,9 +229,27 @@ def jn23(spark, d):
     return spatial.near_points(p, q, 0.2).filter("id < oid").select(F.col("id").alias("a"), F.col("oid").alias("b"))
 
 
-@Q("jn24_survey_grid_lookup", f"select kind, min(x) as xmin, max(x) as xmax, min(y) as ymin, max(y) as ymax from {P} where name like '%1' group by kind")
+@Q("jn23_near_features", f"""with b0 as ({BOXES}), g as (select p.id, p.x, p.y, b.id as region, b.xmin as x0, b.ymin as y0, b.xmax - b.xmin as dx, b.ymax - b.ymin as dy from {P} join {WIDE} on b.id % 2 = 1),
+t as (select *, greatest(0, least(1, ((x - x0) * dx + (y - y0) * dy) / (dx * dx + dy * dy))) as t from g)
+select id, region, 'line' as kind from t where power(x - x0 - t * dx, 2) + power(y - y0 - t * dy, 2) <= 0.0025e0
+union all select p.id, b.id, 'polygon' from {P} join {WIDE} on {DIAMOND} where b.id % 2 = 0""")
+def jn23_features(spark, d):
+    """Lines across the boxes with odd ids, within a twentieth of a degree, and diamonds of the others, at them."""
+    b, p = boxes(spark, d).filter("xmax > xmin and ymax > ymin"), points(spark, d).select("id", "x", "y")
+    lines = b.filter("id % 2 = 1").select(F.col("id").alias("region"), F.array("xmin", "xmax").alias("xs"), F.array("ymin", "ymax").alias("ys"), F.lit(False).alias("polygon"))
+    near = spatial.near_features(p, lines, 0.05, 0.25).select("id", "region", F.lit("line").alias("kind"))
+    areas = _diamonds(spark, d).filter("region % 2 = 0").withColumn("polygon", F.lit(True))
+    return near.union(spatial.near_features(p, areas, 0.0, 0.25).select("id", "region", F.lit("polygon")))
+
+
+@Q("jn24_survey_grid_lookup", f"""with g as (select *, 'T' || (1 + id % 4) || 'S R' || (1 + id % 3) || 'E' as label, 1 + id % 36 as snum, kind as meridian from {P}),
+q as (select * from (values ('t3s r2e', 'T3S R2E', null), ('Sec. 13, T01S, R1E', 'T1S R1E', 13), ('T2S R3E s6', 'T2S R3E', 6)) x(asked, label, section))
+select asked, meridian, min(x) as xmin, max(x) as xmax, min(y) as ymin, max(y) as ymax from q join g on g.label = q.label and (section is null or snum = section) group by 1, 2""")
 def jn24(spark, d):
-    return points(spark, d).filter(F.col("name").endswith("1")).groupBy("kind").agg(F.min("x").alias("xmin"), F.max("x").alias("xmax"), F.min("y").alias("ymin"), F.max("y").alias("ymax"))
+    """Points stand for the sections of townships; each question's township or section is outlined in every meridian that has it."""
+    g = points(spark, d).select(F.concat(F.lit("T"), 1 + F.col("id") % 4, F.lit("S R"), 1 + F.col("id") % 3, F.lit("E")).alias("label"), (1 + F.col("id") % 36).alias("snum"), F.col("kind").alias("meridian"), "x", "y")
+    asked = spark.createDataFrame([("t3s r2e",), ("Sec. 13, T01S, R1E",), ("T2S R3E s6",), ("T2S R3E s40",), ("nowhere",)], "asked string")
+    return grid_lookup(asked, "asked", g)
 
 
 @Q("jn25_replaced_layout_files", "select 'old/' || p_partkey as path from part where p_partkey % 3 <> 0 and p_size % 2 = 0")

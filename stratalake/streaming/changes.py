@@ -17,7 +17,18 @@ def change_stream(spark: SparkSession, path: str, schemas: list[str], late: str
     return raw.withColumn("reason", reason).withWatermark("at", late).dropDuplicatesWithinWatermark(["schema", "topic", "reason"]).select("schema", "topic", "at", "reason")
 
 
-def run_changes(events: DataFrame, checkpoint: str, ingest: Callable[[DataFrame, int], None]) -> None:
-    """Hand each batch of good events to `ingest` until what is there now is done."""
-    good = events.filter("reason is null")
-    good.writeStream.foreachBatch(ingest).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+def run_changes(events: DataFrame, checkpoint: str, ingest: Callable[[DataFrame, int], None], skipped: Callable[[DataFrame, int], None] | None = None) -> None:
+    """Hand each batch's good events to `ingest`, a topic once and in one batch at a time, and the others with their reasons to `skipped`, until what is there now is done.
+
+    A batch may come again after a failure: `ingest` is told its number and should be idempotent.
+    """
+
+    def each(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()
+        good = batch.filter("reason is null").groupBy("schema", "topic").agg(F.max("at").alias("at"))
+        ingest(good, number)
+        if skipped:
+            skipped(batch.filter("reason is not null"), number)
+        batch.unpersist()
+
+    events.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
