@@ -39,6 +39,24 @@ def test_odd_table(odd, name):
         assert out.columns == odd.columns
 
 
+@pytest.fixture(scope="module")
+def very_long(spark):
+    """A text of more than 10 MB among short ones, with a passage that they share."""
+    rng = np.random.default_rng(6)
+    words = ["".join(chr(97 + x) for x in w) for w in rng.integers(0, 26, (5000, 5))]
+    passage = " ".join(words[:80])
+    text = " ".join(words[i] for i in rng.integers(0, 5000, 1_800_000)) + " " + passage
+    rows = [(1, text, "en", "a", len(text))] + [(i, f"{passage} own{i} {' '.join(words[j] for j in rng.integers(0, 5000, 60))}", "en", "a", 0) for i in range(2, 12)]
+    assert len(text) > 10_000_000
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3).cache()
+
+
+@pytest.mark.parametrize("name", sorted(set(ODD) - {"rounded", "keep_good", "keep_one"}))
+def test_very_long_text(very_long, name):
+    ids = {r["doc_id"] for r in ODD[name](very_long).select("doc_id").collect()}
+    assert 1 in ids and (name == "mixing" or ids == set(range(1, 12)))
+
+
 def test_repeats_are_found_and_survive_insertions(spark, corpus):
     passage = " ".join(f"passage{i % 17} word{i}" for i in range(40))
     rows = [(i, f"{'abcdefghijklmnopqrstuvwxyz'[i:]}{t[1][:400]} {passage if i in (3, 8, 11) else ''} {t[1][400:]}") for i, t in enumerate(corpus[20:40])]

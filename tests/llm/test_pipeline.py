@@ -36,3 +36,35 @@ def test_run_equals_the_stages(spark, stages, docs, tmp_path):
     docs.write.parquet(f"file://{tmp_path}/documents.parquet")
     key = lambda df: sorted((r["doc_id"], r["piece"], r["ids_crc32"]) for r in df.collect())
     assert key(corpus_pipeline.run(spark, f"file://{tmp_path}")) == key(stages["best_fit_packing"])
+
+
+def test_stages_on_an_empty_table(spark, empty):
+    import corpus_pipeline
+
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, empty, "")
+        assert out.columns == empty.columns and out.count() == 0
+    assert corpus_pipeline.STAGES[-1][1](spark, empty, "").count() == 0
+
+
+def test_stages_on_odd_rows(spark, odd):
+    """Each stage on repeated rows, missing and repeated ids, and columns with clashing names."""
+    import corpus_pipeline
+
+    rows = [tuple(r) for r in odd.collect()]
+    key = lambda df: Counter((r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect())
+    before = Counter((r[0], r[1]) for r in rows)
+    out = {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        df = stage(spark, odd, "")
+        assert df.columns == odd.columns
+        out[name] = key(df)
+    # Short texts fail the base rules; both rows of a repeated one have the same verdict.
+    assert set(out["quality_rules"]) <= {k for k in before if len((k[1] or "").split()) >= 50} and len(out["quality_rules"]) >= 9
+    assert all(n == before[k] for k, n in out["quality_rules"].items())
+    assert sum(out["line_dedup"].values()) == len(rows) and Counter(k[0] for k in out["line_dedup"].elements()) == Counter(r[0] for r in rows)
+    # Of a repeated row one stays; unlike texts of one id, and a row without an id, stay.
+    assert out["jaccard_join"] == Counter(dict.fromkeys(before, 1))
+    assert all(k in before for k in out["mix_sources"])
+    packed = Counter(r["doc_id"] for r in corpus_pipeline.STAGES[-1][1](spark, odd, "").collect())
+    assert packed == Counter(r[0] for r in rows)
