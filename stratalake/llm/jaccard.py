@@ -242,13 +242,14 @@ def component_ids(docs: DataFrame, k: int = WORDS) -> DataFrame:
         rest = found.filter(large).select("doc", "cluster", "n")
         if rest.isEmpty():
             break
-        members = first.join(small(rest.select(F.col("doc").alias("doc_id"))), "doc_id", "left_semi")
+        # What is left is read several times more, so it is written.
+        members = written(members.join(small(rest.select(F.col("doc").alias("doc_id"))), "doc_id", "left_semi"), "members")
     found = parts[0]
     for part in parts[1:]:
         found = found.union(part)
     edges = links(first, written(found, "candidates"), k)
     if not rest.isEmpty():
-        edges = edges.union(large_links(first, rest, share, k))
+        edges = edges.union(large_links(members, rest, share, k))
     same = named.join(several, "doc_id", "left_semi").filter("doc is not null").select(F.col("doc_id").alias("u"), F.col("doc").alias("v"))
     roots = components(edges.union(same))
     out = named.join(roots, F.coalesce("doc", "doc_id") == F.col("u"), "left")
