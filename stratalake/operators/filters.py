@@ -97,6 +97,18 @@ def year_range(year: Column, low: int | None, high: int | None) -> Column:
 _TOKEN = re.compile(r'(-?)(?:(\w+):)?(?:"([^"]*)"|(\S+))')
 
 
+def parsed_query(text: str, fields: dict[str, str]) -> tuple[list[str], str]:
+    """The plain terms of a search box's text, in lower case and each once, and the rest of it: phrases, exclusions and fields."""
+    plain, rest = [], []
+    for m in _TOKEN.finditer(text):
+        minus, field, phrase, word = m.groups()
+        if minus or phrase is not None or field in fields:
+            rest.append(m.group())
+        else:
+            plain.append((f"{field}:{word}" if field else word).lower())
+    return list(dict.fromkeys(plain)), " ".join(rest)
+
+
 def query_predicate(text: str, search: list[str], fields: dict[str, str]) -> Column:
     """A search box's text: terms and "phrases" in any searched column, -exclusions, and field:value.
 

@@ -9,7 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratalake.plans.storage import small
+from stratalake.operators.filters import parsed_query, query_predicate
+from stratalake.plans.storage import small, written
 
 K1, B = 1.2, 0.75
 CHUNK_CHARS, LEAST_CHARS, SNIPPET_CHARS = 1200, 30, 240
@@ -29,17 +30,44 @@ def text_index(docs: DataFrame, key: str, text: Column) -> tuple[DataFrame, Data
     return postings, words.select(key, F.size("w").cast("long").alias("length"))
 
 
+def bm25_part(n_docs: Column, df: Column, tf: Column, length: Column, mean_length: Column) -> Column:
+    """What a term adds to a document's score."""
+    idf = F.log(1 + (n_docs - df + 0.5) / (df + 0.5))
+    return F.coalesce(idf * tf * (K1 + 1) / F.nullif(tf + K1 * (1 - B + B * length / mean_length), F.lit(0.0)), F.lit(0.0))
+
+
 def bm25(postings: DataFrame, lengths: DataFrame, key: str, query: list[str]) -> DataFrame:
-    """(key, score) of the documents with any term of the query."""
+    """(key, score) of the documents with any term of the query, from a written index."""
     stats = lengths.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("length").alias("mean_length"))
     hits = postings.filter(F.col("term").isin([q.lower() for q in query]))
     df = F.broadcast(hits.groupBy("term").agg(F.count(F.lit(1)).alias("df")))
-    idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("mean_length")))
+    part = bm25_part(*map(F.col, ("n_docs", "df", "tf", "length", "mean_length")))
     scored = hits.join(df, "term").join(lengths, key).crossJoin(F.broadcast(stats))
     return scored.groupBy(key).agg(F.sum(part).alias("score"))
 
 
+def full_text_search(docs: DataFrame, key: str, text: str, query: str, fields: dict[str, str], k: int = 50) -> DataFrame:
+    """(key, score): the k best documents for a search box's text.
+
+    Plain terms are scored by BM25, any of them will do; "phrases", -exclusions and field:value only filter (see `filters.parsed_query`). Without plain
+    terms every document that passes scores 1. Texts are tokenised once: what is kept of each is its length and the counts of the terms.
+    """
+    plain, rest = parsed_query(query, fields)
+    passed = query_predicate(rest, [text], fields) if rest else F.lit(True)
+    if not plain:
+        return docs.filter(passed).select(key, F.lit(1.0).alias("score")).orderBy(key).limit(k)
+    bound = lambda w: F.struct(F.size(w).cast("long").alias("length"), F.array(*[(F.size(w) - F.size(F.array_remove(w, q))).cast("long") for q in plain]).alias("tf"))
+    counted = docs.select(key, passed.alias("passed"), F.get(F.transform(F.array(terms(F.col(text))), bound), F.lit(0)).alias("c")).select(key, "passed", "c.*")
+    counted = written(counted, "term-counts")
+    stats = counted.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("length").alias("mean_length"), F.array(*[F.count_if(F.get("tf", F.lit(i)) > 0) for i in range(len(plain))]).alias("df"))
+    part = lambda i: bm25_part(F.col("n_docs"), F.get("df", F.lit(i)), F.get("tf", F.lit(i)), F.col("length"), F.col("mean_length"))
+    hits = counted.filter(F.col("passed") & F.exists("tf", lambda n: n > 0)).crossJoin(F.broadcast(stats))
+    score = part(0)
+    for i in range(1, len(plain)):
+        score = score + part(i)
+    return hits.select(key, score.alias("score")).orderBy(F.desc("score"), key).limit(k)
+
+
 def keyword_search(items: DataFrame, key: str, fields: dict[str, float], query: list[str]) -> DataFrame:
     """(key, score): every term begins a word of some field (weighted), or is a slip of one for longer words."""
     total, all_ = F.lit(0.0), F.lit(True)

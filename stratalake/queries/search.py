@@ -17,15 +17,36 @@ def ts1(spark, d):
     return postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tf"))
 
 
-@Q("ts2_bm25_search", f"""with {WORDS}, n as (select count(*) as n_docs, avg(len(ws)) as mean from w),
+BM25 = f"""with {WORDS}, n as (select count(*) as n_docs, avg(len(ws)) as mean from w),
 p as (select doc_id, term, count(*) as tf from u where term in ('the', 'which', 'der') group by 1, 2), f as (select term, count(*) as df from p group by 1)
 select p.doc_id, round(sum(ln(1 + (n_docs - df + 0.5e0) / (df + 0.5e0)) * tf * 2.2e0 / (tf + 1.2e0 * (0.25e0 + 0.75e0 * len(w.ws) / mean))), 6) as score
-from p join f on p.term = f.term join w on w.doc_id = p.doc_id, n group by 1 order by score desc, doc_id limit 50""")
+from p join f on p.term = f.term join w on w.doc_id = p.doc_id join documents d on d.doc_id = p.doc_id, n"""
+FIELDS = {"lang": "exact", "source": "contains"}
+
+
+@Q("ts2_bm25_search", BM25 + " group by 1 order by score desc, doc_id limit 50")
 def ts2(spark, d):
+    found = search.full_text_search(table(spark, d, "documents"), "doc_id", "text", "the which DER the", FIELDS)
+    return found.select("doc_id", F.round("score", 6).alias("score"))
+
+
+@Q("ts2_bm25_from_index", BM25 + " group by 1 order by score desc, doc_id limit 50")
+def ts2_index(spark, d):
     scored = search.bm25(*search.text_index(table(spark, d, "documents"), "doc_id", F.col("text")), "doc_id", ["the", "which", "der"])
     return scored.select("doc_id", F.round("score", 6).alias("score")).orderBy(F.desc("score"), "doc_id").limit(50)
 
 
+@Q("ts2_search_with_predicates", BM25 + " where d.lang = 'en' and contains(lower(d.source), 'src1') and not contains(lower(d.text), 'trash') and contains(lower(d.text), 'of the') group by 1 order by score desc, doc_id limit 50")
+def ts2_predicates(spark, d):
+    found = search.full_text_search(table(spark, d, "documents"), "doc_id", "text", 'the which der lang:EN source:src1 -trash "of the"', FIELDS)
+    return found.select("doc_id", F.round("score", 6).alias("score"))
+
+
+@Q("ts2_field_only_search", "select doc_id, 1.0::double as score from documents where lang = 'de' and contains(lower(source), 'src2') order by doc_id limit 50")
+def ts2_fields(spark, d):
+    return search.full_text_search(table(spark, d, "documents"), "doc_id", "text", "lang:de source:src2", FIELDS)
+
+
 @Q("ts3_index_fingerprint", "select count(*) as rows, true as changed from documents")
 def ts3(spark, d):
     t = table(spark, d, "documents").select("doc_id", F.md5("text").alias("body"), "lang", "source")
