@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def fingerprint(df: DataFrame, signature: str) -> DataFrame:
-    """(rows, hash_sum, signature): equal for equal rows in any order. Nulls count by their place."""
+def fingerprint(df: DataFrame, signature: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """(by, rows, hash_sum, signature): equal for equal rows in any order. Nulls count by their place."""
     columns = [x for c in df.columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(F.xxhash64(*columns).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).alias("hash_sum")).withColumn("signature", F.lit(signature))
+    total = F.coalesce(F.sum(F.xxhash64(*columns).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), total.alias("hash_sum")).withColumn("signature", F.lit(signature))
 
 
 def digest_of(values: Column) -> Column:

@@ -19,6 +19,17 @@ def unchanged(df: DataFrame, state: DataFrame, topic: str, signature: str) -> bo
     return not now.join(state, ["topic", "rows", "hash_sum", "signature"], "left_semi").isEmpty()
 
 
+def skip_plan(now: DataFrame, state: DataFrame, newest: int) -> DataFrame:
+    """`now` (topic, rows, hash_sum, signature) with skipped and its reason: a topic is skipped if its stored state is equal, its outputs exist and their format is current.
+
+    `state` has outputs (whether they exist) and format as well. Metadata is written either way.
+    """
+    old = state.select("topic", *[F.col(c).alias(f"_{c}") for c in ("rows", "hash_sum", "signature", "outputs", "format")])
+    same = F.col("rows").eqNullSafe(F.col("_rows")) & F.col("hash_sum").eqNullSafe(F.col("_hash_sum")) & F.col("signature").eqNullSafe(F.col("_signature"))
+    reason = F.when(F.col("_rows").isNull(), "new").when(~F.col("_outputs"), "outputs are missing").when(F.col("_format") < newest, "old format").when(~same, "changed").otherwise("unchanged")
+    return now.join(old, "topic", "left").withColumn("reason", reason).withColumn("skipped", F.col("reason") == "unchanged").drop(*[c for c in old.columns if c != "topic"])
+
+
 def run_sinks(df: DataFrame, sinks: dict[str, Callable[[DataFrame], None]]) -> dict[str, str]:
     """Run each sink over one written copy of `df`; a sink that fails is reported and the others still run."""
     source, out = written(df, "sinks"), {}

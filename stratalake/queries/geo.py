@@ -201,10 +201,15 @@ def sk2(spark, d):
     return archive.rows_per_file(spark.read.parquet(f"{d}/documents.parquet"), "text")
 
 
-@Q("sk4_geo_metadata", "select ['Point'] as geometry_types, 'bbox' as covering")
+@Q("sk4_geo_metadata", f"select kind, 'Point' as geometry_types, 'bbox' as covering, min(x) as xmin, min(y) as ymin, max(x) as xmax, max(y) as ymax from {P} where x is not null group by kind")
 def sk4(spark, d):
-    p = points(spark, d)
-    return archive.geometry_types(p.select(geo.point_wkb(p.x, p.y).alias("g")), "g")
+    """The sidecar of each class's archive, written and read back."""
+    p = points(spark, d).withColumn("g", geo.point_wkb(F.col("x"), F.col("y")))
+    path = new_folder(spark, "sidecars")
+    archive.sidecars(p, "g", ["kind"]).write.partitionBy("kind").text(path)
+    read = spark.read.text(path).withColumn("m", F.from_json("value", archive.SIDECAR)).select("kind", F.col("m.columns.geom").alias("g"))
+    box = [F.get("g.bbox", F.lit(i)).alias(c) for i, c in enumerate(("xmin", "ymin", "xmax", "ymax"))]
+    return read.select("kind", F.array_join("g.geometry_types", ",").alias("geometry_types"), F.get("g.covering.bbox.xmin", F.lit(0)).alias("covering"), *box)
 
 
 @Q("sk14_dry_run_report", f"select count(*) as n, count(x) as with_geometry, min(x) as xmin, min(y) as ymin, max(x) as xmax, max(y) as ymax, 'id,name,kind,x,y' as columns from {P}")

@@ -125,11 +125,13 @@ def sc12(spark, d):
     return readers.footers(spark, path, ("x", "y", "x", "y")).agg(F.sum("rows").alias("n"), F.min("xmin").alias("xmin"), F.max("ymax").alias("ymax"))
 
 
-@Q("sk3_archive_type_cast", "select o_orderkey, '1 days'::varchar as kind from orders")
+@Q("sk3_archive_type_cast", "select o_orderkey, 'INTERVAL ''' || (o_orderkey % 5) || ' 0' || (o_orderkey % 7) || ':00:00'' DAY TO SECOND' as span, o_orderdate::varchar as made, o_totalprice as price from orders")
 def sk3(spark, d):
-    o = table(spark, d, "orders").select("o_orderkey", F.make_dt_interval(F.lit(1)).alias("i"))
+    """Intervals become text, other types stay."""
+    key = F.col("o_orderkey").cast("int")
+    o = table(spark, d, "orders").select("o_orderkey", F.make_dt_interval(key % 5, key % 7).alias("span"), F.col("o_orderdate").alias("made"), F.col("o_totalprice").alias("price"))
     cast = archive.castable(o)
-    return cast.select("o_orderkey", F.when(F.col("i").contains("1 00:00:00"), "1 days").alias("kind"))
+    return cast.select("o_orderkey", "span", F.date_format("made", "yyyy-MM-dd HH:mm:ss").alias("made"), "price")
 
 
 @Q("sk5_archive_is_current", "select count(*) > 0 as has_box, bool_and(true) as has_statistics from customer")

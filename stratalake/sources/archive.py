@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime
-import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,15 +70,19 @@ def rows_per_file(df: DataFrame, *columns: str) -> DataFrame:
     return df.agg(F.greatest(F.lit(LEAST_ROWS), F.least(F.lit(MOST_ROWS), F.floor(BLOCK_BYTES / F.avg(size)))).cast("long").alias("rows_per_file"))
 
 
-def geometry_types(df: DataFrame, geometry: str) -> DataFrame:
-    """The distinct types of WKB geometries (with " Z" for three dimensions) and the name of the covering."""
-    code = F.conv(F.hex(F.reverse(F.substring(F.col(geometry), 2, 4).cast("string")).cast("binary")), 16, 10).cast("int")
-    name = F.element_at(F.array(*map(F.lit, WKB_NAMES)), code % 1000)
-    full = F.concat(name, F.when(code >= 1000, " Z").otherwise(""))
-    return df.filter(F.col(geometry).isNotNull()).select(full.alias("t")).distinct().agg(F.sort_array(F.collect_list("t")).alias("geometry_types")).withColumn("covering", F.lit("bbox"))
+#: The layout of an archive's sidecar document.
+SIDECAR = "version string, primary_column string, columns struct<geom: struct<encoding: string, geometry_types: array<string>, bbox: array<double>, covering: struct<bbox: struct<xmin: array<string>, ymin: array<string>, xmax: array<string>, ymax: array<string>>>>>"
 
 
-def describe(types: list[str], box: list[float]) -> str:
-    """The sidecar document of an archive."""
-    columns = {"geom": {"encoding": "WKB", "geometry_types": types, "bbox": box, "covering": {"bbox": {k: ["bbox", k] for k in ("xmin", "ymin", "xmax", "ymax")}}}}
-    return json.dumps({"version": "1.1.0", "primary_column": "geom", "columns": columns}, sort_keys=True)
+def geometry_type(wkb: Column) -> Column:
+    """The type of a WKB geometry, with " Z" for three dimensions."""
+    code = F.conv(F.hex(F.reverse(F.substring(wkb, 2, 4).cast("string")).cast("binary")), 16, 10).cast("int")
+    return F.concat(F.element_at(F.array(*map(F.lit, WKB_NAMES)), code % 1000), F.when(code >= 1000, " Z").otherwise(""))
+
+
+def sidecars(df: DataFrame, geometry: str, by: list[str]) -> DataFrame:
+    """(by, value): the sidecar document of each archive, from its rows with x and y: distinct types, box and covering."""
+    found = df.filter(F.col(geometry).isNotNull()).groupBy(*by).agg(F.sort_array(F.collect_set(geometry_type(F.col(geometry)))).alias("types"), *[f(c).alias(n) for n, f, c in (("w", F.min, "x"), ("s", F.min, "y"), ("e", F.max, "x"), ("n", F.max, "y"))])
+    covering = F.struct(F.struct(*[F.array(F.lit("bbox"), F.lit(c)).alias(c) for c in ("xmin", "ymin", "xmax", "ymax")]).alias("bbox"))
+    geom = F.struct(F.lit("WKB").alias("encoding"), F.col("types").alias("geometry_types"), F.array("w", "s", "e", "n").alias("bbox"), covering.alias("covering"))
+    return found.select(*by, F.to_json(F.struct(F.lit("1.1.0").alias("version"), F.lit("geom").alias("primary_column"), F.struct(geom.alias("geom")).alias("columns"))).alias("value"))
