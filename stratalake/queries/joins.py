@@ -51,15 +51,16 @@ def jn4(spark, d):
     return points(spark, d).select("id").join(first, "id", "left")
 
 
-DIAMOND = "abs(p.x - (b.xmin + b.xmax) / 2) / ((b.xmax - b.xmin) / 2) + abs(p.y - (b.ymin + b.ymax) / 2) / ((b.ymax - b.ymin) / 2) < 1"
+DIAMOND = "abs(p.x - (b.xmin + b.xmax) / 2) / (0.46873e0 * (b.xmax - b.xmin)) + abs(p.y - (b.ymin + b.ymax) / 2) / (0.46873e0 * (b.ymax - b.ymin)) < 1"
 WIDE = "(select * from b0 where xmax > xmin and ymax > ymin) b"
 
 
 def _diamonds(spark, d):
-    """A diamond in each box that has an area."""
+    """A diamond in each box that has an area, a little smaller, so that no point lies on its edge."""
     b = boxes(spark, d).filter("xmax > xmin and ymax > ymin")
     mid_x, mid_y = (F.col("xmin") + F.col("xmax")) / 2, (F.col("ymin") + F.col("ymax")) / 2
-    return b.select(F.col("id").alias("region"), F.array(mid_x, F.col("xmax"), mid_x, F.col("xmin"), mid_x).alias("xs"), F.array("ymin", mid_y, "ymax", mid_y, "ymin").alias("ys"))
+    across, up = 0.46873 * (F.col("xmax") - F.col("xmin")), 0.46873 * (F.col("ymax") - F.col("ymin"))
+    return b.select(F.col("id").alias("region"), F.array(mid_x, mid_x + across, mid_x, mid_x - across, mid_x).alias("xs"), F.array(mid_y - up, mid_y, mid_y + up, mid_y, mid_y - up).alias("ys"))
 
 
 @Q("jn4_polygon_containment", f"with b0 as ({BOXES}) select p.id, min(b.id) as region from {P} left join {WIDE} on {DIAMOND} group by p.id")
