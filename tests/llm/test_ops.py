@@ -577,7 +577,8 @@ def test_limits_adapt_to_the_group(spark):
     assert [got[i] for i in range(2000, 2005)] == [False, True, False, True, False]
     stats = docs.select("lang", "source", quality.text_counts("text").alias("s"))
     limits = {r["g_source"]: r for r in quality.thresholds(quality.sketches(stats)).collect()}
-    assert limits["code"]["most_symbols"] > limits["tiny"]["most_symbols"] >= limits["news"]["most_symbols"]
+    # The language as a whole is spread over both sources, and so is the limit of the small one.
+    assert limits["tiny"]["most_symbols"] > limits["code"]["most_symbols"] > limits["news"]["most_symbols"]
     assert sorted(r["doc_id"] for r in quality.keep_good(docs).collect()) == sorted(i for i, k in got.items() if k)
 
 
