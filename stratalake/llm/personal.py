@@ -16,7 +16,6 @@ long text is searched as a whole, in time in proportion to its length; an empty
 
 from __future__ import annotations
 
-import hashlib
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
