@@ -1,6 +1,5 @@
 """Queries over relationships between the tables, with column prefixes stripped."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stratalake.operators import relate
