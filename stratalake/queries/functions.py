@@ -201,6 +201,15 @@ def fn24(spark, d):
     return _case(spark, d, ["39.5", "39 30 0 N", "111 52.5 W", "abc", "-39 15"]).select("p_partkey", F.round(fx.degrees_of(F.col("t")), 6).alias("v"))
 
 
+PAIRS = ["39.5, -111.5", "39.5 111.5", "111.5 39.5", "39 30 0 N 111 30 0 W", "W 111 30, N 39 30", "39°30'N, 111°30'W", "39 30 111 30", "39.5", "39.5, 10", "north of here", None, "39 75 N 111 W", "-111.5, 39.5"]
+
+
+@Q("fn24_latlon_pairs", _sql(["39.5/-111.5"] * 7 + [None] * 5 + ["39.5/-111.5"]))
+def fn24_pairs(spark, d):
+    t = _case(spark, d, PAIRS).withColumn("p", fx.latlon(F.col("t"), (-114.6, 36.5, -108.5, 42.5)))
+    return t.select("p_partkey", F.concat(F.round("p.lat", 5), F.lit("/"), F.round("p.lon", 5)).alias("v"))
+
+
 @Q("fn25_township_parse", _sql(["T3S R2E/12", "T10N R1W/0", "-", "-", "T3S R2E/12", "T1N R2W/36", "-"]))
 def fn25(spark, d):
     t = _case(spark, d, ["T3S R2E sec 12", "t10n, r1w", "T3S R2E sec 40", "nowhere", "Sec. 12, T3S, R2E", "T. 01 N. R. 2 W. S36", "T3S R2E and more"]).withColumn("v", fx.township(F.col("t")))
