@@ -125,6 +125,14 @@ def fn12(spark, d):
     return _case(spark, d, ["1999", "99", "c1999", " 2004 "]).select("p_partkey", fx.year_key(F.col("t")).alias("v"))
 
 
+@Q("fn12_pub_interval", "with t as (select o_orderkey, o_orderdate, case when o_orderkey % 3 <> 0 then strftime(o_orderdate, '%Y') end as y from orders) select o_orderkey, coalesce(y || '-01-01', '1886-01-01') as first, coalesce(y || '-12-31', strftime(o_orderdate, '%Y-%m-%d')) as last, y is null as undated from t")
+def fn12_interval(spark, d):
+    """Two thirds of the orders have a year; the day of the order stands for now."""
+    o = table(spark, d, "orders").withColumn("y", F.when(F.col("o_orderkey") % 3 != 0, F.date_format("o_orderdate", "yyyy")).otherwise("n.d."))
+    i = o.select("o_orderkey", fx.pub_interval(F.col("y"), F.col("o_orderdate")).alias("i"))
+    return i.select("o_orderkey", F.col("i.start").cast("string").alias("first"), F.col("i.end").cast("string").alias("last"), "i.undated")
+
+
 @Q("fn13_fmt_date", _sql(["1999", "March 1999", "March 5, 1999"]))
 def fn13(spark, d):
     return _case(spark, d, ["1999", "1999-03", "1999-03-05T10:00:00Z"]).select("p_partkey", fx.shown_date(F.col("t")).alias("v"))
