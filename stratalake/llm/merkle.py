@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratalake.llm.tables import documents, small, written
+from stratalake.llm.tables import BROADCAST_ROWS, documents, small, written
 
 #: Levels that one task builds of a subtree.
 STEPS = 10
@@ -76,21 +76,22 @@ def _climb(level: int):
 
 
 def build(leaves: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """All nodes below the roots, as (tree, level, idx, token), and the roots, as (tree, level, digest), of numbered leaves."""
+    """All nodes below the roots, as (tree, level, idx, token), and the roots, as (tree, digest), of numbered leaves."""
     nodes, level, below, roots = leaves.select("tree", "idx", "digest", "n"), 0, None, None
     while True:
         grouped = nodes.withColumn("g", F.shiftright("idx", STEPS)).groupBy("tree", "g")
         out = written(grouped.applyInArrow(_climb(level), NODES), "tree-nodes")
         tops, rest = out.filter("token is null"), out.filter("token is not null").select("tree", "level", "idx", "token")
-        done = tops.filter("n = 1").select("tree", "level", "digest")
+        done = tops.filter("n = 1").select("tree", "digest")
         below, roots = (rest, done) if below is None else (below.union(rest), roots.union(done))
         nodes, level = tops.filter("n > 1").select("tree", "idx", "digest", "n"), level + STEPS
         if nodes.isEmpty():
             return below, roots
 
 
-def paths(leaves: DataFrame, below: DataFrame, height: int) -> DataFrame:
+def paths(leaves: DataFrame, below: DataFrame) -> DataFrame:
     """The leaves (tree, idx, row) with `path`, their tokens from the lowest up to the root, by pointer jumping."""
+    on_level = dict(below.groupBy("level").agg(F.count(F.lit(1))).collect())  # a row a level
     first = below.filter("level = 0").select(F.col("tree").alias("l_tree"), F.col("idx").alias("l_idx"), "token")
     bottom = leaves.join(first, F.col("tree").eqNullSafe(F.col("l_tree")) & (F.col("idx") == F.col("l_idx")), "left")
     row = leaves.schema["row"].dataType
@@ -98,11 +99,12 @@ def paths(leaves: DataFrame, below: DataFrame, height: int) -> DataFrame:
     nodes = nodes.union(below.filter("level > 0").select("tree", "level", "idx", F.lit(None).cast(row), "token"))
     span = 1
     nodes = written(nodes, "tokens")
-    while span < height:
+    while span < len(on_level):
         near = nodes.filter(F.col("level") % (2 * span) == 0)
         far = nodes.filter(F.col("level") % (2 * span) == span).select(F.col("tree").alias("f_tree"), F.col("level").alias("f_level"), F.col("idx").alias("f_idx"), F.col("path").alias("f_path"))
         to = F.col("tree").eqNullSafe(F.col("f_tree")) & (F.col("level") + span == F.col("f_level")) & (F.shiftright("idx", span) == F.col("f_idx"))
-        joined = near.join(small(far), to, "left").select("tree", "level", "idx", "row", F.concat("path", F.coalesce("f_path", F.lit(""))).alias("path"))
+        few = sum(n for level, n in on_level.items() if level % (2 * span) == span) <= BROADCAST_ROWS
+        joined = near.join(F.broadcast(far) if few else far, to, "left").select("tree", "level", "idx", "row", F.concat("path", F.coalesce("f_path", F.lit(""))).alias("path"))
         nodes, span = written(joined, "paths"), 2 * span
     return nodes.filter("level = 0").select("tree", "idx", "row", "path")
 
@@ -111,8 +113,7 @@ def proved(leaves: DataFrame, order: list[str]) -> tuple[DataFrame, DataFrame]:
     """(tree, row, path) of the leaves (tree, digest, row, and what orders them), and the roots (tree, digest)."""
     placed = _numbered(leaves, order)
     below, roots = build(placed)
-    height = roots.agg(F.max("level")).first()[0] or 0
-    return paths(placed.select("tree", "idx", "row"), below, height), roots.select("tree", "digest")
+    return paths(placed.select("tree", "idx", "row"), below), roots
 
 
 def manifest(rows: DataFrame, group: str, key: str, leaf: str) -> DataFrame:
