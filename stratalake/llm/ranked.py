@@ -85,7 +85,8 @@ class Block:
     """The terms of a block of queries, as a table of which term is in which query, split into common and rare terms."""
 
     def __init__(self, pairs: pa.Table):
-        self.items, item = np.unique(pairs["item"].to_numpy(), return_inverse=True)
+        ids = pairs["item"].combine_chunks().dictionary_encode(null_encoding="encode")
+        self.items, item = ids.dictionary, ids.indices.to_numpy()
         words = pairs["term"].combine_chunks().dictionary_encode()
         self.vocabulary, term = words.dictionary.cast(pa.large_binary()), words.indices.to_numpy()
         in_items = np.bincount(term, minlength=len(self.vocabulary))
@@ -171,7 +172,7 @@ def _search(docs: DataFrame, block: Block, k: int) -> DataFrame:
     same = (F.col("h") == F.col("c_h")) & (F.col("m") == F.col("c_m")) & (F.col("terms") == F.col("c_terms")) & (F.col("tfs") == F.col("c_tfs"))
     members = _first(held.join(few, same).select("class", "doc_id"), ["class"], [F.asc_nulls_last("doc_id")], k, "place").select("class", "doc_id")
     ranked = _first(written(members, "members").join(small(best), "class"), ["item"], [F.desc("score"), F.asc_nulls_last("doc_id")], k, "rank")
-    names = spark.createDataFrame(pa.table({"item": pa.array(np.arange(len(block.items))), "item_id": pa.array(block.items)}))
+    names = spark.createDataFrame(pa.table({"item": pa.array(np.arange(len(block.items))), "item_id": block.items}))
     return ranked.join(small(names), "item").select("item_id", "rank", "doc_id", "score")
 
 
