@@ -136,7 +136,8 @@ def findings(versions: DataFrame, text: str, ledger: str, rules: tuple[Rule, ...
     place = lambda x: F.element_at(F.create_map(*[v for k, i in order.items() for v in (F.lit(k), F.lit(i))]), x["rule"])
     ordered = F.transform(F.array_sort(F.transform(kept, lambda x: F.struct(x["start"].alias("start"), place(x).alias("kind"), x["end"].alias("end"), x["rule"].alias("rule")))), lambda x: F.struct(x["rule"], x["start"], x["end"]))
     known = read_ledger(versions.sparkSession, ledger).groupBy(F.col("blob").alias("l_blob")).agg(F.flatten(F.collect_list("found")).alias("found"))
-    known = known.select("l_blob", ordered.alias("l_found")).filter(F.size("l_found") > 0)
+    # Written, so that Spark can split a hot blob in the join below.
+    known = written(known.select("l_blob", ordered.alias("l_found")).filter(F.size("l_found") > 0), "blob-findings")
     rows = versions.select(F.struct(*[versions[c] for c in versions.columns if c != text]).alias("row"), address(versions[text]).alias("blob"))
     none = F.array().cast("array<struct<rule:string,start:int,end:int>>")
     return rows.join(known, F.col("blob") == F.col("l_blob"), "left").select("row.*", "blob", F.coalesce("l_found", none).alias("found"))
