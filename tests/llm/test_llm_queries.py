@@ -20,6 +20,9 @@ COLUMNS = {
     "op8_personal_data": {"doc_id": "bigint", "n_email": "bigint", "n_ip": "bigint", "n_card": "bigint", "n_phone": "bigint", "base_sha256": "string", "spans": "string"},
     "op9_fingerprints": {"doc_id": "bigint", "n_chars": "bigint", "edited_sha256": "string", "fingerprint": "string", "edited_fingerprint": "string", "near_edited": "double", "near_next": "double"},
     "op10_quality_rules": {"doc_id": "bigint", "n_words": "bigint", "word_chars": "bigint", "n_symbols": "bigint", "n_dup_lines": "bigint", "n_repeat_words": "bigint", "base_failed": "boolean", "kept": "boolean"},
+    "op11_ranked_search": {"item_id": "bigint", "rank": "int", "doc_id": "bigint", "score": "bigint"},
+    "op12_merkle_manifest": {"doc_id": "bigint", "leaf": "string", "subroot": "string", "root": "string", "proof_sha256": "string", "folded_root": "string", "verified": "boolean"},
+    "op13_secret_scans": {"doc_id": "bigint", "n_assign": "bigint", "n_access": "bigint", "n_hex": "bigint", "base_sha256": "string", "spans": "string"},
 }
 
 
@@ -27,6 +30,8 @@ COLUMNS = {
 def folder(docs, tmp_path_factory):
     path = tmp_path_factory.mktemp("tables")
     docs.write.parquet(f"file://{path}/documents.parquet")
+    items = docs.filter("doc_id < 12").selectExpr("doc_id div 2 as item_id", "substring(text, 1, 200) as text")
+    items.write.parquet(f"file://{path}/benchmark.parquet")
     return path
 
 
@@ -43,14 +48,15 @@ def results(spark, folder):
 def test_columns(results, corpus, name):
     types, rows = results[name]
     assert list(COLUMNS[name].items()) == list(types.items())[: len(COLUMNS[name])]
-    if name not in ("op1_substring_dedup", "op5_best_fit_packing"):
+    if name not in ("op1_substring_dedup", "op5_best_fit_packing", "op11_ranked_search"):
         assert sorted(r["doc_id"] for r in rows) == sorted(t[0] for t in corpus)
 
 
 @pytest.mark.parametrize("name", sorted(registry.ORACLES))
 def test_sql(results, folder, name):
     con = duckdb.connect()
-    con.sql(f"create view documents as select * from read_parquet('{folder}/documents.parquet/*.parquet')")
+    for t in ("documents", "benchmark"):
+        con.sql(f"create view {t} as select * from read_parquet('{folder}/{t}.parquet/*.parquet')")
     found = con.sql(registry.ORACLES[name])
     want = sorted(map(str, (dict(sorted(zip(found.columns, r)).__iter__()) for r in found.fetchall())))
     assert sorted(str(dict(sorted(r.items()))) for r in results[name][1]) == want
