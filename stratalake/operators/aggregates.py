@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.plans.storage import written
+
 
 def fingerprint(df: DataFrame, signature: str, by: tuple[str, ...] = ()) -> DataFrame:
     """(by, rows, hash_sum, signature): equal for equal rows in any order. Nulls count by their place."""
@@ -64,8 +66,11 @@ def rollup(df: DataFrame, levels: list[str], sums: dict[str, Column]) -> DataFra
 
 def split_shared(df: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     """Rows without their verbatim repeats: those with a path of their own, and those that differ but share one."""
-    counted = df.distinct().withColumn("_c", F.count(F.lit(1)).over(Window.partitionBy(path)))
-    return counted.filter("_c = 1").drop("_c"), counted.filter("_c > 1").drop("_c")
+    rows = written(df.distinct(), "distinct-rows")
+    # Counts meet the rows in a join, whose hot paths Spark can split.
+    counts = written(rows.groupBy(F.col(path).alias("_p")).agg((F.count(F.lit(1)) == 1).alias("_own")), "paths")
+    counted = rows.join(counts, F.col(path).eqNullSafe(F.col("_p"))).drop("_p")
+    return counted.filter("_own").drop("_own"), counted.filter("not _own").drop("_own")
 
 
 def text_widths(df: DataFrame) -> DataFrame:

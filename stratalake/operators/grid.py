@@ -109,6 +109,14 @@ def quantiles(df: DataFrame, column: str, shares: list[float]) -> DataFrame:
     return df.sparkSession.createDataFrame([(found, low, high)], "q array<double>, least double, most double")
 
 
+def display_stretch(df: DataFrame, column: str, low: float, high: float, fill: float | None = None) -> DataFrame:
+    """(low, high, least, most): the values that a colour ramp runs between, from two quantiles of what isn't the fill value; never an empty range."""
+    values = df if fill is None else df.filter(F.col(column) != fill)
+    q = quantiles(values, column, [low, high])
+    wide = F.when(F.col("q")[1] > F.col("q")[0], F.col("q")[1]).otherwise(F.col("q")[0] + 1)
+    return q.select(F.col("q")[0].alias("low"), wide.alias("high"), "least", "most")
+
+
 def grid_lookup(asked: DataFrame, text: str, sections: DataFrame) -> DataFrame:
     """(text, meridian, xmin, xmax, ymin, ymax): the township, or its section, that a text names, in each meridian of `sections` (label, snum, meridian, x, y)."""
     wanted = asked.withColumn("w", township(F.col(text))).filter("w is not null").select(text, F.col("w.label").alias("w_label"), F.col("w.section").alias("section"))

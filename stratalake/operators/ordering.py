@@ -53,9 +53,10 @@ def ordinal(df: DataFrame, order: list[tuple[str, bool]], key: str, value) -> Da
 
 def best_per_group(df: DataFrame, group: str, score: Column, tiebreak: str, k: int | None = None) -> DataFrame:
     """The row of the least `score` of each group, and of those the first k."""
-    best = df.withColumn("_s", score).withColumn("_r", F.row_number().over(Window.partitionBy(group).orderBy("_s", tiebreak))).filter("_r = 1")
-    best = best.orderBy("_s", tiebreak).limit(k) if k else best
-    return best.drop("_s", "_r")
+    order = F.struct(score.alias("_s"), F.col(tiebreak).alias("_t"))
+    best = df.groupBy(F.col(group).alias("_g")).agg(F.min_by(F.struct(*df.columns), order).alias("_row"), F.min(order).alias("_o"))
+    best = best.orderBy("_o").limit(k) if k else best
+    return best.select("_row.*")
 
 
 def shard(key: Column, n: int) -> Column:

@@ -158,12 +158,12 @@ def mean_pool(vectors: DataFrame, key: str, emb: str) -> DataFrame:
     return pooled.select(key, F.when(norm > 0, F.transform("m", lambda v: v / norm)).alias("emb"))
 
 
-def nearest(queries: DataFrame, vectors: DataFrame, key: str, emb: str, k: int, block: int = BLOCK_VECTORS) -> DataFrame:
-    """(q, v, s): for each query its k most similar other vectors by cosine, s rounded to 12 places; ties go to the smaller key.
+def nonzero(emb: str) -> Column:
+    return F.col(emb).isNotNull() & F.exists(emb, lambda x: x != 0)
 
-    Queries and vectors meet in pairs of blocks, each one matrix product that keeps k rows a query, so no pair is ever a row. Vectors of length zero,
-    and null ones, have no neighbours.
-    """
+
+def block_best(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """For two blocks of vectors (id, e): the k most similar of the right for each of the left, but itself, as (q, v, s)."""
 
     def unit(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         table = table.sort_by("id")
@@ -182,24 +182,36 @@ def nearest(queries: DataFrame, vectors: DataFrame, key: str, emb: str, k: int,
         keep = found > -np.inf
         return pa.table({"q": np.repeat(q, top.shape[1])[keep], "v": v[top].ravel()[keep], "s": found[keep]})
 
-    full = F.col(emb).isNotNull() & F.exists(emb, lambda x: x != 0)
+    return best
+
+
+def nearest(queries: DataFrame, vectors: DataFrame, key: str, emb: str, k: int, block: int = BLOCK_VECTORS) -> DataFrame:
+    """(q, v, s): for each query its k most similar other vectors by cosine, s rounded to 12 places; ties go to the smaller key.
+
+    Queries and vectors meet in pairs of blocks, each one matrix product that keeps k rows a query, so no pair is ever a row. Vectors of length zero,
+    and null ones, have no neighbours. The work is that of all pairs: for many queries against many vectors there is the index of `operators.vectors`.
+    """
     sides = []
     for df in (queries, vectors):
-        rows = df.filter(full).select(F.col(key).cast("long").alias("id"), F.col(emb).alias("e"))
+        rows = df.filter(nonzero(emb)).select(F.col(key).cast("long").alias("id"), F.col(emb).alias("e"))
         sides.append((rows, -(-rows.count() // block) or 1))
     (left, n_left), (right, n_right) = sides
     own = lambda n: F.pmod(F.xxhash64("id"), F.lit(n))
     left = left.withColumn("i", own(n_left)).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_right - 1).cast("long"))))
     right = right.withColumn("j", own(n_right)).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_left - 1).cast("long"))))
-    pairs = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInArrow(best, "q bigint, v bigint, s double")
+    pairs = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInArrow(block_best(k), "q bigint, v bigint, s double")
     place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("s"), "v"))  # k rows a block at most
     return pairs.withColumn("r", place).filter(F.col("r") <= k).drop("r")
 
 
+def undirected(top: DataFrame) -> DataFrame:
+    """(src, dst, weight) of neighbours (q, v, s), each pair once."""
+    return top.groupBy(F.least("q", "v").alias("src"), F.greatest("q", "v").alias("dst")).agg(F.round(F.max("s"), 4).alias("weight"))
+
+
 def similar_edges(vectors: DataFrame, key: str, emb: str, k: int) -> DataFrame:
     """(src, dst, weight): each vector's k nearest others, each pair once."""
-    top = nearest(vectors, vectors, key, emb, k)
-    return top.groupBy(F.least("q", "v").alias("src"), F.greatest("q", "v").alias("dst")).agg(F.round(F.max("s"), 4).alias("weight"))
+    return undirected(nearest(vectors, vectors, key, emb, k))
 
 
 def citation_edges(docs: DataFrame, key: str, text: Column, pattern: str, ids: DataFrame) -> DataFrame:

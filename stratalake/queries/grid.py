@@ -75,9 +75,7 @@ def gr8(spark, d):
     return grid.selected_step(axis, axis.select("axis").distinct().withColumn("pick", F.lit(7)))
 
 
-@Q("gr9_display_stretch", "select round(quantile_cont(value, 0.02), 9) as low, round(quantile_cont(value, 0.8), 9) as high, min(value) as least, max(value) as most from events where event_id % 4 = 0")
+@Q("gr9_display_stretch", "select round(quantile_cont(value, 0.02), 9) as low, round(quantile_cont(value, 0.8), 9) as high, min(value) as least, max(value) as most from events where not isnan(value) and value <> 0")
 def gr9(spark, d):
-    v = table(spark, d, "events").filter("event_id % 4 = 0").filter(~F.isnan("value"))
-    q = grid.quantiles(v, "value", [0.02, 0.8])
-    wide = F.when(F.col("q")[1] > F.col("q")[0], F.col("q")[1]).otherwise(F.col("q")[0] + 1)
-    return q.select(F.round(F.col("q")[0], 9).alias("low"), F.round(wide, 9).alias("high"), "least", "most")
+    q = grid.display_stretch(table(spark, d, "events"), "value", 0.02, 0.8, fill=0.0)
+    return q.select(F.round("low", 9).alias("low"), F.round("high", 9).alias("high"), "least", "most")

@@ -1,9 +1,8 @@
 """Queries over joins and set operations."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from stratalake.operators import reviews, spatial
+from stratalake.operators import links, reviews, spatial
 from stratalake.operators.grid import grid_lookup
 from stratalake.plans import upkeep
 from stratalake.plans.storage import written
@@ -96,11 +95,9 @@ def jn7(spark, d):
     return here.join(around, "id", "left").groupBy("id").agg(F.bool_or(F.col("kind").isNotNull() & (F.col("kind") != F.col("own"))).alias("near_contact"))
 
 
-@Q("jn8_related_rows_join", "select o_orderkey, l_linenumber, count(*) over (partition by o_orderkey) as total from orders join lineitem on o_orderkey::varchar = l_orderkey::varchar where o_orderkey % 10 = 0")
+@Q("jn8_related_rows_join", "select o_orderkey, l_linenumber, count(*) over (partition by o_orderkey) as total from orders join lineitem on o_orderkey::varchar = l_orderkey::varchar")
 def jn8(spark, d):
-    child = table(spark, d, "lineitem").select(F.col("l_orderkey").cast("string").alias("k"), "l_linenumber")
-    joined = table(spark, d, "orders").filter("o_orderkey % 10 = 0").select("o_orderkey", F.col("o_orderkey").cast("string").alias("k")).join(child, "k")
-    return joined.select("o_orderkey", "l_linenumber", F.count(F.lit(1)).over(Window.partitionBy("o_orderkey")).alias("total"))
+    return links.related_rows(table(spark, d, "orders").select("o_orderkey"), "o_orderkey", table(spark, d, "lineitem").select("l_orderkey", "l_linenumber"), "l_orderkey").select("o_orderkey", "l_linenumber", "total")
 
 
 LINKS = "select c_nationkey % 5 as origin, c_custkey % 7 as target, c_mktsegment as key, c_custkey % 2 = 0 as spatial from customer"

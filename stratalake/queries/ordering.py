@@ -1,6 +1,5 @@
 """Queries over orders, pages and top rows."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stratalake.operators import ordering
@@ -57,8 +56,7 @@ def wn5(spark, d):
 def wn6(spark, d):
     p = table(spark, d, "pages").withColumn("k", F.lower(F.regexp_extract("url", "^https?://([^/]+)", 1)))
     one = p.groupBy("url", "k").agg(F.min("page_id").alias("page_id"))
-    n = F.row_number().over(Window.partitionBy("k").orderBy("url"))
-    return one.withColumn("n", n).select("url", F.when(F.col("n") == 1, F.col("k")).otherwise(F.concat("k", F.lit("_"), "n")).alias("key"))
+    return ordering.numbered_within(one, ["k"], ["url"], "n").select("url", F.when(F.col("n") == 1, F.col("k")).otherwise(F.concat("k", F.lit("_"), "n")).alias("key"))
 
 
 @Q("wn7_best_per_group", "select vec_id, label from (select vec_id, label, embedding[1] as s, row_number() over (partition by label order by embedding[1], vec_id) as r from embeddings) t where r = 1 order by s, vec_id limit 5")

@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from stratalake.operators import search
+from stratalake.operators import search, vectors
 from stratalake.operators.aggregates import fingerprint
+from stratalake.operators.postings import Analyzer, TextIndex
+from stratalake.plans.storage import new_folder
 from stratalake.queries.base import Register, sql, table
 
 Q = Register()
@@ -47,6 +49,47 @@ def ts2_fields(spark, d):
     return search.full_text_search(table(spark, d, "documents"), "doc_id", "text", "lang:de source:src2", FIELDS)
 
 
+PLAIN = Analyzer(stems=False, stop_words=frozenset())
+
+
+def _text_index(spark, d, analyzer=PLAIN):
+    """An index of older texts, some of them since gone, brought up to date; then also the counts of what was brought in and taken out."""
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    older = docs.filter("doc_id % 50 <> 0").withColumn("text", F.when(F.col("doc_id") % 49 == 0, F.concat(F.lit("since rewritten "), "text")).otherwise(F.col("text")))
+    index = TextIndex(spark, new_folder(spark, "text-index"), analyzer)
+    index.update(older.union(older.filter("doc_id % 60 = 1").withColumn("doc_id", -F.col("doc_id"))), digest=F.xxhash64(F.col("text").isNull(), "text"))
+    return index, index.sync(docs)
+
+
+@Q("ts1_stored_index", f"with {WORDS} select term, count(*) as df, sum(tf)::bigint as tf from (select term, doc_id, count(*) as tf from u group by 1, 2) p group by 1")
+def ts1_stored(spark, d):
+    """The postings of a stored index after an update and a merge of its segments."""
+    index, _ = _text_index(spark, d)
+    index.merge()
+    return index.postings().groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tf"))
+
+
+@Q("ts2_search_stored_index", BM25 + " group by 1 order by score desc, doc_id limit 50")
+def ts2_stored(spark, d):
+    """From a stored index of two segments and tombstones."""
+    index, _ = _text_index(spark, d)
+    return index.search("the which DER the", 50).select(F.col("doc").alias("doc_id"), F.round("score", 6).alias("score"))
+
+
+@Q("ts2_stemmed_search")
+def ts2_stemmed(spark, d):
+    """Inflected forms are found, and stop words are not asked for; tested by brute force."""
+    index = TextIndex(spark, new_folder(spark, "text-index"))
+    index.update(table(spark, d, "documents"))
+    return index.search("the oned things and hehelies", 50).select(F.col("doc").alias("doc_id"), F.round("score", 6).alias("score"))
+
+
+@Q("ts3_index_sync", "select count(*) filter (where doc_id % 50 = 0 or doc_id % 49 = 0) as added, (select count(*) from documents where doc_id % 50 <> 0 and doc_id % 60 = 1) as removed from documents")
+def ts3_sync(spark, d):
+    """How many documents an update of the index brings in and takes out."""
+    return _text_index(spark, d)[1]
+
+
 @Q("ts3_index_fingerprint", "select count(*) as rows, true as changed from documents")
 def ts3(spark, d):
     t = table(spark, d, "documents").select("doc_id", F.md5("text").alias("body"), "lang", "source")
@@ -96,9 +139,12 @@ def ts9(spark, d):
     return search.embed_incremental(t, cache, "doc_id", search.hashed_vector, "text").select("doc_id", (F.size("emb") == 1).alias("reused"))
 
 
-@Q("ts10_vector_search", """with e as (select vec_id, list_transform(embedding::double[], lambda v: v / sqrt(list_dot_product(embedding::double[], embedding::double[]))) as u from embeddings),
+NEAREST = """with e as (select vec_id, list_transform(embedding::double[], lambda v: v / sqrt(list_dot_product(embedding::double[], embedding::double[]))) as u from embeddings),
 p as (select a.vec_id as query, b.vec_id, round(list_dot_product(a.u, b.u), 12) as s from e a join e b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id)
-select query, vec_id, round(1 - s, 6) as distance from (select *, row_number() over (partition by query order by s desc, vec_id) as r from p) t where r <= 20""")
+select query, vec_id, round(1 - s, 6) as distance from (select *, row_number() over (partition by query order by s desc, vec_id) as r from p) t where r <= 20"""
+
+
+@Q("ts10_vector_search", NEAREST)
 def ts10(spark, d):
     """The queries are the vectors whose id is divisible by 100."""
     e = table(spark, d, "embeddings")
@@ -111,13 +157,44 @@ def ts11(spark, d):
     return search.mean_pool(table(spark, d, "embeddings"), "label", "embedding").select("label", F.posexplode("emb").alias("pos", "v")).withColumn("v", F.round("v", 6))
 
 
-@Q("ts12_similar_edges", """with e as (select vec_id, list_transform(embedding::double[], lambda v: v / sqrt(list_dot_product(embedding::double[], embedding::double[]))) as u from embeddings),
+SIMILAR = """with e as (select vec_id, list_transform(embedding::double[], lambda v: v / sqrt(list_dot_product(embedding::double[], embedding::double[]))) as u from embeddings),
 p as (select a.vec_id as a, b.vec_id as b, round(list_dot_product(a.u, b.u), 12) as s from e a join e b on a.vec_id <> b.vec_id), r as (select *, row_number() over (partition by a order by s desc, b) as r from p)
-select least(a, b) as src, greatest(a, b) as dst, round(max(s), 4) as weight from r where r <= 5 group by 1, 2""")
+select least(a, b) as src, greatest(a, b) as dst, round(max(s), 4) as weight from r where r <= 5 group by 1, 2"""
+
+
+@Q("ts12_similar_edges", SIMILAR)
 def ts12(spark, d):
     return search.similar_edges(table(spark, d, "embeddings"), "vec_id", "embedding", 5)
 
 
+def _index(spark, d):
+    path = new_folder(spark, "vector-index")
+    vectors.write_index(table(spark, d, "embeddings"), "vec_id", "embedding", path)
+    return path
+
+
+@Q("ts10_index_search", NEAREST)
+def ts10_index(spark, d):
+    """The same, from a stored index: cells near a query first, then those that could hold a nearer vector."""
+    asked = table(spark, d, "embeddings").filter("vec_id % 100 = 0")
+    near = vectors.search_index(spark, _index(spark, d), asked, "vec_id", "embedding", 20, exact=True)
+    return near.select(F.col("q").alias("query"), F.col("v").alias("vec_id"), F.round(1 - F.col("s"), 6).alias("distance"))
+
+
+@Q("ts10_index_recall", "select (select count(*) from embeddings where vec_id % 100 = 0) * least(20, (select count(*) - 1 from embeddings)) as neighbours, true as enough")
+def ts10_recall(spark, d):
+    """How many of the exact neighbours the probed cells alone hold: 0.9 of them at least."""
+    e = table(spark, d, "embeddings")
+    asked = e.filter("vec_id % 100 = 0")
+    found = vectors.search_index(spark, _index(spark, d), asked, "vec_id", "embedding", 20)
+    return vectors.recall_of(found, search.nearest(asked, e, "vec_id", "embedding", 20)).select("neighbours", (F.col("recall") >= 0.9).alias("enough"))
+
+
+@Q("ts12_edges_from_index", SIMILAR)
+def ts12_index(spark, d):
+    return vectors.index_edges(spark, _index(spark, d), 5, exact=True)
+
+
 @Q("ts13_citation_edges", f"with x as (select 'DOC-' || doc_id as src, unnest(regexp_extract_all(body, 'DOC-[0-9]+')) as dst from ({SHAPED}) b) select src, dst, count(*) as weight from x where src <> dst and dst in (select 'DOC-' || doc_id from documents) group by 1, 2")
 def ts13(spark, d):
     b = sql(spark, d, SHAPED, "documents").withColumn("id", F.concat(F.lit("DOC-"), "doc_id"))
