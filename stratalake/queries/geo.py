@@ -2,10 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from stratalake.operators import geo, spatial
+from stratalake.operators import dissolve, geo, spatial
 from stratalake.operators.ordering import numbered
 from stratalake.plans.storage import new_folder
-from stratalake.queries.base import BOXES, POINTS, Register, boxes, points
+from stratalake.queries.base import BOXES, POINTS, Register, boxes, points, sql
 from stratalake.sources import archive
 
 Q = Register()
@@ -175,6 +175,23 @@ def ag8(spark, d):
     return boxes(spark, d).groupBy("size").agg(F.min("xmin").alias("xmin"), F.max("xmax").alias("xmax"), F.min("ymin").alias("ymin"), F.max("ymax").alias("ymax"), F.min_by("name", "id").alias("first_name"))
 
 
+SQUARES = "select distinct o_orderpriority as key, o_custkey % 50 as x, o_orderkey % 37 as y from orders"
+
+
+@Q("ag8_dissolve", f"""with c as ({SQUARES}), n as (select c.key, c.x, c.y, r.x is not null as r, u.x is not null as u, r.x is not null and u.x is not null and b.x is not null as b
+    from c left join c r on r.key = c.key and r.x = c.x + 1 and r.y = c.y left join c u on u.key = c.key and u.x = c.x and u.y = c.y + 1 left join c b on b.key = c.key and b.x = c.x + 1 and b.y = c.y + 1)
+select key, count(*)::double as area, (4 * count(*) - 2 * count(*) filter (where r) - 2 * count(*) filter (where u))::double as length, count(*) - count(*) filter (where r) - count(*) filter (where u) + count(*) filter (where b) as parts_less_holes from n group by key""")
+def ag8_dissolve(spark, d):
+    """Squares of the orders' priorities, dissolved to parts with holes; SQL counts them by their corners."""
+    s = sql(spark, d, SQUARES, "orders").select("key", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    xs, ys = F.array("x", F.col("x") + 1, F.col("x") + 1, "x", "x"), F.array("y", "y", F.col("y") + 1, F.col("y") + 1, "y")
+    parts = dissolve.dissolved(s.select("key", xs.alias("xs"), ys.alias("ys")), "key", size=4.0)
+    holes = F.size("rings") - 1
+    side = lambda r: F.aggregate(F.transform(F.sequence(F.lit(0), F.size(r["xs"]) - 2), lambda i: F.hypot(F.get(r["xs"], i + 1) - F.get(r["xs"], i), F.get(r["ys"], i + 1) - F.get(r["ys"], i))), F.lit(0.0), lambda a, b: a + b)
+    length = F.aggregate(F.transform("rings", side), F.lit(0.0), lambda a, b: a + b)
+    return parts.groupBy("key").agg(F.round(F.sum("area"), 6).alias("area"), F.round(F.sum(length), 6).alias("length"), F.sum(1 - holes).alias("parts_less_holes"))
+
+
 ARCHIVE = HILBERT + f", f as (select id, row_number() over (order by d, id) as feature_id from k) select f.feature_id, p.id, p.name, p.x, p.y from f join p on f.id = p.id"
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from stratalake.operators import links, reviews, spatial
+from stratalake.operators import links, regions, reviews, spatial
 from stratalake.operators.grid import grid_lookup
 from stratalake.plans import upkeep
 from stratalake.plans.storage import written
@@ -54,11 +54,11 @@ DIAMOND = "abs(p.x - (b.xmin + b.xmax) / 2) / (0.46873e0 * (b.xmax - b.xmin)) +
 WIDE = "(select * from b0 where xmax > xmin and ymax > ymin) b"
 
 
-def _diamonds(spark, d):
-    """A diamond in each box that has an area, a little smaller, so that no point lies on its edge."""
+def _diamonds(spark, d, share=0.46873):
+    """A diamond in each box that has an area, of a share of its width and height either way, so that no point lies on its edge."""
     b = boxes(spark, d).filter("xmax > xmin and ymax > ymin")
     mid_x, mid_y = (F.col("xmin") + F.col("xmax")) / 2, (F.col("ymin") + F.col("ymax")) / 2
-    across, up = 0.46873 * (F.col("xmax") - F.col("xmin")), 0.46873 * (F.col("ymax") - F.col("ymin"))
+    across, up = share * (F.col("xmax") - F.col("xmin")), share * (F.col("ymax") - F.col("ymin"))
     return b.select(F.col("id").alias("region"), F.array(mid_x, mid_x + across, mid_x, mid_x - across, mid_x).alias("xs"), F.array(mid_y - up, mid_y, mid_y + up, mid_y, mid_y - up).alias("ys"))
 
 
@@ -70,6 +70,14 @@ def jn4_polygons(spark, d):
     return p.select("id").join(first, "id", "left")
 
 
+@Q("jn4_region_containment", f"with b0 as ({BOXES}) select p.id, b.id as region from {P} join {WIDE} on {DIAMOND} where not ({DIAMOND.replace('0.46873e0', '0.21873e0')})")
+def jn4_regions(spark, d):
+    """All diamonds with a hole in them that hold a point, by the edges of the point's cell alone."""
+    rings = _diamonds(spark, d).union(_diamonds(spark, d, 0.21873))
+    cells = regions.region_cells(rings, "region", 0.05)
+    return regions.in_regions(points(spark, d).select("id", "x", "y"), "id", cells, "region", 0.05)
+
+
 @Q("jn5_bbox_overlap_join", f"select b.id as a, c.id as b from {B} join ({BOXES}) c on b.id < c.id and b.xmin <= c.xmax and b.xmax >= c.xmin and b.ymin <= c.ymax and b.ymax >= c.ymin")
 def jn5(spark, d):
     b = boxes(spark, d).select("id", "xmin", "ymin", "xmax", "ymax")

@@ -6,6 +6,7 @@ from stratalake.operators.aggregates import digest_of, fingerprint
 from stratalake.operators.merge import row_hash
 from stratalake.plans import upkeep
 from stratalake.plans.storage import new_folder, written
+from stratalake.plans.versions import VersionedTable
 from stratalake.queries.base import Register, table
 
 Q = Register()
@@ -86,6 +87,33 @@ def mt2(spark, d):
     return out.agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"), F.lit(len(few) < len(many)).alias("fewer"))
 
 
+@Q("mt2_compact_groups", "select count(*) as n, sum(event_id)::bigint as ids, true as fewer, true as settled from events")
+def mt2_groups(spark, d):
+    """Small files are joined in groups of neighbours; a second run finds nothing to do."""
+    lake = VersionedTable(spark, new_folder(spark, "backlog"), "event_id", 1 << 18)
+    events = table(spark, d, "events")
+    lake.replace(events.filter("event_id % 2 = 0"), 6)
+    for part in (1, 3, 5):
+        lake.merge(events.filter(F.col("event_id") % 6 == part))
+    before, done = lake.manifest().count(), lake.compact()
+    again = lake.compact()
+    return lake.read().agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"), F.lit(lake.manifest().count() <= before - done["files"] + done["groups"]).alias("fewer"), F.lit(again["groups"] == 0).alias("settled"))
+
+
+@Q("mt3_sweep_of_versions", "select true as swept, count(*) as n from orders")
+def mt3_versions(spark, d):
+    """Once the first of two versions is expired, the files that only it names are the orphans, and the table still reads."""
+    lake = VersionedTable(spark, new_folder(spark, "lake"), "o_orderkey")
+    orders = table(spark, d, "orders")
+    lake.replace(orders)
+    first = lake.references().collect()
+    lake.replace(orders.withColumn("o_orderstatus", F.lit("?")))
+    kept = lake.history().filter(F.col("version") == lake.newest())
+    gone = upkeep.orphans(lake.listing().select("path", "modified"), lake.references(kept), F.current_timestamp() + F.expr("interval 1 hour"))
+    same = {r["path"] for r in gone.select("path").collect()} == {r["path"] for r in first}
+    return lake.read().filter("o_orderstatus = '?'").agg(F.lit(same).alias("swept"), F.count(F.lit(1)).alias("n"))
+
+
 @Q("mt3_orphan_sweep", f"select path from ({PATHS}) v where event_id % 5 = 0 and modified < (select max(ts) from events) - interval 3 day")
 def mt3(spark, d):
     listing = _listing(spark, d)

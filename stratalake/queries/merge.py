@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from stratalake.operators import merge
 from stratalake.plans.storage import new_folder
+from stratalake.plans.versions import VersionedTable
 from stratalake.queries.base import ORDERS2, Register, sql, table
 
 Q = Register()
@@ -54,6 +55,28 @@ def mg5(spark, d):
     return merge.current(spark, path)
 
 
+@Q("mg5_delta_publish", f"select * from {V2}")
+def mg5_delta(spark, d):
+    """The same, as a version that shares files with the one before."""
+    old, new = _versions(spark, d)
+    lake = VersionedTable(spark, new_folder(spark, "lake"), KEY)
+    lake.replace(old)
+    lake.merge(new, delete_absent=True)
+    return lake.read()
+
+
+@Q("mg5_touched_files", "select count(*) as n, sum(case when o_orderkey <= (select max(o_orderkey) // 100 from orders) then 1 else 0 end)::bigint as changed, true as few from orders")
+def mg5_files(spark, d):
+    """A change of the first hundredth of the keys rewrites two of sixteen files at most, and leaves the others to both versions."""
+    old, _ = _versions(spark, d)
+    lake = VersionedTable(spark, new_folder(spark, "lake"), KEY)
+    lake.replace(old, 16)
+    top = old.agg(F.max(KEY)).first()[0]
+    done = lake.merge(old.filter(F.col(KEY) <= top // 100).withColumn("o_orderstatus", F.lit("?")))
+    few = done["files"] <= 2 and done["kept_files"] >= 14
+    return lake.read().agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("o_orderstatus") == "?").alias("changed"), F.lit(few).alias("few"))
+
+
 #: Rows are matched by a digest of what doesn't change here, as geometries are.
 DIFF = f"""with o as (select md5(o_orderkey::varchar) as k, min((o_orderstatus, o_totalprice)) as a, count(*) as c from orders group by 1),
 n as (select md5(o_orderkey::varchar) as k, min((o_orderstatus, o_totalprice)) as a, count(*) as c from {V2} group by 1)
