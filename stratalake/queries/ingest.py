@@ -8,7 +8,7 @@ from stratalake.operators.ordering import numbered
 from stratalake.plans.storage import new_folder, written
 from stratalake.queries.base import POINTS, Register, points, sql, table
 from stratalake.sources import archive, exports, readers
-from stratalake.streaming import changes
+from stratalake.streaming import changes, runs
 
 Q = Register()
 P = f"({POINTS}) p"
@@ -28,6 +28,18 @@ def sc2(spark, d):
     return readers.partitioned_scan(lambda p: o.filter(p), "o_orderkey", low, high, 6).agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
 
 
+@Q("sc2_ranges_by_bytes", "select count(*) as n, sum(n_chars)::bigint as chars, true as even from documents")
+def sc2_bytes(spark, d):
+    """Ranges of documents of about equal bytes: the largest has at most 1.5 times the mean, and together they are the table."""
+    docs = table(spark, d, "documents")
+    parts = readers.byte_ranges(docs, "doc_id", 6, 1)
+    sized = docs.withColumn("b", readers.row_bytes(docs))
+    each = F.array(*[F.sum(F.when(F.expr(p), F.col("b"))) for p in parts])
+    rows = sum((F.count_if(F.expr(p)) for p in parts[1:]), F.count_if(F.expr(parts[0])))
+    chars = sum((F.coalesce(F.sum(F.when(F.expr(p), F.col("n_chars"))), F.lit(0)) for p in parts[1:]), F.coalesce(F.sum(F.when(F.expr(parts[0]), F.col("n_chars"))), F.lit(0)))
+    return sized.agg(rows.alias("n"), chars.alias("chars"), (F.array_max(each) <= 1.5 * F.sum("b") / len(parts)).alias("even"))
+
+
 @Q("sc3_typed_registry_read", "select event_id, (props->>'$.k')::bigint as k from events")
 def sc3(spark, d):
     return readers.typed_json(table(spark, d, "events"), "props", "k bigint, keywords array<string>", ("keywords",)).select("event_id", "props.k")
@@ -194,3 +206,13 @@ def sm1(spark, d):
     changes.run_changes(changes.change_stream(spark, path, ["geo"], "400 days"), state, good, bad)
     return spark.read.schema("name string, outcome string").parquet(out).distinct()
 
+
+@Q("sm1_one_run_a_topic")
+def sm1_runs(spark, d):
+    """The runs that the events' topics get, if every third event reports the end of a run; tested by brute force."""
+    path, out, state = (new_folder(spark, n) for n in ("messages", "starts", "state"))
+    rows = table(spark, d, "events").select(F.lit("geo").alias("schema"), F.concat(F.lit("topic_"), F.col("user_id") % 20).alias("topic"), F.when(F.col("event_id") % 3 == 0, "done").otherwise("change").alias("kind"), F.col("ts").cast("timestamp").alias("at"))
+    rows.write.parquet(path)
+    messages = spark.readStream.schema(rows.schema).parquet(path)
+    runs.write_starts(runs.runs_to_start(messages, "400 days", 400 * 86400), out, state)
+    return spark.read.schema(runs.STARTS).parquet(out).groupBy("topic").agg(F.max("run").alias("runs"), F.count_if(F.col("why") == "changed meanwhile").alias("meanwhile"))

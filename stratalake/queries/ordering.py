@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from stratalake.operators import ordering
+from stratalake.operators import ordering, pages
+from stratalake.plans.storage import new_folder
 from stratalake.queries.base import BOXES, Register, boxes, table
 
 Q = Register()
@@ -71,6 +72,31 @@ def or2(spark, d):
     return ordering.page(t, F.desc_nulls_last("l_extendedprice"), "id", 20, 40).crossJoin(F.broadcast(total)).select("l_orderkey", "l_linenumber", "total")
 
 
+BY_PRICE = [("l_extendedprice", False), ("l_orderkey", True), ("l_linenumber", True)]
+
+
+def _pages(spark, d):
+    path = new_folder(spark, "pages")
+    pages.write_pages(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice"), BY_PRICE, path, 5000)
+    return path
+
+
+@Q("or2_deep_page", "select l_orderkey, l_linenumber from lineitem order by l_extendedprice desc nulls last, l_orderkey, l_linenumber limit 30 offset (select count(*) * 5 // 6 from lineitem)")
+def or2_deep(spark, d):
+    """A page five sixths down a sorted copy, of which one or two blocks are read."""
+    path = _pages(spark, d)
+    return pages.read_page(spark, path, 30, pages.total(spark, path) * 5 // 6).select("l_orderkey", "l_linenumber")
+
+
+@Q("wn2_ordinal_from_pages", "select count(*) as ordinal from lineitem l, (select * from lineitem where l_orderkey = (select max(l_orderkey) from lineitem) order by l_linenumber limit 1) m where l.l_extendedprice > m.l_extendedprice or (l.l_extendedprice = m.l_extendedprice and (l.l_orderkey, l.l_linenumber) < (m.l_orderkey, m.l_linenumber))")
+def wn2_pages(spark, d):
+    """The place of the last order's first line by price, from the directory and one block."""
+    lines = table(spark, d, "lineitem")
+    row = lines.filter(F.col("l_orderkey") == lines.agg(F.max("l_orderkey")).first()[0]).orderBy("l_linenumber").first().asDict()
+    place = pages.place_of(spark, _pages(spark, d), BY_PRICE, row)
+    return spark.range(1).select(F.lit(place).cast("long").alias("ordinal"))
+
+
 @Q("or3_result_sort", "select o_orderkey from orders order by case when o_orderkey % 4 = 0 then null else o_orderdate end desc nulls last, o_orderkey limit 50")
 def or3(spark, d):
     when = F.when(F.col("o_orderkey") % 4 != 0, F.col("o_orderdate"))

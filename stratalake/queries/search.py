@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from stratalake.operators import search, vectors
+from stratalake.operators import dictionary, search, vectors
 from stratalake.operators.aggregates import fingerprint
 from stratalake.operators.postings import Analyzer, TextIndex
 from stratalake.plans.storage import new_folder
@@ -98,16 +98,27 @@ def ts3(spark, d):
     return old.crossJoin(new).select("rows", (F.col("hash_sum") != F.col("now")).alias("changed"))
 
 
-@Q("ts4_keyword_catalogue_search", """with w as (select p_partkey, regexp_extract_all(lower(p_name), '[a-z0-9]+') as a, regexp_extract_all(lower(p_type), '[a-z0-9]+') as b from part),
+KEYWORDS = """with w as (select p_partkey, regexp_extract_all(lower(p_name), '[a-z0-9]+') as a, regexp_extract_all(lower(p_type), '[a-z0-9]+') as b from part),
 s as (select p_partkey, greatest(case when len(list_filter(a, lambda x: starts_with(x, 'widget'))) > 0 then 4e0 when len(list_filter(a, lambda x: levenshtein(x, 'widget') <= 1)) > 0 then 2e0 else 0e0 end,
     case when len(list_filter(b, lambda x: starts_with(x, 'widget'))) > 0 then 2e0 when len(list_filter(b, lambda x: levenshtein(x, 'widget') <= 1)) > 0 then 1e0 else 0e0 end) as one,
     greatest(case when len(list_filter(a, lambda x: starts_with(x, 'cold'))) > 0 then 4e0 when len(list_filter(a, lambda x: levenshtein(x, 'cold') <= 0)) > 0 then 2e0 else 0e0 end,
     case when len(list_filter(b, lambda x: starts_with(x, 'cold'))) > 0 then 2e0 when len(list_filter(b, lambda x: levenshtein(x, 'cold') <= 0)) > 0 then 1e0 else 0e0 end) as two from w)
-select p_partkey, one + two as score from s where one > 0 and two > 0""")
+select p_partkey, one + two as score from s where one > 0 and two > 0"""
+
+
+@Q("ts4_keyword_catalogue_search", KEYWORDS)
 def ts4(spark, d):
     return search.keyword_search(table(spark, d, "part"), "p_partkey", {"p_name": 4.0, "p_type": 2.0}, ["widget", "cold"])
 
 
+@Q("ts4_dictionary_search", KEYWORDS)
+def ts4_dictionary(spark, d):
+    """The same from a stored dictionary, by prefix ranges and words with letters left out."""
+    path = new_folder(spark, "dictionary")
+    dictionary.write_dictionary(table(spark, d, "part"), "p_partkey", ["p_name", "p_type"], path)
+    return dictionary.dictionary_search(spark, path, "p_partkey", {"p_name": 4.0, "p_type": 2.0}, ["widget", "cold"])
+
+
 @Q("ts5_id_lookup", "select c_name from customer where replace(replace(lower(c_name), '#', ''), ' ', '') = 'customer000000007'")
 def ts5(spark, d):
     names = table(spark, d, "customer").select(F.regexp_replace("c_name", "#", "-").alias("shown"), "c_name")

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from stratalake.plans.storage import written
+
 HEADER_ROWS = 10
 FOOTERS = "path string, row_group int, rows bigint, bytes bigint, xmin double, ymin double, xmax double, ymax double"
 
@@ -24,7 +26,71 @@ def discover(tables: DataFrame, suffix: str, schemas: list[str]) -> DataFrame:
 
 def ranges(key: str, low: int, high: int, n: int) -> list[str]:
     """Predicates that split a key into n disjoint ranges; the first has no lower end and takes nulls, the last no upper end."""
-    bounds = sorted({low + (high - low) * i // n for i in range(1, n)})
+    return _between(key, sorted({low + (high - low) * i // n for i in range(1, n)}))
+
+
+#: A table under this many bytes is read by one scan; sizes are told apart in this many steps of a range's share.
+LEAST_BYTES, STEPS = 64 << 20, 16
+#: Parts that a stretch of keys is cut into before it is looked at again.
+FANOUT = 64
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """The bytes of a row's values, large ones included: text and binary by their length, nested ones by their JSON, the rest 8 each."""
+
+    def size(c: str, t: str) -> Column:
+        if t in ("string", "binary"):
+            return F.coalesce(F.octet_length(f"`{c}`"), F.lit(0))
+        return F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{c}`").alias("v")))), F.lit(0)) if t.startswith(("array", "map", "struct")) else F.lit(8)
+
+    total = F.lit(0).cast("long")
+    for c, t in df.dtypes:
+        total = total + size(c, t).cast("long")
+    return total
+
+
+def byte_bounds(df: DataFrame, key: str, n: int) -> list[int]:
+    """Up to n - 1 bounds of a whole-number key between which rows have about equal bytes.
+
+    Stretches of keys are weighed by mergeable histograms: those that weigh more than a small part of a range's share are cut into FANOUT stretches and weighed again, each time for
+    all such stretches in one pass, until they are light or of one key. What comes to the driver are the heavy stretches' parts, some n * STEPS * FANOUT numbers a pass.
+    """
+    sized = written(df.select(F.col(key).cast("long").alias("k"), row_bytes(df).alias("b")).filter("k is not null"), "row-sizes")
+    low, high, total = sized.agg(F.min("k"), F.max("k"), F.sum("b")).first()
+    if low is None or not total:
+        return []
+    light, done, heavy = total / (n * STEPS), [], [(low, high + 1)]
+    while heavy:
+        width = {a: max(1, -(-(b - a) // FANOUT)) for a, b in heavy}
+        cuts = sized.sparkSession.createDataFrame([(a, b, width[a]) for a, b in heavy], "a long, z long, w long")
+        found = sized.join(F.broadcast(cuts), (F.col("k") >= F.col("a")) & (F.col("k") < F.col("z"))).groupBy((F.col("a") + (F.expr("(k - a) div w")) * F.col("w")).alias("start"), "w", "z").agg(F.sum("b").alias("b")).collect()
+        heavy = []
+        for r in found:
+            end = min(r["start"] + r["w"], r["z"])
+            if r["b"] > light and r["w"] > 1:
+                heavy.append((r["start"], end))
+            else:
+                done.append((r["start"], r["b"]))
+    bounds, weight = [], 0
+    for start, b in sorted(done):
+        if weight + b / 2 >= total * (len(bounds) + 1) / n and weight and len(bounds) < n - 1:
+            bounds.append(start)
+        weight += b
+    return bounds
+
+
+def byte_ranges(df: DataFrame, key: str, n: int, least_bytes: int = LEAST_BYTES) -> list[str]:
+    """Predicates that split a table into up to n disjoint ranges of about equal bytes; rows that come later fall into the last, null keys into the first.
+
+    A small table, or one whose key is no whole number, is one scan.
+    """
+    whole = dict(df.dtypes)[key] in ("tinyint", "smallint", "int", "bigint")
+    if not whole or (df.agg(F.sum(row_bytes(df))).first()[0] or 0) < least_bytes:
+        return ["1 = 1"]
+    return _between(key, byte_bounds(df, key, n))
+
+
+def _between(key: str, bounds: list[int]) -> list[str]:
     if not bounds:
         return ["1 = 1"]
     inner = [f"{key} >= {a} and {key} < {b}" for a, b in zip(bounds, bounds[1:])]

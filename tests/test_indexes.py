@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratalake.functions.stemming import porter
-from stratalake.operators import postings, search, vectors
+from stratalake.operators import dictionary, pages, postings, search, vectors
 from stratalake.operators.postings import Analyzer, TextIndex
 
 #: Published examples of the stemmer's steps.
@@ -156,3 +156,34 @@ def test_vector_index_of_nothing(spark, embeddings, tmp_path):
     vectors.write_index(few, "id", "e", path)
     assert vectors.search_index(spark, path, few, "id", "e", 3, exact=True).count() == 0
     assert {r["v"] for r in vectors.search_index(spark, path, embeddings.filter("id = 2003"), "id", "e", 3).collect()} == {2002}
+
+
+def test_dictionary_finds_what_a_scan_finds(spark, tmp_path):
+    rng = random.Random(1)
+    words = ["quadrangle", "quadrangles", "geology", "geologic", "hydrogeology", "salt", "salty", "map", "mpa", "24k", "stratigraphically", "é"]
+    slip = lambda w: w[: (i := rng.randrange(len(w)))] + rng.choice(["", "x", w[i] * 2]) + w[i + 1 :]
+    rows = [(i, " ".join(rng.choice([w, slip(w)]) for w in rng.choices(words, k=3)), rng.choice(words).upper()) for i in range(400)] + [(400, None, "")]
+    items = spark.createDataFrame(rows, "id long, title string, kind string")
+    path, fields = f"file://{tmp_path}/words", {"title": 4.0, "kind": 2.0}
+    dictionary.write_dictionary(items, "id", list(fields), path)
+    for query in (["geology"], ["quadrangle", "map"], ["stratigraphically"], ["salt", "geo"], ["24k"], ["nothing"]):
+        want = {tuple(r) for r in search.keyword_search(items, "id", fields, query).collect()}
+        assert {tuple(r) for r in dictionary.dictionary_search(spark, path, "id", fields, query).collect()} == want
+    plan = dictionary.matching_words(spark, path, "geology")._jdf.queryExecution().executedPlan().toString()
+    assert "StringStartsWith(word,geology)" in plan and re.search(r"PushedFilters: \[[^\]]*In\(variant", plan)
+
+
+def test_pages_at_any_depth(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(i, rng.choice([None, *range(9)])) for i in range(3000)]
+    df, order = spark.createDataFrame(rows, "id long, v int"), [("v", False), ("id", True)]
+    path = f"file://{tmp_path}/pages"
+    pages.write_pages(df, order, path, 400)
+    want = sorted(rows, key=lambda r: (r[1] is None, -(r[1] or 0), r[0]))
+    for offset, limit in ((0, 5), (390, 30), (2980, 50), (5000, 5)):
+        assert [tuple(r) for r in pages.read_page(spark, path, limit, offset).collect()] == want[offset : offset + limit]
+    assert pages.total(spark, path) == 3000
+    one = pages.read_page(spark, path, 5, 1000)
+    assert re.search(r"PartitionFilters: \[[^\]]*_block", one._jdf.queryExecution().executedPlan().toString()) and len(one.inputFiles()) >= 1
+    for at in (0, 1, 399, 1700, 2999):
+        assert pages.place_of(spark, path, order, dict(zip(("id", "v"), want[at]))) == at
