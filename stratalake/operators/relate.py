@@ -30,9 +30,14 @@ def unpivoted(tables: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def value_counts(values: DataFrame) -> DataFrame:
+    """(tab, col, value, n): what profiles and relationships need of the values; a common value is counted before it is shuffled."""
+    return values.groupBy("tab", "col", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def profiles(values: DataFrame) -> DataFrame:
-    """(tab, col, rows, distinct, unique, is_key, dense): counts by value first, so that a common value is pre-aggregated."""
-    counts = values.groupBy("tab", "col", "value").agg(F.count(F.lit(1)).alias("n"))
+    """(tab, col, rows, distinct, unique, is_key, dense) of values, or of their counts."""
+    counts = values if "n" in values.columns else value_counts(values)
     number = F.expr("try_cast(value as bigint)")
     p = counts.groupBy("tab", "col").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("distinct"), F.min(number).alias("low"), F.max(number).alias("high"), F.count(number).alias("numbers"))
     unique = F.col("rows") == F.col("distinct")
@@ -88,7 +93,7 @@ def relationships(values: DataFrame, profile: DataFrame, layers: DataFrame) -> D
     counts only if it is named after its table. The distinct values of all columns are joined to those of key columns on the value; `values` is
     read once and written by the caller.
     """
-    distinct = values.select("tab", "col", "value").distinct()
+    distinct = values.select("tab", "col", "value") if "n" in values.columns else values.select("tab", "col", "value").distinct()
     sizes = profile.select("tab", "col", F.col("distinct").alias("size"))
     named = affinity(F.col("col"), F.col("tab"))
     keys = profile.filter("is_key").join(layers, "tab").filter(~F.col("spatial") & (~F.col("dense") | named)).select(F.col("tab").alias("k_tab"), F.col("col").alias("k_col"), named.alias("affinity"), F.col("grp").alias("k_grp"), F.col("distinct").alias("keys"))

@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from stratalake.operators import aggregates as agg
+from stratalake.operators import catalogue
 from stratalake.operators.ordering import numbered_within
-from stratalake.queries.base import BOXES, Register, boxes, table
+from stratalake.queries.base import BOXES, Register, boxes, sql, table
 
 Q = Register()
 B = f"({BOXES}) b"
@@ -137,18 +138,31 @@ def ag25(spark, d):
     return table(spark, d, "events").groupBy(code.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@Q("ag26_bundle_reconcile", "select p_brand, p_partkey, case when p_size > 40 then 'too large' when p_type ilike '%tin%' then 'not a layer' else 'unused' end as reason from part where p_partkey % 3 <> 0")
+_ENDINGS = "['pdf', 'tif', 'shp', 'dbf', 'mpk', 'txt', 'PDF']"
+FOUND = f"select p_brand as bundle, 'd/' || case when p_size % 4 = 0 then 'topo' else 'map' end || p_partkey || '.' || {_ENDINGS}[p_partkey % 7 + 1] as name, case p_size % 3 when 0 then true when 1 then false end as placed, p_partkey from part"
+USED = "select bundle, ['source', 'geo-pdf', 'raster'][length(bundle) % 3 + 1] as tier, min(name) as plate, max(case when name like '%.shp' then name end) as shapefile from f group by bundle"
+
+
+@Q("ag26_bundle_reconcile", f"""with f as ({FOUND}), u as ({USED}), k as (select f.*, u.tier, u.plate, u.shapefile, lower(string_split(name, '.')[-1]) as e from f join u using (bundle))
+select bundle, name, reason from (select *, case when tier = 'source' and (e = 'pdf' or (e = 'tif' and name not like '%topo%')) then 'superseded by the source raster' when e = 'pdf' then case when placed then 'could not be rendered' when not placed then 'no coordinate system' else 'not looked at, a plate was chosen' end
+    when e = 'tif' and name like '%topo%' then 'a base map, not the map itself' when e = 'tif' then case when tier = 'geo-pdf' then 'superseded by a georeferenced PDF' else 'unused raster' end when e = 'shp' then 'secondary shapefile' when e = 'mpk' then 'unsupported package' end as reason
+    from k where name <> plate and not (e = 'shp' and name = shapefile) and e <> 'dbf') r where reason is not null""")
 def ag26(spark, d):
-    p = table(spark, d, "part")
-    used = p.filter("p_partkey % 3 = 0").select("p_partkey")
-    reason = F.when(F.col("p_size") > 40, "too large").when(F.col("p_type").ilike("%tin%"), "not a layer").otherwise("unused")
-    return p.join(used, "p_partkey", "left_anti").select("p_brand", "p_partkey", reason.alias("reason"))
+    """Files of brands; of each the first by name is the plate that was used, and the last shapefile."""
+    ending = F.element_at(F.array(*map(F.lit, ("pdf", "tif", "shp", "dbf", "mpk", "txt", "PDF"))), (F.col("p_partkey") % 7 + 1).cast("int"))
+    name = F.concat(F.lit("d/"), F.when(F.col("p_size") % 4 == 0, "topo").otherwise("map"), "p_partkey", F.lit("."), ending)
+    found = table(spark, d, "part").select(F.col("p_brand").alias("bundle"), name.alias("name"), F.when(F.col("p_size") % 3 == 0, True).when(F.col("p_size") % 3 == 1, False).alias("georeferenced"))
+    tier = F.element_at(F.array(F.lit("source"), F.lit("geo-pdf"), F.lit("raster")), F.length("bundle") % 3 + 1)
+    used = found.groupBy("bundle").agg(F.min("name").alias("plate"), F.max(F.when(F.endswith("name", F.lit(".shp")), F.col("name"))).alias("shapefile")).withColumn("tier", tier)
+    return catalogue.unused_files(found, used)
+
+
+PUBS = "select case when doc_id % 50 = 0 then 'ofr-XXXX' || doc_id when doc_id % 3 = 0 then 'M-' || doc_id else 'OFR-' || doc_id end as id, source as title, doc_id from documents"
 
 
-@Q("ag27_harvest_status", "select doc_id, case when doc_id % 50 = 0 then 'placeholder' when doc_id in (select doc_id from labels) then 'harvested' when doc_id in (select item_id from benchmark) then 'pdf_only' else 'pending' end as status from documents where source = 'src1' or lang = 'de'")
+@Q("ag27_harvest_status", f"select id, title, case when id like '%XXXX%' then 'placeholder' when doc_id in (select doc_id from labels) then 'harvested' when doc_id in (select item_id from benchmark) then 'pending' else 'pdf_only' end as status from ({PUBS}) p where upper(id) like 'OFR%' and (contains(upper(id), 'SRC1') or contains(upper(title), 'SRC1'))")
 def ag27(spark, d):
-    t = table(spark, d, "documents").filter("source = 'src1' or lang = 'de'")
-    items = table(spark, d, "labels").select("doc_id", F.lit(True).alias("item")).distinct()
-    pdfs = table(spark, d, "benchmark").select(F.col("item_id").alias("doc_id"), F.lit(True).alias("pdf")).distinct()
-    status = F.when(F.col("doc_id") % 50 == 0, "placeholder").when(F.col("item"), "harvested").when(F.col("pdf"), "pdf_only").otherwise("pending")
-    return t.join(items, "doc_id", "left").join(pdfs, "doc_id", "left").select("doc_id", status.alias("status"))
+    """Open-file reports of some sources; what is labelled was harvested, and what is an item has an archive."""
+    pubs = sql(spark, d, PUBS, "documents")
+    of = lambda t, c: pubs.join(table(spark, d, t).select(F.col(c).alias("doc_id")), "doc_id", "left_semi").select(F.lower("id").alias("id"))
+    return catalogue.harvest_status(pubs, of("labels", "doc_id"), of("benchmark", "item_id"), series="ofr", text="src1")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions import text as fx
 from stratalake.functions.rules import MEDIA, TOPICS
+from stratalake.operators import catalogue
 from stratalake.operators.reviews import mentions
 from stratalake.operators.search import split_authors
 from stratalake.queries.base import Register, sql, table
@@ -153,9 +154,19 @@ def fn15(spark, d):
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_linenumber").alias("first_page"), F.coalesce(after - 1, F.lit(60)).alias("last_page"))
 
 
-@Q("fn16_categorize", "select p_partkey, case when p_type in ('ECONOMY', 'PROMO') then 'map' when p_size > 25 then 'report' else 'data' end as v from part")
+ITEMS = f"select p_partkey, {_pick(['hazards', 'emp', 'mapping', 'wetlands', 'groundwater', None, 'other'])} as schema, {_pick(['rasters', 'geologic-maps', 'publications', 'mining-district-files', 'external', 'x'], 'p_size')} as root, case when p_partkey % 11 = 0 then 'OFR' end as series, {_pick(['cog', 'parquet', 'pdf', 'zarr', 'raster-tiles', 'text', 'odd'])} as a, {_pick(['pdf', 'tiles', 'cog'], 'p_size')} as b from part"
+PUBLICATION = "(root in ('publications', 'external') or series is not null)"
+
+
+@Q("fn16_categorize", f"""select p_partkey, case when schema = 'hazards' then 'hazards' when schema = 'emp' then 'energy-minerals' when schema = 'mapping' or root = 'geologic-maps' then 'geologic-maps' when schema = 'wetlands' then 'wetlands' when schema = 'groundwater' then 'groundwater'
+    when root = 'rasters' then 'rasters' when root = 'mining-district-files' then 'mining-district-files' when {PUBLICATION} then 'publications' else 'other' end as category,
+    case when {PUBLICATION} then 'publication' when list_has_any([a, b], ['cog', 'raster-tiles']) then 'raster' when schema is not null or list_has_any([a, b], ['tiles', 'parquet', 'zarr']) then 'vector' else 'other' end as kind,
+    array_to_string(list_filter(case when a = b then [map {{'cog': 'COG', 'pdf': 'PDF'}}[a]] else [map {{'cog': 'COG', 'parquet': 'GeoParquet', 'pdf': 'PDF', 'zarr': 'Datacube', 'text': 'Text'}}[a], map {{'cog': 'COG', 'pdf': 'PDF', 'tiles': 'Web map'}}[b]] end, lambda x: x is not null and x <> ''), ',') as formats from ({ITEMS}) i""")
 def fn16(spark, d):
-    return table(spark, d, "part").select("p_partkey", F.when(F.col("p_type").isin("ECONOMY", "PROMO"), "map").when(F.col("p_size") > 25, "report").otherwise("data").alias("v"))
+    """The category, the kind and the formats of items of all schemas and roots."""
+    i = sql(spark, d, ITEMS, "part").withColumn("assets", F.array("a", "b"))
+    publication = catalogue.is_publication(F.col("root"), F.lit(None).cast("string"), F.col("series"))
+    return i.select("p_partkey", catalogue.category(F.col("schema"), F.col("root"), publication).alias("category"), catalogue.item_kind(publication, F.col("schema"), F.col("assets")).alias("kind"), F.array_join(catalogue.formats_of(F.col("assets")), ",").alias("formats"))
 
 
 @Q("fn17_geometry_kind", "select p_partkey, case p_partkey % 4 when 0 then 'points' when 1 then 'polygons' when 2 then 'mixed' end as v from part")

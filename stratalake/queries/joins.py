@@ -108,19 +108,27 @@ def jn8(spark, d):
     return links.related_rows(table(spark, d, "orders").select("o_orderkey"), "o_orderkey", table(spark, d, "lineitem").select("l_orderkey", "l_linenumber"), "l_orderkey").select("o_orderkey", "l_linenumber", "total")
 
 
-LINKS = "select c_nationkey % 5 as origin, c_custkey % 7 as target, c_mktsegment as key, c_custkey % 2 = 0 as spatial from customer"
+LINKS = "select c_nationkey % 5 as origin, c_custkey % 7 as target, c_mktsegment as key from customer"
 
 
-@Q("jn9_fk_registry_outgoing", f"select origin, target, case when bool_or(spatial) then 'link' else 'table' end as kind, string_agg(distinct key, ',' order by key) as keys from ({LINKS}) r group by 1, 2")
+def _relations(spark, d):
+    return sql(spark, d, LINKS, "customer").select("origin", "target", F.array("key").alias("source_columns"), F.array(F.lit("id")).alias("target_columns"))
+
+
+def _keys(keys):
+    return F.array_join(F.transform(keys, lambda k: F.concat(F.array_join(k["columns"], "+"), F.lit(">"), F.array_join(k["to"], "+"))), ",")
+
+
+@Q("jn9_fk_registry_outgoing", f"select origin, target, case when target % 2 = 0 then 'link' else 'table' end as kind, string_agg(distinct case when target % 2 = 0 then key || '>id' else 'id>' || key end, ',' order by case when target % 2 = 0 then key || '>id' else 'id>' || key end) as keys from ({LINKS}) r group by 1, 2")
 def jn9(spark, d):
-    r = sql(spark, d, LINKS, "customer")
-    kind = F.when(F.bool_or("spatial"), "link").otherwise("table")
-    return r.groupBy("origin", "target").agg(kind.alias("kind"), F.array_join(F.array_sort(F.collect_set("key")), ",").alias("keys"))
+    """Even targets are spatial."""
+    tables = spark.range(6).select(F.col("id").alias("name"), (F.col("id") % 2 == 0).alias("spatial")).union(spark.createDataFrame([(6, True)], "name long, spatial boolean"))
+    return links.outgoing_links(_relations(spark, d), tables).select("origin", "target", "kind", _keys(F.col("keys")).alias("keys"))
 
 
-@Q("jn10_fk_registry_incoming", f"select origin, count(*) as n from ({LINKS}) r where target = 3 group by origin")
+@Q("jn10_fk_registry_incoming", f"select origin, string_agg(distinct key || '>id', ',' order by key || '>id') as keys from ({LINKS}) r where target = 3 group by origin")
 def jn10(spark, d):
-    return sql(spark, d, LINKS, "customer").filter("target = 3").groupBy("origin").agg(F.count(F.lit(1)).alias("n"))
+    return links.incoming_links(_relations(spark, d), 3).select("origin", _keys(F.col("keys")).alias("keys"))
 
 
 @Q("jn11_attachment_grouping", "select l_orderkey, string_agg(l_linenumber::varchar, ',' order by l_linenumber) as files from lineitem group by 1")

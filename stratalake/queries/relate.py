@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from stratalake.operators import relate
+from stratalake.operators import relate, units
 from stratalake.plans.storage import written
 from stratalake.queries.base import Register, sql, table
 
@@ -24,7 +24,7 @@ def _tables(spark, d):
 
 
 def _values(spark, d):
-    return written(relate.unpivoted(_tables(spark, d)), "values")
+    return written(relate.value_counts(relate.unpivoted(_tables(spark, d))), "values")
 
 
 _COLUMNS = {
@@ -109,22 +109,33 @@ def ri7(spark, d):
     return relate.reference_tables(rels, 5)
 
 
-LAYERS = "select p_brand as bundle, p_name as label, p_size as rows, p_type as kind, p_partkey as id from part"
+#: Layers of bundles by brand: unit layers of all schemas with and without a code column, and others.
+LAYERS = """select p_brand as bundle, p_partkey as id, case p_partkey % 6 when 0 then 'a/MapUnitPolys' when 1 then 'q_GeologicUnits' when 2 then 'cov_units' when 3 then 'Faults' when 4 then 'x/Geologic_Polys' else 'geologicunit_nad83' end || case when p_size % 5 = 0 then '_old' else '' end as label,
+    p_partkey % 7 <> 0 as spatial, p_size // 10 as rows, case when p_partkey % 8 = 0 then 'LineString' else 'MultiPolygon' end as geometry, case when p_size % 3 = 0 then 'map_unit' when p_size % 3 = 1 then 'UNIT_SYMBOL' else 'Label12345' end as code from part"""
+_RANK = "case when regexp_matches(n, 'mapunitpolys$') then 0 when regexp_matches(n, 'geologicunits?(_nad[0-9]{2}|_[0-9]{8})?$') then 1 when regexp_matches(n, '(^|[_-])(geounits?|units?|geology_?polys?)$') then 2 end"
 
 
-@Q("ri8_unit_layer_select", f"select bundle, id from (select *, row_number() over (partition by bundle order by -rows, label, id) as r from ({LAYERS}) l where kind ilike '%s%' and rows > 5) t where r = 1")
+@Q("ri8_unit_layer_select", f"""with l as (select *, lower(string_split(label, '/')[-1]) as n from ({LAYERS}) x where spatial and rows > 0 and geometry like '%Polygon%'), r as (select *, {_RANK} as rank from l),
+k as (select *, case when code = 'map_unit' or (code = 'UNIT_SYMBOL' and rank > 0) then code end as own, case when code = 'Label12345' then 1 else 0 end as cut from r where rank is not null),
+c as (select *, row_number() over (partition by bundle order by rank, -rows, cut, label) as place, count(*) over (partition by bundle) as n_all, (min(rank) over w <> max(rank) over w or min(rows) over w <> max(rows) over w) as differs from k where own is not null window w as (partition by bundle)),
+b as (select distinct bundle from k)
+select b.bundle, c.label, ['gems', 'template', 'coverage'][rank + 1] as schema, own as code, case when differs then n_all - 1 else 0 end::int as others, case when c.bundle is null then (select count(distinct label) from k where k.bundle = b.bundle) else 0 end::int as unusable
+from b left join c on c.bundle = b.bundle and place = 1""")
 def ri8(spark, d):
-    each = sql(spark, d, LAYERS, "part").filter(F.col("kind").rlike("(?i)s") & (F.col("rows") > 5))
-    return each.groupBy("bundle").agg(F.min_by("id", F.struct(-F.col("rows"), F.col("label"), F.col("id"))).alias("id"))
+    layers = sql(spark, d, LAYERS.replace("//", "div"), "part").withColumns({"geometry_types": F.array("geometry"), "columns": F.array(F.lit("OBJECTID"), "code")})
+    return units.unit_layers(layers).select("bundle", "label", "schema", "code", F.size("others").alias("others"), F.size("unusable").alias("unusable"))
 
 
-@Q("ri9_unit_polys_normalise", "select p_partkey as unit_code, coalesce(case when p_size % 2 = 0 then p_brand end, p_name) as unit_name, p_type as age from part")
+@Q("ri9_unit_polys_normalise", """select 'M-1' as series_id, p_brand as unit_code, nullif(trim(case when p_size % 2 = 0 then null else p_name end), '') as unit_name, p_type as age, 'layer' as source_label, p_partkey as geom from part where p_partkey % 9 <> 0
+union all select 'M-2', p_brand, s.name, null, 'polys', p_partkey from part left join (select 'Brand#' || (s_suppkey % 60) as k, min(s_name) as name from supplier group by 1) s on s.k = p_brand""")
 def ri9(spark, d):
+    """A layer that has its own attributes, and one that is described by a table in which codes repeat."""
     p = table(spark, d, "part")
-    first = p.filter("p_size % 2 = 0").select(F.col("p_partkey").alias("unit_code"), F.col("p_brand").alias("unit_name"), F.col("p_type").alias("age"))
-    second = p.filter("p_size % 2 <> 0").select(F.col("p_partkey").alias("mapunit"), F.col("p_name").alias("fullname"), F.col("p_type").alias("age"))
-    both = first.unionByName(second, allowMissingColumns=True)
-    return both.select(F.coalesce("unit_code", "mapunit").alias("unit_code"), F.coalesce("unit_name", "fullname").alias("unit_name"), "age")
+    own = p.select(F.col("p_brand").alias("UnitSymbol"), F.when(F.col("p_size") % 2 == 0, "  ").otherwise(F.col("p_name")).alias("UnitName"), F.col("p_type").alias("Age"), F.when(F.col("p_partkey") % 9 != 0, F.col("p_partkey")).alias("geom"))
+    first = units.unit_rows(own, "M-1", "layer", {"code": "UnitSymbol", "name": "UnitName", "age": "Age"}, "geom")
+    described = table(spark, d, "supplier").select(F.concat(F.lit(" Brand#"), F.col("s_suppkey") % 60).alias("MapUnit"), F.lit("").alias("Name"), F.col("s_name").alias("Full_Name"))
+    second = units.unit_rows(p.select(F.col("p_brand").alias("MapUnit"), F.col("p_partkey").alias("geom")), "M-2", "polys", {"code": "MapUnit", "name": "Name"}, "geom", described, ("MapUnit", "MapUnit"))
+    return first.union(second).drop("description")
 
 
 @Q("ri10_table_columns", "select 'orders' as tab, * from (values ('o_orderkey', 'integer'), ('o_custkey', 'integer'), ('o_orderstatus', 'string'), ('o_totalprice', 'number'), ('o_orderdate', 'datetime'), ('o_orderpriority', 'string')) x(name, kind) where exists (select 1 from orders)")

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from stratalake.operators import dictionary, search, vectors
+from stratalake.functions.rules import TOPICS
+from stratalake.operators import catalogue, dictionary, search, vectors
 from stratalake.operators.aggregates import fingerprint
 from stratalake.operators.postings import Analyzer, TextIndex
 from stratalake.plans.storage import new_folder
@@ -131,11 +132,16 @@ def ts6(spark, d):
     return search.place_search(table(spark, d, "nation"), "n_name", "Nation_1 County")
 
 
-@Q("ts7_search_corpus", "select conv_id || '#' || turn as id, case when contains(lower(substr(text, 1, 300)), 'fault') then 'hazards' when contains(lower(substr(text, 1, 300)), 'water') then 'groundwater' else 'other' end as topic from conversations")
+TOPIC_CASE = "case " + " ".join(f"when regexp_matches(lower(x), '{p}') then '{n}'" for n, p in TOPICS) + " else 'other' end"
+
+
+@Q("ts7_search_corpus", f"""with a as (select doc_id, source, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as i from documents)
+select id, volume, page, {TOPIC_CASE} as topic from (select 'D' || doc_id || '#' || i as id, source as volume, i + 1 as page, substr(line, 1, 40) || ' ' || substr(line, 1, 300) as x from a) t""")
 def ts7(spark, d):
-    head = F.lower(F.substring("text", 1, 300))
-    topic = F.when(F.contains(head, F.lit("fault")), "hazards").when(F.contains(head, F.lit("water")), "groundwater").otherwise("other")
-    return table(spark, d, "conversations").select(F.concat("conv_id", F.lit("#"), "turn").alias("id"), topic.alias("topic"))
+    """Documents as issues, whose lines are the articles."""
+    lines = F.transform(F.split("text", "\n", -1), lambda x, i: F.struct(F.substring(x, 1, 40).alias("title"), (i + 1).cast("long").alias("page"), x.alias("text")))
+    issues = table(spark, d, "documents").select(F.concat(F.lit("D"), "doc_id").alias("sid"), F.col("source").alias("volume"), lines.alias("articles"))
+    return catalogue.article_corpus(issues).select("id", "volume", "page", "topic")
 
 
 @Q("ts8_chunking")
