@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.operators.aggregates import fingerprint
-from stratalake.plans.storage import written
+from stratalake.plans.storage import small, written
 
 TARGET_BYTES = 256 << 20
 
@@ -42,6 +42,21 @@ def run_sinks(df: DataFrame, sinks: dict[str, Callable[[DataFrame], None]]) -> d
     return out
 
 
+def advanced(state: DataFrame, now: DataFrame, plan: DataFrame, outcomes: dict[str, dict[str, str]], newest: int) -> DataFrame:
+    """The state after a run: (topic, rows, hash_sum, signature, outputs, format).
+
+    `plan` is that of `skip_plan`, `outcomes` has for each topic that ran what its data sinks reported (see `run_sinks`). A topic's hash vouches for its outputs, so it moves on only where all of them were rewritten; after
+    a failed sink the old one stays, or none, and the next run does the topic again. Topics that were skipped or not looked at keep their state.
+    """
+    spark = state.sparkSession
+    ran = [(t, all(x == "ok" for x in r.values())) for t, r in outcomes.items()]
+    done = spark.createDataFrame([(t,) for t, ok in ran if ok], "topic string").join(plan.filter(~F.col("skipped")).select(F.col("topic").cast("string").alias("topic")), "topic", "left_semi")
+    columns = ["topic", "rows", "hash_sum", "signature", "outputs", "format"]
+    key = F.col("topic").cast("string")
+    moved = now.join(small(done.withColumnRenamed("topic", "_t")), key == F.col("_t"), "left_semi").withColumns({"outputs": F.lit(True), "format": F.lit(newest)}).select(columns)
+    return moved.unionByName(state.join(small(done.withColumnRenamed("topic", "_t")), key == F.col("_t"), "left_anti").select(columns))
+
+
 def needs(manifest: DataFrame, checks: dict[str, Column]) -> DataFrame:
     """`manifest` with the names of the checks that hold, for the rows that need anything."""
     todo = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in checks.items()]))

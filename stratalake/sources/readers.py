@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from stratalake.plans.storage import written
+from stratalake.plans.storage import row_bytes, written
 
 HEADER_ROWS = 10
 FOOTERS = "path string, row_group int, rows bigint, bytes bigint, xmin double, ymin double, xmax double, ymax double"
@@ -35,20 +36,6 @@ LEAST_BYTES, STEPS = 64 << 20, 16
 FANOUT = 64
 
 
-def row_bytes(df: DataFrame) -> Column:
-    """The bytes of a row's values, large ones included: text and binary by their length, nested ones by their JSON, the rest 8 each."""
-
-    def size(c: str, t: str) -> Column:
-        if t in ("string", "binary"):
-            return F.coalesce(F.octet_length(f"`{c}`"), F.lit(0))
-        return F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{c}`").alias("v")))), F.lit(0)) if t.startswith(("array", "map", "struct")) else F.lit(8)
-
-    total = F.lit(0).cast("long")
-    for c, t in df.dtypes:
-        total = total + size(c, t).cast("long")
-    return total
-
-
 def byte_bounds(df: DataFrame, key: str, n: int) -> list[int]:
     """Up to n - 1 bounds of a whole-number key between which rows have about equal bytes.
 
@@ -153,22 +140,60 @@ def sniff_delimiter(lines: DataFrame) -> Column:
     return F.greatest(*counts)["d"]
 
 
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """(value): the lines of text files, in UTF-8 or, where they aren't that, in cp1252; a byte order mark goes."""
+    lines = spark.read.text(path)
+    if lines.filter(~F.is_valid_utf8("value")).isEmpty():
+        return lines.select(F.regexp_replace("value", "^\ufeff", "").alias("value"))
+    # cp1252 is Latin-1 but for the bytes from 80 to 9f.
+    others = {chr(b): bytes([b]).decode("cp1252", "ignore") for b in range(0x80, 0xA0)}
+    known = {k: v for k, v in others.items() if v}
+    return lines.select(F.translate(F.decode(F.col("value").cast("binary"), "ISO-8859-1"), "".join(known), "".join(known.values())).alias("value"))
+
+
 def csv_table(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
-    """A delimited table with a header: each column is whole numbers, numbers or text, and ragged rows are left out and counted.
+    """A delimited table as it is found: each column is whole numbers, numbers or text, and ragged rows are left out and counted.
 
-    Numbers with leading zeros are ids and stay text.
+    The header is the first of the first ten lines that looks like one (see `header_rows`), or else the first line; lines before it are left out, and so are repeats of
+    these. A row of units below it, all in brackets or blank, is folded into the names. Names are made up for blank columns and repeated ones are numbered. Numbers with leading zeros are ids and stay text.
     """
-    head = spark.read.text(path).limit(HEADER_ROWS)
+    lines = _lines(spark, path)
+    head = lines.limit(HEADER_ROWS)
+    top = [r["value"] for r in head.collect()]
+    if not top:
+        return spark.createDataFrame([], "value string"), 0
     delimiter = head.agg(sniff_delimiter(head).alias("d")).first()["d"] or ","
-    names = head.first()["value"].split(delimiter)
+    cells = F.from_csv("value", F.lit(", ".join(f"c{i} string" for i in range(max(x.count(delimiter) for x in top) + 1))), {"sep": delimiter})
+    grid = spark.createDataFrame([(0, i, v) for i, v in enumerate(top)], "sheet int, row_no int, value string")
+    grid = grid.select("sheet", "row_no", F.array_compact(F.transform(F.array(*[cells[f"c{i}"] for i in range(max(x.count(delimiter) for x in top) + 1)]), lambda c: c)).alias("cells"))
+    found_at = header_rows(grid).first()
+    at = found_at["row_no"] if found_at else 0
+    names = [n or "" for n in spark.createDataFrame([(top[at],)], "value string").select(F.array(*[cells[f"c{i}"] for i in range(top[at].count(delimiter) + 1)]).alias("n")).first()["n"]]
+    units = [u.strip() for u in top[at + 1].split(delimiter)] if at + 1 < len(top) else []
+    has_units = len(units) == len(names) and any(units) and all(not u or re.fullmatch(r"[(\[].*[)\]]", u) for u in units)
+    names = _distinct_names([f"{n.strip()} {u}".strip() if has_units else n.strip() for n, u in zip(names, units if has_units else names)])
     schema = ", ".join(f"`{n}` string" for n in names) + ", _bad string"
-    rows = spark.read.schema(schema).csv(path, sep=delimiter, header=True, columnNameOfCorruptRecord="_bad", enforceSchema=True)
+    left_out = top[: at + 1 + has_units]
+    parsed = lines.filter(~F.col("value").isin(left_out) & (F.trim("value") != "")).select(F.from_csv("value", F.lit(schema), {"sep": delimiter, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("r"))
+    rows = parsed.select("r.*")
     text = lambda n: F.when(F.col("_bad").isNull(), F.nullif(F.trim(F.col(f"`{n}`")), F.lit("")))
     shaped = lambda n, pattern: F.bool_and(F.coalesce(text(n).rlike(pattern), F.lit(True)))
     zeros = lambda n: F.coalesce(F.bool_or(text(n).rlike("^0[0-9]")), F.lit(False))
     kind = lambda n: F.when(zeros(n), "string").when(shaped(n, r"^-?[0-9]{1,18}$"), "bigint").when(shaped(n, r"^-?[0-9]*\.?[0-9]+([eE][-+]?[0-9]+)?$"), "double").otherwise("string")
     found = rows.agg(F.count("_bad").alias("_ragged"), *[kind(n).alias(n) for n in names]).first()
-    return rows.filter("_bad is null").select(*[F.col(f"`{n}`").cast(found[n]).alias(n) for n in names]), found["_ragged"]
+    return rows.filter("_bad is null").select(*[F.nullif(F.col(f"`{n}`"), F.lit("")).cast(found[n]).alias(n) if found[n] != "string" else F.col(f"`{n}`").alias(n) for n in names]), found["_ragged"]
+
+
+def _distinct_names(names: list[str]) -> list[str]:
+    """Names without backquotes; blank ones are made up, repeats are numbered, whatever their case."""
+    out: list[str] = []
+    for i, n in enumerate(names):
+        n = base = n.replace("`", "'") or f"column_{i + 1}"
+        k = 2
+        while n.lower() in (x.lower() for x in out):
+            n, k = f"{base}_{k}", k + 1
+        out.append(n)
+    return out
 
 
 class Page(InputPartition):
