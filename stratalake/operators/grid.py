@@ -67,6 +67,33 @@ def steps(low: Column, high: Column, step: Column) -> Column:
     return F.slice(F.sequence(low, high, step), 1, MOST_STEPS)
 
 
+def axis_labels(values: Column, low: Column, high: Column, step: Column, months: Column) -> Column:
+    """The labels of an axis's steps, from its listed values, or else from its extent and step, all of them text; none where neither tells them.
+
+    Listed dates are labelled by the finest part that ever varies: a year, a month or a day. Steps are P<n>Y, P<n>M or P<n>D over dates, or numbers; where `months` holds, whole numbers from
+    1 to 12 are months. An extent of more than MOST_STEPS steps is taken as misread.
+    """
+    none = F.array().cast("array<string>")
+    date = lambda v: F.try_to_timestamp(F.substring(v, 1, 10), F.lit("yyyy-MM-dd")).cast("date")
+    shown = lambda d, fine: F.when(fine == "Y", F.date_format(d, "yyyy")).when(fine == "M", F.date_format(d, "MMM yyyy")).otherwise(F.date_format(d, "MMM d, yyyy"))
+    dates = F.transform(values, date)
+    finest = F.when(F.exists(dates, lambda d: F.dayofmonth(d) != 1), "D").when(F.exists(dates, lambda d: F.month(d) != 1), "M").otherwise("Y")
+    whole = lambda v: F.when(v.rlike("^([1-9]|1[0-2])$"), v.try_cast("int"))
+    month = lambda v: F.when(months & whole(v).isNotNull(), F.date_format(F.make_date(F.lit(2000), whole(v), F.lit(1)), "MMM")).otherwise(v)
+    listed = F.when(F.forall(dates, lambda d: d.isNotNull()), F.transform(dates, lambda d: shown(d, finest))).otherwise(F.transform(values, month))
+
+    n, unit = F.regexp_extract(step, "^P([0-9]{1,4})[YMD]$", 1), F.regexp_extract(step, "^P[0-9]{1,4}([YMD])$", 1)
+    count = F.greatest(F.when(n != "", n.cast("int")), F.lit(1))
+    span = F.when(unit == "Y", F.year(date(high)) - F.year(date(low))).when(unit == "M", F.months_between(date(high), date(low))).otherwise(F.date_diff(date(high), date(low))) / count
+    later = lambda i: F.when(unit == "Y", F.add_months(date(low), i * count * 12)).when(unit == "M", F.add_months(date(low), i * count)).otherwise(F.date_add(date(low), i * count))
+    sound = (unit != "") & (date(low) <= date(high)) & (span < MOST_STEPS)
+    dated = F.transform(F.filter(F.transform(F.sequence(F.lit(0), F.when(sound, F.floor(span).cast("int")).otherwise(0)), later), lambda d: d <= date(high)), lambda d: shown(d, unit))
+    a, b, by = (c.try_cast("long") for c in (low, high, step))
+    counted = F.coalesce((by > 0) & (a <= b) & (F.try_divide(b - a, by) < MOST_STEPS), F.lit(False))
+    numbers = F.transform(F.sequence(F.when(counted, a).otherwise(0), F.when(counted, b).otherwise(0), F.when(counted, by).otherwise(1)), lambda v: month(v.cast("string")))
+    return F.when(F.size(values) > 0, listed).when(F.coalesce(sound, F.lit(False)), dated).when(counted, numbers).otherwise(none)
+
+
 def selected_step(axis: DataFrame, picked: DataFrame) -> DataFrame:
     """(axis, step): the picked step where the axis has it, else the latest of a dated axis, else the first."""
     return axis.join(picked, "axis", "left").groupBy("axis").agg(

@@ -69,6 +69,23 @@ def gr7(spark, d):
     return axis.select("o_custkey", F.size("s").cast("long").alias("n"), F.element_at("s", -1).cast("string").alias("last"))
 
 
+@Q("gr7_axis_labels", """with c as (select o_custkey as k, min(o_orderdate)::date as a, max(o_orderdate)::date as b, list(o_orderdate::date order by o_orderdate::date) as d from orders group by 1),
+s as (select k, case k % 5 when 0 then list_transform(d, lambda x: case when len(list_filter(d, lambda y: day(y) <> 1)) > 0 then strftime(x, '%b %-d, %Y') when len(list_filter(d, lambda y: month(y) <> 1)) > 0 then strftime(x, '%b %Y') else strftime(x, '%Y') end)
+    when 1 then list_transform(generate_series(date_trunc('month', a)::timestamp, b::timestamp, interval 2 month), lambda x: strftime(x, '%b %Y'))
+    when 2 then list_transform(generate_series(date_trunc('year', a)::timestamp, b::timestamp, interval 1 year), lambda x: strftime(x, '%Y'))
+    when 3 then list_transform(generate_series(1::bigint, 1 + k % 12, 1), lambda x: strftime(make_date(2000, x, 1), '%b')) else ['a', 'b'] end as l from c)
+select k, len(l)::int as n, l[1] as first, l[-1] as last from s""")
+def gr7_labels(spark, d):
+    """Axes of customers: listed dates, steps of two months and of a year, numbered months, and other values."""
+    c = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.min("o_orderdate").cast("date").alias("a"), F.max("o_orderdate").cast("date").alias("b"), F.array_sort(F.collect_list(F.col("o_orderdate").cast("date").cast("string"))).alias("d"))
+    kind = F.col("k") % 5
+    text = lambda *by: F.coalesce(*[F.when(kind == i, v.cast("string")) for i, v in by])
+    values = F.when(kind == 0, F.col("d")).when(kind == 4, F.array(F.lit("a"), F.lit("b")))
+    low = text((1, F.trunc("a", "month")), (2, F.trunc("a", "year")), (3, F.lit(1)))
+    labels = grid.axis_labels(values, low, text((1, F.col("b")), (2, F.col("b")), (3, 1 + F.col("k") % 12)), text((1, F.lit("P2M")), (2, F.lit("P1Y")), (3, F.lit(1))), kind == 3)
+    return c.select("k", labels.alias("l")).select("k", F.size("l").alias("n"), F.element_at("l", 1).alias("first"), F.element_at("l", -1).alias("last"))
+
+
 @Q("gr8_cube_selection", "select p_brand as axis, coalesce(max(case when p_size = 7 then p_size end), case when max(p_brand) < 'Brand#3' then arg_max(p_size, p_partkey) else arg_min(p_size, p_partkey) end) as step from part group by 1")
 def gr8(spark, d):
     axis = table(spark, d, "part").select(F.col("p_brand").alias("axis"), F.col("p_size").alias("step"), F.col("p_partkey").alias("pos"), (F.col("p_brand") < "Brand#3").alias("dated"))
