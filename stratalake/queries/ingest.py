@@ -146,13 +146,14 @@ def sk3(spark, d):
     return cast.select("o_orderkey", "span", F.date_format("made", "yyyy-MM-dd HH:mm:ss").alias("made"), "price")
 
 
-@Q("sk5_archive_is_current", "select count(*) > 0 as has_box, bool_and(true) as has_statistics from customer")
+@Q("sk5_archive_is_current", "select count(*) > 0 as has_box, bool_and(true) as has_statistics, true as has_version from customer")
 def sk5(spark, d):
     path = new_folder(spark, "current")
-    archive.write_archive(points(spark, d), path, "id")
+    folder = archive.write_archive(points(spark, d), path, "id")
     found = archive.read_latest(spark, path)
-    stats = readers.footers(spark, f"{path}/latest", ("xmin", "ymin", "xmax", "ymax"))
-    return stats.agg(F.lit(archive.covering(found)[0] == "bbox.xmin").alias("has_box"), F.bool_and(F.col("xmin").isNotNull() & F.col("ymax").isNotNull()).alias("has_statistics"))
+    stats = readers.footers(spark, folder, ("xmin", "ymin", "xmax", "ymax"))
+    version = archive.read_sidecar(spark, path).first()["version"]
+    return stats.agg(F.lit(archive.covering(found)[0] == "bbox.xmin").alias("has_box"), F.bool_and(F.col("xmin").isNotNull() & F.col("ymax").isNotNull()).alias("has_statistics"), F.lit(version == "1.1.0").alias("has_version"))
 
 
 @Q("sk6_geojson_small_export", f"select count(*) as n, sum(105 + strlen(id::varchar || name || kind || x::varchar || y::varchar)) <= 1000000 as small from {P}")

@@ -117,7 +117,7 @@ _RANK = "case when regexp_matches(n, 'mapunitpolys$') then 0 when regexp_matches
 
 @Q("ri8_unit_layer_select", f"""with l as (select *, lower(string_split(label, '/')[-1]) as n from ({LAYERS}) x where spatial and rows > 0 and geometry like '%Polygon%'), r as (select *, {_RANK} as rank from l),
 k as (select *, case when code = 'map_unit' or (code = 'UNIT_SYMBOL' and rank > 0) then code end as own, case when code = 'Label12345' then 1 else 0 end as cut from r where rank is not null),
-c as (select *, row_number() over (partition by bundle order by rank, -rows, cut, label) as place, count(*) over (partition by bundle) as n_all, (min(rank) over w <> max(rank) over w or min(rows) over w <> max(rows) over w) as differs from k where own is not null window w as (partition by bundle)),
+c as (select *, row_number() over (partition by bundle order by rank, -rows, cut, label, own) as place, count(*) over (partition by bundle) as n_all, (min(rank) over w <> max(rank) over w or min(rows) over w <> max(rows) over w) as differs from k where own is not null window w as (partition by bundle)),
 b as (select distinct bundle from k)
 select b.bundle, c.label, ['gems', 'template', 'coverage'][rank + 1] as schema, own as code, case when differs then n_all - 1 else 0 end::int as others, case when c.bundle is null then (select count(distinct label) from k where k.bundle = b.bundle) else 0 end::int as unusable
 from b left join c on c.bundle = b.bundle and place = 1""")
