@@ -1,6 +1,6 @@
 """Personal data: fixed rules, and bootstrapped contextual extraction of what the rules miss.
 
-Spans of the fixed rules are the seeds, and so are long tokens of letters and digits, the secrets. Lexical patterns are the one, two or three words before a
+Spans of the fixed rules are the seeds, and so are long tokens of letters and digits, the secrets, which are a fifth rule: they are spans without the graph's say. Lexical patterns are the one, two or three words before a
 span, the word after it, and its shape (each digit as 0, each letter as a or A); candidates are whatever else looks like an identifier: groups of digits joined
 by single spaces, dots, hyphens or brackets, and tokens with several digits or an @. Patterns and instances (the tokens, in
 lower case) form a graph. In each round a pattern is scored for a kind by the share of known instances of this kind among all
@@ -41,7 +41,8 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_DIGITS = re.compile(r"[0-9]{2,}|@")
+#: What every token that looks like an identifier has.
+_SIGN = re.compile("[0-9@]")
 #: Groups of digits joined by single spaces, dots, hyphens or brackets.
 _GROUPS = re.compile(r"\+?\(?[0-9]++(?:(?:\)[ .-]?\(?|[ .-]\(?|\()[0-9]++)*+")
 _SECRET = re.compile(r"(?=(?:[A-Za-z_-]*[0-9]){6})(?=(?:[0-9_-]*[A-Za-z]){6})[A-Za-z0-9_-]{32,}={0,2}")
@@ -126,7 +127,7 @@ def other_tokens(text: str, spans: list[tuple[int, int, int]]) -> Iterator[tuple
                 groups.append((start, end))
                 yield start, end, UNKNOWN
     done = 0
-    for m in _DIGITS.finditer(text):
+    for m in _SIGN.finditer(text):
         if m.start() < done:
             continue
         start, end = m.start(), m.end()

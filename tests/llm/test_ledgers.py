@@ -9,7 +9,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from stratalake.llm import blobs, merkle, ranked
+from stratalake.llm import blobs, merkle, personal, ranked
 
 H = lambda s: hashlib.sha256(s.encode()).hexdigest()
 ITEMS = [(1, "river house walk"), (2, "Grün river RIVER 12"), (3, None), (4, ""), (5, "nowhere12345 at all"), (5, "haus"), (None, "walk")]
@@ -226,3 +226,17 @@ def test_a_very_long_text(spark, tmp_path):
     assert Counter(tuple(r) for r in ranked.search(docs, items).collect()) == ranked_brute([(1, text), (2, "river house")], [(1, "walk"), (2, "house")], 10)
     rows = docs.withColumns({"leaf": merkle.row_digest(F.col("doc_id"), F.col("text")), "g": F.lit("a")})
     assert {r["root"] for r in merkle.manifest(rows.drop("text"), "g", "doc_id", "leaf").collect()} == {H(leaf_of(1, text) + leaf_of(2, "river house"))}
+
+
+def test_every_key_that_the_rule_takes_is_seen():
+    """Also keys whose digits all stand alone."""
+    rng, letters, seen = random.Random(7), "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 0
+    keys = ["".join(rng.choice(letters + "0123456789") for _ in range(40)) for _ in range(11_000)] + ["".join(rng.choice(letters) + str(rng.randrange(10)) for _ in range(20)) for _ in range(500)]
+    for key in keys:
+        if personal._SECRET.fullmatch(key):
+            seen += 1
+            text = f"the key {key} of it"
+            base = personal.base_spans(text)
+            assert base or (8, 48, personal.KINDS.index("secret")) in list(personal.other_tokens(text, base))
+    assert seen > 8_000
+    assert [k for _, _, k in personal.other_tokens("code a1b2c3d4 here", [])] == [personal.UNKNOWN]
