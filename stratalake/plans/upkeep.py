@@ -63,6 +63,19 @@ def needs(manifest: DataFrame, checks: dict[str, Column]) -> DataFrame:
     return manifest.withColumn("needs", todo).filter(F.size("needs") > 0)
 
 
+def pending(marks: DataFrame, refreshed: DataFrame) -> DataFrame:
+    """(topic, since, marks): the topics that wait for a refresh, from when and how often they were marked since their last one.
+
+    `marks` has (topic, at), a row for each change, and `refreshed` (topic, began), a row for each refresh that ended. A refresh clears what was marked before it began, and nothing that was marked while it ran,
+    so a mark is never lost; marks without a topic count for nothing.
+    """
+    last = refreshed.groupBy(F.col("topic").alias("_t")).agg(F.max("began").alias("began"))
+    # Marks are counted by topic and time first: a topic that is marked very often is a few rows where it meets its refresh.
+    counted = marks.filter("topic is not null").groupBy("topic", "at").agg(F.count(F.lit(1)).alias("n"))
+    waiting = counted.join(last, F.col("topic") == F.col("_t"), "left").filter(F.col("began").isNull() | (F.col("at") >= F.col("began")))
+    return waiting.groupBy("topic").agg(F.min("at").alias("since"), F.sum("n").alias("marks"))
+
+
 def rebuild_plan(digests: DataFrame, state: DataFrame, key: str) -> DataFrame:
     """Keys whose (key, digest) isn't in the stored state."""
     return digests.join(state, [key, "digest"], "left_anti")

@@ -77,6 +77,15 @@ def in5(spark, d):
     return changed.join(problems, "user_id", "left_semi")
 
 
+@Q("in5_pending_cleared", """with r as (select user_id, max(ts) as began from events where event_type = 'error' group by 1)
+select c.user_id as topic, min(ts) as since, count(*) as marks from events c left join r on r.user_id = c.user_id where event_type = 'click' and (began is null or ts >= began) group by 1""")
+def in5_cleared(spark, d):
+    """Clicks mark their users, errors stand for the refreshes; what was marked since the last one is pending."""
+    e = table(spark, d, "events")
+    marks = e.filter("event_type = 'click'").select(F.col("user_id").alias("topic"), F.col("ts").alias("at"))
+    return upkeep.pending(marks, e.filter("event_type = 'error'").select(F.col("user_id").alias("topic"), F.col("ts").alias("began")))
+
+
 @Q("in6_served_fields_changed", "select p_partkey from part where p_size % 5 = 0")
 def in6(spark, d):
     p = table(spark, d, "part").select("p_partkey", "p_brand", "p_type")
