@@ -7,6 +7,11 @@ quantiles are read from its own sketch merged with its language's and everyone's
 documents: a small group follows the others, a large one its own documents, and nothing switches between the two. A
 metric is refused above a high quantile plus SPREAD times its distance from the median (width also below a low one); there are no fixed cutoffs.
 
+Most texts have no symbol, repeat or repeated line at all, so quantiles of their plain shares would be 0, and with them every limit. A text
+without any shows only that its share is small for its size, so the sketches hold what a share may be, an upper estimate: by the rule of three for
+symbols and words (three more than seen), by the rule of succession for lines, of which a text has few. Distances are taken between odds, so that a
+limit stays below the whole, and count as one permille at least where quantiles are tied. A document is held to its plain share.
+
 Defined results: a null text has no words; null languages and sources are groups of their own; null doc_ids are kept as they are; an empty table
 gives an empty result; repeated rows each count and each get a verdict; ties share a bucket and so a verdict; a very long text is a
 slice of its own and needs some 60 bytes of memory for each of its own; other columns may have any name.
@@ -27,12 +32,12 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 STATS = T.StructType([T.StructField(c, T.LongType()) for c in (*COUNTS, "n_lines")])
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
-#: Metrics in permille: numerator, denominator, the high quantile, the spread, and the low quantile where small values are refused too.
+#: Metrics in permille: numerator, denominator, the high quantile, the spread, the low quantile where small values are refused too, and for shares what an upper estimate adds above and below.
 METRICS = {
-    "symbols": ("n_symbols", "word_chars", 0.75, 3, None),
-    "repeats": ("n_repeat_words", "n_words", 0.99, 2, None),
-    "dups": ("n_dup_lines", "n_lines", 0.99, 2, None),
-    "width": ("word_chars", "n_words", 0.75, 6, 0.25),
+    "symbols": ("n_symbols", "word_chars", 0.75, 3, None, (3, 3)),
+    "repeats": ("n_repeat_words", "n_words", 0.99, 2, None, (3, 3)),
+    "dups": ("n_dup_lines", "n_lines", 0.99, 1, None, (1, 2)),
+    "width": ("word_chars", "n_words", 0.75, 6, 0.25, None),
 }
 #: Buckets per factor e: values of a bucket differ by at most half a percent.
 BUCKETS = 200
@@ -97,9 +102,20 @@ def _permille(s: Column, metric: str) -> Column:
     return F.when(s[under] > 0, F.floor(1000 * s[over] / s[under])).otherwise(F.lit(0)).cast("long")
 
 
+def _upper(s: Column, metric: str) -> Column:
+    """What the sketches hold: the metric itself, or for a share its upper estimate."""
+    over, under, *_, more = METRICS[metric]
+    return _permille(s, metric) if more is None else F.floor(1000 * (s[over] + more[0]) / (s[under] + more[1])).cast("long")
+
+
+def _odds(permille: Column) -> Column:
+    share = F.least(permille, F.lit(999.0))
+    return share / (1000 - share)
+
+
 def sketches(stats: DataFrame) -> DataFrame:
     """(metric, lang, source, bucket, n): the sketch of each metric in each group, over what the base rules keep; bucket -1 holds zeros."""
-    each = stats.filter(~base_failed(F.col("s"))).select("lang", "source", F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), _permille(F.col("s"), m).alias("value")) for m in METRICS])).alias("m"))
+    each = stats.filter(~base_failed(F.col("s"))).select("lang", "source", F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), _upper(F.col("s"), m).alias("value")) for m in METRICS])).alias("m"))
     bucket = F.when(F.col("m.value") <= 0, F.lit(-1)).otherwise(F.floor(F.log(F.col("m.value").cast("double")) * BUCKETS)).cast("int")
     return each.groupBy(F.col("m.metric").alias("metric"), "lang", "source", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -130,8 +146,11 @@ def thresholds(sketch: DataFrame) -> DataFrame:
     """(g_lang, g_source, and for each metric the least and the largest value that is kept) for every group."""
     pick = lambda i: F.coalesce(*[F.when(F.col("metric") == m, F.lit(v[i])) for m, v in METRICS.items()])
     found = _merged(sketch).select("metric", "lang", "source", pick(3).alias("spread"), _quantile(F.lit(0.5)).alias("middle"), _quantile(pick(2)).alias("high"), F.when(pick(4).isNotNull(), _quantile(F.coalesce(pick(4), F.lit(0.5)))).alias("low"))
-    most = F.floor(F.col("high") + F.col("spread") * (F.col("high") - F.col("middle")))
-    least = F.ceil(F.col("low") - F.col("spread") * (F.col("middle") - F.col("low")))
+    beyond = lambda near, far, one: F.col("spread") * F.greatest(far - near, F.lit(one))
+    odds = _odds(F.col("high")) + beyond(_odds(F.col("middle")), _odds(F.col("high")), 0.001)
+    share = F.col("metric").isin(*[m for m, v in METRICS.items() if v[5]])
+    most = F.floor(F.when(share, 1000 * odds / (1 + odds)).otherwise(F.col("high") + beyond(F.col("middle"), F.col("high"), 1.0)))
+    least = F.ceil(F.col("low") - beyond(F.col("low"), F.col("middle"), 1.0))
     each = found.select("metric", "lang", "source", most.alias("most"), F.coalesce(least, F.lit(0)).alias("least"))
     of = lambda c: [F.max(F.when(F.col("metric") == m, F.col(c))).alias(f"{c}_{m}") for m in METRICS]
     return each.groupBy(F.col("lang").alias("g_lang"), F.col("source").alias("g_source")).agg(*of("most"), *of("least"))
@@ -177,10 +196,11 @@ dup as (select doc_id, count(*) - count(distinct line) as n, count(*) as lines f
 s as (select w.doc_id, lang, source, len(ws)::bigint as n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g'))::bigint as word_chars,
     (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols, coalesce(dup.n, 0)::bigint as n_dup_lines, coalesce(covered.n, 0)::bigint as n_repeat_words, coalesce(dup.lines, 0) as n_lines
     from w left join dup on w.doc_id = dup.doc_id left join covered on w.doc_id = covered.doc_id),
-x(metric, high, spread, low) as (values ('symbols', 0.75::double, 3::double, null::double), ('repeats', 0.99, 2, null), ('dups', 0.99, 2, null), ('width', 0.75, 6, 0.25)),
-m as (select doc_id, lang, source, metric, case when under > 0 then floor(1000 * over / under)::bigint else 0 end as v from (from s where not (n_words < 50 or 100 * n_repeat_words > 50 * n_words)), lateral (
+x(metric, high, spread, low, more, size) as (values ('symbols', 0.75::double, 3::double, null::double, 3, 3), ('repeats', 0.99, 2, null, 3, 3), ('dups', 0.99, 1, null, 1, 2), ('width', 0.75, 6, 0.25, null, null)),
+r as (select doc_id, lang, source, metric, over, under, case when under > 0 then floor(1000 * over / under)::bigint else 0 end as v from (from s where not (n_words < 50 or 100 * n_repeat_words > 50 * n_words)), lateral (
     select * from (values ('symbols', n_symbols, word_chars), ('repeats', n_repeat_words, n_words), ('dups', n_dup_lines, n_lines), ('width', word_chars, n_words)) y(metric, over, under))),
-b as (select *, case when v <= 0 then -1 else floor(ln(v::double) * 200)::int end as bucket from m),
+m as (select r.*, case when more is null then v else floor(1000 * (over + more) / (under + size))::bigint end as u from r join x using (metric)),
+b as (select *, case when u <= 0 then -1 else floor(ln(u::double) * 200)::int end as bucket from m),
 g as (select metric, lang, source, count(*) as n from b group by all),
 weights as (
     select metric, lang, source, bucket, count(*)::double as w from b group by all
@@ -192,7 +212,10 @@ q as (select metric, lang, source, spread, low, min(bucket) filter (where upto >
     min(bucket) filter (where upto >= high * total * (1 - 1e-9)) as q_high, min(bucket) filter (where upto >= low * total * (1 - 1e-9)) as q_low from upto join x using (metric) group by metric, lang, source, spread, low),
 e as (select metric, lang, source, spread, low, case when q_middle < 0 then 0 else exp((q_middle + 1) / 200.0::double) end as middle,
     case when q_high < 0 then 0 else exp((q_high + 1) / 200.0::double) end as high, case when q_low < 0 then 0 else exp((q_low + 1) / 200.0::double) end as low_end from q),
-limits as (select metric, lang, source, floor(high + spread * (high - middle)) as most, case when low is null then 0 else ceil(low_end - spread * (middle - low_end)) end as least from e),
+o as (select *, least(high, 999.0::double) / (1000 - least(high, 999.0::double)) as o_high, least(middle, 999.0::double) / (1000 - least(middle, 999.0::double)) as o_middle from e),
+z as (select *, o_high + spread * greatest(o_high - o_middle, 0.001::double) as odds from o),
+limits as (select metric, lang, source, floor(case when metric = 'width' then high + spread * greatest(high - middle, 1) else 1000 * odds / (1 + odds) end) as most,
+    case when low is null then 0 else ceil(low_end - spread * greatest(middle - low_end, 1)) end as least from z),
 over_ as (select b.doc_id, bool_or(v > most or v < least) as bad from b join limits l on b.metric = l.metric and b.lang is not distinct from l.lang and b.source is not distinct from l.source group by b.doc_id)
 select s.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (n_words < 50 or 100 * n_repeat_words > 50 * n_words) as base_failed,
     not (n_words < 50 or 100 * n_repeat_words > 50 * n_words) and not coalesce(bad, false) as kept

@@ -582,6 +582,24 @@ def test_limits_adapt_to_the_group(spark):
     assert sorted(r["doc_id"] for r in quality.keep_good(docs).collect()) == sorted(i for i, k in got.items() if k)
 
 
+def test_limits_where_nearly_all_are_zero(spark):
+    """Quartiles of 0 don't make limits of 0: a few symbols, repeats and repeated lines stay, and all limits are inside their range."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 7)))
+    line = lambda: " ".join(word() for _ in range(25))
+    rows = [(i, "\n".join(line() for _ in range(8)), "en", "a") for i in range(300)]
+    rows += [(1000, rows[0][1][:-1] + "##", "en", "a"), (1001, rows[1][1] + " " + " ".join(rows[1][1].split()[:3]), "en", "a"), (1002, rows[2][1] + "\nthe same\nthe same", "en", "a")]
+    rows += [(2000, " ".join(word() + "#" for _ in range(100)), "en", "a"), (2001, " ".join([line() for _ in range(5)] + [rows[0][1][:300].replace("\n", " ")] * 2), "en", "a")]
+    rows += [(3000 + i, " ".join(word() for _ in range(60)), "de", "single lines") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    counts = {r["doc_id"]: r for r in quality.quality_verdicts(docs).collect()}
+    assert 1000 * counts[1000]["n_symbols"] // counts[1000]["word_chars"] in (1, 2) and counts[1001]["n_repeat_words"] and counts[1002]["n_dup_lines"] == 1
+    assert all(counts[i]["kept"] for i in counts if i not in (2000, 2001))
+    assert not counts[2000]["kept"] and not counts[2001]["kept"] and not counts[2001]["base_failed"]
+    for limits in quality.thresholds(quality.sketches(docs.select("lang", "source", quality.text_counts("text").alias("s")))).collect():
+        assert all(1 < limits[f"most_{m}"] < 900 for m in ("symbols", "repeats", "dups")) and 0 < limits["least_width"] <= 5000 <= limits["most_width"]
+
+
 def test_slices_cut_between_documents():
     import pyarrow as pa
 
