@@ -10,7 +10,8 @@ against its best match in the other one.
 Defined results: a null text is empty; an empty text has the empty fingerprint, which is like another empty one (1) and
 unlike all else (0); a text of less than WINDOW bytes is one feature; null ids come first in the order of documents; rows that
 share a doc_id follow each other by the hash of their texts; a table of one row is followed by itself; a very long text is a slice of its own
-and needs some 60 bytes of memory for each of its own; other columns are ignored, whatever their names; an empty table gives an empty result.
+and needs some 60 bytes of memory for each of its own, its filters are compared in blocks of PAIRS, and the time of that grows with the product
+of both chains; other columns are ignored, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,8 +31,10 @@ from stratalake.llm.tables import documents, small, written
 WINDOW, RUN, POINTS = 64, 64, 16
 FILTER_BYTES, FEATURES, HASHES = 256, 160, 5
 BINS = 1000
-#: Bytes of text in a bucket of neighbouring documents, about, and the most ranges of ids.
-BUCKET_BYTES, RANGES = 8 << 20, 1000
+#: Bytes of text in a range of ids, about, the most ranges, and the bytes of a bucket, into which ranges are split where they hold more.
+RANGE_BYTES, RANGES, BUCKET_BYTES = 1 << 20, 1000, 8 << 20
+#: How many pairs of filters are compared at once (33 MB).
+PAIRS = 1 << 17
 SLICE_BYTES = 1 << 20
 _BLOCK = 1 << 16
 _SCALE = 1 << 16
@@ -141,10 +144,16 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
         return float(len(a) == len(b))
     if len(b) < len(a):
         a, b = b, a
-    na, nb = np.bitwise_count(a).sum(1, dtype=np.int64)[:, None], np.bitwise_count(b).sum(1, dtype=np.int64)[None, :]
-    shared = np.bitwise_count(a[:, None, :] & b[None, :, :]).sum(2, dtype=np.int64)
-    chance, most = na * nb / (FILTER_BYTES * 8), np.minimum(na, nb)
-    return float(np.clip((shared - chance) / np.maximum(most - chance, 1e-9), 0, 1).max(1).mean())
+    nb = np.bitwise_count(b).sum(1, dtype=np.int64)[None, :]
+    best = np.empty(len(a))
+    rows = max(1, PAIRS // len(b))
+    for at in range(0, len(a), rows):
+        part = a[at : at + rows]
+        na = np.bitwise_count(part).sum(1, dtype=np.int64)[:, None]
+        shared = np.bitwise_count(part[:, None, :] & b[None, :, :]).sum(2, dtype=np.int64)
+        chance, most = na * nb / (FILTER_BYTES * 8), np.minimum(na, nb)
+        best[at : at + rows] = np.clip((shared - chance) / np.maximum(most - chance, 1e-9), 0, 1).max(1)
+    return float(best.mean())
 
 
 def rarity(docs: DataFrame) -> np.ndarray:
@@ -170,10 +179,13 @@ def rarity(docs: DataFrame) -> np.ndarray:
 def _buckets(docs: DataFrame) -> DataFrame:
     """(a, sub, doc_id, t, text): ranges of the order (doc_id, t), null ids first, of about BUCKET_BYTES of text each.
 
-    Quantiles of doc_id give RANGES ranges at most; each is split, by its bytes, into equal widths of doc_id, or of t where all its ids are one.
+    Quantiles of doc_id give a range for each RANGE_BYTES, RANGES at most; each is split, by its bytes, into equal widths of doc_id, or of t where all its ids are one.
     """
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")).withColumn("t", F.xxhash64("text"))
-    bounds = docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), [i / RANGES for i in range(1, RANGES)], 10_000)).first()[0] or []
+    quantiles = F.percentile_approx(F.col("doc_id").cast("long"), [i / RANGES for i in range(1, RANGES)], 10_000)
+    found, size = docs.agg(quantiles, F.sum(F.octet_length("text"))).first()
+    wanted = min(RANGES, -(-(size or 0) // RANGE_BYTES))
+    bounds = [found[i * RANGES // wanted - 1] for i in range(1, wanted)] if found else []
     edges = F.array(*map(F.lit, sorted(set(bounds)))).cast("array<bigint>")
     rows = rows.withColumn("a", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(F.size(F.filter(edges, lambda x: x < F.col("doc_id")))))
     parts = F.ceil(F.sum(F.octet_length("text")) / BUCKET_BYTES)

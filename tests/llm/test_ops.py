@@ -512,6 +512,7 @@ def test_chains_of_patterns_are_followed_to_their_end(spark):
 def test_fingerprints(docs, corpus, monkeypatch, bucket):
     monkeypatch.setattr(digests, "BUCKET_BYTES", bucket)
     monkeypatch.setattr(digests, "RANGES", 1000 if bucket > 5000 else 3)
+    monkeypatch.setattr(digests, "RANGE_BYTES", 500)
     got = {r["doc_id"]: r for r in digests.compare_edited(docs).collect()}
     order = sorted(corpus, key=lambda t: t[0])
     for i, (doc_id, text, *_) in enumerate(order):
@@ -529,6 +530,7 @@ def test_fingerprints(docs, corpus, monkeypatch, bucket):
 def test_hot_and_missing_ids_are_followed(spark, monkeypatch):
     """Many rows of one id or of none, in buckets of a few rows: each is followed by the next in the order (nulls first, id, hash of the text)."""
     monkeypatch.setattr(digests, "BUCKET_BYTES", 300)
+    monkeypatch.setattr(digests, "RANGE_BYTES", 100)
     rows = [(None, f"none {i}") for i in range(40)] + [(7, f"seven {i}") for i in range(40)] + [(i, f"other {i}") for i in range(8, 30)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     order = df.withColumn("t", F.xxhash64("text")).orderBy(F.asc_nulls_first("doc_id"), "t").collect()
@@ -549,6 +551,25 @@ def test_entropy_depends_on_the_window_alone():
     assert digests.entropy_bins(np.tile(x, 60))[3000 * 41 + 5] == bins[5]
 
 
+def test_likeness_in_blocks(monkeypatch):
+    """Blocks don't change a likeness, and the chains of texts of 100 MB (118 filters a MB) are compared in bounded memory."""
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    chain = lambda n: rng.integers(0, 1 << 63, (n, digests.FILTER_BYTES // 8), dtype=np.uint64) & rng.integers(0, 1 << 63, (n, digests.FILTER_BYTES // 8), dtype=np.uint64)
+    a, b = chain(37), chain(61)
+    b[5:20] = a[10:25]
+    whole = digests.likeness(a, b)
+    monkeypatch.setattr(digests, "PAIRS", 100)
+    assert digests.likeness(a, b) == whole == digests.likeness(b, a) and whole > 15 / 37
+    monkeypatch.undo()
+    long = chain(11_800)
+    tracemalloc.start()
+    assert digests.likeness(long, long[::-1]) == 1
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+
+
 def test_quality_counts(docs, corpus):
     got = {r["doc_id"]: r for r in quality.quality_verdicts(docs).collect()}
     for doc_id, text, *_ in corpus:
