@@ -2,9 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from stratalake.operators import ordering, pages
+from stratalake.operators import ordering, pages, results
 from stratalake.plans.storage import new_folder
-from stratalake.queries.base import BOXES, Register, boxes, table
+from stratalake.queries.base import BOXES, Register, boxes, sql, table
 
 Q = Register()
 
@@ -97,10 +97,27 @@ def wn2_pages(spark, d):
     return spark.range(1).select(F.lit(place).cast("long").alias("ordinal"))
 
 
-@Q("or3_result_sort", "select o_orderkey from orders order by case when o_orderkey % 4 = 0 then null else o_orderdate end desc nulls last, o_orderkey limit 50")
+#: Orders as results: every fourth has no date of publication, of those every third none of loading; the priority is the title.
+RESULTS = "select o_orderkey, o_orderpriority as title, case when o_orderkey % 4 <> 0 then o_orderdate end as published, case when o_orderkey % 3 <> 0 then o_orderdate end as loaded from orders"
+
+
+def _sorted(spark, d, sort):
+    return results.sorted_results(sql(spark, d, RESULTS, "orders"), sort, 50, rank="o_orderkey").select("o_orderkey")
+
+
+@Q("or3_result_sort", f"select o_orderkey from ({RESULTS}) r order by published desc nulls last, case when published is null then loaded end desc nulls last, o_orderkey limit 50")
 def or3(spark, d):
-    when = F.when(F.col("o_orderkey") % 4 != 0, F.col("o_orderdate"))
-    return table(spark, d, "orders").orderBy(when.desc_nulls_last(), "o_orderkey").limit(50).select("o_orderkey")
+    return _sorted(spark, d, "newest")
+
+
+@Q("or3_oldest_first", f"select o_orderkey from ({RESULTS}) r order by published asc nulls last, case when published is null then loaded end asc nulls last, o_orderkey limit 50")
+def or3_oldest(spark, d):
+    return _sorted(spark, d, "oldest")
+
+
+@Q("or3_by_title", f"select o_orderkey from ({RESULTS}) r order by lower(title) asc nulls last, o_orderkey limit 50")
+def or3_title(spark, d):
+    return _sorted(spark, d, "title")
 
 
 OVER = f"""select id, greatest(0, least(xmax, -112.0) - greatest(xmin, -113.5)) * greatest(0, least(ymax, 40.5) - greatest(ymin, 38.0)) as o, (xmax - xmin) * (ymax - ymin) as own
@@ -109,22 +126,23 @@ OVER = f"""select id, greatest(0, least(xmax, -112.0) - greatest(xmin, -113.5))
 
 @Q("or4_overlap_rank", f"select id, round(0.25e0 * (o / 3.75e0) + 0.75e0 * case when own > 0 then o / own else 1 end, 9) as score from ({OVER}) t order by score desc, id limit 30")
 def or4(spark, d):
-    b = boxes(spark, d).filter("xmin <= -112.0 and xmax >= -113.5 and ymin <= 40.5 and ymax >= 38.0")
-    o = F.greatest(F.lit(0), F.least("xmax", F.lit(-112.0)) - F.greatest("xmin", F.lit(-113.5))) * F.greatest(F.lit(0), F.least("ymax", F.lit(40.5)) - F.greatest("ymin", F.lit(38.0)))
-    own = (F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin"))
-    score = F.round(0.25 * (o / 3.75) + 0.75 * F.when(own > 0, o / own).otherwise(1), 9)
-    return b.select("id", score.alias("score")).orderBy(F.desc("score"), "id").limit(30)
+    return results.by_overlap(boxes(spark, d), (-113.5, 38.0, -112.0, 40.5), "id", 30).select("id", "score")
 
 
-@Q("or5_drawable_limit", f"select id from ({BOXES}) b where (xmax - xmin) * (ymax - ymin) <= 4 * 0.001e0")
+@Q("or5_drawable_limit", f"select id, (xmax - xmin) * (ymax - ymin) <= 4 * 0.001e0 as in_area from ({BOXES}) b where (xmax - xmin) * (ymax - ymin) * 400 <= 4")
 def or5(spark, d):
-    return boxes(spark, d).filter((F.col("xmax") - F.col("xmin")) * (F.col("ymax") - F.col("ymin")) <= 4 * 0.001).select("id")
+    """Boxes, twenty times as wide and high, that are drawn without an area, and whether they are in one of a thousandth of a square degree at their own size."""
+    b = boxes(spark, d)
+    key, area = F.col("id"), (0.0, 0.0, 0.04, 0.025)
+    wide = b.select(key, (F.col("xmin") * 20).alias("xmin"), (F.col("xmax") * 20).alias("xmax"), (F.col("ymin") * 20).alias("ymin"), (F.col("ymax") * 20).alias("ymax"))
+    drawn = results.drawable(b, area).select("id", F.lit(True).alias("in_area"))
+    return results.drawable(wide).select("id").join(drawn, "id", "left").select("id", F.coalesce("in_area", F.lit(False)).alias("in_area"))
 
 
 @Q("or6_most_detailed", "select p_brand, arg_min(p_partkey, (case when p_size % 5 = 0 then 1e308 else p_size end, p_partkey)) as p_partkey from part group by p_brand")
 def or6(spark, d):
-    scale = F.when(F.col("p_size") % 5 != 0, F.col("p_size").cast("double"))
-    return table(spark, d, "part").groupBy("p_brand").agg(F.min_by("p_partkey", F.struct(F.coalesce(scale, F.lit(1e308)), "p_partkey")).alias("p_partkey"))
+    p = table(spark, d, "part").select("p_brand", "p_partkey", F.when(F.col("p_size") % 5 != 0, F.col("p_size")).alias("scale"))
+    return results.most_detailed(p, ["p_brand"], "scale", "p_partkey").select("p_brand", "p_partkey")
 
 
 @Q("or7_shard_assignment")
