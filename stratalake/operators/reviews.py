@@ -20,6 +20,20 @@ def recipients(comments: DataFrame, roster: DataFrame) -> DataFrame:
     return both.groupBy("id", "recipient").agg(F.min("kind").alias("kind"))  # mention comes before reply
 
 
+def review_log(comments: DataFrame, promoted: DataFrame, item=None, generation: str | None = None, kind: str | None = None, status: str | None = None, row_value: str | None = None, column: str | None = None, limit: int = 5000) -> DataFrame:
+    """The newest comments that meet all the filters given, with `read_only`: those of the review generation on an item that was promoted are history.
+
+    `comments` has (id, item_ids, generation, target_kind, status, row_key_vals, column_name, made), `promoted` the column `item`. The log is cut to `limit` before it meets the promoted items.
+    """
+    rules = [(item, F.array_contains("item_ids", item)), (generation, F.col("generation") == generation), (kind, F.col("target_kind") == kind), (status, F.col("status") == status)]
+    rules += [(row_value, F.array_contains("row_key_vals", row_value)), (column, F.col("column_name") == column)]
+    for value, rule in rules:
+        comments = comments.filter(rule) if value is not None else comments
+    newest = comments.orderBy(F.desc("made"), "id").limit(limit)
+    frozen = newest.filter("generation = 'review'").select("id", F.explode("item_ids").alias("item")).join(promoted, "item", "left_semi").select("id").distinct().withColumn("_f", F.lit(True))
+    return newest.join(frozen, "id", "left").withColumn("read_only", F.coalesce("_f", F.lit(False))).drop("_f").orderBy(F.desc("made"), "id")
+
+
 def latest_status(log: DataFrame, keys: list[str], at: str) -> DataFrame:
     """The last written row of each key."""
     rest = [c for c in log.columns if c not in keys]

@@ -49,6 +49,34 @@ def ring(points: DataFrame, radius: Column, n: int = 8) -> DataFrame:
     return placed.withColumns({"x": F.col("x") + radius * F.cos(angle), "y": F.col("y") + radius * F.sin(angle)}).drop("_k")
 
 
+#: How far a line can be off, as a share of the scale's denominator (in metres), and the metres of a degree of latitude.
+OFF_BY, DEGREE_METRES = 0.0005, 111_320.0
+
+
+def ring_metres(points: DataFrame, metres: Column, n: int = 8) -> DataFrame:
+    """`points` (degrees) once for each of n places on a circle of so many metres around them."""
+    up = metres / DEGREE_METRES
+    across = up / F.cos(F.radians("y"))
+    angle = F.col("_k") * F.lit(6.283185307179586 / n)
+    placed = points.withColumn("_k", F.explode(F.array(*[F.lit(k) for k in range(n)])))
+    return placed.withColumns({"x": F.col("x") + across * F.cos(angle), "y": F.col("y") + up * F.sin(angle)}).drop("_k")
+
+
+def near_contacts(points: DataFrame, key: str, units: DataFrame, size: float) -> DataFrame:
+    """(key, unit, scale, metres, other): the unit at each point, on its most detailed map, and another unit within that map's tolerance, if any.
+
+    `units` has (unit, scale, feature, xmin, ymin, xmax, ymax); maps of unknown scale come last and have no tolerance, ties are decided by feature. A unit without
+    a name is none. Points without a unit are left out; of several others the first by name is told.
+    """
+    named = units.filter("unit is not null")
+    order = F.struct(F.col("scale").isNull(), F.col("scale"), F.col("feature"))
+    here = on_grid(points, named, size).groupBy(key, "x", "y").agg(F.min_by(F.struct("unit", "scale"), order).alias("_u"))
+    here = here.select(key, "x", "y", F.col("_u.unit").alias("_own"), F.col("_u.scale").alias("_scale"), (F.col("_u.scale") * OFF_BY).alias("_metres"))
+    around = ring_metres(here.filter("_metres is not null"), F.col("_metres"))
+    others = on_grid(around, named, size).filter("unit <> _own").groupBy(F.col(key).alias("_key")).agg(F.min("unit").alias("other"))
+    return here.join(others, F.col(key) == F.col("_key"), "left").select(key, F.col("_own").alias("unit"), F.col("_scale").alias("scale"), F.col("_metres").alias("metres"), "other")
+
+
 def in_ring(x: Column, y: Column, xs: Column, ys: Column) -> Column:
     """Even-odd test of a point in a closed ring of coordinates, as a fold over its edges."""
     edges = F.arrays_zip(F.slice(xs, 1, F.size(xs) - 1).alias("x0"), F.slice(ys, 1, F.size(ys) - 1).alias("y0"), F.slice(xs, 2, F.size(xs) - 1).alias("x1"), F.slice(ys, 2, F.size(ys) - 1).alias("y1"))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from stratalake.operators import links, regions, reviews, spatial
+from stratalake.operators import links, regions, reviews, spatial, styles
 from stratalake.operators.grid import grid_lookup
 from stratalake.plans import upkeep
 from stratalake.plans.storage import written
@@ -91,16 +91,17 @@ def jn6(spark, d):
     return found.groupBy("id").agg(F.max_by("box", F.struct("size", "box")).alias("top"))
 
 
-@Q("jn7_near_contact_check", f"""with r as (select p.id, p.x + 0.2 * cos(k * 6.283185307179586e0 / 8) as x, p.y + 0.2 * sin(k * 6.283185307179586e0 / 8) as y from {P}, unnest(range(8)) t(k)),
-h as (select p.id, min(b.kind) as own from {P} join {B} on {INSIDE} group by p.id),
-o as (select distinct p.id, b.kind from r p join {B} on {INSIDE})
-select h.id, bool_or(o.kind is not null and o.kind <> h.own) as near_contact from h left join o on h.id = o.id group by h.id""")
+NEAR = f"""with h as (select p.id, p.x, p.y, arg_min(b.kind, (b.size, b.id)) as own, min(b.size) * 400000 as scale from {P} join {B} on {INSIDE} where b.kind is not null group by 1, 2, 3),
+r as (select id, own, scale * 0.0005e0 as metres, x + scale * 0.0005e0 / (111320 * cos(y * 0.017453292519943295e0)) * cos(k * 0.7853981633974483e0) as x, y + scale * 0.0005e0 / 111320 * sin(k * 0.7853981633974483e0) as y from h, unnest(range(8)) t(k))
+select p.id, p.own as unit, round(p.metres, 6) as metres, min(b.kind) filter (where b.kind <> p.own) as other from r p left join {B} on {INSIDE} group by 1, 2, 3"""
+
+
+@Q("jn7_near_contact_check", NEAR)
 def jn7(spark, d):
-    b = boxes(spark, d).select("kind", "xmin", "ymin", "xmax", "ymax")
-    p = points(spark, d).select("id", "x", "y")
-    here = spatial.on_grid(p, b, 0.25).groupBy("id").agg(F.min("kind").alias("own"))
-    around = spatial.on_grid(spatial.ring(p, F.lit(0.2)), b, 0.25).select("id", "kind").distinct()
-    return here.join(around, "id", "left").groupBy("id").agg(F.bool_or(F.col("kind").isNotNull() & (F.col("kind") != F.col("own"))).alias("near_contact"))
+    """Boxes as map units, the more detailed the smaller their size; what is within a map's tolerance is metres of its scale."""
+    units = boxes(spark, d).select(F.col("kind").alias("unit"), (F.col("size") * 400000).alias("scale"), F.col("id").alias("feature"), "xmin", "ymin", "xmax", "ymax")
+    near = spatial.near_contacts(points(spark, d).select("id", "x", "y"), "id", units, 0.25)
+    return near.select("id", "unit", F.round("metres", 6).alias("metres"), "other")
 
 
 @Q("jn8_related_rows_join", "select o_orderkey, l_linenumber, count(*) over (partition by o_orderkey) as total from orders join lineitem on o_orderkey::varchar = l_orderkey::varchar")
@@ -174,24 +175,28 @@ def jn14(spark, d):
     return p.join(p.filter("p_partkey % 6 <> 0"), ["p_brand", "p_partkey"], "left_anti")
 
 
-ITEMS = "select p_partkey as id, case when p_partkey % 5 = 0 then null else p_size % 8 end as style, p_size % 3 as asset from part"
+#: Parts as items: each is a plate of its size's publication, styles are of some parts and some sizes.
+ITEMS = "select 'p' || p_partkey as id, case when p_partkey % 5 <> 0 then 's' || p_size end as base, case p_partkey % 3 when 0 then 'cog' when 1 then 'pmtiles' else 'text' end as asset from part"
+STYLES = "select case when p_partkey % 4 = 0 then 'p' || p_partkey else 's' || (p_size + 20) end as style, case when p_size % 2 = 0 then 'cog' else 'pmtiles' end as asset from part where p_partkey % 4 < 2"
 
 
-@Q("jn15_style_binding_report", f"with i as ({ITEMS}), s as (select k as style, k % 3 as asset from range(4, 12) t(k)) select case when i.id is null then 'unused style' when s.style is null then 'no style' when i.asset = s.asset then 'matched' else 'asset miss' end as status, count(*) as n from i full join s on i.style = s.style group by 1")
+@Q("jn15_style_binding_report", f"""with i as ({ITEMS}), s as (select distinct style, asset from ({STYLES}) t), o as (select distinct style from s),
+b as (select id, asset, case when id in (select style from o) then id when base in (select style from o) then base end as style from i)
+select case when style is null then 'no style' when exists (select 1 from s where s.style = b.style and s.asset = b.asset) then 'matched' else 'asset miss' end as status, id from b
+union all select 'unused style', style from o where style not in (select id from i) and style not in (select base from i where base is not null)""")
 def jn15(spark, d):
-    i = sql(spark, d, ITEMS, "part")
-    s = spark.range(4, 12).select(F.col("id").alias("s_style"), (F.col("id") % 3).alias("s_asset"))
-    j = i.join(s, F.col("style") == F.col("s_style"), "full_outer")
-    status = F.when(F.col("id").isNull(), "unused style").when(F.col("s_style").isNull(), "no style").when(F.col("asset") == F.col("s_asset"), "matched").otherwise("asset miss")
-    return j.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n"))
+    items = sql(spark, d, ITEMS, "part").select("id", "base", F.array("asset").alias("assets"))
+    return styles.binding_report(items, sql(spark, d, STYLES, "part").select("style", F.array("asset").alias("assets")))
 
 
-@Q("jn16_style_drift_check", "select p_partkey from part where p_size % 4 = 0 or p_partkey % 10 = 0")
+@Q("jn16_style_drift_check", "select p_partkey as id, 'map' as render from part where p_size % 4 = 0 and p_partkey % 10 <> 0 and p_partkey % 6 <> 1")
 def jn16(spark, d):
+    """Parts of some sizes show an old legend; every tenth has no legend in the manifest, every sixth no such render."""
     p = table(spark, d, "part")
-    stored = p.select("p_partkey", F.when(p.p_size % 4 == 0, "old").otherwise(p.p_brand).alias("legend"))
-    manifest = p.select("p_partkey", F.when(p.p_partkey % 10 != 0, p.p_brand).alias("now"))
-    return stored.join(manifest, "p_partkey").filter(~F.col("legend").eqNullSafe(F.col("now"))).select("p_partkey")
+    legend = F.when(p.p_size % 4 == 0, F.lit("old")).otherwise(p.p_brand)
+    items = p.select(p.p_partkey.alias("id"), F.create_map(F.when(p.p_partkey % 6 == 1, "grey").otherwise("map"), legend).alias("renders"))
+    manifest = p.select(p.p_partkey.alias("id"), F.lit("map").alias("render"), F.when(p.p_partkey % 10 != 0, p.p_brand).alias("legend"))
+    return styles.drifted(items, manifest)
 
 
 @Q("jn17_notification_fanout", f"""with c as {C}, m as (select id, author, case when made % 2 = 0 then 'user' else 'assistant' end as recipient, 'mention' as kind from c),
@@ -204,11 +209,34 @@ def jn17(spark, d):
     return reviews.recipients(comments(spark, d), roster)
 
 
-@Q("jn18_review_log_query", f"select id, item % 2 = 0 as read_only from {C} c where status = 'open' and item in (1, 2, 3, 5, 8) order by made desc, id limit 10")
+#: Comments with what the log filters by: the items they are on, their generation, what they are aimed at, row and column.
+LOG = f"""select id, item, [item, item + 1] as items, made, status, case when id % 2 = 0 then 'review' else 'published' end as generation, ['item', 'row', 'column'][id % 3 + 1] as kind,
+    case when id % 3 = 1 then ['r' || (item % 4), 'r' || (item % 3)] end as row_values, case when id % 3 = 2 then 'c' || (item % 5) end as column_name from {C} c"""
+
+
+def _log(spark, d):
+    kind = F.element_at(F.array(F.lit("item"), F.lit("row"), F.lit("column")), (F.col("id") % 3 + 1).cast("int"))
+    item, third = F.col("item"), F.col("id") % 3
+    return comments(spark, d).withColumns({
+        "item_ids": F.array(item, item + 1), "generation": F.when(F.col("id") % 2 == 0, "review").otherwise("published"), "target_kind": kind,
+        "row_key_vals": F.when(third == 1, F.array(F.concat(F.lit("r"), item % 4), F.concat(F.lit("r"), item % 3))), "column_name": F.when(third == 2, F.concat(F.lit("c"), item % 5)),
+    })
+
+
+def _promoted(spark, d):
+    return comments(spark, d).filter("item % 2 = 0").select("item").distinct()
+
+
+@Q("jn18_review_log_query", f"select id, generation = 'review' as read_only from ({LOG}) l where list_contains(items, 8) and status = 'open' order by made desc, id limit 5000")
 def jn18(spark, d):
-    c = comments(spark, d).withColumn("items", F.array("item")).filter("status = 'open'").filter(F.arrays_overlap("items", F.array(*[F.lit(x).cast("bigint") for x in (1, 2, 3, 5, 8)])))
-    promoted = c.select("item").filter("item % 2 = 0").distinct().withColumn("p", F.lit(True))
-    return c.join(promoted, "item", "left").orderBy(F.desc("made"), "id").limit(10).select("id", F.coalesce("p", F.lit(False)).alias("read_only"))
+    """The open comments on an item; of an even item and its neighbour, those of the review are history."""
+    return reviews.review_log(_log(spark, d), _promoted(spark, d), item=8, status="open").select("id", "read_only")
+
+
+@Q("jn18_review_log_rows", f"select id, false as read_only from ({LOG}) l where generation = 'published' and kind = 'row' and list_contains(row_values, 'r2') order by made desc, id limit 40")
+def jn18_rows(spark, d):
+    """Comments on a row that are published: live, whatever was promoted."""
+    return reviews.review_log(_log(spark, d), _promoted(spark, d), generation="published", kind="row", row_value="r2", limit=40).select("id", "read_only")
 
 
 @Q("jn19_thread_report", f"select item, count(*) filter (where parent is null) as roots, count(*) filter (where parent is not null) as replies, count(*) filter (where parent is null and status = 'open') as open from {C} c group by item")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from stratalake.operators import relate, units
+from stratalake.operators import relate, styles, units
 from stratalake.plans.storage import written
 from stratalake.queries.base import Register, sql, table
 
@@ -145,15 +145,20 @@ def ri10(spark, d):
     return o.limit(1).select(F.lit("orders").alias("tab"), F.explode(rows).alias("c")).select("tab", "c.*")
 
 
-@Q("ri11_style_classes", "select p_partkey, p_brand as label, '#' || lpad(p_size::varchar, 6, '0') as colour from part union all select p_partkey, 'other', '#000000' from part")
+@Q("ri11_style_classes", """with p as (select p_partkey, p_size, p_brand, p_type, '#' || lpad(p_size::varchar, 6, '0') as c from part),
+k as (select p_partkey, 0 as value, p_brand as title, c as colour from p where p_partkey % 3 = 0 union all select p_partkey, 1, p_type, '#ABCDEF' from p where p_partkey % 3 = 0 union all select p_partkey, 2, 'Other', '#000000' from p where p_partkey % 3 = 0
+    union all select p_partkey, 0, '< ' || p_size, '#000000' from p where p_partkey % 3 = 1 union all select p_partkey, 1, '≥ ' || p_size, c from p where p_partkey % 3 = 1
+    union all select p_partkey, 0, p_brand, c from p where p_partkey % 3 = 2 union all select p_partkey, 1, p_size || ' – ' || (p_size + 1), '#ABCDEF' from p where p_partkey % 3 = 2)
+select p_partkey, value, trim(regexp_replace(title, '[^0-9A-Za-z_-]+', '_', 'g'), '_') as name, title, upper(substr(colour, 2)) as hint from k""")
 def ri11(spark, d):
-    """A match expression: the input, then a label and a colour in turn, then the colour of all others."""
-    p = table(spark, d, "part")
-    style = p.select("p_partkey", F.to_json(F.array(F.lit("match"), F.lit("get"), "p_brand", F.concat(F.lit("#"), F.lpad(F.col("p_size").cast("string"), 6, "0")), F.lit("#000000"))).alias("paint"))
-    steps = style.withColumn("e", F.from_json("paint", "array<string>"))
-    pairs = F.transform(F.sequence(F.lit(2), F.size("e") - 2, F.lit(2)), lambda i: F.struct(F.get("e", i).alias("label"), F.get("e", i + 1).alias("colour")))
-    last = F.array(F.struct(F.lit("other").alias("label"), F.element_at("e", -1).alias("colour")))
-    return steps.select("p_partkey", F.explode(F.concat(pairs, last)).alias("c")).select("p_partkey", "c.*")
+    """Styles by turns: a colour that matches brand or type, one that steps at the size, and layers with filters."""
+    p = table(spark, d, "part").withColumn("c", F.concat(F.lit("#"), F.lpad(F.col("p_size").cast("string"), 6, "0")))
+    fill = '[{"paint":{"fill-opacity":1,"fill-color":["match",["get","u"],"%s","%s",["%s"],"#ABCDEF","#000000"]}}]'
+    line = '[{"paint":{"line-color":["step",["get","u"],"#000000",%d,"%s"]}}]'
+    spots = '[{"paint":{"circle-color":"%s"},"filter":["==",["get","u"],"%s"]},{"paint":{"circle-color":"#ABCDEF"},"filter":["all",[">=","u",%d],["<","u",%d]]}]'
+    turn = F.col("p_partkey") % 3
+    layers = F.when(turn == 0, F.format_string(fill, "p_brand", "c", "p_type")).when(turn == 1, F.format_string(line, "p_size", "c")).otherwise(F.format_string(spots, "c", "p_brand", "p_size", F.col("p_size") + 1))
+    return styles.style_classes(p.select("p_partkey", layers.alias("layers")), "p_partkey", "layers")
 
 
 @Q("ri12_inference_scope", "select p_partkey, case when p_size % 2 = 0 then p_brand else 'bundle' end as scope from part where p_size % 5 <> 0")
