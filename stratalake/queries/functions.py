@@ -1,13 +1,12 @@
 """Queries that apply the column functions to texts made from the tables."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from stratalake.functions import contents, people
 from stratalake.functions import text as fx
 from stratalake.functions.rules import MEDIA, TOPICS
 from stratalake.operators import catalogue
 from stratalake.operators.reviews import mentions
-from stratalake.operators.search import split_authors
 from stratalake.queries.base import Register, sql, table
 
 Q = Register()
@@ -107,10 +106,23 @@ def fn9(spark, d):
     return table(spark, d, "part").select("p_partkey", fx.slug(F.concat("p_name", F.lit(" -- "), "p_brand")).alias("v"))
 
 
-@Q("fn10_author_split", _sql(["A. Bee|C. Dee Jr|E. Eff/Bee et al.", "Solo One/Solo One"]))
+#: Authors of parts: lists in either order of names, firms, suffixes and prose, told from a part's key, brand and size.
+CREDIT = "case k when 0 then n || ', Eve ' || l || ', and Di Ng' when 1 then n || ', Jr; Eve ' || l when 2 then l || ', A.B., Ng, C.' when 3 then 'compiled by ' || n when 4 then 'Acme Maps, Inc.; ' || n else l || ', Eve' end"
+
+
+def _credits(spark, d):
+    first = lambda c, *v: F.element_at(F.array(*map(F.lit, v)), (c + 1).cast("int"))
+    p = table(spark, d, "part").select("p_partkey", (F.col("p_partkey") % 6).alias("k"), F.concat(first(F.col("p_partkey") % 3, "Ann", "Bo", "Cy"), F.lit(" Day")).alias("n"), first(F.col("p_size") % 2, "Ewe", "Fox").alias("l"))
+    return p.withColumn("t", F.expr(CREDIT))
+
+
+@Q("fn10_author_split", """with p as (select p_partkey, p_partkey % 6 as k, ['Ann', 'Bo', 'Cy'][p_partkey % 3 + 1] || ' Day' as n, ['Ewe', 'Fox'][p_size % 2 + 1] as l from part)
+select p_partkey, case k when 0 then n || '|Eve ' || l || '|Di Ng' when 1 then n || ' Jr|Eve ' || l when 2 then l || ', A.B.|Ng, C.' when 3 then 'compiled by ' || n when 4 then 'Acme Maps, Inc.|' || n else l || ', Eve' end as names, k = 3 as ambiguous,
+    case k when 0 then n when 1 then 'Day et al.' when 2 then l when 3 then 'Day' when 4 then 'Acme Maps et al.' else l end as short from p""")
 def fn10(spark, d):
-    t = _case(spark, d, ["A. Bee, C. Dee, Jr and E. Eff", "Solo One"]).withColumn("n", split_authors(F.col("t")))
-    return t.select("p_partkey", F.concat(F.array_join("n", "|"), F.lit("/"), fx.first_author(F.col("n"))).alias("v"))
+    """Names of a citation, and the short form of the first, which reads lists at semicolons only."""
+    t = _credits(spark, d).withColumn("a", people.cited_authors(F.col("t")))
+    return t.select("p_partkey", F.array_join("a.names", "|").alias("names"), "a.ambiguous", people.short_author(F.col("t")).alias("short"))
 
 
 @Q("fn11_doi_of", "select p_partkey, lower('10.1/' || p_brand) as v from part where p_partkey % 3 <> 0 and p_partkey % 2 = 0")
@@ -134,24 +146,37 @@ def fn12_interval(spark, d):
     return i.select("o_orderkey", F.col("i.start").cast("string").alias("first"), F.col("i.end").cast("string").alias("last"), "i.undated")
 
 
-@Q("fn13_fmt_date", _sql(["1999", "March 1999", "March 5, 1999"]))
+@Q("fn13_fmt_date", "select o_orderkey, case when o_orderkey % 4 = 0 then strftime(o_orderdate, '%Y') when o_orderkey % 4 = 1 then strftime(o_orderdate, '%b %Y') when strftime(o_orderdate, '%m-%d') = '01-01' then strftime(o_orderdate, '%Y') when strftime(o_orderdate, '%d') = '01' then strftime(o_orderdate, '%b %Y') else strftime(o_orderdate, '%Y-%m-%d') end as v from orders where not (o_orderkey % 4 = 1 and month(o_orderdate) = 1) and o_orderkey % 9 <> 0 union all select o_orderkey, strftime(o_orderdate, '%Y') from orders where o_orderkey % 4 = 1 and month(o_orderdate) = 1 and o_orderkey % 9 <> 0 union all select o_orderkey, null from orders where o_orderkey % 9 = 0")
 def fn13(spark, d):
-    return _case(spark, d, ["1999", "1999-03", "1999-03-05T10:00:00Z"]).select("p_partkey", fx.shown_date(F.col("t")).alias("v"))
+    """Days of orders, of a fourth of them the year only and of another its month, whose first day stands for it; every ninth has no date."""
+    turn, day = F.col("o_orderkey") % 4, F.col("o_orderdate")
+    raw = F.when(F.col("o_orderkey") % 9 == 0, "soon").when(turn == 0, F.date_format(day, "yyyy")).when(turn == 1, F.date_format(day, "yyyy-MM-01'T'00:00:00'Z'")).otherwise(F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    return table(spark, d, "orders").select("o_orderkey", fx.shown_date(raw).alias("v"))
+
+
+#: The lines of an order as a page of contents: a title by the quantity, which repeats, and a page by the part; some are noise, too far on or on the cover.
+LINES = """select l_orderkey as k, l_linenumber as n, case when l_partkey % 13 = 0 then 'Director ' else 'Quantity ' end || l_quantity::int as title, case when l_partkey % 11 <> 0 then l_partkey % 70 end as page from lineitem"""
+FOUND = f"""with l as (select *, ' ' || title || ' . .. ' || coalesce(page::varchar, 'Back cover') as t from ({LINES}) x), u as (select *, row_number() over (partition by k, lower(title) order by n, t) as r from l where title not like 'Director%' and (page is null or page <= 60)),
+e as (select * from u where r = 1 and k in (select k from u where r = 1 group by 1 having count(*) >= 3))"""
 
 
-TOC = "Contents\nIntro ..... 1\nFaults....3\nIntro ..... 1\nMaps .. 9\nIndex .... 99"
+def _issues(spark, d):
+    title = F.concat(F.when(F.col("l_partkey") % 13 == 0, "Director ").otherwise("Quantity "), F.col("l_quantity").cast("int"))
+    page = F.when(F.col("l_partkey") % 11 != 0, (F.col("l_partkey") % 70).cast("string")).otherwise("Back cover")
+    line = F.struct("l_linenumber", F.concat(F.lit(" "), title, F.lit(" . .. "), page).alias("t"))
+    lines = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("k")).agg(F.array_sort(F.collect_list(line)).alias("lines"))  # the lines of an order
+    return lines.select("k", F.array(F.lit("Contents"), F.array_join("lines.t", "\n")).alias("pages"))
 
 
-@Q("fn14_toc_parse", _sql(["Intro@1|Faults@3|Maps@9", ""]))
+@Q("fn14_toc_parse", FOUND + " select k, n_place::int as place, title, page::int as page from (select *, row_number() over (partition by k order by n, t) - 1 as n_place from e) z")
 def fn14(spark, d):
-    t = table(spark, d, "part").withColumn("t", F.when(F.col("p_partkey") % 2 == 0, TOC).otherwise("One ... 2\nplain"))
-    return t.select("p_partkey", F.array_join(F.transform(fx.toc_entries(F.col("t")), lambda r: F.concat(r["title"], F.lit("@"), r["page"])), "|").alias("v"))
+    return _issues(spark, d).select("k", F.posexplode(contents.toc(F.col("pages"))).alias("place", "e")).select("k", "place", "e.*")
 
 
-@Q("fn15_article_slices", "select l_orderkey, l_linenumber, l_linenumber as first_page, coalesce(lead(l_linenumber) over (partition by l_orderkey order by l_linenumber) - 1, 60) as last_page from lineitem")
+@Q("fn15_article_slices", FOUND + " select k, title, page::int as first_page, case when lead(page) over w - 1 >= page then lead(page) over w - 1 end::int as last_page from e where page is not null window w as (partition by k order by page, n, t)")
 def fn15(spark, d):
-    after = F.lead("l_linenumber").over(Window.partitionBy("l_orderkey").orderBy("l_linenumber"))
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_linenumber").alias("first_page"), F.coalesce(after - 1, F.lit(60)).alias("last_page"))
+    """The pages of each article of the contents: up to the next one's, or open."""
+    return _issues(spark, d).select("k", F.explode(contents.ranges(contents.toc(F.col("pages")))).alias("e")).select("k", "e.title", F.col("e.page").alias("first_page"), F.col("e.last").alias("last_page"))
 
 
 ITEMS = f"select p_partkey, {_pick(['hazards', 'emp', 'mapping', 'wetlands', 'groundwater', None, 'other'])} as schema, {_pick(['rasters', 'geologic-maps', 'publications', 'mining-district-files', 'external', 'x'], 'p_size')} as root, case when p_partkey % 11 = 0 then 'OFR' end as series, {_pick(['cog', 'parquet', 'pdf', 'zarr', 'raster-tiles', 'text', 'odd'])} as a, {_pick(['pdf', 'tiles', 'cog'], 'p_size')} as b from part"
