@@ -22,24 +22,25 @@ def entries(text: Column, noise: tuple[str, ...] = NOISE) -> Column:
     rows = F.transform(lines, lambda x: F.struct(title(x).alias("title"), F.try_to_number(F.regexp_extract(x, leader, 2), F.lit("999")).cast("int").alias("page")))
     quiet = lambda r: ~F.exists(F.array(*map(F.lit, noise)), lambda n: F.startswith(F.lower(r["title"]), n)) if noise else F.lit(True)
     kept = F.filter(rows, lambda r: (F.length(r["title"]) >= SHORTEST) & (r["page"].isNull() | (r["page"] <= LAST_PAGE)) & quiet(r))
-    low = F.transform(kept, lambda r: F.lower(r["title"]))
-    return F.filter(kept, lambda r, i: F.array_position(low, F.get(low, i)) == i + 1)
+    first = lambda found, r: F.when(F.exists(found, lambda f: F.lower(f["title"]) == F.lower(r["title"])), found).otherwise(F.concat(found, F.array(r)))
+    return F.aggregate(kept, F.array().cast(ENTRIES), first)
 
 
 def toc(pages: Column) -> Column:
     """The entries of that early page which has most of them, the first of several; none if there are fewer than three."""
     parsed = F.transform(F.slice(pages, 1, EARLY_PAGES), lambda p: entries(p))
-    most = F.array_max(F.transform(parsed, lambda e: F.size(e)))
-    best = F.get(F.filter(parsed, lambda e: F.size(e) == most), F.lit(0))
-    return F.when(most >= FEWEST, best).otherwise(F.array().cast(ENTRIES))
+    none = F.array().cast(ENTRIES)
+    return F.aggregate(parsed, none, lambda best, e: F.when(F.size(e) > F.size(best), e).otherwise(best), lambda best: F.when(F.size(best) >= FEWEST, best).otherwise(none))
 
 
 def ranges(table: Column) -> Column:
     """(title, page, last) of entries with a page, by page: each ends before the next begins, the last (null) with the issue, as does one that shares its page with the next."""
     placed = F.transform(table, lambda e, i: F.struct(e["page"].alias("page"), i.alias("place"), e["title"].alias("title")))
-    paged = F.array_sort(F.filter(placed, lambda e: e["page"].isNotNull()))
-    after = lambda i: F.get(paged, i + 1)["page"] - 1
-    return F.transform(paged, lambda e, i: F.struct(e["title"].alias("title"), e["page"].alias("page"), F.when(after(i) >= e["page"], after(i)).alias("last")))
+    paged = F.sort_array(F.filter(placed, lambda e: e["page"].isNotNull()), asc=False)  # from the last, so that each knows the next one's page
+    start = F.struct(F.array().cast("array<struct<title: string, page: int, last: int>>").alias("done"), F.lit(None).cast("int").alias("next"))
+    one = lambda acc, e: F.struct(e["title"].alias("title"), e["page"].alias("page"), F.when(acc["next"] > e["page"], acc["next"] - 1).alias("last"))
+    step = lambda acc, e: F.struct(F.concat(acc["done"], F.array(one(acc, e))).alias("done"), e["page"].alias("next"))
+    return F.aggregate(paged, start, step, lambda acc: F.reverse(acc["done"]))
 
 
 def article_texts(pages: Column, shown: int = SHOWN) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from stratalake.functions.text import slug
+from stratalake.functions.text import bound, slug
 
 #: What follows a person's or a firm's name after a comma, what initials look like, and what tells that a text is more than a list of names.
 PERSON_SUFFIX, NUMBERED_SUFFIX, FIRM_SUFFIX = r"(?i)^(jr|sr|ii|iii|iv)\.?$", r"(?i)^(jr|sr|iii?|iv|vi{0,3})\.?$", r"(?i)^(inc|co|corp|ltd|llc)\.?$"
@@ -30,8 +30,8 @@ def authors(primary: Column, others: Column) -> Column:
         all_, _strings(),
         lambda acc, n: F.when(n.rlike(NUMBERED_SUFFIX), F.when(F.size(acc) > 0, F.concat(_but_last(acc), F.array(F.concat(F.get(acc, F.size(acc) - 1), F.lit(", "), n)))).otherwise(acc)).otherwise(F.concat(acc, F.array(n))),
     )
-    keys = F.transform(folded, lambda n: slug(n))
-    return F.filter(folded, lambda n, i: (F.get(keys, i) != "") & (F.array_position(keys, F.get(keys, i)) == i + 1))
+    first = lambda all_, keys: F.filter(all_, lambda n, i: (F.get(keys, i) != "") & (F.array_position(keys, F.get(keys, i)) == i + 1))
+    return bound(folded, lambda names: bound(F.transform(names, lambda n: slug(n)), lambda keys: first(names, keys)))
 
 
 def _names(segment: Column) -> Column:
@@ -45,7 +45,11 @@ def _names(segment: Column) -> Column:
         .when((F.size(acc) > 0) & t.rlike(FIRM_SUFFIX), F.concat(_but_last(acc), one(F.concat(last(acc)["t"], F.lit(", "), t), last(acc)["suffix"])))
         .otherwise(F.concat(acc, one(t, nothing)))
     )
-    folded = F.aggregate(tokens, F.array().cast("array<struct<t: string, suffix: string>>"), fold)
+    return bound(F.aggregate(tokens, F.array().cast("array<struct<t: string, suffix: string>>"), fold), _read)
+
+
+def _read(folded: Column) -> Column:
+    """Names of the parts between commas, suffixes taken in."""
     n = F.size(folded)
     shown = lambda k: F.concat(k["t"], F.coalesce(F.concat(F.lit(" "), k["suffix"]), F.lit("")))
     initial = lambda k: k["t"].rlike(INITIALS)
@@ -67,17 +71,23 @@ def cited_authors(raw: Column) -> Column:
 
     What is prose or can't be read in one way is a single name, and `ambiguous`.
     """
-    whole = F.trim(F.regexp_replace(F.coalesce(raw, F.lit("")), r"\s+", " "))
+    return bound(F.trim(F.regexp_replace(F.coalesce(raw, F.lit("")), r"\s+", " ")), _cited)
+
+
+def _cited(whole: Column) -> Column:
     parts = F.transform(F.split(whole, rf";|{AND}"), lambda s: F.trim(F.regexp_replace(F.regexp_replace(F.trim(s), r"(?i)^and\s+", ""), "^,+|,+$", "")))
-    each = F.transform(F.filter(parts, lambda s: s != ""), _names)
-    unclear = whole.rlike(PROSE) | F.exists(each, lambda n: n.isNull())
-    names = F.when(whole == "", _strings()).when(unclear, F.array(whole)).otherwise(F.flatten(each))
-    return F.struct(names.alias("names"), (unclear & (whole != "")).alias("ambiguous"))
+    each = F.when(~whole.rlike(PROSE), F.transform(F.filter(parts, lambda s: s != ""), lambda s: _names(s)))
+    names = F.when(whole == "", _strings()).otherwise(bound(each, lambda n: F.flatten(n)))  # null if one of the parts is
+    return bound(names, lambda n: F.struct(F.coalesce(n, F.array(whole)).alias("names"), n.isNull().alias("ambiguous")))
 
 
 def short_author(raw: Column) -> Column:
     """The family name of the first author of a list at semicolons, with "et al." for more; null for none."""
     people = F.filter(F.transform(F.split(raw, ";"), lambda p: F.trim(p)), lambda p: p != "")
+    return bound(people, _short)
+
+
+def _short(people: Column) -> Column:
     cut = F.transform(F.split(F.get(people, F.lit(0)), ","), lambda p: F.trim(p))
     head, tail = F.get(cut, F.lit(0)), F.coalesce(F.get(cut, F.lit(1)), F.lit(""))
     words = F.filter(F.split(head, r"\s+"), lambda w: ~w.rlike(PERSON_SUFFIX.replace("|iv", "")))

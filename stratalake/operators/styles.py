@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.functions.text import bound
+
 #: How a comparison is shown, and the label of what matches nothing.
 SIGNS, OTHER, BETWEEN = {"<": "<", "<=": "≤", ">": ">", ">=": "≥"}, "Other", " – "
+
 #: Layers of a style, as JSON: paint properties and a filter, both kept as text until they are looked at.
 LAYERS = "array<struct<paint: map<string, string>, filter: string>>"
 
@@ -46,7 +49,10 @@ def parts(raw: Column) -> Column:
 
 def _paint_classes(expression: Column) -> Column:
     """The classes of a `match` or `step` expression over one value; null for others."""
-    e = parts(expression)
+    return bound(parts(expression), _expression_classes)
+
+
+def _expression_classes(e: Column) -> Column:
     n = F.size(e)
     at = lambda i: F.get(e, i)
     struct = lambda label, colour: F.struct(label.alias("label"), colour.alias("colour"))

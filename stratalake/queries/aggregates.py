@@ -2,10 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from stratalake.functions.text import series_code
 from stratalake.operators import aggregates as agg
-from stratalake.operators import catalogue
+from stratalake.operators import catalogue, entries, geo, preflight
 from stratalake.operators.ordering import numbered_within
-from stratalake.queries.base import BOXES, Register, boxes, sql, table
+from stratalake.queries.base import BOXES, POINTS, Register, boxes, points, sql, table
 
 Q = Register()
 B = f"({BOXES}) b"
@@ -76,22 +77,34 @@ def ag15(spark, d):
     return index.select("kind", "page", F.size("entries").cast("long").alias("n"), F.md5(text).alias("digest"))
 
 
-@Q("ag16_coverage_summary", "select p_brand, p_size % 3 as series, count(*) as publications, count(*) filter (where p_partkey % 2 = 0) as items, count(*) filter (where p_partkey % 2 <> 0) as pending, bool_and(p_partkey % 2 = 0) as migrated from part group by 1, 2")
+#: Parts as publications in series of their size; lines as their items, every third with a raster.
+PUBLICATIONS = "select p_brand as \"group\", p_size % 20 as series, p_partkey as id, p_partkey % 97 <> 5 as moved, case p_partkey % 4 when 0 then true when 1 then false end as raster from part"
+HELD = "select l_partkey as publication, l_orderkey * 100 + l_linenumber as id, l_quantity < 16 as raster from lineitem"
+COVERED = f"""with p as ({PUBLICATIONS}), i as ({HELD}), n as (select publication, count(*) as n from i group by 1), c as (select "group", series, count(*) as publications, count(*) filter (where not moved) as pending, sum(coalesce(n, 0) + coalesce(raster::int, 0)) as items from p left join n on publication = id group by 1, 2)"""
+
+
+def _coverage(spark, d):
+    p = sql(spark, d, PUBLICATIONS.replace('"', "`"), "part")
+    return p, sql(spark, d, HELD, "lineitem")
+
+
+@Q("ag16_coverage_summary", COVERED + """ select "group", series, case when pending = 0 then publications else 0 end as publications, pending = 0 as migrated, pending, (case when pending = 0 then items else 0 end)::bigint as items from c""")
 def ag16(spark, d):
-    done = F.col("p_partkey") % 2 == 0
-    return table(spark, d, "part").groupBy("p_brand", (F.col("p_size") % 3).alias("series")).agg(F.count(F.lit(1)).alias("publications"), F.count_if(done).alias("items"), F.count_if(~done).alias("pending"), F.bool_and(done).alias("migrated"))
+    return entries.coverage(*_coverage(spark, d))
 
 
-@Q("ag16_coverage_rasters", "select p_brand, p_size % 3 as series, p_partkey as raster from part where p_partkey % 2 = 0")
+@Q("ag16_coverage_rasters", COVERED + """, m as (select p.* from p join c on p."group" = c."group" and p.series = c.series where pending = 0) select "group", series, id as raster from m where raster union all select m."group", m.series, i.id from m join i on i.publication = m.id where i.raster""")
 def ag16_rasters(spark, d):
     """The rasters of the summary's groups, a row each."""
-    return table(spark, d, "part").filter("p_partkey % 2 = 0").select("p_brand", (F.col("p_size") % 3).alias("series"), F.col("p_partkey").alias("raster"))
+    pubs, items = _coverage(spark, d)
+    return entries.coverage_rasters(pubs, items, entries.coverage(pubs, items))
 
 
-@Q("ag17_duplicate_ids", "select o_custkey as id, string_agg(distinct o_orderstatus, ',' order by o_orderstatus) as collections from orders group by 1 having count(distinct o_orderstatus) > 1")
+@Q("ag17_duplicate_ids", "select id, string_agg(collection || '/' || id || '*' || n, ',' order by collection) as paths from (select o_custkey as id, o_orderstatus as collection, count(*) as n from orders group by 1, 2) t group by id having sum(n) > 1")
 def ag17(spark, d):
-    found = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("id")).agg(F.array_sort(F.collect_set("o_orderstatus")).alias("c"))
-    return found.filter(F.size("c") > 1).select("id", F.array_join("c", ",").alias("collections"))
+    """Customers as ids that the status collections of orders hold."""
+    found = entries.duplicate_ids(table(spark, d, "orders").select(F.col("o_orderstatus").alias("collection"), F.col("o_custkey").alias("id")))
+    return found.select("id", F.array_join(F.transform("paths", lambda p: F.concat(p["path"], F.lit("*"), p["n"])), ",").alias("paths"))
 
 
 @Q("ag18_shared_path_split", "with u as (select distinct user_id, event_type from events), c as (select *, count(*) over (partition by user_id) as n from u) select n = 1 as own_path, count(*) as n_rows from c group by 1")
@@ -101,14 +114,18 @@ def ag18(spark, d):
     return both.groupBy("own_path").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-@Q("ag19_series_counts", "select p_brand, count(*) as n from part group by 1")
+@Q("ag19_series_counts", "select regexp_extract(upper(p_type || p_partkey), '^([A-Z]+)', 1) as series, count(*) as n from part where p_type <> '' group by 1")
 def ag19(spark, d):
-    return table(spark, d, "part").groupBy("p_brand").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "p_brand")
+    """Series codes are the letters that an id begins with."""
+    return entries.series_counts(table(spark, d, "part").filter("p_type <> ''"), series_code(F.concat("p_type", "p_partkey")))
 
 
-@Q("ag20_newest_thumbnail", "select o_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) as o_orderkey from orders group by 1")
+@Q("ag20_newest_thumbnail", "select o_custkey, arg_max(o_orderkey, (o_orderkey % 3 <> 0, case when o_orderkey % 3 <> 0 then o_orderdate else timestamp '1900-01-01' end, o_orderkey)) as o_orderkey from orders where o_orderkey % 5 <> 0 group by 1")
 def ag20(spark, d):
-    return table(spark, d, "orders").groupBy("o_custkey").agg(F.max_by("o_orderkey", F.struct("o_orderdate", "o_orderkey")).alias("o_orderkey"))
+    """The newest order of each customer, every third being undated and every fifth without a picture."""
+    when, picture = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderdate")), F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderpriority")).otherwise("")
+    items = table(spark, d, "orders").select("o_custkey", "o_orderkey", when.alias("datetime"), picture.alias("thumbnail"))
+    return entries.representative(items, "o_custkey", key="o_orderkey").select("o_custkey", "o_orderkey")
 
 
 @Q("ag21_text_width_stats", "select 'c_name' as \"column\", max(strlen(c_name)) as longest, avg(strlen(c_name)) as average from customer union all select 'c_mktsegment', max(strlen(c_mktsegment)), avg(strlen(c_mktsegment)) from customer")
@@ -116,9 +133,26 @@ def ag21(spark, d):
     return agg.text_widths(table(spark, d, "customer"))
 
 
-@Q("ag22_export_preflight", "select short, string_agg(name, ',' order by name) as names, count(*) as n from (select distinct lower(substr(p_type, 1, 5)) as short, p_type as name from part) t group by 1 having count(*) > 1")
+@Q("ag22_export_preflight", "select short, string_agg(name, ',' order by name) as names, count(*) as n from (select distinct lower(substr(p_type || '_' || p_brand, 1, 10)) as short, p_type || '_' || p_brand as name from part) t group by 1 having count(*) > 1")
 def ag22(spark, d):
-    return agg.short_names(table(spark, d, "part"), "p_type", 5).select("short", F.array_join("names", ",").alias("names"), "n")
+    """Types with brands as names of fields, which meet when they are cut."""
+    names = table(spark, d, "part").select(F.concat("p_type", F.lit("_"), "p_brand").alias("name"))
+    return agg.short_names(names, "name").select("short", F.array_join("names", ",").alias("names"), "n")
+
+
+ESTIMATE = f"""with c as (select p.*, c_acctbal from ({POINTS}) p join customer on c_custkey = p.id where x between -113 and -111 and y between 38 and 41),
+n as (select count(*) as rows, 21 * count(*) as g, max(strlen(name)) as m0, max(strlen(kind)) as m1, ceil(avg(strlen(name))) as a0, ceil(avg(strlen(kind))) as a1 from c),
+t as (select *, 100 + g + rows * 40 as shape_bytes, 33 + 32 * 4 + rows * (20 + m0 + m1 + 24 + 1) as table_bytes, round(g * 2.5e0 + rows * (20 + a0 + a1 + 24 + 40 + 60 + 2 + length('customers_name') + length('customers_segment') + 7 + 24))::bigint as json_bytes from n)"""
+
+
+@Q("ag22_export_estimate", ESTIMATE + " select rows, shape_bytes, table_bytes, json_bytes, json_bytes + 2 * (shape_bytes + table_bytes) as peak_bytes, false as over_format, 'customers_name,customers_segment' as cut_names, 'customers_name / customers_segment' as clashes, '' as mixed from t")
+def ag22_estimate(spark, d):
+    """A shapefile of the customers' points within a box: sizes, names that are cut, and those that meet then."""
+    p = points(spark, d).join(table(spark, d, "customer").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("balance")), "id")
+    x, y = F.col("x"), F.col("y")
+    layer = p.select("id", F.col("name").alias("customers_name"), F.col("kind").alias("customers_segment"), "balance", geo.point_wkb(x, y).alias("geom"), F.lit("Point").alias("type"), x.alias("xmin"), y.alias("ymin"), x.alias("xmax"), y.alias("ymax"))
+    r = preflight.preflight(layer, "shp", "geom", "type", (-113, 38, -111, 41))
+    return r.select("rows", "shape_bytes", "table_bytes", "json_bytes", "peak_bytes", "over_format", *[F.array_join(c, ",").alias(c) for c in ("cut_names", "clashes", "mixed")])
 
 
 @Q("ag23_unit_dictionary", f"select kind, size, min(name) as name, min(xmin) as xmin, max(xmax) as xmax from {B} group by 1, 2")
@@ -132,10 +166,12 @@ def ag24(spark, d):
     return out.orderBy(F.desc("bytes"), "source").limit(20)
 
 
-@Q("ag25_outcome_tally", "select case when event_type like 'p%' then 'ok' when event_type like 'c%' then 'expected' else 'attention' end as outcome, count(*) as n from events group by 1")
+@Q("ag25_outcome_tally", "select case when event_id % 5 = 0 then 'ok' when event_type like 'c%' and event_id % 7 <> 0 then 'expected' else 'attention' end as outcome, count(*) as n from events group by 1")
 def ag25(spark, d):
-    code = F.when(F.startswith("event_type", F.lit("p")), "ok").when(F.startswith("event_type", F.lit("c")), "expected").otherwise("attention")
-    return table(spark, d, "events").groupBy(code.alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+    """Events as runs: a fifth went well, others of some types were skipped, a seventh of them as too large, and the rest failed."""
+    skipped = F.when(F.col("event_id") % 7 == 0, "skip:too_large:9").otherwise("skip:no_data")
+    code = F.when(F.col("event_id") % 5 == 0, "ok").when(F.startswith("event_type", F.lit("c")), skipped).otherwise(F.concat(F.lit("fail:"), "event_type"))
+    return entries.tally(table(spark, d, "events").withColumn("code", code), "code")
 
 
 _ENDINGS = "['pdf', 'tif', 'shp', 'dbf', 'mpk', 'txt', 'PDF']"

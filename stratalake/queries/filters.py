@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from stratalake.operators import filters
+from stratalake.operators import entries, filters
 from stratalake.queries.base import POINTS, Register, points, table
 
 Q = Register()
@@ -86,12 +86,28 @@ def pf20(spark, d):
     return o.filter(filters.year_range(year, 1995, 1996)).select("o_orderkey")
 
 
-@Q("pf21_mappable_test", "select p_partkey from part where p_size % 2 = 0 and p_partkey % 3 <> 0")
-def pf21(spark, d):
+#: Parts as items: rasters by type or by name, tiles, tables, stand-ins and items without a place.
+DRAWN = "(p_size % 4 = 0 or p_size % 4 = 1 or p_partkey % 5 = 0)"
+
+
+def _items(spark, d):
     p = table(spark, d, "part")
-    assets = F.create_map(F.lit("data"), F.struct(F.when(p.p_size % 2 == 0, "image/tiff").otherwise("text/csv").alias("type")))
-    items = p.select("p_partkey", assets.alias("assets"), F.when(p.p_partkey % 3 != 0, F.array(F.lit(-112.0), F.lit(38.0), F.lit(-111.0), F.lit(39.0))).alias("bbox"))
-    return items.filter(F.exists(F.map_values("assets"), lambda a: a["type"].startswith("image/")) & F.col("bbox").isNotNull()).select("p_partkey")
+    size, key, none = F.col("p_size") % 4, F.col("p_partkey"), F.lit(None).cast("string")
+    href = F.concat(F.lit("f/"), key, F.when(size == 1, ".cog.tif").otherwise(".tif"))
+    asset = F.struct(href.alias("href"), F.when(size == 0, "image/tiff; profile=cloud-optimized").otherwise("image/tiff").alias("type"), F.array(F.lit("data")).alias("roles"))
+    link = F.struct(F.when(key % 5 == 0, "pmtiles").otherwise("parent").alias("rel"), F.concat(F.lit("t/"), key).alias("href"))
+    facts = {"title": F.col("p_name"), "series": F.when(F.col("p_size") > 25, F.col("p_brand")).otherwise(""), "secret": F.col("p_type"), "footprint_source": F.when(key % 7 == 0, "utah-bbox"), "layer_kind": F.when(key % 11 == 0, "table").otherwise("points")}
+    properties = F.create_map(*[x for k, v in facts.items() for x in (F.lit(k), v)])
+    return p.select(
+        key.cast("string").alias("id"), F.when(key % 2 == 0, F.col("p_brand")).otherwise(none).alias("collection"), F.when(key % 3 != 0, "geometry").alias("geometry"), F.array(F.lit(-112.0), F.lit(38.0), F.lit(-111.0), F.lit(39.0)).alias("bbox"),
+        properties.alias("properties"), F.create_map(F.lit("data"), asset).alias("assets"), F.array(link).alias("links"),
+    )
+
+
+@Q("pf21_mappable_test", f"select p_partkey::varchar as id from part where {DRAWN} and p_partkey % 3 <> 0 and p_partkey % 7 <> 0 and p_partkey % 11 <> 0")
+def pf21(spark, d):
+    of = lambda k: F.try_element_at("properties", F.lit(k))
+    return _items(spark, d).filter(entries.mappable(F.col("assets"), F.col("links"), F.col("geometry"), of("footprint_source"), of("layer_kind"))).select("id")
 
 
 @Q("pf22_query_predicates", "select doc_id from documents where contains(lower(text), 'the') and contains(lower(text), 'of the') and not contains(lower(text), 'which') and lower(lang) = 'en' and contains(lower(source), '1')")
@@ -99,18 +115,19 @@ def pf22(spark, d):
     return table(spark, d, "documents").filter(filters.query_predicate('the "of the" -which lang:en source:1', ["text"], {"lang": "exact", "source": "contains"})).select("doc_id")
 
 
-@Q("pf23_compact_projection", "select p_partkey, case when p_size > 25 then 'brand=' || p_brand || ',size=' || p_size else 'brand=' || p_brand end as props from part")
+@Q("pf23_compact_projection", """select p_partkey::varchar as id, p_partkey % 3 <> 0 and p_partkey % 7 <> 0 and p_partkey % 11 <> 0 as placed, 'title=' || p_name || case when p_size > 25 then ',series=' || p_brand else '' end || ',layer_kind=' || case when p_partkey % 11 = 0 then 'table' else 'points' end as props,
+    'f/' || p_partkey || case when p_size % 4 = 1 then '.cog.tif' else '.tif' end as data, './' || case when p_partkey % 2 = 0 then p_brand || '/' else '' end || p_partkey || '/' || p_partkey || '.json' || case when p_partkey % 5 = 0 then ',t/' || p_partkey else '' end as links from part""")
 def pf23(spark, d):
-    p = table(spark, d, "part")
-    props = F.map_filter(F.create_map(F.lit("brand"), p.p_brand, F.lit("size"), F.when(p.p_size > 25, p.p_size.cast("string")), F.lit("secret"), p.p_name), lambda k, v: k.isin("brand", "size") & v.isNotNull() & (v != ""))
-    return p.select("p_partkey", F.array_join(F.transform(F.map_entries(props), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",").alias("props"))
+    e = entries.index_entries(_items(spark, d))
+    props = F.array_join(F.transform(F.map_entries("properties"), lambda p: F.concat(p["key"], F.lit("="), p["value"])), ",")
+    return e.select("id", F.col("bbox").isNotNull().alias("placed"), props.alias("props"), F.try_element_at("assets", F.lit("data"))["href"].alias("data"), F.array_join("links.href", ",").alias("links"))
 
 
 @Q("pf24_validation_layer_filter", "select s_suppkey from supplier where s_suppkey % 3 <> 0")
 def pf24(spark, d):
     s = table(spark, d, "supplier")
     label = F.when(s.s_suppkey % 3 == 0, F.concat(F.lit("top/T_"), s.s_suppkey, F.lit("_LineErrors"))).otherwise(s.s_name)
-    return s.withColumn("label", label).filter(~F.col("label").rlike(r"(^|/)T_[0-9]+_\w*Errors$")).select("s_suppkey")
+    return s.withColumn("label", label).filter(~entries.is_error_layer(F.col("label"))).select("s_suppkey")
 
 
 @Q("pf26_scale_layer_split", "select p_partkey, case when p_size % 4 = 1 then 'large' when p_size % 4 = 2 then 'small' else 'middle' end as layer from part")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from stratalake.operators import links, regions, reviews, spatial, styles
+from stratalake.operators import entries, links, regions, reviews, spatial, styles
 from stratalake.operators.grid import grid_lookup
 from stratalake.plans import upkeep
 from stratalake.plans.storage import written
@@ -137,11 +137,18 @@ def jn11(spark, d):
     return table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_list("l_linenumber")), ",").alias("files"))
 
 
-@Q("jn12_mirror_plan", "select min(page_id) as page_id, 'mirror/' || regexp_extract(url, '([^/]*)$', 1) as target from pages where page_id % 2 = 0 group by 2 having 'mirror/' || regexp_extract(min(url), '([^/]*)$', 1) not in (select 'mirror/' || regexp_extract(url, '([^/]*)$', 1) from pages where page_id % 5 = 0)")
+MIRROR = "select page_id, upper('m-' || (page_id % 40)) as id, url, 'mirror/' || regexp_extract(url, '([^/]*)$', 1) as target from pages"
+
+
+@Q("jn12_mirror_plan", f"""with p as ({MIRROR}), s as (select * from p where page_id % 40 % 4 <> 0), o as (select id, 0 as r, url, target from s where page_id % 2 = 0), a as (select id, 1, url, target from p where page_id % 2 = 1 and id in (select id from o)),
+b as (select * from o union all select * from a), f as (select target, min((id, r, url)) as f from b group by 1) select f[1] as id, f[3] as url, target from f where target not in (select target from p where page_id % 10 = 0)""".replace("page_id % 2 = 0)", "page_id // 40 % 2 = 0)").replace("page_id % 2 = 1", "page_id // 40 % 2 = 1"))
 def jn12(spark, d):
-    p = table(spark, d, "pages").withColumn("target", F.concat(F.lit("mirror/"), F.regexp_extract("url", "([^/]*)$", 1)))
-    there = p.filter("page_id % 5 = 0").select("target").distinct()
-    return p.filter("page_id % 2 = 0").groupBy("target").agg(F.min("page_id").alias("page_id")).join(there, "target", "left_anti")
+    """Pages as the files of forty publications, half of them attached; some publications aren't selected, and every tenth page is there."""
+    p = table(spark, d, "pages").select("page_id", F.concat(F.lit(" m-"), F.col("page_id") % 40).alias("id"), "url")
+    target, half = F.concat(F.lit("mirror/"), F.regexp_extract("url", "([^/]*)$", 1)), F.floor(F.col("page_id") / 40) % 2
+    there = p.filter("page_id % 10 = 0").select(target.alias("target")).distinct()
+    selected = p.filter("page_id % 40 % 4 <> 0").select("id").distinct()
+    return entries.mirror_plan(p.filter(half == 0), p.filter(half == 1), target, selected, there)
 
 
 ORPHANS = "select o_orderkey, o_custkey in (select o_custkey from orders where o_orderkey % 9 <> 0) as renamed from orders where o_orderkey % 9 = 0"
@@ -169,10 +176,11 @@ def jn13_guard(spark, d):
     return out[0].union(out[1])
 
 
-@Q("jn14_stale_items", "select p_brand, p_partkey from part where p_partkey % 6 = 0")
+@Q("jn14_stale_items", "select p_brand as collection, p_partkey as id from part where p_partkey % 6 = 0 and p_brand not like '%1'")
 def jn14(spark, d):
-    p = table(spark, d, "part").select("p_brand", "p_partkey")
-    return p.join(p.filter("p_partkey % 6 <> 0"), ["p_brand", "p_partkey"], "left_anti")
+    """A build left out every sixth part, and didn't touch some brands."""
+    p = table(spark, d, "part").select(F.col("p_brand").alias("collection"), F.col("p_partkey").alias("id"))
+    return entries.stale(p, p.filter("id % 6 <> 0 and collection not like '%1'"))
 
 
 #: Parts as items: each is a plate of its size's publication, styles are of some parts and some sizes.

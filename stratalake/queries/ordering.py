@@ -129,7 +129,7 @@ def or4(spark, d):
     return results.by_overlap(boxes(spark, d), (-113.5, 38.0, -112.0, 40.5), "id", 30).select("id", "score")
 
 
-@Q("or5_drawable_limit", f"select id, (xmax - xmin) * (ymax - ymin) <= 4 * 0.001e0 as in_area from ({BOXES}) b where (xmax - xmin) * (ymax - ymin) * 400 <= 4")
+@Q("or5_drawable_limit", f"select id, (xmax - xmin) * (ymax - ymin) <= 4 * 0.001e0 as in_area from ({BOXES}) b where (xmax * 20 - xmin * 20) * (ymax * 20 - ymin * 20) <= 4")
 def or5(spark, d):
     """Boxes, twenty times as wide and high, that are drawn without an area, and whether they are in one of a thousandth of a square degree at their own size."""
     b = boxes(spark, d)
