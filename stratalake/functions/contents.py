@@ -28,7 +28,7 @@ def entries(text: Column, noise: tuple[str, ...] = NOISE) -> Column:
 
 def toc(pages: Column) -> Column:
     """The entries of that early page which has most of them, the first of several; none if there are fewer than three."""
-    parsed = F.transform(F.slice(pages, 1, EARLY_PAGES), lambda p: entries(p))
+    parsed = F.transform(F.slice(F.coalesce(pages, F.array().cast("array<string>")), 1, EARLY_PAGES), lambda p: entries(p))
     none = F.array().cast(ENTRIES)
     return F.aggregate(parsed, none, lambda best, e: F.when(F.size(e) > F.size(best), e).otherwise(best), lambda best: F.when(F.size(best) >= FEWEST, best).otherwise(none))
 
