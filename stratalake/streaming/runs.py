@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 STARTS = "schema string, topic string, run int, at timestamp, why string"
+COLUMNS = [c.split()[0] for c in STARTS.split(", ")]
+#: Events of a topic that are followed at a time.
+EVENTS = 65_536
 #: Keyed state needs this state store.
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -23,39 +27,45 @@ class OneRun(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("run", "number int, running boolean, marked boolean")
 
-    def _start(self, key, number: int, at_ms: int, why: str) -> tuple:
+    def _time(self, started_ms: int | None) -> None:
+        """The one timer of a topic: of its run's start, or none."""
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
-        self.handle.registerTimer(at_ms + self.limit_ms)
-        self.state.update((number, True, False))
-        return (*key, number, pd.Timestamp(at_ms, unit="ms"), why)
+        if started_ms is not None:
+            self.handle.registerTimer(started_ms + self.limit_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        events = sorted((r.at, r.kind != "done") for part in rows for r in part[["at", "kind"]].itertuples(index=False))
+        parts = [(p["at"].to_numpy("datetime64[us]").astype(np.int64), (p["kind"] != "done").to_numpy()) for p in rows]
+        at, change = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((change, at))
         number, running, marked = self.state.get() if self.state.exists() else (0, False, False)
-        out = []
-        for at, change in events:
-            at_ms = int(at.timestamp() * 1000)
-            if change and not running:
-                number, running, marked = number + 1, True, False
-                out.append(self._start(key, number, at_ms, "changed"))
-            elif change:
-                marked = True
-                self.state.update((number, True, True))
-            elif running and marked:
-                number, marked = number + 1, False
-                out.append(self._start(key, number, at_ms, "changed meanwhile"))
-            elif running:
-                running = False
-                for timer in list(self.handle.listTimers()):
-                    self.handle.deleteTimer(timer)
-                self.state.update((number, False, False))
-        yield pd.DataFrame(out, columns=["schema", "topic", "run", "at", "why"])
+        started, was_running = None, running
+        for low in range(0, len(order), EVENTS):
+            some, out = order[low : low + EVENTS], []
+            for at_ms, changed in zip((at[some] // 1000).tolist(), change[some].tolist()):
+                if changed and running:
+                    marked = True
+                elif changed or (running and marked):
+                    why = "changed" if changed else "changed meanwhile"
+                    number, running, marked, started = number + 1, True, False, at_ms
+                    out.append((*key, number, pd.Timestamp(at_ms, unit="ms"), why))
+                else:
+                    running = False
+            yield pd.DataFrame(out, columns=COLUMNS)
+        # State and timer are told once what the rows came to, as each call goes to the state store and back.
+        self.state.update((number, running, marked))
+        if started is not None or (was_running and not running):
+            self._time(started if running else None)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         number, running, _ = self.state.get()
-        out = [self._start(key, number + 1, expiredTimerInfo.getExpiryTimeInMs(), "lost")] if running else []
-        yield pd.DataFrame(out, columns=["schema", "topic", "run", "at", "why"])
+        out = []
+        if running:
+            at_ms = expiredTimerInfo.getExpiryTimeInMs()
+            self.state.update((number + 1, True, False))
+            self._time(at_ms)
+            out.append((*key, number + 1, pd.Timestamp(at_ms, unit="ms"), "lost"))
+        yield pd.DataFrame(out, columns=COLUMNS)
 
     def close(self) -> None:
         pass

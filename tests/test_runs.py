@@ -65,3 +65,45 @@ def test_ranges_have_equal_bytes(spark):
     more = df.union(spark.createDataFrame([(None, "x"), (10**9, "y"), (-5, "z")], "k long, body string"))
     assert sum(more.filter(p).count() for p in parts) == 20003
     assert readers.byte_ranges(df, "k", 8) == readers.byte_ranges(df, "body", 8, 1) == readers.byte_ranges(df.limit(0), "k", 8, 0) == ["1 = 1"]
+
+
+def test_state_is_told_once_a_batch():
+    """A topic's events come to the same runs in few calls of the state store, whatever their number."""
+    import pandas as pd
+
+    calls = []
+
+    class Store:
+        value, timers = None, []
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            calls.append("update")
+            self.value = value
+
+        def listTimers(self):
+            calls.append("list")
+            return iter(self.timers)
+
+        def deleteTimer(self, timer):
+            calls.append("delete")
+            self.timers = [t for t in self.timers if t != timer]
+
+        def registerTimer(self, at):
+            calls.append("register")
+            self.timers = [*self.timers, at]
+
+    rng = random.Random(8)
+    events = [("t", rng.choice(["change", "change", "done"]), m) for m in range(3000)]
+    frame = pd.DataFrame([(T0 + datetime.timedelta(minutes=m), k) for _, k, m in events], columns=["at", "kind"])
+    run = runs.OneRun(3600)
+    run.handle = run.state = Store()
+    parts = [run.handleInputRows(("s", "t"), iter([frame[a:b]]), None) for a, b in ((0, 1700), (1700, 3000))]
+    got = [r for part in parts for f in part for r in f.itertuples(index=False)]
+    assert [(r.topic, r.run, int((r.at - T0).total_seconds() // 60), r.why) for r in got] == starts_brute(events)
+    assert len(calls) <= 10 and run.handle.timers == ([got[-1].at.value // 10**6 + 3600_000] if run.state.value[1] else [])
