@@ -99,6 +99,12 @@ def ring_meets(xs: Column, ys: Column, box: tuple[float, float, float, float]) -
     return F.exists(edges, passes) | in_ring(w, s, xs, ys)
 
 
+def diamond_meets(cx: Column, cy: Column, a: Column, b: Column, box: tuple[float, float, float, float]) -> Column:
+    """Whether a diamond of half axes a and b meets a box, from its centre: corners computed from it may round to the other side of a box that they touch."""
+    w, s, e, n = (F.lit(float(v)) for v in box)
+    return F.greatest(F.lit(0.0), w - cx, cx - e) / a + F.greatest(F.lit(0.0), s - cy, cy - n) / b <= 1
+
+
 def boxed(shapes: DataFrame, margin: float = 0.0) -> DataFrame:
     """`shapes` (xs, ys) with their boxes, widened by a margin; shapes without coordinates drop out."""
     return shapes.filter(F.size("xs") > 0).withColumns({"xmin": F.array_min("xs") - margin, "xmax": F.array_max("xs") + margin, "ymin": F.array_min("ys") - margin, "ymax": F.array_max("ys") + margin})

@@ -92,8 +92,10 @@ def pf8(spark, d):
     """Diamonds inside the boxes, clipped by their own outline after the box prefilter."""
     cx, cy = (F.col("xmin") + F.col("xmax")) / 2, (F.col("ymin") + F.col("ymax")) / 2
     a, b = F.greatest((F.col("xmax") - F.col("xmin")) / 2, F.lit(1e-6)), F.greatest((F.col("ymax") - F.col("ymin")) / 2, F.lit(1e-6))
-    ring = boxes(spark, d).filter(geo.overlaps(VIEW)).select("id", F.array(cx - a, cx, cx + a, cx, cx - a).alias("xs"), F.array(cy, cy + b, cy, cy - b, cy).alias("ys"))
-    return ring.filter(spatial.ring_meets(F.col("xs"), F.col("ys"), VIEW)).select("id")
+    ring = boxes(spark, d).filter(geo.overlaps(VIEW)).select("id", cx.alias("cx"), cy.alias("cy"), a.alias("a"), b.alias("b"), F.array(cx - a, cx, cx + a, cx, cx - a).alias("xs"), F.array(cy, cy + b, cy, cy - b, cy).alias("ys"))
+    w, s, e, n = VIEW
+    near = ring.filter(spatial.ring_meets(F.col("xs"), F.col("ys"), (w - 1e-9, s - 1e-9, e + 1e-9, n + 1e-9)))
+    return near.filter(spatial.diamond_meets(*map(F.col, ("cx", "cy", "a", "b")), VIEW)).select("id")
 
 
 @Q("pf19_viewport_filter", f"select id from {B} where {MEETS}")
