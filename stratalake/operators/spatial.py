@@ -1,25 +1,91 @@
-"""Joins of points and boxes by grid cell."""
+"""Joins of points and boxes by grid cell.
+
+Rows of equal coordinates meet the other side once: they are gathered first, and written out as pairs only where they hit, in tasks of about equal numbers of
+pairs. What asks for one row a point decides it for each place.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratalake.plans.storage import small, written
+
+#: Rows of equal coordinates that stand in one row, about, and pairs that a task writes out.
+MEMBERS, TASK_PAIRS = 1024, 4_000_000
+BOX = ["xmin", "ymin", "xmax", "ymax"]
+
 
 def cells(low: Column, high: Column, size: float) -> Column:
     return F.sequence(F.floor(low / size), F.floor(high / size))
 
 
+def gathered(df: DataFrame, value: list[str], name: str) -> DataFrame:
+    """`df` with its rows of equal `value` columns as one, the other columns in an array `name`; those of more than MEMBERS rows have several, told apart by `name`_part."""
+    hot = df.groupBy(*[F.col(c).alias(f"_v{i}") for i, c in enumerate(value)]).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > MEMBERS)
+    same = F.lit(True)
+    for i, c in enumerate(value):
+        same = same & F.col(c).eqNullSafe(F.col(f"_v{i}"))
+    part = F.coalesce(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.ceil(F.col("_n") / MEMBERS)), F.lit(0))
+    parted = df.join(small(hot), same, "left").withColumn(f"{name}_part", part)
+    return parted.groupBy(*value, f"{name}_part").agg(F.collect_list(F.struct(*[c for c in df.columns if c not in value])).alias(name))
+
+
+def spread(met: DataFrame, left: str, right: str) -> DataFrame:
+    """Rows with two arrays of gathered rows, in as many partitions as their pairs need."""
+    met = written(met, "met")
+    pairs = met.agg(F.sum(F.size(left).cast("long") * F.size(right))).first()[0] or 0
+    return met.repartition(-(-pairs // TASK_PAIRS) or 1, F.xxhash64(left, right))
+
+
+def paired(met: DataFrame, left: str, right: str) -> DataFrame:
+    """A row for each pair of the rows gathered in two arrays, with the columns that both met by."""
+    others = [c for c in met.columns if c not in (left, right, f"{left}_part", f"{right}_part")]
+    pairs = spread(met, left, right).select(*others, F.explode(left).alias(left), right).select(*others, left, F.explode(right).alias(right))
+    return pairs.select(*others, f"{left}.*", f"{right}.*")
+
+
+def paired_once(met: DataFrame, left: str, right: str, same: Column, key: str) -> DataFrame:
+    """(a, b): each unordered pair of keys of the rows gathered in two arrays, the smaller first; `same` tells that both are one."""
+    pairs = spread(met.select(left, right, same.alias("_same")), left, right)
+    pairs = pairs.select("_same", F.explode(F.col(f"{left}.{key}")).alias("_a"), right).select("_same", "_a", F.explode(F.col(f"{right}.{key}")).alias("_b"))
+    once = (F.col("_a") < F.col("_b")) | (~F.col("_same") & (F.col("_a") > F.col("_b")))
+    return pairs.filter(once).select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"))
+
+
+def _in_cells(points: DataFrame, boxes: DataFrame, size: float) -> DataFrame:
+    placed = boxes.withColumn("_cx", F.explode(cells(F.col("xmin"), F.col("xmax"), size))).withColumn("_cy", F.explode(cells(F.col("ymin"), F.col("ymax"), size)))
+    keyed = points.withColumns({"_cx": F.floor(F.col("x") / size), "_cy": F.floor(F.col("y") / size)})
+    inside = F.col("x").between(F.col("xmin"), F.col("xmax")) & F.col("y").between(F.col("ymin"), F.col("ymax"))
+    return keyed.join(placed, ["_cx", "_cy"]).filter(inside).drop("_cx", "_cy")
+
+
 def on_grid(points: DataFrame, boxes: DataFrame, size: float) -> DataFrame:
     """Points joined to the boxes that hold them (edges included), by an equi-join on the cells of a grid.
 
     A box stands in each cell it touches and a point in one, so a pair meets once; a crowded cell is an ordinary
     skewed key, which Spark splits.
     """
-    placed = boxes.withColumn("_cx", F.explode(cells(F.col("xmin"), F.col("xmax"), size))).withColumn("_cy", F.explode(cells(F.col("ymin"), F.col("ymax"), size)))
-    keyed = points.withColumns({"_cx": F.floor(F.col("x") / size), "_cy": F.floor(F.col("y") / size)})
-    inside = F.col("x").between(F.col("xmin"), F.col("xmax")) & F.col("y").between(F.col("ymin"), F.col("ymax"))
-    return keyed.join(placed, ["_cx", "_cy"]).filter(inside).drop("_cx", "_cy")
+    met = _in_cells(gathered(points.filter("x is not null and y is not null"), ["x", "y"], "_l"), gathered(boxes, BOX, "_r"), size)
+    return paired(met, "_l", "_r").select(*points.columns, *boxes.columns)
+
+
+def top_at(points: DataFrame, boxes: DataFrame, value: Column, order: Column, size: float, pick: Callable[[Column, Column], Column] = F.min_by) -> DataFrame:
+    """(x, y, value): for each place of a point that boxes hold, the value of the box that is first by `order` (with F.max_by: last)."""
+    own = F.struct(order.alias("o"), value.alias("v"))
+    each = boxes.groupBy(*BOX).agg(pick(own, order).alias("_b"))
+    met = _in_cells(points.select("x", "y").distinct(), each, size)
+    return met.groupBy("x", "y").agg(pick("_b", "_b.o").alias("_b")).select("x", "y", F.col("_b.v").alias("value"))
+
+
+def _boxes_met(a: DataFrame, b: DataFrame, size: float) -> DataFrame:
+    a = a.withColumn("_cx", F.explode(cells(F.col("xmin"), F.col("xmax"), size))).withColumn("_cy", F.explode(cells(F.col("ymin"), F.col("ymax"), size)))
+    b = b.withColumn("_cx", F.explode(cells(F.col("rxmin"), F.col("rxmax"), size))).withColumn("_cy", F.explode(cells(F.col("rymin"), F.col("rymax"), size)))
+    x, y = F.greatest("xmin", "rxmin"), F.greatest("ymin", "rymin")
+    meet = (x <= F.least("xmax", "rxmax")) & (y <= F.least("ymax", "rymax"))
+    return a.join(b, ["_cx", "_cy"]).filter(meet & (F.col("_cx") == F.floor(x / size)) & (F.col("_cy") == F.floor(y / size))).drop("_cx", "_cy")
 
 
 def box_pairs(left: DataFrame, right: DataFrame, size: float) -> DataFrame:
@@ -27,18 +93,43 @@ def box_pairs(left: DataFrame, right: DataFrame, size: float) -> DataFrame:
 
     The right side's box columns are rxmin, rymin, rxmax and rymax.
     """
-    a = left.withColumn("_cx", F.explode(cells(F.col("xmin"), F.col("xmax"), size))).withColumn("_cy", F.explode(cells(F.col("ymin"), F.col("ymax"), size)))
-    b = right.withColumn("_cx", F.explode(cells(F.col("rxmin"), F.col("rxmax"), size))).withColumn("_cy", F.explode(cells(F.col("rymin"), F.col("rymax"), size)))
-    x, y = F.greatest("xmin", "rxmin"), F.greatest("ymin", "rymin")
-    meet = (x <= F.least("xmax", "rxmax")) & (y <= F.least("ymax", "rymax"))
-    return a.join(b, ["_cx", "_cy"]).filter(meet & (F.col("_cx") == F.floor(x / size)) & (F.col("_cy") == F.floor(y / size))).drop("_cx", "_cy")
+    met = _boxes_met(gathered(left, BOX, "_l"), gathered(right, [f"r{c}" for c in BOX], "_r"), size)
+    return paired(met, "_l", "_r").select(*left.columns, *right.columns)
+
+
+def _doubled(rows: DataFrame, value: list[str], names: list[str]) -> tuple[DataFrame, DataFrame, Column, Column]:
+    """Gathered rows as both sides of a join with themselves, whether a pair's left comes first, and whether both are one."""
+    left = gathered(rows, value, "_l")
+    right = left.select(*[F.col(c).alias(n) for c, n in zip(value, names)], F.col("_l_part").alias("_r_part"), F.col("_l").alias("_r"))
+    here, there = F.struct(*value, "_l_part"), F.struct(*[F.col(n).alias(c) for c, n in zip(value, names)], F.col("_r_part").alias("_l_part"))
+    return left, right, here <= there, here == there
+
+
+def overlapping(boxes: DataFrame, key: str, size: float) -> DataFrame:
+    """(a, b): the pairs of overlapping boxes of one table, the smaller key first."""
+    rows = written(boxes.select(key, *BOX), "boxes")
+    left, right, first, same = _doubled(rows, BOX, [f"r{c}" for c in BOX])
+    return paired_once(_boxes_met(left, right, size).filter(first), "_l", "_r", same, key)
+
+
+def _near(left: DataFrame, right: DataFrame, radius: float) -> DataFrame:
+    reach = radius * (1 + 1e-9) + 1e-9  # the distance decides, not the rounding of a box
+    boxes = right.withColumns({"xmin": F.col("ox") - reach, "xmax": F.col("ox") + reach, "ymin": F.col("oy") - reach, "ymax": F.col("oy") + reach})
+    near = _in_cells(left, boxes, max(radius * 2, 1e-9)).drop(*BOX)
+    return near.filter((F.col("x") - F.col("ox")) ** 2 + (F.col("y") - F.col("oy")) ** 2 <= radius**2)
 
 
 def near_points(points: DataFrame, others: DataFrame, radius: float) -> DataFrame:
     """Pairs of points (x, y) and others (ox, oy) at most `radius` apart."""
-    boxes = others.withColumns({"xmin": F.col("ox") - radius, "xmax": F.col("ox") + radius, "ymin": F.col("oy") - radius, "ymax": F.col("oy") + radius})
-    near = on_grid(points, boxes, max(radius * 2, 1e-9)).drop("xmin", "xmax", "ymin", "ymax")
-    return near.filter((F.col("x") - F.col("ox")) ** 2 + (F.col("y") - F.col("oy")) ** 2 <= radius**2)
+    met = _near(gathered(points.filter("x is not null and y is not null"), ["x", "y"], "_l"), gathered(others, ["ox", "oy"], "_r"), radius)
+    return paired(met, "_l", "_r").select(*points.columns, *others.columns)
+
+
+def near_pairs(points: DataFrame, key: str, radius: float) -> DataFrame:
+    """(a, b): the pairs of points of one table at most `radius` apart, the smaller key first."""
+    rows = written(points.filter("x is not null and y is not null").select(key, "x", "y"), "points")
+    left, right, first, same = _doubled(rows, ["x", "y"], ["ox", "oy"])
+    return paired_once(_near(left, right, radius).filter(first), "_l", "_r", same, key)
 
 
 def ring(points: DataFrame, radius: Column, n: int = 8) -> DataFrame:
@@ -70,11 +161,16 @@ def near_contacts(points: DataFrame, key: str, units: DataFrame, size: float) ->
     """
     named = units.filter("unit is not null")
     order = F.struct(F.col("scale").isNull(), F.col("scale"), F.col("feature"))
-    here = on_grid(points, named, size).groupBy(key, "x", "y").agg(F.min_by(F.struct("unit", "scale"), order).alias("_u"))
-    here = here.select(key, "x", "y", F.col("_u.unit").alias("_own"), F.col("_u.scale").alias("_scale"), (F.col("_u.scale") * OFF_BY).alias("_metres"))
-    around = ring_metres(here.filter("_metres is not null"), F.col("_metres"))
-    others = on_grid(around, named, size).filter("unit <> _own").groupBy(F.col(key).alias("_key")).agg(F.min("unit").alias("other"))
-    return here.join(others, F.col(key) == F.col("_key"), "left").select(key, F.col("_own").alias("unit"), F.col("_scale").alias("scale"), F.col("_metres").alias("metres"), "other")
+    here = top_at(points, named, F.struct("unit", "scale"), order, size).select("x", "y", F.col("value.unit").alias("unit"), F.col("value.scale").alias("scale"), (F.col("value.scale") * OFF_BY).alias("metres"))
+    here = written(here, "units-at")  # a row a place
+    around = ring_metres(here.filter("metres is not null").select("x", "y", F.col("x").alias("_x"), F.col("y").alias("_y"), F.col("unit").alias("_own"), "metres"), F.col("metres"))
+    # Of the units of equal boxes, the first two by name: one of them is not the point's own.
+    kinds = written(named.select("unit", *BOX).distinct(), "unit-boxes")
+    first = kinds.groupBy(*BOX).agg(F.min("unit").alias("_first"))
+    second = kinds.join(first, BOX).filter("unit <> _first").groupBy(*BOX).agg(F.min("unit").alias("unit"))
+    two = first.withColumnRenamed("_first", "unit").unionByName(second)
+    others = _in_cells(around, two, size).filter("unit <> _own").groupBy(F.col("_x").alias("x"), F.col("_y").alias("y")).agg(F.min("unit").alias("other"))
+    return points.select(key, "x", "y").join(here.join(others, ["x", "y"], "left"), ["x", "y"]).select(key, "unit", "scale", "metres", "other")
 
 
 def in_ring(x: Column, y: Column, xs: Column, ys: Column) -> Column:
@@ -110,11 +206,24 @@ def boxed(shapes: DataFrame, margin: float = 0.0) -> DataFrame:
     return shapes.filter(F.size("xs") > 0).withColumns({"xmin": F.array_min("xs") - margin, "xmax": F.array_max("xs") + margin, "ymin": F.array_min("ys") - margin, "ymax": F.array_max("ys") + margin})
 
 
+def _in_rings(points: DataFrame, polygons: DataFrame, size: float) -> DataFrame:
+    return _in_cells(points, boxed(polygons), size).filter(in_ring(F.col("x"), F.col("y"), F.col("xs"), F.col("ys"))).drop("xs", "ys", *BOX)
+
+
+def _in_range(points: DataFrame) -> DataFrame:
+    return points.filter(F.col("x").between(-180, 180) & F.col("y").between(-90, 90))  # what is out of range is nowhere
+
+
 def in_polygons(points: DataFrame, polygons: DataFrame, size: float) -> DataFrame:
     """Points (x, y) joined to the polygons (closed rings xs, ys) that hold them: by grid cell and box, then by the ring."""
-    fine = points.filter(F.col("x").between(-180, 180) & F.col("y").between(-90, 90))  # what is out of range is nowhere
-    near = on_grid(fine, boxed(polygons), size)
-    return near.filter(in_ring(F.col("x"), F.col("y"), F.col("xs"), F.col("ys"))).drop("xs", "ys", "xmin", "xmax", "ymin", "ymax")
+    met = _in_rings(gathered(_in_range(points), ["x", "y"], "_l"), gathered(polygons, ["xs", "ys"], "_r"), size)
+    return paired(met, "_l", "_r").select(*points.columns, *[c for c in polygons.columns if c not in ("xs", "ys")])
+
+
+def first_in_polygons(points: DataFrame, polygons: DataFrame, key: str, size: float) -> DataFrame:
+    """(x, y, key): for each place of a point that polygons hold, the least key of them."""
+    shapes = polygons.groupBy("xs", "ys").agg(F.min(key).alias(key))
+    return _in_rings(_in_range(points).select("x", "y").distinct(), shapes, size).groupBy("x", "y").agg(F.min(key).alias(key))
 
 
 def line_distance(x: Column, y: Column, xs: Column, ys: Column) -> Column:
@@ -132,7 +241,8 @@ def line_distance(x: Column, y: Column, xs: Column, ys: Column) -> Column:
 
 def near_features(points: DataFrame, shapes: DataFrame, tolerance: float, size: float) -> DataFrame:
     """Points (x, y) joined to the shapes (xs, ys, polygon) at or within a tolerance of them; a polygon also holds what lies inside it."""
-    near = on_grid(points, boxed(shapes, tolerance), size)
+    near = _in_cells(gathered(points.filter("x is not null and y is not null"), ["x", "y"], "_l"), boxed(gathered(shapes, ["xs", "ys", "polygon"], "_r"), tolerance), size)
     x, y, xs, ys = (F.col(c) for c in ("x", "y", "xs", "ys"))
     hit = (F.col("polygon") & in_ring(x, y, xs, ys)) | (line_distance(x, y, xs, ys) <= tolerance)
-    return near.filter(hit).drop("xs", "ys", "polygon", "xmin", "xmax", "ymin", "ymax")
+    met = near.filter(hit).drop("xs", "ys", "polygon", *BOX)
+    return paired(met, "_l", "_r").select(*points.columns, *[c for c in shapes.columns if c not in ("xs", "ys", "polygon")])

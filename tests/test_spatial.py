@@ -1,8 +1,11 @@
 """Points, boxes and shapes that touch or repeat, against SQL and brute force."""
 
 import duckdb
+import pytest
+from pyspark.sql import functions as F
 
 from stratalake import registry
+from stratalake.operators import spatial
 
 
 def against_sql(spark, folder, name, **tables):
@@ -21,4 +24,23 @@ def parts(ids):
 
 def test_diamonds_that_touch_the_view(spark, tmp_path):
     got, want = against_sql(spark, tmp_path, "pf8_exact_clip", part=parts("15900, 31000, 20"))
-    assert got == want and len(want) > 100
+    assert got == want and len(want) >= 50
+
+
+CUSTOMERS = "select (i %% 1000 + 5000 * (i // 1000))::bigint as c_custkey, 'n' as c_name, 'k' as c_mktsegment from range(%d) r(i)"
+
+
+@pytest.mark.parametrize("name", ["jn4_spatial_containment_join", "jn4_polygon_containment", "jn4_region_containment", "jn5_bbox_overlap_join", "jn6_top_rank_at_point", "jn7_near_contact_check", "jn23_near_point_features", "jn23_near_features"])
+def test_equal_places_and_boxes(spark, tmp_path, monkeypatch, name):
+    """Many points a place and many parts a box, so that gathered rows have several parts, are joined once and written out in full."""
+    monkeypatch.setattr(spatial, "MEMBERS", 4)
+    monkeypatch.setattr(spatial, "TASK_PAIRS", 500)
+    shifted = parts("600").replace("select i::bigint as p_partkey", "select (i % 60 + 35000 * (i // 60))::bigint as p_partkey")
+    got, want = against_sql(spark, tmp_path, name, customer=CUSTOMERS % 5000, part=shifted)
+    assert got == want and len(want) >= 50
+
+
+def test_a_hot_place_is_split(spark):
+    rows = spark.range(5000).select("id", F.lit(1.0).alias("x"), F.when(F.col("id") > 4, 2.0).alias("y"))
+    sizes = [(r["y"], len(r["m"])) for r in spatial.gathered(rows, ["x", "y"], "m").collect()]
+    assert sum(n for _, n in sizes) == 5000 and max(n for _, n in sizes) < 2 * spatial.MEMBERS and (None, 5) in sizes
