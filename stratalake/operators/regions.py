@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stratalake.operators.spatial import gathered, paired
 from stratalake.plans.storage import written
 
 #: Edges of a cell that stand in one row come from a stretch of so many of a ring.
@@ -29,9 +30,10 @@ def _crossing_x(y: Column) -> Column:
 
 
 def region_cells(rings: DataFrame, key: str, size: float) -> DataFrame:
-    """(key, cx, cy, inside, edges): the cells of the regions of `rings` (key, xs, ys); edges is null in cells that lie wholly inside.
+    """(key, cx, cy, inside, edges, alone): the cells of the regions of `rings` (key, xs, ys); edges is null in cells that lie wholly inside.
 
-    A cell with edges of several stretches of rings has a row for each, the first of which carries `inside`, that of its corner; the others say false.
+    A cell with edges of several stretches of rings has a row for each, the first of which carries `inside`, that of its corner; the others say false. A row
+    that is its region's only one in a cell is `alone`.
     """
     edges = written(ring_edges(rings.select(F.col(key).alias("id"), "xs", "ys"), "id"), "edges")
     low, high = F.least("y0", "y1"), F.greatest("y0", "y1")
@@ -50,18 +52,18 @@ def region_cells(rings: DataFrame, key: str, size: float) -> DataFrame:
     line = F.col("cy") * size
     crossed = rows.filter((F.col("y0") > line) != (F.col("y1") > line)).select("id", "cy", F.ceil(_crossing_x(line) / size).alias("cx"))
     turns = crossed.groupBy("id", "cy", "cx").agg(F.count(F.lit(1)).alias("turns"))
-    cells = stretches.groupBy("id", "cy", "cx").agg(F.min("stretch").alias("first")).withColumn("turns", F.lit(0).cast("long"))
+    cells = stretches.groupBy("id", "cy", "cx").agg(F.min("stretch").alias("first"), F.count(F.lit(1)).alias("rows")).withColumn("turns", F.lit(0).cast("long"))
     row = Window.partitionBy("id", "cy")  # the columns of a region in a row of cells
-    events = cells.unionByName(turns.withColumn("first", F.lit(None).cast("long"))).groupBy("id", "cy", "cx").agg(F.min("first").alias("first"), F.sum("turns").alias("turns"))
+    events = cells.unionByName(turns.withColumns({"first": F.lit(None).cast("long"), "rows": F.lit(0).cast("long")})).groupBy("id", "cy", "cx").agg(F.min("first").alias("first"), F.sum("rows").alias("rows"), F.sum("turns").alias("turns"))
     sides = events.withColumn("inside", F.sum("turns").over(row.orderBy("cx").rowsBetween(Window.unboundedPreceding, 0)) % 2 == 1)
     sides = written(sides.withColumn("next", F.lead("cx").over(row.orderBy("cx"))), "sides")
 
-    corners = sides.filter("first is not null").select("id", "cx", "cy", F.col("first").alias("stretch"), "inside")
-    with_edges = stretches.join(corners, ["id", "cx", "cy", "stretch"], "left").select("id", "cx", "cy", F.coalesce("inside", F.lit(False)).alias("inside"), "edges")
+    corners = sides.filter("first is not null").select("id", "cx", "cy", F.col("first").alias("stretch"), "inside", (F.col("rows") == 1).alias("alone"))
+    with_edges = stretches.join(corners, ["id", "cx", "cy", "stretch"], "left").select("id", "cx", "cy", F.coalesce("inside", F.lit(False)).alias("inside"), "edges", F.coalesce("alone", F.lit(False)).alias("alone"))
     # After an event there are no edges until the next one: what lies between is on one side. An event without edges is such a cell itself.
     start = F.col("cx") + F.when(F.col("first").isNull(), 0).otherwise(1)
     between = sides.filter(F.col("inside") & (start < F.col("next"))).select("id", F.explode(F.sequence(start, F.col("next") - 1)).alias("cx"), "cy")
-    full = between.select("id", "cx", "cy", F.lit(True).alias("inside"), F.lit(None).cast(with_edges.schema["edges"].dataType).alias("edges"))
+    full = between.select("id", "cx", "cy", F.lit(True).alias("inside"), F.lit(None).cast(with_edges.schema["edges"].dataType).alias("edges"), F.lit(True).alias("alone"))
     return written(with_edges.unionByName(full).withColumnRenamed("id", key), "region-cells")
 
 
@@ -81,8 +83,15 @@ def _flips(x: Column, y: Column, left: Column, below: Column, edges: Column) ->
 
 def in_regions(points: DataFrame, point_key: str, cells: DataFrame, key: str, size: float) -> DataFrame:
     """(point_key, key): the regions, as `region_cells` of the same size, that hold each point (x, y); points without coordinates are in none."""
-    placed = points.filter("x is not null and y is not null and not isnan(x) and not isnan(y)").select(F.col(point_key).alias("_p"), "x", "y", F.floor(F.col("x") / size).alias("cx"), F.floor(F.col("y") / size).alias("cy"))
-    met = placed.join(cells.select(F.col(key).alias("_r"), "cx", "cy", "inside", "edges"), ["cx", "cy"])
+    fine = points.filter("x is not null and y is not null and not isnan(x) and not isnan(y)").select(F.col(point_key).alias("_p"), "x", "y")
+    place = {"cx": F.floor(F.col("x") / size), "cy": F.floor(F.col("y") / size)}
     flips = F.coalesce(_flips(F.col("x"), F.col("y"), F.col("cx") * size, F.col("cy") * size, F.col("edges")), F.lit(0))
-    sides = met.select("_p", "_r", (F.col("inside").cast("int") + flips).alias("n"))
-    return sides.groupBy("_p", "_r").agg(F.sum("n").alias("n")).filter("n % 2 = 1").select(F.col("_p").alias(point_key), F.col("_r").alias(key))
+    turned = (F.col("inside").cast("int") + flips).alias("n")
+    named = cells.select(F.col(key).alias("_r"), "cx", "cy", "inside", "edges", "alone")
+    # Cells of equal edges are decided once for all their regions and for all points of a place.
+    lone = gathered(named.filter("alone").select("_r", "cx", "cy", "inside", F.array_sort("edges").alias("edges")), ["cx", "cy", "inside", "edges"], "_regions")
+    met = gathered(fine, ["x", "y"], "_points").withColumns(place).join(lone, ["cx", "cy"]).select("_points", "_regions", turned).filter("n % 2 = 1")
+    decided = paired(met.drop("n"), "_points", "_regions")
+    sides = fine.withColumns(place).join(named.filter("not alone"), ["cx", "cy"]).select("_p", "_r", turned)
+    summed = sides.groupBy("_p", "_r").agg(F.sum("n").alias("n")).filter("n % 2 = 1").drop("n")
+    return decided.select("_p", "_r").unionByName(summed).select(F.col("_p").alias(point_key), F.col("_r").alias(key))
