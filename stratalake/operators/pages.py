@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 100_000
+#: Ranges that a table is sorted in at most; a range holds many blocks, so that what is sampled for its bounds doesn't grow with them.
+RANGES = 256
 
 
 def _sorting(order: list[tuple[str, bool]]) -> list[Column]:
@@ -26,11 +28,14 @@ def _ahead(order: list[tuple[str, bool]], of: dict[str, Column], prefix: str = "
 def write_pages(df: DataFrame, order: list[tuple[str, bool]], path: str, block_rows: int = BLOCK_ROWS) -> None:
     """Write `df` in the order of (column, ascending), which should tell all rows apart, with nulls last, as `path`/rows, a file a block, and `path`/blocks.
 
-    Blocks are ranges of the order, of about `block_rows`; a row keeps its place in its block.
+    Blocks are stretches of ranges of the order, of `block_rows` at most; a row keeps its place in its block. Blocks are numbered in order, with gaps.
     """
-    blocks = max(1, -(-df.count() // block_rows))
-    ranged = df.repartitionByRange(blocks, *_sorting(order)).sortWithinPartitions(*_sorting(order))
-    placed = ranged.withColumns({"_place": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1), "_block": F.spark_partition_id()})
+    rows = df.count()
+    ranges = min(RANGES, max(1, -(-rows // block_rows)))
+    ranged = df.repartitionByRange(ranges, *_sorting(order)).sortWithinPartitions(*_sorting(order))
+    placed = ranged.withColumns({"_row": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1), "_range": F.spark_partition_id().cast("long")})
+    number = F.col("_range") * (rows // block_rows + 1) + F.expr(f"_row div {block_rows}")
+    placed = placed.withColumns({"_place": F.col("_row") % block_rows, "_block": number}).drop("_row", "_range")
     placed.write.partitionBy("_block").parquet(f"{path}/rows")
     stored = df.sparkSession.read.parquet(f"{path}/rows")
     first = F.min_by(F.struct(*[c for c, _ in order]), "_place").alias("first")

@@ -187,3 +187,18 @@ def test_pages_at_any_depth(spark, tmp_path):
     assert re.search(r"PartitionFilters: \[[^\]]*_block", one._jdf.queryExecution().executedPlan().toString()) and len(one.inputFiles()) >= 1
     for at in (0, 1, 399, 1700, 2999):
         assert pages.place_of(spark, path, order, dict(zip(("id", "v"), want[at]))) == at
+
+
+def test_many_blocks_come_from_few_ranges(spark, tmp_path):
+    """The tasks that write pages, and the rows sampled for their bounds, don't grow with the blocks."""
+    path, order = f"file://{tmp_path}/pages", [("v", False), ("id", True)]
+    df = spark.range(20000).select("id", (F.col("id") * 7919 % 20000 % 9000).alias("v"))
+    pages.write_pages(df, order, path, 20)
+    stored = spark.read.parquet(f"{path}/rows")
+    blocks = stored.groupBy("_block").count()
+    assert blocks.count() >= 1000 and blocks.agg(F.max("count")).first()[0] <= 20
+    tasks = {re.search(r"part-([0-9]+)", f)[1] for f in stored.inputFiles()}
+    assert len(tasks) <= pages.RANGES
+    want = sorted(((r["id"], r["v"]) for r in df.collect()), key=lambda r: (-r[1], r[0]))
+    assert [tuple(r) for r in pages.read_page(spark, path, 45, 12345).collect()] == want[12345:12390]
+    assert pages.place_of(spark, path, order, {"id": want[17003][0], "v": want[17003][1]}) == 17003
