@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratalake.functions.stemming import STOP_WORDS, porter, stemmed
-from stratalake.operators.search import B, K1, bm25_part, terms
+from stratalake.functions.stemming import STOP_WORDS, porter
+from stratalake.operators.search import B, K1, bm25_part, terms, word_counts
 from stratalake.plans.storage import small, written
 
 #: Partitions of the postings, and documents in a block at most.
@@ -51,12 +51,10 @@ class Analyzer:
 
 
 def _counts(docs: DataFrame, analyzer: Analyzer) -> DataFrame:
-    """(term, doc, tf, length) of docs (doc, text)."""
-    words = docs.select("doc", analyzer.words(F.col("text")).alias("w")).select("doc", F.size("w").alias("length"), F.explode("w").alias("term"))
-    counted = words.groupBy("term", "doc", "length").agg(F.count(F.lit(1)).cast("int").alias("tf"))
-    if analyzer.stems:
-        counted = stemmed(written(counted, "word-counts"), "term").groupBy("term", "doc", "length").agg(F.sum("tf").cast("int").alias("tf"))
-    return counted.select("term", "doc", "tf", "length")
+    """(term, doc, tf, length) of docs (doc, text); each document's words are counted, and stemmed, where it lies."""
+    keyed = docs.select(F.struct("doc", F.size(analyzer.words(F.col("text"))).alias("length")).alias("key"), "text")
+    counted = word_counts(keyed, "key", analyzer.words(F.col("text")), porter if analyzer.stems else None)
+    return counted.select("term", "key.doc", F.col("tf").cast("int").alias("tf"), "key.length")
 
 
 def _cutter(block: int):

@@ -24,6 +24,8 @@ SAMPLE_PER_CELL, ROUNDS = 64, 12
 MOST_CELLS = 1024
 #: Queries whose exact neighbours are compared when probes are chosen.
 TUNING_QUERIES = 200
+#: Rows of a query and a cell that a task makes at a time, each with its vector.
+PROBE_ROWS = 65_536
 #: Angles are compared with this slack, far above rounding.
 SLACK = 1e-7
 
@@ -95,17 +97,24 @@ class Cells:
         return np.argsort(-near, axis=1, kind="stable"), np.arccos(np.clip(near, -1, 1))
 
 
-def _probe_rows(queries: DataFrame, cells: Cells, choose) -> DataFrame:
-    """(id, e, cell): each query once for each cell that `choose` (order, angles, least similarity) gives a mask of."""
+def _prober(cells: Cells, choose):
+    """(id, e, cell) of queries (id, e, least), in batches of PROBE_ROWS at most, however many cells a query has to probe."""
+    step = max(1, PROBE_ROWS // max(1, len(cells.ids)))
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                order, angles = cells.order(batch.column(1))
-                row, at = np.nonzero(choose(order, angles, batch.column(2).to_numpy(zero_copy_only=False)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)), pa.array(cells.ids[at].astype(np.int32))], names=["id", "e", "cell"])
+            for low in range(0, batch.num_rows, step):
+                some = batch.slice(low, step)
+                order, angles = cells.order(some.column(1))
+                row, at = np.nonzero(choose(order, angles, some.column(2).to_numpy(zero_copy_only=False)))
+                yield pa.RecordBatch.from_arrays([some.column(0).take(pa.array(row)), some.column(1).take(pa.array(row)), pa.array(cells.ids[at].astype(np.int32))], names=["id", "e", "cell"])
+
+    return probe
 
-    return queries.select("id", "e", "least").mapInArrow(probe, "id bigint, e array<float>, cell int")
+
+def _probe_rows(queries: DataFrame, cells: Cells, choose) -> DataFrame:
+    """(id, e, cell): each query once for each cell that `choose` (order, angles, least similarity) gives a mask of."""
+    return queries.select("id", "e", "least").mapInArrow(_prober(cells, choose), "id bigint, e array<float>, cell int")
 
 
 def _ranked(probes: DataFrame, spark: SparkSession, path: str, cells: Cells, k: int, block: int) -> DataFrame:

@@ -202,3 +202,52 @@ def test_many_blocks_come_from_few_ranges(spark, tmp_path):
     want = sorted(((r["id"], r["v"]) for r in df.collect()), key=lambda r: (-r[1], r[0]))
     assert [tuple(r) for r in pages.read_page(spark, path, 45, 12345).collect()] == want[12345:12390]
     assert pages.place_of(spark, path, order, {"id": want[17003][0], "v": want[17003][1]}) == 17003
+
+
+def test_words_are_counted_without_a_shuffle(spark, monkeypatch):
+    """The counts of each text, whatever is counted at a time, with no shuffle of its words."""
+    monkeypatch.setattr(search, "BATCH_WORDS", 5)
+    texts = [(1, "b a b"), (2, None), (3, ""), (4, "a " * 9 + "c"), (5, "Running runs b")]
+    df = spark.createDataFrame(texts, "id long, text string").coalesce(1)
+    found, _ = search.text_index(df, "id", F.col("text"))
+    want = {(w, i, n) for i, t in texts for w, n in Counter((t or "").lower().split()).items()}
+    assert {tuple(r) for r in found.collect()} == want
+    assert "Exchange hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+    stems = search.word_counts(df, "id", search.terms(F.col("text")), porter).filter("id = 5")
+    assert {tuple(r) for r in stems.collect()} == {(5, "run", 2), (5, "b", 1)}
+    hashed = search.hashed_vector(F.col("text"), 4)
+    assert str(hashed).count("regexp_extract_all") == 1
+    assert [sum(r[0]) for r in df.select(hashed).collect()] == [3, 0, 0, 10, 3]
+
+
+def test_probes_come_in_bounded_batches(monkeypatch):
+    import pyarrow as pa
+
+    class Cells:
+        ids = np.arange(50)
+
+        def order(self, e):
+            return np.zeros((len(e), 50)), np.zeros((len(e), 50))
+
+    monkeypatch.setattr(vectors, "PROBE_ROWS", 1000)
+    queries = pa.record_batch({"id": pa.array(range(700)), "e": pa.array([[1.0, 2.0]] * 700), "least": pa.array([0.0] * 700)})
+    sizes = [b.num_rows for b in vectors._prober(Cells(), lambda order, angles, least: np.ones(order.shape, bool))(iter([queries]))]
+    assert sum(sizes) == 700 * 50 and max(sizes) <= 1000
+
+
+def test_block_best_is_that_of_a_full_sort():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    e = rng.integers(-2, 3, (300, 3)).astype(np.float32)  # many ties
+    e[~e.any(1)] = 1
+    ids = rng.permutation(300)
+    block = pa.table({"id": pa.array(ids), "e": pa.array(e.tolist(), pa.list_(pa.float32()))})
+    unit = e[np.argsort(ids)].astype(float)
+    unit /= np.sqrt((unit * unit).sum(1, keepdims=True))
+    s = np.round(unit @ unit.T, 12)
+    np.fill_diagonal(s, -np.inf)
+    for k in (5, 299, 400):
+        want = [(q, v, s[q, v]) for q in range(300) for v in np.argsort(-s[q], kind="stable")[:k] if v != q]
+        got = search.block_best(k)(block, block)
+        assert list(zip(*(got[c].to_pylist() for c in ("q", "v", "s")))) == want
