@@ -2,9 +2,12 @@
 
 import datetime
 
+import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from stratalake.sources import archive, readers
+from stratalake.queries import ingest
+from stratalake.sources import archive, exports, readers
 
 
 def table_of(spark, path, data: bytes):
@@ -43,3 +46,23 @@ def test_archives_are_kept(spark, tmp_path):
     assert max(len(b) for b in archive.read_latest(spark, path).groupBy(F.input_file_name().alias("f")).agg(F.collect_list("id").alias("b")).select("b").toPandas()["b"]) <= 7
     box = archive.read_sidecar(spark, path, day).first()["columns"]["geom"]
     assert box["bbox"] == [0.0, 1.0, 19.0, 1.0] and box["geometry_types"] == ["Point"]
+
+
+def test_a_file_a_document_in_few_folders(spark, tmp_path):
+    body = F.when(F.col("id") % 3 == 0, " \n").when(F.col("id") % 3 == 1, F.concat(F.lit("é\n"), "id", F.lit("\n\n")))
+    docs = spark.range(250).select(F.concat(F.lit("d.x-"), "id").alias("key"), body.alias("body"))
+    assert exports.write_sidecars(docs, "key", "body", f"file:{tmp_path}/a", files=100) == 250
+    assert sorted(p.name for p in (tmp_path / "a").iterdir()) == ["part=0", "part=1", "part=2"]
+    found = readers.document_scan(spark, f"file://{tmp_path}/a").select("id", "body").collect()
+    assert sorted(tuple(r) for r in found) == sorted((f"D.X-{i}", f"é\n{i}\n\n") for i in range(1, 250, 3))
+
+
+def test_the_scan_has_no_folder_a_document(spark):
+    files = ingest.sc5(spark, "/root/testdata/sf0.001").inputFiles()
+    assert len(files) == spark.read.parquet("/root/testdata/sf0.001/supplier.parquet").count() and len({f.rpartition("/")[0] for f in files}) == 1
+
+
+@pytest.mark.parametrize("names", [["a", "A"], ["_a"], [".a"], ["a/b"], [None], [""]])
+def test_names_that_a_scan_would_lose(spark, tmp_path, names):
+    with pytest.raises(PySparkException, match="no name for a file"):
+        exports.write_sidecars(spark.createDataFrame([(n, "x") for n in names], "key string, body string"), "key", "body", f"file://{tmp_path}/b")
