@@ -110,7 +110,7 @@ def document_scan(spark: SparkSession, path: str) -> DataFrame:
     """(the folder's partition columns, id, body) of text files: the id is the file's stem in upper case; blank ones are left out."""
     files = spark.read.text(path, wholetext=True)
     folders = [c for c in files.columns if c != "value"]
-    rows = files.select(*folders, F.col("_metadata.file_name").alias("f"), F.col("value").alias("body"))
+    rows = files.select(*folders, F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("f"), F.col("value").alias("body"))  # Spark gives names encoded
     return rows.filter(F.col("body").rlike(r"\S")).select(*folders, F.upper(F.regexp_replace("f", r"\.[^.]*$", "")).alias("id"), "body")
 
 

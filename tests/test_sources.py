@@ -62,7 +62,13 @@ def test_the_scan_has_no_folder_a_document(spark):
     assert len(files) == spark.read.parquet("/root/testdata/sf0.001/supplier.parquet").count() and len({f.rpartition("/")[0] for f in files}) == 1
 
 
-@pytest.mark.parametrize("names", [["a", "A"], ["_a"], [".a"], ["a/b"], [None], [""]])
+@pytest.mark.parametrize("names", [["a", "A"], ["_a"], [".a"], ["a/b"], ["a:b"], [None], [""]])
 def test_names_that_a_scan_would_lose(spark, tmp_path, names):
     with pytest.raises(PySparkException, match="no name for a file"):
         exports.write_sidecars(spark.createDataFrame([(n, "x") for n in names], "key string, body string"), "key", "body", f"file://{tmp_path}/b")
+
+
+def test_ids_are_names_as_they_are(spark, tmp_path):
+    names = ["a b", "é", "50%", "%41", "x=y", "{a}", "#1", "a?b", "a+b", "a.b"]
+    exports.write_sidecars(spark.createDataFrame([(n, n) for n in names], "key string, body string"), "key", "body", f"file://{tmp_path}/c")
+    assert sorted(tuple(r) for r in readers.document_scan(spark, f"file://{tmp_path}/c").select("id", "body").collect()) == sorted((n.upper(), n) for n in names)
