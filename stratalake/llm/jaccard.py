@@ -37,11 +37,19 @@ from stratalake.llm.tables import documents, small, written
 WORDS = 5
 SHARES = (8, 4, 2)
 #: The largest cluster that one task verifies, in documents and in shingles, and the size of a block of larger ones.
-CLUSTER_DOCS, CLUSTER_SHINGLES, BLOCK_DOCS = 250, 4_000_000, 125
+CLUSTER_DOCS, CLUSTER_SHINGLES, BLOCK_DOCS = 250, 4_000_000, 500
 #: Pivots of a large cluster in a round; rounds go on while they link this share of the documents that are left.
 PIVOTS, WORTH = 16, 0.1
 #: Columns of a matrix product.
 COLUMNS = 8192
+#: Prefix shingles of a bucket, about, the most buckets, and how many shingles a task deals out at a time.
+BUCKET_SHINGLES, BUCKETS, DEALT_SHINGLES = 1 << 19, 1 << 16, 1 << 21
+#: Documents that hold a shingle are counted up to here.
+MOST_HOLDERS = (1 << 15) - 1
+#: The least sizes of bands: documents of bands that aren't neighbours differ by more than 4 : 3.
+BANDS = [1]
+while BANDS[-1] < 1 << 40:
+    BANDS.append(4 * BANDS[-1] // 3 + 1)
 
 
 def summaries(docs: DataFrame, k: int = WORDS) -> DataFrame:
@@ -61,30 +69,69 @@ def prefix_length(n: np.ndarray, share: int) -> np.ndarray:
     return np.minimum(n, n - -(-3 * n // 4) + 1 + n // share)
 
 
-def prefixes(docs: DataFrame, share: int, k: int = WORDS) -> DataFrame:
-    """(tok, doc): the shingles of each document's prefix."""
+def _planes(x: np.ndarray) -> bytes:
+    """Differences of whole numbers, their lowest bytes first, then the next ones: bytes that are all alike compress well."""
+    return np.diff(x, prepend=np.int64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.cumsum(np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.int64).ravel())
+
+
+def _dealt(tokens: np.ndarray, own: np.ndarray, buckets: int) -> pa.RecordBatch:
+    bucket = ((tokens >> np.uint64(32)) % np.uint64(buckets)).astype(np.uint16)
+    order = np.argsort(bucket, kind="stable")
+    bucket, tokens, own = bucket[order], tokens[order].astype(np.uint32), own[order]
+    bounds = np.append(np.flatnonzero(np.diff(bucket, prepend=bucket[:1] + 1)), len(bucket))
+    parts = list(zip(bounds[:-1].tolist(), bounds[1:].tolist()))
+    columns = [pa.array([tokens[x:y].tobytes() for x, y in parts], pa.binary()), pa.array([_planes(own[x:y]) for x, y in parts], pa.binary())]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[bounds[:-1]].astype(np.int32)), *columns], names=["bucket", "toks", "docs"])
+
+
+def prefixes(docs: DataFrame, share: int, buckets: int, k: int = WORDS) -> DataFrame:
+    """(bucket, toks, docs): the shingles of each document's prefix, dealt to buckets by their hash, many in a row: 32 of its other bits, and the documents."""
 
     def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for at, end, data, offsets in K.slices(batch.column(1)):
                 sets = K.shingle_sets(data, offsets, k)
                 length = prefix_length(np.array([len(s) for s in sets], np.int64), share)
-                tokens = np.concatenate([s[:n] for s, n in zip(sets, length)]).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(np.repeat(ids[at:end], length), pa.int64())], names=["tok", "doc"])
+                held.append((np.concatenate([s[:n] for s, n in zip(sets, length)]).astype(np.uint64), np.repeat(ids[at:end], length)))
+                size += len(held[-1][0])
+                if size >= DEALT_SHINGLES:
+                    yield _dealt(*map(np.concatenate, zip(*held)), buckets)
+                    held, size = [], 0
+        if size:
+            yield _dealt(*map(np.concatenate, zip(*held)), buckets)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(prefix, "tok bigint, doc bigint")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(prefix, "bucket int, toks binary, docs binary")
+
+
+def _held_by_several(group: pa.Table) -> pa.Table:
+    """(doc, tok) of a bucket's shingles that are held more than once; they are numbered so that rarer ones come first."""
+    tok = np.concatenate([np.frombuffer(x.as_py(), np.uint32) for x in group.column("toks")])
+    doc = np.concatenate([_from_planes(x.as_py()) for x in group.column("docs")])
+    _, at, count = np.unique(tok, return_inverse=True, return_counts=True)
+    several = count[at] > 1
+    holders = np.minimum(count[at][several], MOST_HOLDERS)
+    return pa.table({"doc": doc[several], "tok": holders << 48 | np.int64(group.column("bucket")[0].as_py()) << 32 | tok[several].astype(np.int64)})
 
 
 def clusters(docs: DataFrame, sizes: DataFrame, share: int, k: int = WORDS) -> DataFrame:
-    """(doc, cluster) of the documents that can have a link, for `docs` and their `sizes` (doc, n)."""
-    tokens = written(prefixes(docs, share, k), "prefixes")
-    # Counts are written, so that Spark can split a hot shingle in the joins below.
-    frequency = written(tokens.groupBy("tok").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "frequencies")
-    held = tokens.join(frequency, "tok").groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("df", "tok"))).alias("held"))
+    """(doc, cluster) of the documents that can have a link, for `docs` and their `sizes` (doc, n).
+
+    Most prefix shingles are held once, and no row is made of these. Shingles that agree in a bucket and 32 bits count as one, which can
+    only tie more documents; one that a document then holds twice stays twice in its list, so that as many are left as the links ask for.
+    """
+    shingles = sizes.agg(F.sum("n")).first()[0] or 0
+    buckets = min(BUCKETS, 1 + int(shingles * (0.25 + 1 / share)) // BUCKET_SHINGLES)
+    tokens = prefixes(docs, share, buckets, k).groupBy("bucket").applyInArrow(_held_by_several, "doc bigint, tok bigint")
+    held = tokens.groupBy("doc").agg(F.sort_array(F.collect_list("tok")).alias("held"))
     left_out = F.expr(f"((3 * n + 3) div 4) div {share}")
     kept = held.join(sizes, "doc").withColumn("keep", (F.size("held") - left_out).cast("int")).filter("keep > 0")
-    shared = written(kept.select("doc", F.explode(F.slice("held", F.lit(1), F.col("keep"))["tok"]).alias("tok")), "shared")
+    shared = written(kept.select("doc", F.explode(F.slice("held", F.lit(1), F.col("keep"))).alias("tok")), "shared")
     first = shared.groupBy("tok").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("c")).filter("c > 1")
     ties = shared.join(written(first, "first"), "tok").filter("doc <> first").select("doc", "first")
     roots = components(ties)
@@ -202,20 +249,23 @@ def pivot_links(docs: DataFrame, large: DataFrame, share: int, k: int = WORDS) -
 
 
 def large_links(docs: DataFrame, large: DataFrame, share: int, k: int = WORDS) -> DataFrame:
-    """(u, v): spanning links of the large clusters (doc, cluster, n), by pivots and then by pairs of blocks."""
+    """(u, v): spanning links of the large clusters (doc, cluster, n), by pivots and then by pairs of blocks whose documents have sizes that can link."""
     by_pivot = written(pivot_links(docs, large, share, k), "pivot-links")
     roots = components(by_pivot)
     core = roots.union(roots.select("v", "v").distinct()).toDF("doc", "core")
-    members = written(large.join(core, "doc", "left"), "members")
-    parts = members.groupBy("cluster", "core").agg(_n_blocks(F.count(F.lit(1)), F.sum("n")).alias("blocks"))
-    # A cluster has as many parts as pivots at most, and one of all documents without one.
-    parts = written(parts.withColumns({"first": F.sum("blocks").over(Window.partitionBy("cluster").orderBy("core")) - F.col("blocks"), "all": F.sum("blocks").over(Window.partitionBy("cluster"))}), "parts")
-    parts = parts.withColumnsRenamed({"cluster": "p_cluster", "core": "p_core"})
-    placed = members.join(small(parts), (F.col("cluster") == F.col("p_cluster")) & F.col("core").eqNullSafe(F.col("p_core")))
-    zero = F.lit(0).cast("long")
-    others = F.when(F.col("core").isNull(), _to(zero, F.col("all"))).otherwise(F.concat(_to(zero, F.col("first")), _to(F.col("first") + F.col("blocks"), F.col("all"))))
-    placed = placed.select("doc", "cluster", F.lit(share).alias("share"), (F.col("first") + F.pmod(F.xxhash64("doc"), F.col("blocks"))).alias("b"), others.alias("others"))
-    return by_pivot.union(links(docs, written(placed.filter(F.size("others") > 0), "placed"), k))
+    band = F.size(F.filter(F.array(*[F.lit(x).cast("long") for x in BANDS]), lambda x: x <= F.col("n")))
+    members = written(large.join(core, "doc", "left").withColumn("band", band), "members")
+    parts = members.groupBy("cluster", "core", "band").agg(_n_blocks(F.count(F.lit(1)), F.sum("n")).alias("blocks"))
+    # A cluster has as many cores as pivots at most, and one part of all documents without one, each in at most len(BANDS) bands.
+    parts = written(parts.withColumn("first", F.sum("blocks").over(Window.partitionBy("cluster").orderBy("core", "band")) - F.col("blocks")), "parts")
+    a, b = parts.alias("a"), parts.alias("b")
+    near = (F.col("a.cluster") == F.col("b.cluster")) & (F.abs(F.col("a.band") - F.col("b.band")) <= 1) & (F.col("a.core").isNull() | ~F.col("a.core").eqNullSafe(F.col("b.core")))
+    others = F.flatten(F.collect_list(_to(F.col("b.first"), F.col("b.first") + F.col("b.blocks"))))
+    met = a.join(b, near).groupBy(*[F.col(f"a.{c}").alias(f"p_{c}") for c in ("cluster", "core", "band", "first", "blocks")]).agg(others.alias("others"))
+    same = (F.col("cluster") == F.col("p_cluster")) & (F.col("band") == F.col("p_band")) & F.col("core").eqNullSafe(F.col("p_core"))
+    placed = members.join(small(written(met, "met")), same)
+    placed = placed.select("doc", "cluster", F.lit(share).alias("share"), (F.col("p_first") + F.pmod(F.xxhash64("doc"), F.col("p_blocks"))).alias("b"), "others")
+    return by_pivot.union(links(docs, written(placed, "placed"), k))
 
 
 def component_ids(docs: DataFrame, k: int = WORDS) -> DataFrame:
@@ -244,6 +294,7 @@ def component_ids(docs: DataFrame, k: int = WORDS) -> DataFrame:
             break
         # What is left is read several times more, so it is written.
         members = written(members.join(small(rest.select(F.col("doc").alias("doc_id"))), "doc_id", "left_semi"), "members")
+        sizes = rest.select("doc", "n")
     found = parts[0]
     for part in parts[1:]:
         found = found.union(part)

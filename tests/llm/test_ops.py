@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -373,6 +374,43 @@ def test_jaccard_join(docs, corpus, monkeypatch):
     assert kept == {i for i, (_, c) in want.items() if c == i}
 
 
+def test_jaccard_deals_shingles_in_batches(spark, docs):
+    """A row for each bucket of a task, not for each shingle; what several hold comes back with their ids."""
+    known = docs.filter("doc_id is not null and text is not null").coalesce(1)
+    dealt = jaccard.prefixes(known, 8, 4)
+    assert 0 < dealt.count() <= 4
+    ids = np.array([-(1 << 62), 5, 5, 1 << 62, -1, 0])
+    assert jaccard._from_planes(jaccard._planes(ids)).tolist() == ids.tolist()
+    token = np.array([3 << 40, 7, 3 << 40, 9 << 33, 7, 7], np.uint64)
+    batch = pa.Table.from_batches([jaccard._dealt(token, ids, 4)])
+    assert batch.column("bucket").to_pylist() == [0, 2]
+    held = [jaccard._held_by_several(batch.slice(x, 1)).to_pydict() for x in (0, 1)]
+    by_token = defaultdict(list)
+    for doc, tok in zip(held[0]["doc"], held[0]["tok"]):
+        by_token[tok].append(doc)
+    assert [by_token[t] for t in sorted(by_token)] == [ids[[0, 2]].tolist(), ids[[1, 4, 5]].tolist()]  # the rarer one first
+    assert held[1] == {"doc": [], "tok": []}
+
+
+def test_jaccard_blocks_meet_where_sizes_can_link(spark, monkeypatch):
+    words = [f"w{i}" for i in range(400)]
+    rows = [(n, " ".join(words[:n])) for n in range(8, 400, 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    large = spark.createDataFrame([(n, 8, n - 4) for n, _ in rows], "doc long, cluster long, n long")
+    monkeypatch.setattr(jaccard, "BLOCK_DOCS", 3)
+    none = spark.createDataFrame([], "u bigint, v bigint")
+    placed = []
+    monkeypatch.setattr(jaccard, "pivot_links", lambda *a: none)
+    monkeypatch.setattr(jaccard, "links", lambda docs, df, k: placed.extend(df.collect()) or none)
+    jaccard.large_links(docs, large, 2).collect()
+    blocks = {}
+    for r in placed:
+        blocks.setdefault(r["b"], []).append(r["doc"] - 4)
+    met = {(r["doc"] - 4, n) for r in placed for o in r["others"] for n in blocks.get(o, [])}
+    assert {(x - 4, y - 4) for x, _ in rows for y, _ in rows if 4 * min(x - 4, y - 4) >= 3 * max(x - 4, y - 4)} <= met
+    assert all(min(p) * 16 >= max(p) * 8 for p in met) and len(placed) == len(rows)
+
+
 def test_jaccard_on_chains_and_hot_groups(spark, monkeypatch):
     base = [f"w{i}" for i in range(120)]
     rows = [(i, " ".join(base[: 60 + i])) for i in range(60)] + [(100 + i, " ".join(base[:60]) + f" own{i} tail{i}") for i in range(40)]
