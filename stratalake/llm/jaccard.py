@@ -43,7 +43,7 @@ PIVOTS, WORTH = 16, 0.1
 #: Columns of a matrix product.
 COLUMNS = 8192
 #: Prefix shingles of a bucket, about, the most buckets, and how many shingles a task deals out at a time.
-BUCKET_SHINGLES, BUCKETS, DEALT_SHINGLES = 1 << 19, 1 << 16, 1 << 21
+BUCKET_SHINGLES, BUCKETS, DEALT_SHINGLES = 1 << 19, 1 << 16, 1 << 20
 #: Documents that hold a shingle are counted up to here.
 MOST_HOLDERS = (1 << 15) - 1
 #: The least sizes of bands: documents of bands that aren't neighbours differ by more than 4 : 3.
@@ -258,8 +258,8 @@ def large_links(docs: DataFrame, large: DataFrame, share: int, k: int = WORDS) -
     parts = members.groupBy("cluster", "core", "band").agg(_n_blocks(F.count(F.lit(1)), F.sum("n")).alias("blocks"))
     # A cluster has as many cores as pivots at most, and one part of all documents without one, each in at most len(BANDS) bands.
     parts = written(parts.withColumn("first", F.sum("blocks").over(Window.partitionBy("cluster").orderBy("core", "band")) - F.col("blocks")), "parts")
-    a, b = parts.alias("a"), parts.alias("b")
-    near = (F.col("a.cluster") == F.col("b.cluster")) & (F.abs(F.col("a.band") - F.col("b.band")) <= 1) & (F.col("a.core").isNull() | ~F.col("a.core").eqNullSafe(F.col("b.core")))
+    a, b = parts.withColumn("near", F.explode(F.array(*[F.col("band") + x for x in (-1, 0, 1)]))).alias("a"), parts.alias("b")
+    near = (F.col("a.cluster") == F.col("b.cluster")) & (F.col("a.near") == F.col("b.band")) & (F.col("a.core").isNull() | ~F.col("a.core").eqNullSafe(F.col("b.core")))
     others = F.flatten(F.collect_list(_to(F.col("b.first"), F.col("b.first") + F.col("b.blocks"))))
     met = a.join(b, near).groupBy(*[F.col(f"a.{c}").alias(f"p_{c}") for c in ("cluster", "core", "band", "first", "blocks")]).agg(others.alias("others"))
     same = (F.col("cluster") == F.col("p_cluster")) & (F.col("band") == F.col("p_band")) & F.col("core").eqNullSafe(F.col("p_core"))
