@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratalake.operators.search import BLOCK_VECTORS, block_best, nearest, nonzero, undirected
+from stratalake.operators.search import block_best, nearest, nonzero, undirected
 from stratalake.plans.storage import written
 
 #: The k-means sample, in vectors a cell, and its rounds.
@@ -135,7 +135,7 @@ def _first(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.withColumn("r", place).filter(F.col("r") <= k).drop("r")
 
 
-def search_index(spark: SparkSession, path: str, queries: DataFrame, key: str, emb: str, k: int, probes: int | None = None, exact: bool = False, block: int = BLOCK_VECTORS) -> DataFrame:
+def search_index(spark: SparkSession, path: str, queries: DataFrame, key: str, emb: str, k: int, probes: int | None = None, exact: bool = False, block: int = 2048) -> DataFrame:
     """(q, v, s): for each query its k most similar other vectors of the index, s rounded to 12 places; ties go to the smaller key.
 
     Without `exact`, neighbours outside the probed cells are missed; with it, the result is that of `search.nearest`.

@@ -235,6 +235,28 @@ def test_probes_come_in_bounded_batches(monkeypatch):
     assert sum(sizes) == 700 * 50 and max(sizes) <= 1000
 
 
+def test_neighbours_in_few_large_blocks(spark, monkeypatch):
+    """A vector is sent once to each block, and blocks are as large as a task can hold: 98 of 2,048 vectors would have made 98 copies of each."""
+    _, n, _ = search.blocked(spark.range(200_000).withColumn("e", F.array(F.lit(1.0), F.col("id") + 1.0)), "id", "e", None)
+    assert n == 1
+    rng = np.random.default_rng(12)
+    e = rng.integers(-2, 3, (400, 4)).astype(np.float32)
+    e[rng.random(400) < 0.3] = [1, 2, 0, 0]  # a vector that many have
+    e[~e.any(1)] = 1
+    ids = rng.permutation(400) * 3
+    unit = e.astype(float) / np.sqrt((e.astype(float) ** 2).sum(1, keepdims=True))
+    s = np.round(np.einsum("ij,kj->ik", unit, unit), 12)
+    np.fill_diagonal(s, -np.inf)
+    want = sorted((int(ids[x]), int(ids[y]), s[x, y]) for x in range(400) for y in np.lexsort((ids, -s[x]))[:5])
+    df = spark.createDataFrame(list(zip(ids.tolist(), e.tolist())), "id long, e array<float>")
+    monkeypatch.setattr(search, "TILE", 50)
+    monkeypatch.setattr(search, "EXACT_PAIRS", 300)
+    for block in (None, 70, 1000):
+        for got in (search.neighbours(df, "id", "e", 5, block), search.nearest(df, df, "id", "e", 5, block)):
+            got = sorted(map(tuple, got.collect()))
+            assert [g[:2] for g in got] == [w[:2] for w in want] and [g[2] for g in got] == pytest.approx([w[2] for w in want])
+
+
 def test_block_best_is_that_of_a_full_sort():
     import pyarrow as pa
 
