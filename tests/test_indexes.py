@@ -148,6 +148,24 @@ def test_probes_read_their_cells_only(spark, embeddings, tmp_path):
     assert len(cells) == 1
 
 
+def test_queries_are_sent_to_parts_not_to_cells(spark, tmp_path, monkeypatch):
+    """Without clusters an exact search probes most of 32 cells; a query is still sent once to each of the few parts that hold them."""
+    rng = np.random.default_rng(21)
+    e = rng.normal(size=(1024, 12)).astype(np.float32)
+    e[rng.random(1024) < 0.2] = e[0]  # a cell that several parts share
+    df = spark.createDataFrame(list(enumerate(e.tolist())), "id long, e array<float>").repartition(3)
+    path = f"file://{tmp_path}/index"
+    vectors.write_index(df, "id", "e", path, cells=32, k=5)
+    sent = []
+    best = vectors._part_best
+    monkeypatch.setattr(vectors, "_part_best", lambda parts, *a: sent.append(len(parts.ids)) or best(parts, *a))
+    want = sorted(map(tuple, search.neighbours(df, "id", "e", 5).collect()))
+    for block, least, most in ((None, 1, 1), (128, 8, 24)):
+        sent.clear()
+        assert sorted(map(tuple, vectors.search_index(spark, path, df, "id", "e", 5, exact=True, block=block).collect())) == want
+        assert len(sent) == 2 and least <= min(sent) <= max(sent) <= most
+
+
 def test_vector_index_of_nothing(spark, embeddings, tmp_path):
     path = f"file://{tmp_path}/index"
     with pytest.raises(Exception):
